@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetgrain.functions.clock import slot_label
+from fleetgrain.operators.ranks import exact_median
 from fleetgrain.operators.shapes import build_shapes, keyed_points
 from fleetgrain.params import EARTH_RADIUS_M, WalkParams
 
@@ -32,15 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_seconds(events: DataFrame) -> DataFrame:
-    """Events with a month squeezed into about a week."""
+    """Events with a month squeezed into about a week, on five-minute marks."""
     return events.withColumn(
-        "snapshot_ts", F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 4) + 1278000000
+        "snapshot_ts", F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 1200) * 300 + 1278000000
     ).withColumn("service_date", F.to_date(F.timestamp_seconds("snapshot_ts")))
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = event_seconds(table(spark, sf_dir, "events"))
-    dist = (F.col("snapshot_ts") % 86400) * 1.00371 + (F.col("event_id") % 13) * 1200.11
+    dist = (F.col("snapshot_ts") % 86400) * 1.0037117283 + (F.col("event_id") % 13) * 1200.1173911
     user = F.col("user_id").cast("string")
     return events.select(
         "service_date",
@@ -114,3 +116,109 @@ def walk_days(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_format(F.date_trunc("week", "service_date"), "yyyy-MM-dd"),
         ).alias("period_key"),
     )
+
+
+# Orders as a timetable: three networks (order status), one "day" per month,
+# a route per priority, a trip per order.
+
+
+def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Services run on the first of their month; a few are listed as removals."""
+    trips = order_trips(spark, sf_dir)
+    removed = F.col("service_id").endswith("-09-2")
+    return trips.select(
+        "snapshot",
+        "service_id",
+        F.date_format("service_date", "yyyyMMdd").alias("date"),
+        F.when(removed, "2").otherwise("1").alias("exception_type"),
+    ).distinct()
+
+
+def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    month = F.to_date(F.date_trunc("month", "o_orderdate"))
+    return orders.select(
+        F.col("o_orderstatus").alias("snapshot"),
+        F.concat(
+            F.date_format(month, "yyyy-MM-"), (F.col("o_orderkey") % 3).cast("string")
+        ).alias("service_id"),
+        F.col("o_orderpriority").alias("route_id"),
+        F.col("o_orderkey").alias("trip_id"),
+        month.alias("service_date"),
+    )
+
+
+def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (network, month), and for each network a last month the calendar lacks."""
+    months = order_trips(spark, sf_dir).select(F.col("snapshot").alias("city"), "service_date").distinct()
+    last = months.groupBy("city").agg(F.add_months(F.max("service_date"), 1).alias("service_date"))
+    return months.unionByName(last)
+
+
+def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names of feed captures: two of an order date in some cases, and foreign names."""
+    orders = table(spark, sf_dir, "orders").filter("o_orderkey % 10 < 4")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    clock = F.lpad((F.col("o_custkey") % 24).cast("string"), 2, "0")
+    name = (
+        F.when(F.col("o_orderkey") % 10 < 2, F.concat(F.lit("gtfs_"), day, F.lit(".zip")))
+        .when(F.col("o_orderkey") % 10 < 3, F.concat(F.lit("gtfs_"), day, F.lit("T"), clock, F.lit("00.zip")))
+        .otherwise(F.concat(F.lit("gtfs_"), day, F.lit(".zip.part")))
+    )
+    return orders.select(F.col("o_orderpriority").alias("city"), name.alias("name"))
+
+
+# Line items as speed bins.
+
+
+def item_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem")
+    hour = F.col("l_partkey") % 24
+    slot = hour * 4 + F.when(hour == 17, 1).otherwise(0)
+    shape = F.col("l_suppkey") % 25
+    still = (shape == 7) & (F.col("l_linenumber") == 3)
+    speed = F.when(still, 0.0).otherwise(F.col("l_extendedprice") / F.col("l_quantity") / 300)
+    return items.select(
+        F.col("l_returnflag").alias("period_key"),
+        shape.cast("string").alias("shape_key"),
+        F.col("l_linenumber").alias("segment_index"),
+        slot_label(slot).alias("timeslot"),
+        speed.alias("speed_raw"),
+    )
+
+
+def item_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["period_key", "shape_key", "segment_index", "timeslot"]
+    out = exact_median(item_samples(spark, sf_dir), keys, "speed_raw", "median")
+    return out.select(*keys, F.round("median", 3).alias("median_speed_ms"), F.col("n").alias("n_samples"))
+
+
+def nation_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geometry keys known to the serving step; three nations have none."""
+    nations = table(spark, sf_dir, "nation").filter("n_nationkey % 9 <> 4")
+    return nations.select(F.col("n_nationkey").cast("string").alias("shape_key"))
+
+
+def supplier_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routes from suppliers, two snapshots by key parity."""
+    s = table(spark, sf_dir, "supplier")
+    return s.select(
+        F.concat(F.lit("f"), (F.col("s_suppkey") % 2).cast("string")).alias("snapshot"),
+        F.concat(F.lit("R"), F.col("s_suppkey").cast("string")).alias("route_id"),
+        F.when(F.col("s_suppkey") % 7 == 0, "").otherwise(F.col("s_name")).alias("route_short_name"),
+        F.when(F.col("s_nationkey") % 6 == 1, 99)
+        .when(F.col("s_nationkey") % 6 == 2, (F.col("s_suppkey") % 3).cast("int"))
+        .otherwise(F.col("s_nationkey") % 4)
+        .alias("route_type"),
+    )
+
+
+def supplier_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trip per line item: its supplier is the route, the supplier's nation the shape."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    items = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey")
+    return items.join(s, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        F.concat(F.lit("f"), (F.col("s_suppkey") % 2).cast("string")).alias("snapshot"),
+        F.concat(F.lit("R"), F.col("s_suppkey").cast("string")).alias("route_id"),
+        F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("shape_id"),
+    )

@@ -52,7 +52,9 @@ def plain_chunks(path: str, content: memoryview) -> Iterator[bytes]:
     yield inflate.flush()
 
 
-def ordered_digest(rows: DataFrame, keys: list[str], item: str, separator: str) -> DataFrame:
+def ordered_digest(
+    rows: DataFrame, keys: list[str], item: str, separator: str, order: list[str] | None = None
+) -> DataFrame:
     """(keys, digest, items): sha256 of each group's items, sorted and joined.
 
     Hashing in sorted order is sequential by definition, so a group ends in one
@@ -60,8 +62,8 @@ def ordered_digest(rows: DataFrame, keys: list[str], item: str, separator: str)
     """
     types = dict(rows.dtypes)
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", digest string, items bigint"
-    ordered = rows.select(*keys, item).repartition(*keys).sortWithinPartitions(*keys, item)
-    return ordered.mapInArrow(_hash_stream(len(keys), separator.encode()), schema)
+    ordered = rows.repartition(*keys).sortWithinPartitions(*keys, *(order or [item]))
+    return ordered.select(*keys, item).mapInArrow(_hash_stream(len(keys), separator.encode()), schema)
 
 
 def _hash_stream(width: int, separator: bytes):
@@ -97,14 +99,14 @@ def _rows(rows: list[tuple], schema: pa.Schema, width: int) -> pa.RecordBatch:
 
 def set_digest(payloads: DataFrame, keys: list[str], payload: str) -> DataFrame:
     """Digest of an unordered multiset of payloads, blind to their order and ids."""
-    hashed = payloads.withColumn("_item", F.sha2(F.col(payload), 256))
+    hashed = payloads.select(*keys, F.sha2(F.col(payload), 256).alias("_item"))
     return ordered_digest(hashed, keys, "_item", "\n")
 
 
 def archive_digest(members: DataFrame, keys: list[str]) -> DataFrame:
-    """Digest of an archive's (name, content) members, blind to packing order and dates."""
-    hashed = members.withColumn("_item", F.concat("name", F.lit(":"), F.sha2(F.col("content"), 256)))
-    return ordered_digest(hashed, keys, "_item", "\n")
+    """Digest of an archive's (name, sha256) members, blind to packing order and dates."""
+    named = members.select(*keys, "name", "sha256", F.concat_ws(":", "name", "sha256").alias("_item"))
+    return ordered_digest(named, keys, "_item", "\n", order=["name", "sha256"])
 
 
 def twin_digests(files: DataFrame) -> DataFrame:
