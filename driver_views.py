@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgrain.functions.clock import slot_label
+from fleetgrain.functions.clock import hour_of_name, local_date, slot_label
 from fleetgrain.operators.ranks import exact_median
 from fleetgrain.operators.shapes import build_shapes, keyed_points
 from fleetgrain.params import EARTH_RADIUS_M, WalkParams
@@ -157,7 +157,7 @@ def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File names of feed captures: two of an order date in some cases, and foreign names."""
-    orders = table(spark, sf_dir, "orders").filter("o_orderkey % 10 < 4")
+    orders = table(spark, sf_dir, "orders")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     clock = F.lpad((F.col("o_custkey") % 24).cast("string"), 2, "0")
     name = (
@@ -222,3 +222,179 @@ def supplier_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("R"), F.col("s_suppkey").cast("string")).alias("route_id"),
         F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("shape_id"),
     )
+
+
+# Events as polls: one poll per event, on squeezed seconds.
+
+NOW = 1704664790  # after the last event, before its local midnight
+POLL_INTERVAL = 45
+
+
+def poll_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    second = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 4) + 1278000000
+    rows = events.withColumn("snapshot_ts", second)
+    return rows.withColumn("service_date", local_date(F.col("snapshot_ts"), TZ))
+
+
+def poll_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return poll_seconds(spark, sf_dir).select("service_date", "snapshot_ts")
+
+
+def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some days have no heartbeat, some only from six hours on."""
+    rows = poll_seconds(spark, sf_dir)
+    day = F.dayofmonth("service_date")
+    late = (day % 3 == 0) & (F.pmod(F.col("snapshot_ts") + 7200, F.lit(86400)) < 21600)
+    return rows.filter((day % 4 != 1) & ~late).select(
+        "service_date",
+        "snapshot_ts",
+        (F.col("event_type") != "error").alias("fetch_ok"),
+        F.pmod(F.floor("value"), F.lit(3)).alias("vehicle_count"),
+        (F.col("event_id") % 9 + 2).alias("entities_total"),
+        (F.col("event_id") % 9 + 1).alias("vehicles_with_position"),
+        (F.col("event_id") % 2).alias("dropped_out_of_bbox"),
+    )
+
+
+def decoded_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded poll responses: the events of one five-minute mark are its entities."""
+    events = event_seconds(table(spark, sf_dir, "events"))
+    user = F.col("user_id")
+    position = F.struct(
+        (F.lit(42.0) + user * 0.0101234567).alias("latitude"),
+        (F.lit(23.0) + F.col("event_id") % 100 * 0.0101234567).alias("longitude"),
+        F.lit(None).cast("double").alias("bearing"),
+        (F.col("value") / 7).alias("speed"),
+    )
+    trip = F.struct(
+        user.cast("string").alias("trip_id"),
+        F.col("event_type").alias("route_id"),
+        F.lit("SCHEDULED").alias("schedule_relationship"),
+    )
+    nothing = F.lit(None)
+    vehicle = F.struct(
+        F.struct(user.cast("string").alias("id")).alias("vehicle"),
+        F.when(F.col("event_id") % 5 != 0, trip).alias("trip"),
+        F.when(F.col("event_id") % 7 != 0, position).alias("position"),
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"),
+        nothing.cast("string").alias("stop_id"),
+        F.lit("IN_TRANSIT_TO").alias("current_status"),
+        nothing.cast("string").alias("occupancy_status"),
+        nothing.cast("string").alias("congestion_level"),
+    )
+    entity = F.struct(F.when(F.col("event_id") % 11 != 0, vehicle).alias("vehicle"))
+    return events.groupBy(F.col("snapshot_ts").alias("poll_ts")).agg(
+        F.lit(True).alias("fetch_ok"), F.collect_list(entity).alias("entity")
+    )
+
+
+BOX = (42.1, 43.2, 23.05, 23.8)
+
+
+def box() -> F.Column:
+    names = ("lat_min", "lat_max", "lon_min", "lon_max")
+    return F.struct(*[F.lit(v).alias(n) for v, n in zip(BOX, names)])
+
+
+# Documents as archived day files and their manifests.
+
+
+def doc_date(doc_id="doc_id"):
+    return F.date_add(F.lit("2020-01-01").cast("date"), F.col(doc_id).cast("int"))
+
+
+def doc_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    key = F.col("doc_id")
+    return docs.join(labels, "doc_id", "left").select(
+        doc_date().alias("service_date"),
+        F.concat(F.lit("d"), key.cast("string")).alias("data_file"),
+        F.sha2("text", 256).alias("data_sha256"),
+        F.when(key % 3 == 0, F.concat(F.lit("p"), key.cast("string"))).alias("polls_file"),
+        F.when(key % 3 == 0, F.sha2("source", 256)).alias("polls_sha256"),
+        (key % 50 == 49).alias("day_in_progress"),
+        F.when(key % 20 == 7, 1).when(key % 20 == 8, F.lit(None).cast("int")).otherwise(2).alias("schema_version"),
+        F.when(F.col("toxic") == 1, F.col("quality") == 1).alias("remote_verified"),
+        F.concat(F.lit("run-"), F.col("lang")).alias("remote_verified_at"),
+        (key * 10 + F.col("n_chars") % 30).alias("manifest_mtime"),
+    )
+
+
+def doc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as members of archives, one archive per source."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(
+        F.col("source").alias("archive"),
+        F.concat(F.lit("m"), F.col("doc_id").cast("string")).alias("name"),
+        F.sha2("text", 256).alias("sha256"),
+    )
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as capture runs of five networks: refused, empty and repeating answers."""
+    events = event_seconds(table(spark, sf_dir, "events"))
+    items = F.floor("value") % 3
+    return events.select(
+        F.col("event_type").alias("city"),
+        "snapshot_ts",
+        "event_id",
+        F.when(items == 0, F.sha2(F.lit(""), 256))
+        .otherwise(F.sha2(F.concat(items.cast("string"), (F.col("event_id") % 2).cast("string")), 256))
+        .alias("digest"),
+        items.alias("items"),
+        (F.col("user_id") % 10 != 0).alias("accepted"),
+    )
+
+
+RUN_KEYS, RUN_ORDER = ["city"], ["snapshot_ts", "event_id"]
+
+
+def run_bucket():
+    return F.floor(F.col("snapshot_ts") / 21600)
+
+
+NOW_UTC = "2024-01-30 20:07:00"
+
+
+def hour_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file name per event second, with a digest and the role it plays."""
+    events = table(spark, sf_dir, "events")
+    stamp = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HHmmss")
+    named = events.select(
+        F.concat(F.lit("tu_"), stamp, F.lit("Z.pb")).alias("name"), "event_id", "props"
+    )
+    first = named.groupBy("name").agg(
+        F.min("event_id").alias("event_id"), F.min_by("props", "event_id").alias("props")
+    )
+    return first.select("name", F.sha2("props", 256).alias("sha256"), (F.col("event_id") % 6).alias("role"))
+
+
+def hour_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = hour_files(spark, sf_dir).filter("role IN (0, 1, 2)")
+    return held.select(hour_of_name(F.col("name")).alias("hour"), "name", "sha256")
+
+
+def hour_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late files, exact repeats (role 0) and namesakes with other bytes (role 1)."""
+    files = hour_files(spark, sf_dir).filter("role <> 2")
+    return files.select(
+        "name",
+        F.when(F.col("role") == 1, F.sha2(F.concat("sha256", F.lit("x")), 256)).otherwise(F.col("sha256")).alias("sha256"),
+    )
+
+
+def doc_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests seen at the origin: some files differ, some are gone."""
+    docs = table(spark, sf_dir, "documents")
+    key = F.col("doc_id")
+    data = docs.filter(key % 11 != 2).select(
+        F.concat(F.lit("d"), key.cast("string")).alias("file"),
+        F.sha2(F.when(key % 7 == 1, F.concat("text", F.lit("x"))).otherwise(F.col("text")), 256).alias("sha256"),
+    )
+    polls_seen = docs.filter((key % 3 == 0) & (key % 13 != 3)).select(
+        F.concat(F.lit("p"), key.cast("string")).alias("file"),
+        F.sha2(F.when(key % 5 == 1, F.lit("other")).otherwise(F.col("source")), 256).alias("sha256"),
+    )
+    return data.unionByName(polls_seen)

@@ -39,12 +39,11 @@ def keep_changes(runs: DataFrame, keys: list[str], order: list[str], bucket: Col
     return out.withColumn("kept", ~F.col("digest").eqNullSafe(F.col("_before"))).drop("_before")
 
 
-def name_snapshots(kept: DataFrame, keys: list[str], local_ts: Column) -> DataFrame:
+def name_snapshots(kept: DataFrame, keys: list[str], order: list[str], local_ts: Column) -> DataFrame:
     """File names of kept static feeds: plain for a local day's first, with the clock after."""
     rows = kept.withColumn("_local", local_ts).withColumn("_date", F.to_date("_local"))
-    # a network's kept feeds of one day: bounded by that day's minutes, names collide within one
     numbered = running_sum_in_buckets(
-        rows, [*keys, "_date"], ["_local"], F.hour("_local"), F.lit(1), "_nth"
+        rows, [*keys, "_date"], order, F.hour("_local"), F.lit(1), "_nth"
     )
     date = F.date_format("_local", "yyyy-MM-dd")
     name = F.when(F.col("_nth") == 1, F.concat(F.lit("gtfs_"), date, F.lit(".zip"))).otherwise(

@@ -1,5 +1,11 @@
 """Registered queries: each name with its Spark form and, where one exists, its SQL form."""
 
-from registry import planning, walking
+from registry import files, planning, quality, serving, walking
 
-ALL = {**walking.QUERIES, **planning.QUERIES}
+ALL = {
+    **walking.QUERIES,
+    **planning.QUERIES,
+    **serving.QUERIES,
+    **quality.QUERIES,
+    **files.QUERIES,
+}

@@ -193,7 +193,7 @@ file AS (
               WHEN o_orderkey % 10 < 3 THEN 'gtfs_' || strftime(o_orderdate, '%Y-%m-%d') || 'T'
                    || lpad(CAST(o_custkey % 24 AS VARCHAR), 2, '0') || '00.zip'
               ELSE 'gtfs_' || strftime(o_orderdate, '%Y-%m-%d') || '.zip.part' END AS name
-  FROM orders WHERE o_orderkey % 10 < 4),
+  FROM orders),
 snap AS (
   SELECT city, name AS snapshot, CAST(name[6:15] AS DATE) AS snap_date,
          row_number() OVER (PARTITION BY city ORDER BY name) AS seq,
