@@ -19,7 +19,10 @@ def lag_in_buckets(
     bucket: Column,
     values: dict[str, Column],
 ) -> DataFrame:
-    """Add one column per entry of `values`: that expression on the previous row."""
+    """Add one column per entry of `values`: that expression on the previous row.
+
+    Keys and bucket must not be null; the bucket must not fall while the order rises.
+    """
     spot = F.struct(*[F.col(c) for c in order])
     payload = F.struct(*[v.alias(k) for k, v in values.items()])
     rows = df.withColumn("_bucket", bucket).withColumn("_payload", payload)

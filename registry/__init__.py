@@ -1,6 +1,6 @@
 """Registered queries: each name with its Spark form and, where one exists, its SQL form."""
 
-from registry import files, planning, quality, serving, walking
+from registry import files, planning, quality, serving, streams, walking
 
 ALL = {
     **walking.QUERIES,
@@ -8,4 +8,5 @@ ALL = {
     **serving.QUERIES,
     **quality.QUERIES,
     **files.QUERIES,
+    **streams.QUERIES,
 }
