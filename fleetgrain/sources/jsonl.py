@@ -45,14 +45,15 @@ def _scan(spark: SparkSession, paths: list[str] | str, schema: str) -> DataFrame
 
     The service date is the file's own; `file_spot` orders records within it.
     """
-    raw = spark.read.schema(schema).option("mode", "PERMISSIVE").json(paths)
-    return raw.select(
+    lines = spark.read.text(paths).filter(F.trim("value") != "")
+    spots = lines.select(
         F.to_date(F.regexp_extract("_metadata.file_path", _DATE_IN_NAME, 1)).alias("service_date"),
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("file_block"),
         F.monotonically_increasing_id().alias("file_row"),
-        "*",
+        "value",
     )
+    return parse_lines(spots, "value", schema).select(*spots.columns[:-1], "record.*")
 
 
 def read_positions(spark: SparkSession, paths: list[str] | str) -> DataFrame:
@@ -77,13 +78,9 @@ def read_polls(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 def line_counts(spark: SparkSession, paths: list[str] | str, schema: str = POSITION_SCHEMA) -> DataFrame:
     """(file, records, malformed) per file."""
     bad = F.col("_corrupt_record").isNotNull()
-    # the corrupt column alone cannot be selected from JSON, so a data column stays in the scan
-    scan = _scan(spark, paths, schema).select("file", "snapshot_ts", "_corrupt_record")
-    return scan.groupBy("file").agg(
-        F.count(F.when(~bad, 1)).alias("records"),
-        F.count_if(bad).alias("malformed"),
-        F.count("snapshot_ts").alias("stamped"),
-    ).drop("stamped")
+    return _scan(spark, paths, schema).groupBy("file").agg(
+        F.count_if(~bad).alias("records"), F.count_if(bad).alias("malformed")
+    )
 
 
 def read_manifests(spark: SparkSession, paths: list[str] | str) -> DataFrame:
