@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetgrain.functions.clock import hour_of_name, local_date, slot_label
 from fleetgrain.operators.ranks import exact_median
-from fleetgrain.operators.shapes import build_shapes, keyed_points
+from fleetgrain.operators.shapes import keyed_points
 from fleetgrain.params import EARTH_RADIUS_M, WalkParams
 
 TZ = "Europe/Athens"
@@ -78,15 +78,13 @@ def shape_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_shapes(keyed_points(shape_points(spark, sf_dir), ["snapshot", "shape_id"]))
+def keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed_points(shape_points(spark, sf_dir), ["snapshot", "shape_id"])
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trips(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
     """Snapshot s1 lacks some trips, s2 has most of those, a few are in neither."""
-    keyed = keyed_points(shape_points(spark, sf_dir), ["snapshot", "shape_id"]).select(
-        "shape_id", "shape_key"
-    )
+    keyed = lines.select("shape_id", "shape_key")
     key = F.col("c_custkey")
     rows = table(spark, sf_dir, "customer").select(
         key.cast("string").alias("trip_id"),

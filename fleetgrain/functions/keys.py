@@ -36,7 +36,7 @@ def geometry_key(points: Column) -> Column:
 def counts_key(pairs: Column) -> Column:
     """Key of an unordered array of struct(route_id, trips)."""
     texts = F.transform(
-        F.array_sort(pairs),
+        F.sort_array(pairs),
         lambda p: F.concat(p["route_id"], F.lit(","), p["trips"].cast("string")),
     )
     return short_digest(F.array_join(texts, ";"))

@@ -192,7 +192,7 @@ def day_manifests(
     windows = day_windows(days, tz, now)
     times = poll_times(polls, positions)
     gaps = poll_gaps(times, windows, interval_sec, multiplier).groupBy("service_date").agg(
-        F.array_sort(F.collect_list(F.struct("after_ts", "before_ts", "gap_seconds"))).alias("gaps")
+        F.sort_array(F.collect_list(F.struct("after_ts", "before_ts", "gap_seconds"))).alias("gaps")
     )
     partial = times.groupBy("service_date").agg(F.bool_or("heartbeat_partial").alias("heartbeat_partial"))
     out = days

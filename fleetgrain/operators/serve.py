@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetgrain.functions.geo import along_shape, plane_lat, plane_lon
+from fleetgrain.functions.geo import plane_lat, plane_lon
 from fleetgrain.functions.keys import UNKNOWN_ROUTE_TYPE, route_type_label
 from fleetgrain.operators.sequences import running_sum_in_buckets
 from fleetgrain.params import (
@@ -125,7 +125,7 @@ def slot_documents(slots: DataFrame) -> DataFrame:
     is its unit: at most one entry per road segment.
     """
     cell = F.struct("segment_idx", "speed_kmh", "n_samples")
-    doc = slots.groupBy("bundle", "timeslot").agg(F.array_sort(F.collect_list(cell)).alias("c"))
+    doc = slots.groupBy("bundle", "timeslot").agg(F.sort_array(F.collect_list(cell)).alias("c"))
     return doc.select(
         "bundle",
         "timeslot",
@@ -135,42 +135,26 @@ def slot_documents(slots: DataFrame) -> DataFrame:
     )
 
 
-def clipped(segments: DataFrame, shapes: DataFrame, segment_length_m: float) -> DataFrame:
-    """(shape_key, segment_index, xs, ys): the stretch of line each segment covers.
-
-    Segments are listed per shape before the join, so a line's arrays cross
-    the shuffle once and not once per segment.
-    """
-    wanted = segments.groupBy("shape_key").agg(F.collect_set("segment_index").alias("wanted"))
-    rows = wanted.join(shapes, "shape_key").select(
-        "shape_key", "xs", "ys", "cum_dist", "ref_lat_deg", "ref_lon", F.explode("wanted").alias("segment_index")
-    )
-    cum = F.col("cum_dist")
-    top = F.element_at(cum, -1)
-    start = F.least(F.col("segment_index") * F.lit(float(segment_length_m)), top)
-    end = F.least((F.col("segment_index") + 1) * F.lit(float(segment_length_m)), top)
-    start, end = F.greatest(start, F.lit(0.0)), F.greatest(end, F.lit(0.0))
-    vertices = F.arrays_zip("xs", "ys", "cum_dist")
-    inner = F.filter(vertices, lambda v: (v["cum_dist"] > start) & (v["cum_dist"] < end))
-
-    def coords(name: str) -> Column:
-        ends = [F.array(along_shape(cum, F.col(name), d)) for d in (start, end)]
-        return F.concat(ends[0], F.transform(inner, lambda v: v[name]), ends[1])
-
-    return rows.select(
-        "shape_key", "segment_index", "ref_lat_deg", "ref_lon", coords("xs").alias("xs"), coords("ys").alias("ys")
-    )
-
-
 def draw_paths(
     segments: DataFrame,
     shapes: DataFrame,
     segment_length_m: float = SEGMENT_LENGTH_M,
     tolerance_m: float = SIMPLIFY_TOLERANCE_M,
 ) -> DataFrame:
-    """(shape_key, segment_index, points): each segment's simplified path."""
-    lines = clipped(segments.select(*PAIR).distinct(), shapes, segment_length_m)
-    thin = lines.mapInArrow(_simplifier(tolerance_m), lines.schema)
+    """(shape_key, segment_index, points): each segment's simplified path.
+
+    Segments are listed per shape before the join, so a line's arrays move
+    once and not once per segment; a line's length bounds its list.
+    """
+    wanted = segments.groupBy("shape_key").agg(F.collect_set("segment_index").alias("wanted"))
+    lines = wanted.join(shapes, "shape_key").select(
+        "shape_key", "wanted", "xs", "ys", "cum_dist", "ref_lat_deg", "ref_lon"
+    )
+    cut = lines.mapInArrow(
+        _cutter(segment_length_m, tolerance_m),
+        "shape_key string, segment_index int, ref_lat_deg double, ref_lon double, "
+        "xs array<double>, ys array<double>",
+    )
     point = F.transform(
         F.arrays_zip("xs", "ys"),
         lambda p: F.struct(
@@ -178,30 +162,47 @@ def draw_paths(
             plane_lon(F.col("ref_lat_deg"), F.col("ref_lon"), p["xs"]).alias("lon"),
         ),
     )
-    return thin.select(*PAIR, point.alias("points"))
+    return cut.select(*PAIR, point.alias("points"))
 
 
-def _simplifier(tolerance_m: float):
+def _cutter(segment_length_m: float, tolerance_m: float):
+    names = ["shape_key", "segment_index", "ref_lat_deg", "ref_lon", "xs", "ys"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            xs, ys = [], []
-            for x, y in zip(cols["xs"], cols["ys"]):
-                line = np.column_stack([np.asarray(x.as_py()), np.asarray(y.as_py())])
-                thin = line[keep_vertices(line, tolerance_m)]
-                xs.append(thin[:, 0].tolist())
-                ys.append(thin[:, 1].tolist())
-            cols["xs"] = pa.array(xs, cols["xs"].type)
-            cols["ys"] = pa.array(ys, cols["ys"].type)
-            yield pa.RecordBatch.from_arrays(list(cols.values()), schema=batch.schema)
+            key, wanted, *arrays, ref_lat, ref_lon = batch.columns
+            rows = []
+            for i in range(batch.num_rows):
+                index = np.asarray(wanted[i].as_py())
+                x, y, cum = (a[i].values.to_numpy(zero_copy_only=False) for a in arrays)
+                head = (key[i].as_py(), ref_lat[i].as_py(), ref_lon[i].as_py())
+                for at, part in zip(index.tolist(), cut_line(x, y, cum, index, segment_length_m)):
+                    thin = part[keep_vertices(part, tolerance_m)]
+                    rows.append((head[0], at, *head[1:], thin[:, 0], thin[:, 1]))
+            kinds = [pa.string(), pa.int32(), pa.float64(), pa.float64(), *[pa.list_(pa.float64())] * 2]
+            columns = zip(*rows) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return run
 
 
+def cut_line(x, y, cum, index: np.ndarray, length_m: float) -> Iterator[np.ndarray]:
+    """The stretch of a line under each segment: its ends and the vertices between them."""
+    bounds = np.clip(np.stack([index, index + 1]) * length_m, 0.0, cum[-1])
+    ends = np.stack([np.interp(bounds, cum, x), np.interp(bounds, cum, y)], axis=-1)
+    first = np.searchsorted(cum, bounds[0], side="right")
+    stop = np.searchsorted(cum, bounds[1], side="left")
+    for i in range(len(index)):
+        inner = np.column_stack([x[first[i] : stop[i]], y[first[i] : stop[i]]])
+        yield np.concatenate([ends[0, i : i + 1], inner, ends[1, i : i + 1]])
+
+
 def keep_vertices(line: np.ndarray, tolerance_m: float) -> np.ndarray:
     """Mask of the vertices a Douglas-Peucker pass keeps; ends always stay."""
     keep = np.zeros(len(line), dtype=bool)
     keep[[0, -1]] = True
+    if len(line) == 2:
+        return keep
     todo = [(0, len(line) - 1)]
     while todo:
         a, b = todo.pop()
@@ -237,7 +238,7 @@ def geometry_document(paths: DataFrame, baseline: DataFrame | None = None) -> Da
     else:
         paths = paths.withColumn("typical_kmh", F.lit(None).cast("int"))
     part = F.struct("segment_idx", "shape_key", "segment_index", "points", "point_offset", "typical_kmh")
-    listed = paths.groupBy("bundle").agg(F.array_sort(F.collect_list(part)).alias("s"))
+    listed = paths.groupBy("bundle").agg(F.sort_array(F.collect_list(part)).alias("s"))
     points = F.flatten(F.col("s.points"))
     return listed.select(
         "bundle",
@@ -285,8 +286,8 @@ def shape_routes(bridge: DataFrame, trips: DataFrame, routes: DataFrame, snapsho
         .groupBy("shape_key")
         .agg(
             F.sort_array(F.collect_set("shape_id")).alias("shape_ids"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("r.ids")))).alias("route_ids"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("r.names")))).alias("route_names"),
+            F.sort_array(F.array_distinct(F.flatten(F.collect_list("r.ids")))).alias("route_ids"),
+            F.sort_array(F.array_distinct(F.flatten(F.collect_list("r.names")))).alias("route_names"),
             F.when(F.count_distinct("r.type") == 1, F.max("r.type")).cast("int").alias("route_type"),
         )
     )

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgrain.functions.geo import haversine_m, plane_x, plane_y
+from fleetgrain.functions.geo import haversine_m
 from fleetgrain.functions.keys import geometry_key
+from fleetgrain.params import EARTH_RADIUS_M
 
 
 def ordered_points(shape_points: DataFrame, keys: list[str]) -> DataFrame:
@@ -14,7 +19,7 @@ def ordered_points(shape_points: DataFrame, keys: list[str]) -> DataFrame:
 
     A group is one published line, whose vertex count the feed bounds.
     """
-    spots = F.array_sort(
+    spots = F.sort_array(
         F.collect_list(F.struct("shape_pt_sequence", "shape_pt_lat", "shape_pt_lon"))
     )
     return shape_points.groupBy(*keys).agg(
@@ -34,49 +39,43 @@ def shape_bridge(keyed: DataFrame) -> DataFrame:
 
 
 def build_shapes(keyed: DataFrame) -> DataFrame:
-    """One row per geometry with at least two points: plane arrays and distances."""
-    pts = F.col("points")
-    n = F.size(pts)
-    # the reference point is the mean latitude and the first longitude
-    lat_sum = F.aggregate(pts, F.lit(0.0), lambda a, p: a + p["lat"])
-    base = (
-        keyed.filter(n >= 2)
-        .groupBy("shape_key")
-        .agg(F.any_value("points").alias("points"))
-        .withColumn("ref_lat_deg", lat_sum / n)
-        .withColumn("ref_lon", pts[0]["lon"])
+    """One row per geometry with at least two points: plane arrays and distances.
+
+    The reference point is the mean latitude and the first longitude.
+    """
+    distinct = keyed.filter(F.size("points") >= 2).groupBy("shape_key").agg(
+        F.any_value("points").alias("points")
     )
-    spots = base.select("shape_key", "ref_lat_deg", "ref_lon", F.posexplode("points").alias("pos", "p"))
-    # base is already grouped by shape_key, so the window and the regrouping add no shuffle
-    order = Window.partitionBy("shape_key").orderBy("pos")
-    lat, lon = F.col("p.lat"), F.col("p.lon")
-    hop = F.coalesce(haversine_m(F.lag(lat).over(order), F.lag(lon).over(order), lat, lon), F.lit(0.0))
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    measured = spots.withColumn("hop", hop).withColumn("cum", F.sum("hop").over(upto))
-    vertex = F.struct(
-        "pos",
-        plane_x(F.col("ref_lat_deg"), F.col("ref_lon"), lon).alias("x"),
-        plane_y(F.col("ref_lat_deg"), lat).alias("y"),
-        "cum",
-    )
-    return (
-        measured.groupBy("shape_key")
-        .agg(
-            F.array_sort(F.collect_list(vertex)).alias("v"),
-            F.any_value("ref_lat_deg").alias("ref_lat_deg"),
-            F.any_value("ref_lon").alias("ref_lon"),
-        )
-        .select(
-            "shape_key",
-            F.col("v.x").alias("xs"),
-            F.col("v.y").alias("ys"),
-            F.col("v.cum").alias("cum_dist"),
-            "ref_lat_deg",
-            "ref_lon",
-        )
+    lines = distinct.select("shape_key", F.col("points.lat").alias("lats"), F.col("points.lon").alias("lons"))
+    return lines.mapInArrow(
+        _measure,
+        "shape_key string, xs array<double>, ys array<double>, cum_dist array<double>, "
+        "ref_lat_deg double, ref_lon double",
     )
 
 
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors of each line, one NumPy pass per line."""
+    names = ["shape_key", "xs", "ys", "cum_dist", "ref_lat_deg", "ref_lon"]
+    array = pa.list_(pa.float64())
+    kinds = [pa.string(), array, array, array, pa.float64(), pa.float64()]
+    for batch in batches:
+        keys, lats, lons = batch.columns
+        rows = []
+        for key, lat, lon in zip(keys.to_pylist(), lats, lons):
+            lat, lon = (a.values.to_numpy(zero_copy_only=False) for a in (lat, lon))
+            ref_lat, ref_lon = float(lat.mean()), float(lon[0])
+            phi, lam = np.radians(lat), np.radians(lon)
+            h = np.sin((phi[1:] - phi[:-1]) / 2) ** 2
+            h += np.cos(phi[1:]) * np.cos(phi[:-1]) * np.sin((lam[1:] - lam[:-1]) / 2) ** 2
+            cum = np.concatenate([[0.0], np.cumsum(2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(h)))])
+            xs = np.radians(lon - ref_lon) * np.cos(np.radians(ref_lat)) * EARTH_RADIUS_M
+            ys = np.radians(lat - ref_lat) * EARTH_RADIUS_M
+            rows.append((key, xs, ys, cum, ref_lat, ref_lon))
+        columns = zip(*rows) if rows else [()] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
 def vertex_distances(shape_points: DataFrame, keys: list[str]) -> DataFrame:
     """Long form of the same: each vertex with its distance along the line."""
     order = Window.partitionBy(*keys).orderBy("shape_pt_sequence")

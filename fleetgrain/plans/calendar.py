@@ -34,7 +34,7 @@ def signatures(days: DataFrame, scheduled: DataFrame) -> DataFrame:
     """Each day with its counts, trip_count and signature; a day without rows has empty counts."""
     keys = days.columns
     pair = F.struct("route_id", "trips")
-    per_day = scheduled.groupBy(*keys).agg(F.array_sort(F.collect_list(pair)).alias("pairs"))
+    per_day = scheduled.groupBy(*keys).agg(F.sort_array(F.collect_list(pair)).alias("pairs"))
     nothing = F.array().cast("array<struct<route_id:string,trips:bigint>>")
     joined = days.join(per_day, keys, "left").withColumn("pairs", F.coalesce("pairs", nothing))
     return joined.select(

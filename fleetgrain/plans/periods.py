@@ -100,7 +100,7 @@ def period_summary(assigned: DataFrame, bin_counts: DataFrame, keys: list[str])
     first = F.struct(F.size("counts").alias("routes"), "trip_count", "period_reference_date")
     periods = in_median.groupBy(*keys, "period_key").agg(
         F.min_by(first, "service_date").alias("opening"),
-        F.array_sort(F.collect_list("service_date")).alias("days_in_median"),
+        F.sort_array(F.collect_list("service_date")).alias("days_in_median"),
         F.min("service_date").alias("first_date"),
         F.max("service_date").alias("last_date"),
         F.max("churn_vs_reference").alias("max_churn_vs_reference"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import driver_views as views
 from fleetgrain.operators import walk
+from fleetgrain.operators.shapes import build_shapes
 from fleetgrain.session import apply_conf, cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,17 +24,20 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFram
     return _stages[key]
 
 
+def walk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered points with their geometry key, the dimension both below start from."""
+    return stage(spark, sf_dir, "walk_lines", views.keyed_lines)
+
+
 def walk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(
-        spark,
-        sf_dir,
-        "walk_lookup",
-        lambda s, d: walk.trip_lookup(views.walk_days(s, d), views.trips(s, d)),
-    )
+    def build(s: SparkSession, d: str) -> DataFrame:
+        return walk.trip_lookup(views.walk_days(s, d), views.trips(s, d, walk_lines(s, d)))
+
+    return stage(spark, sf_dir, "walk_lookup", build)
 
 
 def walk_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(spark, sf_dir, "walk_shapes", views.shapes)
+    return stage(spark, sf_dir, "walk_shapes", lambda s, d: build_shapes(walk_lines(s, d)))
 
 
 def judged_steps(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,7 +197,7 @@ FROM bins"""
 
 def first_slot_shown(spark, sf_dir):
     """Slot a reader opens each segment with: the carried one, 08:00, else the first."""
-    slots = F.array_sort(F.collect_set("timeslot"))
+    slots = F.sort_array(F.collect_set("timeslot"))
     per = serve.retained_bins(_bins(spark, sf_dir), 4).groupBy("period_key", "shape_key", "segment_index")
     listed = per.agg(slots.alias("slots"))
     carried = F.when(F.col("segment_index") % 2 == 0, F.lit("17:15"))

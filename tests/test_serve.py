@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from fleetgrain.functions.geo import along_shape
 from fleetgrain.functions.keys import bin_key, route_type_label, split_bin_key
 from fleetgrain.operators import serve
 from fleetgrain.sinks import write_geometry, write_slots
@@ -74,6 +75,13 @@ def test_paths_offsets_and_documents(spark, tmp_path):
     assert json.loads(files[0].read_text())["speed_kmh"] == [18, 18, 18]
 
 
+def test_point_at_a_distance(spark):
+    cum, xs = F.array(*map(F.lit, (0.0, 10.0, 10.0, 30.0))), F.array(*map(F.lit, (0.0, 4.0, 4.0, 8.0)))
+    at = [-5.0, 0.0, 5.0, 10.0, 20.0, 30.0, 99.0]
+    row = spark.range(1).select(*[along_shape(cum, xs, F.lit(d)).alias(f"d{i}") for i, d in enumerate(at)]).first()
+    assert list(row) == [0.0, 0.0, 2.0, 4.0, 6.0, 8.0, 8.0]
+
+
 def test_bent_line_keeps_its_corner(spark):
     xs, ys = [0.0, 50.0, 100.0, 100.0, 100.0], [0.0, 0.5, 0.0, 50.0, 100.0]
     cum = [0.0, *np.cumsum(np.hypot(np.diff(xs), np.diff(ys))).tolist()]
