@@ -113,8 +113,7 @@ def run_speeds(
     if not paths:
         raise ValueError(f"no day files found in {data_dir}")
     positions = jsonl.read_positions(spark, paths)
-    lookup = walk.trip_lookup(plan.filter("processed"), static.trips)
-    steps = walk.walk(positions, lookup, static.shapes, params, jsonl.FILE_ORDER)
+    steps = walk.walk(positions, plan, static.trips, static.shapes, params, jsonl.FILE_ORDER)
     overwrite_partitions(steps, f"{out}/steps", ["service_date"])
     steps = spark.read.parquet(f"{out}/steps")
     write_samples(walk.samples(steps, params), f"{out}/samples")
@@ -126,7 +125,8 @@ def run_speeds(
     counters = bins.day_counters(
         walk.outcomes(steps).unionByName(walk.keyless_records(positions))
     )
-    replace_tree(_day_records(plan, counters, walk.next_feed_counts(positions, lookup)), f"{out}/days")
+    from_next = walk.next_feed_counts(positions, plan, static.trips)
+    replace_tree(_day_records(plan, counters, from_next), f"{out}/days")
     replace_tree(_summary(samples, stored, static.bridge), f"{out}/summary")
     replace_tree(
         periods.period_summary(plan.filter("processed"), bins.bins_per_period(stored), NETWORK),

@@ -16,7 +16,8 @@ _ANCHORS = "service_date DATE, vehicle_id STRING, trip_id STRING, anchor_ts BIGI
 
 def start_walk(
     positions: DataFrame,
-    lookup: DataFrame,
+    day_plan: DataFrame,
+    trips: DataFrame,
     shapes: DataFrame,
     params: WalkParams,
     order: list[str],
@@ -35,7 +36,7 @@ def start_walk(
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         before = state.before(batch_id)
-        steps = walk.walk(batch, lookup, shapes, params, order, anchors=before)
+        steps = walk.walk(batch, day_plan, trips, shapes, params, order, anchors=before)
         overwrite_partitions(
             steps.withColumn("batch", F.lit(batch_id)), f"{out}/steps", ["batch", "service_date"]
         )

@@ -29,11 +29,12 @@ def walk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(spark, sf_dir, "walk_lines", views.keyed_lines)
 
 
-def walk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def build(s: SparkSession, d: str) -> DataFrame:
-        return walk.trip_lookup(views.walk_days(s, d), views.trips(s, d, walk_lines(s, d)))
+def walk_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(spark, sf_dir, "walk_trips", lambda s, d: views.trips(s, d, walk_lines(s, d)))
 
-    return stage(spark, sf_dir, "walk_lookup", build)
+
+def walk_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(spark, sf_dir, "walk_plan", views.walk_days)
 
 
 def walk_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +46,8 @@ def judged_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_conf(spark)
     return walk.walk(
         views.positions(spark, sf_dir),
-        walk_lookup(spark, sf_dir),
+        walk_plan(spark, sf_dir),
+        walk_trips(spark, sf_dir),
         walk_shapes(spark, sf_dir),
         views.WALK,
         ["seq"],

@@ -16,7 +16,7 @@ from fleetgrain.session import shared_dir
 from fleetgrain.sources import jsonl
 from fleetgrain.streaming import capture, ingest, walk
 from registry import files, quality, walking
-from registry.common import stage, steps, walk_lookup, walk_shapes
+from registry.common import steps, walk_plan, walk_shapes, walk_trips
 
 ONCE = {"availableNow": True}
 
@@ -96,7 +96,8 @@ def stream_trip_walk(spark, sf_dir):
     _drain(
         walk.start_walk(
             landed,
-            walk_lookup(spark, sf_dir),
+            walk_plan(spark, sf_dir),
+            walk_trips(spark, sf_dir),
             walk_shapes(spark, sf_dir),
             views.WALK,
             ["seq"],
@@ -121,8 +122,7 @@ def stream_typical_bins(spark, sf_dir):
     out = _folder(spark, "typical")
     samples = walk_ops.samples(steps(spark, sf_dir), views.WALK)
     landed = _sliced(samples, out, "landed", "to_ts")
-    plan = stage(spark, sf_dir, "walk_days", views.walk_days)
-    _drain(walk.start_typical(landed, plan, out, f"{out}/checkpoint", ONCE))
+    _drain(walk.start_typical(landed, walk_plan(spark, sf_dir), out, f"{out}/checkpoint", ONCE))
     return spark.read.parquet(f"{out}/bins").withColumn("period_key", F.col("period_key").cast("string"))
 
 

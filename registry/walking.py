@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import driver_views as views
 from fleetgrain.operators import bins, walk
-from registry.common import judged_steps, steps, walk_lookup
+from registry.common import judged_steps, steps, walk_plan, walk_trips
 
 # Events as fixes, walked fix by fix; the same arithmetic as driver_views.
 FIXES = """
@@ -134,7 +134,7 @@ SPEED_SAMPLES_SQL = f"{_S} SELECT * REPLACE (round(speed_raw, 6) AS speed_raw) F
 
 
 def typical_weekday_bins(spark, sf_dir):
-    return bins.typical_bins(_samples(spark, sf_dir), views.walk_days(spark, sf_dir))
+    return bins.typical_bins(_samples(spark, sf_dir), walk_plan(spark, sf_dir))
 
 
 TYPICAL_SQL = f"{_B} SELECT * FROM bins"
@@ -191,7 +191,9 @@ FROM d"""
 
 
 def next_feed_resolution(spark, sf_dir):
-    return walk.next_feed_counts(views.positions(spark, sf_dir), walk_lookup(spark, sf_dir))
+    return walk.next_feed_counts(
+        views.positions(spark, sf_dir), walk_plan(spark, sf_dir), walk_trips(spark, sf_dir)
+    )
 
 
 NEXT_FEED_SQL = f"""WITH RECURSIVE {FIXES}

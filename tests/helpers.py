@@ -34,12 +34,11 @@ def line_shapes(spark):
     return _LINE[spark]
 
 
-def lookup_for(spark, trips, day=DAY):
-    schema = (
-        "service_date date, trip_id string, route_id string, shape_id string, shape_key string, "
-        "from_next boolean"
-    )
-    return spark.createDataFrame([(day, *t) for t in trips], schema)
+def plan_and_trips(spark, trips, day=DAY):
+    """Day plan over feeds a then b, and trips given as (trip, route, shape id, shape key)."""
+    plan = spark.createDataFrame([(day, "a", "b")], "service_date date, snapshot string, next_snapshot string")
+    schema = "snapshot string, trip_id string, route_id string, shape_id string, shape_key string"
+    return plan, spark.createDataFrame([("a", *t) for t in trips], schema)
 
 
 def fixes(spark, rows, day=DAY):
@@ -54,9 +53,9 @@ def fixes(spark, rows, day=DAY):
 
 def walk_line(spark, rows, params=None, **kwargs):
     shapes, key = line_shapes(spark)
-    lookup = lookup_for(spark, [("T1", "R1", "S1", key, False)])
+    plan, trips = plan_and_trips(spark, [("T1", "R1", "S1", key)])
     params = params or WalkParams(timezone=TZ)
-    return walk.walk(fixes(spark, rows), lookup, shapes, params, ["seq"], **kwargs)
+    return walk.walk(fixes(spark, rows), plan, trips, shapes, params, ["seq"], **kwargs)
 
 
 def rejects(steps):

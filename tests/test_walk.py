@@ -13,7 +13,7 @@ from tests.helpers import (
     fixes,
     line_points,
     line_shapes,
-    lookup_for,
+    plan_and_trips,
     plain_walk,
     random_trip,
     rejects,
@@ -110,7 +110,7 @@ def test_validation_of_equal_speed(spark):
 
 def test_unknown_trip_missing_keys_and_missing_shape(spark):
     shapes, key = line_shapes(spark)
-    lookup = lookup_for(spark, [("T1", "R1", "S1", key, False), ("T2", "R1", "S2", "gone", False)])
+    plan, trips = plan_and_trips(spark, [("T1", "R1", "S1", key), ("T2", "R1", "S2", "gone")])
     rows = [
         (1000, 0.001, 0.0, None, "V1", "other"),
         (1000, 0.001, 0.0, None, None, "T1"),
@@ -120,7 +120,7 @@ def test_unknown_trip_missing_keys_and_missing_shape(spark):
         (1000, 0.001, 0.0, None, "V1", "T1"),
     ]
     positions = fixes(spark, rows)
-    outcomes = walk.outcomes(walk.walk(positions, lookup, shapes, PARAMS, ["seq"])).unionByName(
+    outcomes = walk.outcomes(walk.walk(positions, plan, trips, shapes, PARAMS, ["seq"])).unionByName(
         walk.keyless_records(positions)
     )
     total = bins.day_counters(outcomes).filter("service_date IS NULL").first()
@@ -135,13 +135,17 @@ def test_next_feed_answers_only_for_unknown_trips(spark):
          ("b", "T3", "later", "", "k")],
         "snapshot string, trip_id string, route_id string, shape_id string, shape_key string",
     )
-    lookup = walk.trip_lookup(plan, trips)
-    assert {(r["trip_id"], r["route_id"], r["from_next"]) for r in lookup.collect()} == {
-        ("T1", "own", False),
-        ("T2", "later", True),
-    }
+    asked = spark.createDataFrame([(DAY, f"T{i}") for i in range(1, 5)], "service_date date, trip_id string")
+    for small in (True, False):
+        found = walk.resolve_trips(asked, F.col("trip_id"), plan, trips, small)
+        assert {(r["trip_id"], r["route_id"], r["from_next"]) for r in found.collect()} == {
+            ("T1", "own", False),
+            ("T2", "later", True),
+            ("T3", None, False),
+            ("T4", None, False),
+        }
     rows = [(1000, 0.001, 0.0, None, "V1", "T2"), (1045, 0.002, 0.0, None, None, "T2")]
-    counts = walk.next_feed_counts(fixes(spark, rows), lookup).first()
+    counts = walk.next_feed_counts(fixes(spark, rows), plan, trips).first()
     # counted before the missing vehicle is looked at
     assert (counts["records_from_next_feed"], counts["trips_from_next_feed"]) == (2, 1)
 
@@ -157,18 +161,18 @@ def _random_inputs(spark, seeds):
     keyed = shape_ops.keyed_points(spark.createDataFrame(points, schema), ["shape_id"])
     shapes = shape_ops.build_shapes(keyed)
     keys = {r["shape_id"]: r["shape_key"] for r in keyed.collect()}
-    lookup = lookup_for(spark, [(f"T{s}", "R", f"S{s}", keys[f"S{s}"], False) for s in seeds])
+    dims = (*plan_and_trips(spark, [(f"T{s}", "R", f"S{s}", keys[f"S{s}"]) for s in seeds]), shapes)
     by_key = {r["shape_key"]: r for r in shapes.collect()}
-    return fixes(spark, records), lookup, shapes, {s: (by_key[keys[f"S{s}"]], plain[s]) for s in seeds}
+    return fixes(spark, records), dims, {s: (by_key[keys[f"S{s}"]], plain[s]) for s in seeds}
 
 
 def test_kernel_equals_plain_walk_on_random_trips(spark):
     seeds = range(12)
-    positions, lookup, shapes, expected = _random_inputs(spark, seeds)
+    positions, dims, expected = _random_inputs(spark, seeds)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")  # walks span batches
     try:
         for limit in (1 << 30, 0):
-            steps = walk.walk(positions, lookup, shapes, PARAMS, ["seq"], broadcast_limit=limit).collect()
+            steps = walk.walk(positions, *dims, PARAMS, ["seq"], broadcast_limit=limit).collect()
             for seed in seeds:
                 shape, records = expected[seed]
                 by_second = {}
@@ -188,16 +192,15 @@ def test_kernel_equals_plain_walk_on_random_trips(spark):
 
 
 def test_walk_goes_on_from_anchors(spark):
-    positions, lookup, shapes, _ = _random_inputs(spark, range(3))
+    positions, dims, _ = _random_inputs(spark, range(3))
     columns = ["trip_id", "snapshot_ts", "n", "verdict", "from_ts", "dist_m", "delta_m"]
-    whole = walk.walk(positions, lookup, shapes, PARAMS, ["seq"]).select(*columns)
+    whole = walk.walk(positions, *dims, PARAMS, ["seq"]).select(*columns)
     middle = positions.agg(F.percentile_approx("snapshot_ts", 0.5).alias("m")).first()["m"]
-    early = walk.walk(positions.filter(F.col("snapshot_ts") <= middle), lookup, shapes, PARAMS, ["seq"])
+    early = walk.walk(positions.filter(F.col("snapshot_ts") <= middle), *dims, PARAMS, ["seq"])
     anchors = early.groupBy(*walk.WALK_KEYS).agg(F.max_by(F.struct("anchor_ts", "anchor_m"), "snapshot_ts").alias("a"))
     late = walk.walk(
         positions.filter(F.col("snapshot_ts") > middle),
-        lookup,
-        shapes,
+        *dims,
         PARAMS,
         ["seq"],
         anchors=anchors.select(*walk.WALK_KEYS, "a.*"),
@@ -207,8 +210,8 @@ def test_walk_goes_on_from_anchors(spark):
 
 
 def test_small_path_shuffles_fixes_twice_only(spark):
-    positions, lookup, shapes, _ = _random_inputs(spark, range(2))
-    steps = walk.walk(positions.repartition(4), lookup, shapes, PARAMS, ["seq"])
+    positions, dims, _ = _random_inputs(spark, range(2))
+    steps = walk.walk(positions.repartition(4), *dims, PARAMS, ["seq"])
     plan = steps._jdf.queryExecution().executedPlan().toString()
     kernel_side = plan.split("MapInArrow")[1]
     assert "BroadcastHashJoin" in kernel_side
