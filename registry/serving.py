@@ -426,7 +426,105 @@ SELECT bundle, row_number() OVER o - 1 AS segment_idx, shape_key, segment_index,
 FROM d WINDOW o AS (PARTITION BY bundle ORDER BY shape_key, segment_index)"""
 
 
+def window_medians(spark, sf_dir):
+    windows = {"day_kmh": ("07:00", "18:45"), "night_kmh": ("00:00", "03:45")}
+    return _round(profile.window_medians(_segments(spark, sf_dir), windows), list(windows))
+
+
+WINDOWS_SQL = f"""WITH {TABLE}
+SELECT period_key, shape_key, segment_index,
+       round(median(kmh) FILTER (timeslot BETWEEN '07:00' AND '18:45'), 4) AS day_kmh,
+       round(median(kmh) FILTER (timeslot BETWEEN '00:00' AND '03:45'), 4) AS night_kmh
+FROM seg GROUP BY ALL"""
+
+
+def _period_days(spark, sf_dir):
+    """Ship dates as the days behind each return flag's bundle, and their quality records."""
+    items = views.table(spark, sf_dir, "lineitem")
+    date = F.to_date("l_shipdate")
+    days = items.select(F.col("l_returnflag").alias("bundle"), date.alias("service_date")).distinct()
+    tax = F.sum((F.col("l_tax") * 100).cast("int"))
+    manifests = items.groupBy(date.alias("service_date")).agg(
+        (F.count(F.lit(1)) % 17 == 0).alias("day_in_progress"),
+        (F.lit(95.0) + (tax % 50) / 10).alias("coverage_pct"),
+    )
+    return days, manifests
+
+
+PERIOD_DAYS = """
+day AS (SELECT DISTINCT l_returnflag AS bundle, CAST(l_shipdate AS DATE) AS service_date FROM lineitem),
+man AS (SELECT CAST(l_shipdate AS DATE) AS service_date, count(*) % 17 = 0 AS day_in_progress,
+               95.0e0 + (sum(CAST(trunc(l_tax * 100) AS BIGINT)) % 50) / 10e0 AS coverage_pct
+        FROM lineitem GROUP BY 1),
+note AS (SELECT bundle, service_date,
+                CASE WHEN day_in_progress THEN 'day was still in progress when its own manifest was generated, not a closed calendar day'
+                     WHEN coverage_pct < 99 THEN 'only ' || coverage_pct || '% coverage of the calendar day' END AS note
+         FROM day JOIN man USING (service_date))
+"""
+
+
+def incomplete_day_notes(spark, sf_dir):
+    return serve.incomplete_days(*_period_days(spark, sf_dir))
+
+
+NOTES_SQL = f"WITH {PERIOD_DAYS} SELECT * FROM note WHERE note IS NOT NULL"
+
+
+def drawn_incomplete_days(spark, sf_dir):
+    """Incomplete days that really stand behind a bundle: its Mondays are the median days."""
+    days, manifests = _period_days(spark, sf_dir)
+    notes = serve.incomplete_days(days, manifests)
+    named = notes.groupBy("bundle").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("service_date").cast("string"), "note"))).alias(
+            "incomplete_days"
+        )
+    )
+    mondays = days.filter(F.weekday("service_date") == 0).groupBy("bundle").agg(
+        F.collect_list(F.col("service_date").cast("string")).alias("days_in_median")
+    )
+    out = serve.drawn_incomplete(named.join(mondays, "bundle"))
+    return out.select("bundle", F.explode("drawn_incomplete").alias("service_date"))
+
+
+DRAWN_SQL = f"""WITH {PERIOD_DAYS}
+SELECT bundle, CAST(service_date AS VARCHAR) AS service_date FROM note
+WHERE note IS NOT NULL AND isodow(service_date) = 1"""
+
+
+def drawable_slots(spark, sf_dir):
+    """Slots joined to their polylines, here the first and last point of 20 km stretches."""
+    segments = _customer_segments(spark, sf_dir).distinct().withColumn("bundle", F.lit("b"))
+    shapes = walk_shapes(spark, sf_dir)
+    indexed = serve.index_segments(segments)
+    paths = indexed.join(serve.draw_paths(segments, shapes, 20000.0), ["shape_key", "segment_index"])
+    bins = segments.select(
+        "bundle",
+        "shape_key",
+        "segment_index",
+        F.lit("08:00").alias("timeslot"),
+        (F.col("segment_index") + F.lit(0.5)).alias("median_speed_ms"),
+        F.lit(2).alias("n_samples"),
+    )
+    out = serve.drawable_slots(serve.slot_bins(bins, indexed), paths)
+    return out.select(
+        "segment_idx", "timeslot", "speed_kmh", F.round(F.col("points")[0]["lat"], 4).alias("from_lat")
+    )
+
+
+DRAWABLE_SQL = PATHS_SQL.split("SELECT shape_key, segment_index, 2")[0] + """
+, d AS (SELECT DISTINCT shape_key, segment_index FROM want)
+SELECT row_number() OVER (ORDER BY shape_key, segment_index) - 1 AS segment_idx, '08:00' AS timeslot,
+       CAST(round_even((segment_index + 0.5e0) * 3.6e0, 0) AS INTEGER) AS speed_kmh,
+       (SELECT any_value(round(round(42.5e0 + degrees(least(w.segment_index * 20000.0e0, w.len) / 6371000.0e0), 5), 4))
+        FROM want w WHERE w.shape_key = d.shape_key AND w.segment_index = d.segment_index) AS from_lat
+FROM d"""
+
+
 QUERIES = {
+    "window_medians": (window_medians, WINDOWS_SQL),
+    "incomplete_day_notes": (incomplete_day_notes, NOTES_SQL),
+    "drawn_incomplete_days": (drawn_incomplete_days, DRAWN_SQL),
+    "drawable_slots": (drawable_slots, DRAWABLE_SQL),
     "sample_bins": (sample_bins, SAMPLE_BINS_SQL),
     "bundle_counts": (bundle_counts, COUNTS_SQL),
     "segment_index_table": (segment_index_table, INDEX_SQL),
