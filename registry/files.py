@@ -248,7 +248,7 @@ def attribution_conflicts(spark, sf_dir):
 ATTRIBUTION_SQL = """WITH b AS (
   SELECT source AS city, CASE WHEN doc_id % 111 <> 10 THEN
     CASE WHEN regexp_matches(source, '[05]$') THEN 'one' ELSE lang END END AS attribution FROM documents),
-p AS (SELECT city, count_if(attribution IS NULL) AS unattributed, count(DISTINCT attribution) AS attributions
+p AS (SELECT city, count(CASE WHEN attribution IS NULL THEN 1 END) AS unattributed, count(DISTINCT attribution) AS attributions
       FROM b GROUP BY city)
 SELECT * FROM p WHERE unattributed > 0 OR attributions <> 1"""
 

@@ -28,7 +28,7 @@ sched AS (
   SELECT city, service_date, route_id, count(*) AS trips
   FROM trip WHERE NOT suffix(service_id, '-09-2') GROUP BY ALL),
 sig AS (
-  SELECT day.city, day.service_date, coalesce(sum(trips), 0) AS trip_count,
+  SELECT day.city, day.service_date, CAST(coalesce(sum(trips), 0) AS BIGINT) AS trip_count,
          sha256(coalesce(string_agg(route_id || ',' || trips, ';' ORDER BY route_id), ''))[1:16] AS signature_key
   FROM day LEFT JOIN sched USING (city, service_date) GROUP BY ALL),
 level AS (
@@ -90,8 +90,8 @@ def schedule_signatures(spark, sf_dir):
 
 
 SIGNATURES_SQL = f"""WITH {TIMETABLE}
-SELECT sig.*, (SELECT count(*) FROM sched s WHERE s.city = sig.city AND s.service_date = sig.service_date)
-       AS route_count
+SELECT sig.*, CAST((SELECT count(*) FROM sched s WHERE s.city = sig.city AND s.service_date = sig.service_date)
+                   AS INTEGER) AS route_count
 FROM sig"""
 
 
@@ -143,10 +143,10 @@ def period_summaries(spark, sf_dir):
 
 
 SUMMARY_SQL = f"""WITH RECURSIVE {TIMETABLE}, {FOLD}
-SELECT a.city, period_key, arg_min(period_reference_date, service_date) AS reference_date, count(*) AS days,
+SELECT a.city, period_key, arg_min(period_reference_date, service_date) AS reference_date, CAST(count(*) AS INTEGER) AS days,
        min(service_date) AS first_date, max(service_date) AS last_date,
-       arg_min((SELECT count(*) FROM sched s WHERE s.city = a.city AND s.service_date = a.service_date),
-               service_date) AS route_count,
+       CAST(arg_min((SELECT count(*) FROM sched s WHERE s.city = a.city AND s.service_date = a.service_date),
+                    service_date) AS INTEGER) AS route_count,
        arg_min(trip_count, service_date) AS trip_count, max(churn_vs_reference) AS max_churn_vs_reference
 FROM assigned a GROUP BY a.city, period_key"""
 
@@ -196,7 +196,7 @@ file AS (
   FROM orders),
 snap AS (
   SELECT city, name AS snapshot, CAST(name[6:15] AS DATE) AS snap_date,
-         row_number() OVER (PARTITION BY city ORDER BY name) AS seq,
+         CAST(row_number() OVER (PARTITION BY city ORDER BY name) AS INTEGER) AS seq,
          lead(name) OVER (PARTITION BY city ORDER BY name) AS next_snapshot
   FROM (SELECT DISTINCT city, name FROM file
         WHERE regexp_matches(name, '^gtfs_[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9]{4})?[.]zip$')))

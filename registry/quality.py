@@ -53,10 +53,10 @@ def poll_outcomes(spark, sf_dir):
 
 
 OUTCOMES_SQL = f"""WITH {POLLS}
-SELECT service_date, count(*) AS polls_logged, count_if(fetch_ok) AS successful_polls,
-       count_if(fetch_ok AND vehicle_count = 0) AS empty_polls, count_if(NOT fetch_ok) AS fetch_error_polls,
-       sum(entities_total) AS entities_total, sum(vehicles_with_position) AS vehicles_with_position,
-       sum(dropped_out_of_bbox) AS dropped_out_of_bbox,
+SELECT service_date, count(*) AS polls_logged, count(CASE WHEN fetch_ok THEN 1 END) AS successful_polls,
+       count(CASE WHEN fetch_ok AND vehicle_count = 0 THEN 1 END) AS empty_polls, count(CASE WHEN NOT fetch_ok THEN 1 END) AS fetch_error_polls,
+       CAST(sum(entities_total) AS BIGINT) AS entities_total, CAST(sum(vehicles_with_position) AS BIGINT) AS vehicles_with_position,
+       CAST(sum(dropped_out_of_bbox) AS BIGINT) AS dropped_out_of_bbox,
        round(100.0e0 * sum(dropped_out_of_bbox) / sum(vehicles_with_position), 3) AS dropped_out_of_bbox_pct
 FROM polls GROUP BY service_date"""
 
@@ -207,8 +207,8 @@ def shape_identity(spark, sf_dir):
     return shapes.identity_conflicts(shapes.shape_bridge(keyed))
 
 
-IDENTITY_SQL = """SELECT count_if(c_custkey % 30 = 1) AS multi_geometry_shape_ids,
-  count_if(c_custkey % 20 = 0) AS multi_id_geometries FROM customer WHERE c_custkey % 13 <> 5"""
+IDENTITY_SQL = """SELECT count(CASE WHEN c_custkey % 30 = 1 THEN 1 END) AS multi_geometry_shape_ids,
+  count(CASE WHEN c_custkey % 20 = 0 THEN 1 END) AS multi_id_geometries FROM customer WHERE c_custkey % 13 <> 5"""
 
 ENTITIES = """
 e AS (
@@ -243,9 +243,9 @@ def poll_audit(spark, sf_dir):
 
 
 AUDIT_SQL = f"""WITH {ENTITIES}
-SELECT poll_ts AS snapshot_ts, true AS fetch_ok, count_if(inside) AS vehicle_count,
-       count_if(has_vehicle) AS entities_total, count_if(placed) AS vehicles_with_position,
-       count_if(placed) - count_if(inside) AS dropped_out_of_bbox
+SELECT poll_ts AS snapshot_ts, true AS fetch_ok, count(CASE WHEN inside THEN 1 END) AS vehicle_count,
+       count(CASE WHEN has_vehicle THEN 1 END) AS entities_total, count(CASE WHEN placed THEN 1 END) AS vehicles_with_position,
+       count(CASE WHEN placed THEN 1 END) - count(CASE WHEN inside THEN 1 END) AS dropped_out_of_bbox
 FROM x GROUP BY poll_ts"""
 
 
@@ -261,7 +261,7 @@ def torn_lines(spark, sf_dir):
     )
 
 
-TORN_SQL = """SELECT event_type, count_if(event_id % 7 <> 3) AS records, count_if(event_id % 7 = 3) AS malformed,
+TORN_SQL = """SELECT event_type, count(CASE WHEN event_id % 7 <> 3 THEN 1 END) AS records, count(CASE WHEN event_id % 7 = 3 THEN 1 END) AS malformed,
   CAST(sum(CASE WHEN event_id % 7 <> 3 THEN CAST(json_extract(props, '$.k') AS BIGINT) END) AS BIGINT) AS total
 FROM events GROUP BY event_type"""
 

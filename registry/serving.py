@@ -66,13 +66,13 @@ def bundle_counts(spark, sf_dir):
 COUNTS_SQL = f"""WITH {BINS},
 known AS (SELECT CAST(n_nationkey AS VARCHAR) AS shape_key FROM nation WHERE n_nationkey % 9 <> 4),
 b AS (SELECT *, n_samples >= 4 AS kept, shape_key IN (SELECT shape_key FROM known) AS known FROM bins)
-SELECT period_key AS bundle, count(*) AS bins_before, count_if(kept) AS bins_after,
+SELECT period_key AS bundle, count(*) AS bins_before, count(CASE WHEN kept THEN 1 END) AS bins_after,
        count(DISTINCT (shape_key, segment_index)) AS segments_before,
        count(DISTINCT CASE WHEN kept THEN (shape_key, segment_index) END) AS segments_after,
        count(DISTINCT CASE WHEN kept AND NOT known THEN (shape_key, segment_index) END) AS segments_missing,
        count(DISTINCT shape_key) AS shapes_observed,
        count(DISTINCT CASE WHEN kept AND known THEN shape_key END) AS shapes_written,
-       round(100.0e0 * count_if(NOT kept) / count(*), 2) AS bins_dropped_pct,
+       round(100.0e0 * count(CASE WHEN NOT kept THEN 1 END) / count(*), 2) AS bins_dropped_pct,
        round(100.0e0 * (count(DISTINCT (shape_key, segment_index))
          - count(DISTINCT CASE WHEN kept THEN (shape_key, segment_index) END))
          / count(DISTINCT (shape_key, segment_index)), 2) AS segments_dropped_pct
@@ -257,8 +257,8 @@ SELECT period_key, round(min(kmh), 4) AS lowest_kmh, arg_min(timeslot, (kmh, tim
 FROM p GROUP BY period_key"""
 
 _STATS = """
-SELECT {keys}, count_if(a <> 0 AND b <> 0) AS n, count_if(a = 0 OR b = 0) AS zeroes,
-       round(median(d), 4) AS median_diff, round(count_if(d < 0) / nullif(count(d), 0), 6) AS share_a_slower,
+SELECT {keys}, count(CASE WHEN a <> 0 AND b <> 0 THEN 1 END) AS n, count(CASE WHEN a = 0 OR b = 0 THEN 1 END) AS zeroes,
+       round(median(d), 4) AS median_diff, round(count(CASE WHEN d < 0 THEN 1 END) / nullif(count(d), 0), 6) AS share_a_slower,
        round(list_sort(list(d) FILTER (d IS NOT NULL))[count(d) // 4 + 1], 4) AS iqr_low,
        round(list_sort(list(d) FILTER (d IS NOT NULL))[3 * count(d) // 4 + 1], 4) AS iqr_high
 FROM (SELECT *, CASE WHEN a <> 0 AND b <> 0 THEN a - b END AS d FROM pairs WHERE a IS NOT NULL AND b IS NOT NULL)
@@ -332,11 +332,11 @@ PERSISTENCE_SQL = f"""WITH {TABLE},
 v AS (SELECT period_key, shape_key, segment_index, max(kmh) FILTER (timeslot = '08:00') AS a,
              max(kmh) FILTER (timeslot = '12:00') AS b FROM seg GROUP BY ALL),
 c AS (SELECT * FROM v, (VALUES (20.0e0), (22.0e0), (25.0e0)) t(cut_kmh) WHERE a IS NOT NULL AND b IS NOT NULL)
-SELECT period_key, cut_kmh, count_if(a <> 0 AND b <> 0) AS population, count_if(a = 0 OR b = 0) AS zeroes,
-       count_if(a <> 0 AND b <> 0 AND a < cut_kmh) AS slow_at_a,
-       count_if(a <> 0 AND b <> 0 AND a < cut_kmh AND b < cut_kmh) AS still_slow,
-       round(count_if(a <> 0 AND b <> 0 AND a < cut_kmh AND b < cut_kmh)
-             / greatest(count_if(a <> 0 AND b <> 0 AND a < cut_kmh), 1), 6) AS share
+SELECT period_key, cut_kmh, count(CASE WHEN a <> 0 AND b <> 0 THEN 1 END) AS population, count(CASE WHEN a = 0 OR b = 0 THEN 1 END) AS zeroes,
+       count(CASE WHEN a <> 0 AND b <> 0 AND a < cut_kmh THEN 1 END) AS slow_at_a,
+       count(CASE WHEN a <> 0 AND b <> 0 AND a < cut_kmh AND b < cut_kmh THEN 1 END) AS still_slow,
+       round(count(CASE WHEN a <> 0 AND b <> 0 AND a < cut_kmh AND b < cut_kmh THEN 1 END)
+             / greatest(count(CASE WHEN a <> 0 AND b <> 0 AND a < cut_kmh THEN 1 END), 1), 6) AS share
 FROM c GROUP BY ALL"""
 
 
@@ -363,7 +363,7 @@ e AS (SELECT period_key, timeslot, lead(timeslot) OVER o AS to_slot, here AND le
       FROM p WINDOW o AS (PARTITION BY period_key ORDER BY timeslot)),
 x AS (SELECT *, coalesce(lag(solid) OVER o <> solid, false) AS changed FROM e WHERE to_slot IS NOT NULL
       WINDOW o AS (PARTITION BY period_key ORDER BY timeslot)),
-r AS (SELECT *, sum(CAST(changed AS INTEGER)) OVER (PARTITION BY period_key ORDER BY timeslot) AS run_no FROM x)
+r AS (SELECT *, CAST(sum(CAST(changed AS INTEGER)) OVER (PARTITION BY period_key ORDER BY timeslot) AS BIGINT) AS run_no FROM x)
 SELECT period_key, run_no, bool_or(solid) AS solid, min(timeslot) AS from_slot, max(to_slot) AS to_slot,
        count(*) AS edges
 FROM r GROUP BY period_key, run_no"""

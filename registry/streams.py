@@ -59,7 +59,7 @@ def stream_poll_ingest(spark, sf_dir):
 
 INGEST_SQL = f"""WITH {quality.ENTITIES}
 SELECT CAST(timezone('{views.TZ}', to_timestamp(poll_ts)) AS DATE) AS service_date, poll_ts AS snapshot_ts,
-       count_if(inside) AS vehicle_count, count_if(has_vehicle) AS entities_total, count_if(inside) AS records
+       count(CASE WHEN inside THEN 1 END) AS vehicle_count, count(CASE WHEN has_vehicle THEN 1 END) AS entities_total, count(CASE WHEN inside THEN 1 END) AS records
 FROM x GROUP BY poll_ts"""
 
 
@@ -142,7 +142,7 @@ def json_lines_round_trip(spark, sf_dir):
 
 
 LINES_SQL = f"""WITH RECURSIVE {walking.FIXES}
-SELECT service_date, count(*) AS records, count_if(has_vehicle) AS with_vehicle, count_if(NOT has_trip) AS blank_trip,
+SELECT service_date, count(*) AS records, count(CASE WHEN has_vehicle THEN 1 END) AS with_vehicle, count(CASE WHEN NOT has_trip THEN 1 END) AS blank_trip,
        CAST(sum(snapshot_ts) AS BIGINT) AS stamps
 FROM pos GROUP BY service_date"""
 

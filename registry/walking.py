@@ -167,16 +167,16 @@ judged AS (
   UNION ALL
   SELECT service_date, 'trip_not_in_static' FROM pos WHERE NOT (has_trip AND has_vehicle))
 SELECT service_date, count(*) AS records,
-       count_if(verdict = 'walk_start') AS walks,
-       count_if(verdict NOT IN ('walk_start', 'shape_not_found', 'trip_not_in_static')) AS pairs,
-       count_if(verdict = 'accepted') AS samples,
-       count_if(verdict = 'trip_not_in_static') AS trip_not_in_static,
-       count_if(verdict = 'shape_not_found') AS shape_not_found,
-       count_if(verdict = 'gap_too_short') AS gap_too_short,
-       count_if(verdict = 'non_positive_time_delta') AS non_positive_time_delta,
-       count_if(verdict = 'gap_too_large') AS gap_too_large,
-       count_if(verdict = 'moved_backward') AS moved_backward,
-       count_if(verdict = 'speed_too_high') AS speed_too_high
+       count(CASE WHEN verdict = 'walk_start' THEN 1 END) AS walks,
+       count(CASE WHEN verdict NOT IN ('walk_start', 'shape_not_found', 'trip_not_in_static') THEN 1 END) AS pairs,
+       count(CASE WHEN verdict = 'accepted' THEN 1 END) AS samples,
+       count(CASE WHEN verdict = 'trip_not_in_static' THEN 1 END) AS trip_not_in_static,
+       count(CASE WHEN verdict = 'shape_not_found' THEN 1 END) AS shape_not_found,
+       count(CASE WHEN verdict = 'gap_too_short' THEN 1 END) AS gap_too_short,
+       count(CASE WHEN verdict = 'non_positive_time_delta' THEN 1 END) AS non_positive_time_delta,
+       count(CASE WHEN verdict = 'gap_too_large' THEN 1 END) AS gap_too_large,
+       count(CASE WHEN verdict = 'moved_backward' THEN 1 END) AS moved_backward,
+       count(CASE WHEN verdict = 'speed_too_high' THEN 1 END) AS speed_too_high
 FROM judged GROUP BY ROLLUP (service_date)"""
 
 
@@ -186,7 +186,7 @@ def feed_speed_check(spark, sf_dir):
 
 VALIDATION_SQL = f"""{_S}, d AS (SELECT abs(speed_raw * 3.6e0 - feed_speed_kmh) AS diff FROM s)
 SELECT count(*) AS n_compared, round(median(diff), 3) AS median_abs_diff_kmh,
-       round(100.0e0 * count_if(diff > 100) / count(*), 3) AS pct_over_threshold
+       round(100.0e0 * count(CASE WHEN diff > 100 THEN 1 END) / count(*), 3) AS pct_over_threshold
 FROM d"""
 
 
