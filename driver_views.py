@@ -175,7 +175,7 @@ def item_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     slot = hour * 4 + F.when(hour == 17, 1).otherwise(0)
     shape = F.col("l_suppkey") % 25
     still = (shape == 7) & (F.col("l_linenumber") == 3)
-    speed = F.when(still, 0.0).otherwise(F.col("l_extendedprice") / F.col("l_quantity") / 300)
+    speed = F.when(still, 0.0).otherwise(F.col("l_extendedprice") / F.col("l_quantity") / 301.7)
     return items.select(
         F.col("l_returnflag").alias("period_key"),
         shape.cast("string").alias("shape_key"),

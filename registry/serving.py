@@ -18,7 +18,7 @@ bins AS (
          lpad(CAST(l_partkey % 24 AS VARCHAR), 2, '0') ||
            CASE WHEN l_partkey % 24 = 17 THEN ':15' ELSE ':00' END AS timeslot,
          round(median(CASE WHEN l_suppkey % 25 = 7 AND l_linenumber = 3 THEN 0
-                           ELSE l_extendedprice / l_quantity / 300 END), 3) AS median_speed_ms,
+                           ELSE l_extendedprice / l_quantity / 301.7e0 END), 3) AS median_speed_ms,
          count(*) AS n_samples
   FROM lineitem GROUP BY ALL)
 """
