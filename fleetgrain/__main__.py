@@ -11,7 +11,7 @@ from fleetgrain.operators.digests import file_digests
 from fleetgrain.params import MIN_SAMPLES, WalkParams
 from fleetgrain.plans import export, periods, pipeline
 from fleetgrain.session import build_session
-from fleetgrain.sinks import write_manifests
+from fleetgrain.sinks import replace_tree, write_manifests
 from fleetgrain.sources import jsonl, listings
 
 
@@ -51,12 +51,14 @@ def run_export(spark, args) -> None:
     records = export.export_bundles(
         export.period_bundles(stored), behind, static, manifests, f"{args.out}/typical", args.min_samples
     )
-    export.bundle_index(records, spark.read.parquet(f"{args.out}/periods")).show(truncate=False)
+    index = export.bundle_index(records, spark.read.parquet(f"{args.out}/periods"))
     samples = spark.read.parquet(f"{args.out}/samples")
     days = plan.select(F.date_format("service_date", "yyyy-MM-dd").alias("bundle"), "service_date")
-    export.export_bundles(
+    by_day = export.export_bundles(
         export.day_bundles(samples), days, static, manifests, f"{args.out}/by_day", args.min_samples, False
     )
+    replace_tree(export.root_index(by_day, index), f"{args.out}/index")
+    index.show(truncate=False)
 
 
 def _has(spark, path: str) -> bool:

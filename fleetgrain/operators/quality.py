@@ -9,6 +9,7 @@ from fleetgrain.functions.clock import day_end, day_start
 from fleetgrain.operators import ranks
 from fleetgrain.operators.sequences import lag_in_buckets
 from fleetgrain.params import GAP_MULTIPLIER, HEARTBEAT_PARTIAL_SEC
+from fleetgrain.session import cut_lineage
 
 BUCKET_SEC = 900  # slice of time one window task sorts
 
@@ -188,9 +189,13 @@ def day_manifests(
 
     `file_digests` has (service_date, data_sha256, data_size_bytes, polls_sha256).
     """
-    days = positions.groupBy("service_date").agg(F.count(F.lit(1)).alias("total_vehicle_records"))
+    # positions are read once, down to one row per poll; all that follows starts from these tables
+    per_poll = cut_lineage(
+        positions.groupBy("service_date", "snapshot_ts").agg(F.count(F.lit(1)).alias("records"))
+    )
+    days = per_poll.groupBy("service_date").agg(F.sum("records").alias("total_vehicle_records"))
     windows = day_windows(days, tz, now)
-    times = poll_times(polls, positions)
+    times = cut_lineage(poll_times(polls, per_poll))
     gaps = poll_gaps(times, windows, interval_sec, multiplier).groupBy("service_date").agg(
         F.sort_array(F.collect_list(F.struct("after_ts", "before_ts", "gap_seconds"))).alias("gaps")
     )

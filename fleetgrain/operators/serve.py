@@ -305,7 +305,7 @@ def route_types_present(typed: DataFrame) -> DataFrame:
 
 
 def enabled_segments(typed: DataFrame, enabled: list[int]) -> DataFrame:
-    return typed.filter(F.col("route_type").isin(*enabled)) if enabled else typed.limit(0)
+    return typed.filter(F.col("route_type").isin(*enabled) if enabled else F.lit(False))
 
 
 def incomplete_days(days: DataFrame, manifests: DataFrame) -> DataFrame:

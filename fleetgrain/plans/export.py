@@ -127,3 +127,10 @@ def bundle_index(records: DataFrame, summary: DataFrame) -> DataFrame:
         "left",
     )
     return reconcile.period_index(described, current)
+
+
+def root_index(day_records: DataFrame, period_index_rows: DataFrame) -> DataFrame:
+    """What is published: every day bundle that exists, and each period with the current one marked."""
+    days = day_records.select(F.lit("day").alias("kind"), "bundle", F.lit(False).alias("is_current"))
+    typical = period_index_rows.select(F.lit("typical_weekday").alias("kind"), "bundle", "is_current")
+    return days.unionByName(typical)

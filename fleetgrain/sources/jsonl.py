@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgrain.functions.geo import inside_box
+from fleetgrain.functions.keys import split_bin_key
 
 POSITION_SCHEMA = """
   snapshot_ts BIGINT, vehicle_id STRING, route_id STRING, trip_id STRING, lat DOUBLE, lon DOUBLE,
@@ -93,6 +94,16 @@ def read_manifests(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     )
 
 
+def read_period_document(spark: SparkSession, path: str) -> DataFrame:
+    """Bins out of a period document: nested maps of `shape|segment|slot` keys per period."""
+    cell = "STRUCT<median_speed_ms: DOUBLE, n_samples: BIGINT>"
+    schema = f"segments MAP<STRING, MAP<STRING, {cell}>>"
+    document = spark.read.schema(schema).option("multiLine", True).json(path)
+    periods = document.select(F.explode("segments").alias("period_key", "bins"))
+    cells = periods.select("period_key", F.explode("bins").alias("bin", "cell"))
+    return cells.select("period_key", *split_bin_key(F.col("bin")), "cell.median_speed_ms", "cell.n_samples")
+
+
 def parse_lines(lines: DataFrame, text: str, schema: str) -> DataFrame:
     """Tolerant parse of a text column: `record` is null where a line is torn."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}

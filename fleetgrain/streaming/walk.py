@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -58,12 +60,8 @@ def _next_anchors(done: DataFrame, before: DataFrame, keep_days: int) -> DataFra
     fresh = fresh.select(*walk.WALK_KEYS, "a.anchor_ts", "a.anchor_m")
     old = before.join(fresh.select(*walk.WALK_KEYS), walk.WALK_KEYS, "left_anti")
     merged = old.unionByName(fresh)
-    newest = done.agg(F.max("service_date").alias("newest"))
-    return (
-        merged.join(F.broadcast(newest))  # one row
-        .filter(F.col("newest").isNull() | (F.col("service_date") >= F.date_sub("newest", keep_days)))
-        .drop("newest")
-    )
+    newest = done.agg(F.max("service_date").alias("d")).first()["d"]
+    return merged if newest is None else merged.filter(F.col("service_date") >= newest - timedelta(days=keep_days))
 
 
 def start_typical(

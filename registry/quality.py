@@ -11,6 +11,7 @@ from fleetgrain.sources import jsonl
 
 MULTIPLIER = 10.0
 
+# Percentages round half to even, as the rule for day records says.
 POLLS = f"""
 sec AS (
   SELECT *, CAST(floor(epoch(ts) / 4) AS BIGINT) + 1278000000 AS snapshot_ts FROM events),
@@ -101,8 +102,8 @@ def poll_coverage(spark, sf_dir):
 
 COVERAGE_SQL = f"""WITH {POLLS}
 SELECT service_date, day_in_progress, polls, local_lag_sec, end_ts - start_ts AS day_seconds,
-       round((end_ts - start_ts) / 45.0e0, 1) AS expected_polls,
-       round(100.0e0 * polls / ((end_ts - start_ts) / 45.0e0), 2) AS coverage_pct
+       round_even((end_ts - start_ts) / 45.0e0, 1) AS expected_polls,
+       round_even(100.0e0 * polls / ((end_ts - start_ts) / 45.0e0), 2) AS coverage_pct
 FROM win"""
 
 
@@ -154,7 +155,7 @@ gaps AS (
   FROM (SELECT service_date, t - lag(t) OVER (PARTITION BY service_date ORDER BY t) AS gap FROM marks)
   WHERE gap > 450 GROUP BY service_date)
 SELECT d.service_date, d.n AS total_vehicle_records, day_in_progress,
-       round(100.0e0 * polls / ((end_ts - start_ts) / 45.0e0), 2) AS coverage_pct,
+       round_even(100.0e0 * polls / ((end_ts - start_ts) / 45.0e0), 2) AS coverage_pct,
        CAST(coalesce(gap_count, 0) AS INTEGER) AS gap_count, CAST(coalesce(gap_seconds, 0) AS BIGINT) AS gap_seconds,
        heartbeat_partial, p.n AS polls_logged, sha256(CAST(d.n AS VARCHAR)) AS data_sha256
 FROM (SELECT service_date, count(*) AS n FROM data GROUP BY 1) d JOIN win USING (service_date)

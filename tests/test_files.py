@@ -140,6 +140,14 @@ def test_manifest_scan(spark, tmp_path):
     assert (row["service_date"], row["gaps"][0]["gap_seconds"], row["remote_verified"]) == (_day(1), 8, None)
 
 
+def test_period_document(spark, tmp_path):
+    (tmp_path / "t.json").write_text(
+        '{"thresholds": {}, "segments": {"p1": {"k|3|08:15": {"median_speed_ms": 4.5, "n_samples": 2}}, "p2": {}}}'
+    )
+    rows = jsonl.read_period_document(spark, str(tmp_path / "t.json")).collect()
+    assert [tuple(r) for r in rows] == [("p1", "k", 3, "08:15", 4.5, 2)]
+
+
 BOM = "﻿"
 MEMBERS = {
     "trips.txt": BOM + "route_id,service_id,trip_id,shape_id\nR1,A,T1,S1\nR1,A,T2,\n",

@@ -119,5 +119,7 @@ def test_export_manifests_and_profile(spark, archive, run, capsys):
     assert by_day.keys() == {str(d) for d in DAYS}
     index = export.bundle_index(spark.read.parquet(f"{out}/typical/bundles"), spark.read.parquet(f"{out}/periods"))
     assert [r["is_current"] for r in index.collect()] == [True]
+    root = {(r["kind"], r["is_current"]) for r in spark.read.parquet(f"{out}/index").collect()}
+    assert root == {("day", False), ("typical_weekday", True)}
     cli.run_profile(spark, parse(["profile", out]))
     assert "12:00" in capsys.readouterr().out
