@@ -60,8 +60,9 @@ def shape_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A straight line of 60 points per customer; some customers have none."""
     key = F.col("c_custkey")
     spacing = F.lit(5000.0) + (key % 40) * 100
-    line = table(spark, sf_dir, "customer").filter(key % 13 != 5)
-    return line.select(
+    # one small file is one task, so customers spread out before each becomes a line
+    line = table(spark, sf_dir, "customer").filter(key % 13 != 5).select("c_custkey")
+    return line.repartition("c_custkey").select(
         F.lit("s1").alias("snapshot"),
         F.concat(F.lit("S"), key.cast("string")).alias("shape_id"),
         F.explode(F.sequence(F.lit(0), F.lit(59))).alias("shape_pt_sequence"),
