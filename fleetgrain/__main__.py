@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from fleetgrain.operators import profile, quality, reconcile
 from fleetgrain.operators.digests import file_digests
-from fleetgrain.params import MIN_SAMPLES, WalkParams
+from fleetgrain.params import MANIFEST_SCHEMA_VERSION, MIN_SAMPLES, WalkParams
 from fleetgrain.plans import export, periods, pipeline
-from fleetgrain.session import build_session
+from fleetgrain.session import build_session, cut_lineage
 from fleetgrain.sinks import replace_tree, write_manifests
 from fleetgrain.sources import jsonl, listings
 
@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     profiles.add_argument("--against", help="an earlier period to compare with")
     for job in (speeds, export_job, manifests, profiles):
         job.add_argument("out", help="folder the tables are written to and read from")
+    manifests.add_argument("--force", action="store_true", help="redo days whose record is current")
     for job in (speeds, export_job, manifests):
         job.add_argument("--city", default="city")
     for job in (speeds, manifests):
@@ -67,28 +68,47 @@ def _has(spark, path: str) -> bool:
 
 
 def run_manifests(spark, args) -> None:
-    positions = jsonl.read_positions(spark, f"{args.data_dir}/????-??-??.jsonl*")
-    polls = jsonl.read_polls(spark, f"{args.data_dir}/*.polls.jsonl*")
-    chosen = reconcile.choose_day_files(listings.list_files(spark, args.data_dir, "????-??-??.jsonl*"))
-    contents = listings.file_contents(spark, args.data_dir, "????-??-??*.jsonl*")
-    digests = file_digests(contents)
-    day = F.to_date(F.substring("file", 1, 10))
-    beats = F.col("file").contains(".polls.jsonl")
-    per_day = (
-        digests.withColumn("service_date", day)
-        .join(chosen.select(F.col("name").alias("file"), F.lit(True).alias("chosen")), "file", "left")
+    """Quality records of the days whose record is missing or out of date; a passed check is carried."""
+    listed = listings.list_files(spark, args.data_dir, "????-??-??*.jsonl*")
+    mtime = listed.select("name", F.unix_timestamp("modified").alias("mtime"))
+    data = reconcile.choose_day_files(listed).join(mtime, "name")
+    beats = reconcile.choose_day_files(listed, ".polls.jsonl").join(mtime, "name")
+    path = f"{args.out}/manifests"
+    old = cut_lineage(spark.read.parquet(path)) if _has(spark, path) else None
+    days = data.select("service_date", F.col("name").alias("data_name"), F.col("mtime").alias("data_mtime")).join(
+        beats.select("service_date", F.col("name").alias("polls_name"), F.col("mtime").alias("polls_mtime")),
+        "service_date",
+        "left",
+    )
+    if old is not None and not args.force:
+        days = days.join(reconcile.stale(old, days), "service_date", "left_semi")
+    chosen = days.select("data_name", "polls_name").collect()  # one row per calendar day
+    if not chosen:
+        return
+    names = [n for row in chosen for n in row if n]
+    positions = jsonl.read_positions(spark, [f"{args.data_dir}/{r['data_name']}" for r in chosen])
+    beat_paths = [f"{args.data_dir}/{r['polls_name']}" for r in chosen if r["polls_name"]]
+    polls = jsonl.read_polls(spark, beat_paths) if beat_paths else spark.createDataFrame([], jsonl.POLL_ROWS)
+    contents = listings.file_contents(spark, [f"{args.data_dir}/{n}" for n in names])
+    is_beat = F.col("file").contains(".polls.jsonl")
+    digests = (
+        file_digests(contents)
+        .withColumn("service_date", F.to_date(F.substring("file", 1, 10)))
         .groupBy("service_date")
         .agg(
-            F.max(F.when(F.col("chosen"), F.col("sha256"))).alias("data_sha256"),
-            F.max(F.when(F.col("chosen"), F.col("size_bytes"))).alias("data_size_bytes"),
-            F.max(F.when(beats, F.col("sha256"))).alias("polls_sha256"),
+            F.max(F.when(~is_beat, F.col("sha256"))).alias("data_sha256"),
+            F.max(F.when(~is_beat, F.col("size_bytes"))).alias("data_size_bytes"),
+            F.max(F.when(is_beat, F.col("sha256"))).alias("polls_sha256"),
         )
     )
     now = F.unix_timestamp(F.current_timestamp())
-    write_manifests(
-        quality.day_manifests(positions, polls, per_day, args.timezone, now, args.interval),
-        f"{args.out}/manifests",
+    made = quality.day_manifests(positions, polls, digests, args.timezone, now, args.interval)
+    made = made.withColumns({"schema_version": F.lit(MANIFEST_SCHEMA_VERSION), "manifest_mtime": now})
+    none = spark.createDataFrame(
+        [],
+        "service_date date, remote_verified boolean, remote_verified_at string, data_sha256 string, polls_sha256 string",
     )
+    write_manifests(reconcile.carry_verification(made, none if old is None else old), path)
 
 
 def run_profile(spark, args) -> None:

@@ -163,9 +163,9 @@ def period_index(bundles: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
-def choose_day_files(files: DataFrame) -> DataFrame:
+def choose_day_files(files: DataFrame, suffix: str = ".jsonl") -> DataFrame:
     """One file per date out of plain and gzip twins, the plain one first."""
-    pattern = r"^(\d{4}-\d{2}-\d{2})\.jsonl(\.gz)?$"
+    pattern = r"^(\d{4}-\d{2}-\d{2})" + suffix.replace(".", r"\.") + r"(\.gz)?$"
     zipped = F.col("name").endswith(".gz")
     return (
         files.filter(F.col("name").rlike(pattern))

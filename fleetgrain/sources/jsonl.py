@@ -30,6 +30,10 @@ MANIFEST_SCHEMA = """
   day_seconds BIGINT, local_lag_sec BIGINT, expected_polls DOUBLE, coverage_pct DOUBLE,
   remote_verified BOOLEAN, remote_verified_at STRING, remote_verify_note STRING
 """
+POLL_ROWS = """
+  service_date DATE, snapshot_ts BIGINT, fetch_ok BOOLEAN, vehicle_count BIGINT, entities_total BIGINT,
+  vehicles_with_position BIGINT, dropped_out_of_bbox BIGINT
+"""
 ENTITY_SCHEMA = """
   poll_ts BIGINT, fetch_ok BOOLEAN, entity ARRAY<STRUCT<vehicle: STRUCT<
     vehicle: STRUCT<id: STRING>,

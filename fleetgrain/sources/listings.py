@@ -17,5 +17,6 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     )
 
 
-def file_contents(spark: SparkSession, folder: str, glob: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+def file_contents(spark: SparkSession, paths: list[str] | str, glob: str = "*") -> DataFrame:
+    """(path, content) of whole files, for jobs that need their bytes."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)

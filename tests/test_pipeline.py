@@ -3,6 +3,7 @@
 import datetime as dt
 import gzip
 import json
+import os
 import zipfile
 
 import pytest
@@ -108,6 +109,16 @@ def test_export_manifests_and_profile(spark, archive, run, capsys):
     manifests = {r["service_date"]: r for r in spark.read.parquet(f"{out}/manifests").collect()}
     assert manifests[DAYS[0]]["polls_logged"] == 5 and len(manifests[DAYS[0]]["data_sha256"]) == 64
     assert manifests[DAYS[0]]["gap_count"] == 2 and manifests[DAYS[0]]["coverage_pct"] == 0.26
+    # a second run finds every record current; a newer file makes its day stale again
+    before = {d: r["manifest_mtime"] for d, r in manifests.items()}
+    cli.run_manifests(spark, parse(["manifests", str(archive), out]))
+    later = max(before.values()) + 100
+    os.utime(archive / f"{DAYS[2]}.jsonl", (later, later))
+    (archive / f"{DAYS[1]}.jsonl.gz").with_name("notes.txt").write_text("not a day file")
+    cli.run_manifests(spark, parse(["manifests", str(archive), out]))
+    after = {r["service_date"]: r["manifest_mtime"] for r in spark.read.parquet(f"{out}/manifests").collect()}
+    assert after.keys() == before.keys()
+    assert {d for d in DAYS if after[d] != before[d]} == {DAYS[2]}
     cli.run_export(spark, parse(["export", str(archive / "static"), out]))
     records = spark.read.parquet(f"{out}/typical/bundles").first()
     assert records["days_in_median"] == DAYS[:2]
