@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetgrain.llm import decontaminate, mixing, quality_rules, token_files, url_rules
+from fleetgrain.llm import decontaminate, jaccard_groups, mixing, personal_data, quality_rules, token_files, url_rules
 from fleetgrain.llm.common import prepare, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -60,6 +60,36 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op6_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return jaccard_groups.cluster(table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = r"""
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[first:first + 4], ' ') AS piece
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 4))) AS first
+        FROM doc_words WHERE len(words) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_have
+  FROM shingles x JOIN shingles y ON x.piece = y.piece AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * both_have >= 80 * (x.n + y.n - both_have)
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM doc_words
+  UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON reached.other = links.a
+)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -98,6 +128,11 @@ FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return personal_data.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -107,6 +142,8 @@ QUERIES = {
     "op1_quality_rules": (op1_quality_rules, None),
     "op3_url_rules": (op3_url_rules, OP3_SQL),
     "op5_token_files": (op5_token_files, None),
+    "op6_jaccard_groups": (op6_jaccard_groups, OP6_SQL),
     "op7_decontamination": (op7_decontamination, OP7_SQL),
+    "op8_personal_data": (op8_personal_data, None),
     "op9_source_mix": (op9_source_mix, None),
 }
