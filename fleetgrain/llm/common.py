@@ -17,6 +17,9 @@ from fleetgrain.session import apply_conf
 #: bounds what a Python worker holds besides one text.
 ROWS_PER_BATCH = 1000
 
+#: Bytes of text that a kernel takes up at once; one text may be longer.
+BYTES_AT_ONCE = 16 << 20
+
 #: `bytes.split()` without argument splits on these and nothing else.
 WHITE_BYTES = b" \t\n\r\x0b\x0c"
 
@@ -78,13 +81,28 @@ class WordCodes:
         return self.codes[self.ends[i] : self.ends[i + 1]]
 
 
+def slices(batches: Iterator[pa.RecordBatch], name: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that the texts of a piece hold about BYTES_AT_ONCE bytes."""
+    for batch in batches:
+        at = batch.schema.get_field_index(name)
+        if at < 0 or batch.nbytes <= BYTES_AT_ONCE:
+            if batch.num_rows:
+                yield batch
+            continue
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        piece = np.cumsum(sizes) // BYTES_AT_ONCE
+        cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield batch.slice(a, b - a)
+
+
 def rows_kernel(
     one_batch: Callable[[pa.RecordBatch], dict[str, list]], schema: pa.Schema
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A kernel for mapInArrow from a function of one batch that gives columns."""
 
     def kernel(batches):
-        for batch in batches:
+        for batch in slices(batches):
             made = one_batch(batch)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(made[f.name], type=f.type) for f in schema], schema=schema

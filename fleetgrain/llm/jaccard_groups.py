@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgrain.llm.common import WordCodes
+from fleetgrain.llm.common import WordCodes, slices
 from fleetgrain.llm.components import components
 from fleetgrain.session import cut_lineage
 
@@ -124,7 +124,7 @@ def describe(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     def kernel(batches):
         held, n_held, known = [], 0, set()
-        for batch in batches:
+        for batch in slices(batches):
             out = {c: [] for c in ("doc_id", "n", "k1", "k2", "least")}
             for doc_id, tokens in zip(batch.column(0).to_pylist(), token_sets(batch.column(1), words), strict=True):
                 k1, k2 = digest(tokens)
@@ -153,7 +153,7 @@ def first_tokens(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], words
     def kernel(batches):
         common, counts = shared.value
         known = set()
-        for batch in batches:
+        for batch in slices(batches):
             tokens_out, ids_out = [], []
             for doc_id, tokens in zip(batch.column(0).to_pylist(), token_sets(batch.column(1), words), strict=True):
                 if doc_id is None or not len(tokens):
@@ -235,7 +235,7 @@ def open_blocks(docs: DataFrame, calls: DataFrame, words: int = WORDS, percent:
     )
 
     def sets(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = token_sets(batch.column(2), words)
             for i, tokens in enumerate(found):
                 row = {n: batch.column(batch.schema.get_field_index(n))[i] for n in ("rep", "k1", "block", "visitor", "copy")}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetgrain.llm import decontaminate, jaccard_groups, mixing, personal_data, quality_rules, token_files, url_rules
+from fleetgrain.llm import decontaminate, jaccard_groups, language_pieces, line_crf, mixing, personal_data, quality_rules, token_files, url_rules
 from fleetgrain.llm.common import prepare, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -16,6 +16,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+PIECES = "piece_bpe_32k.model"
+
+
+def op2_language_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    return language_pieces.predict(docs, language_pieces.learn(docs, public_tokenizers.path(PIECES)))
+
+
 URL_RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -55,6 +64,12 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 """
 
 
+def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    return line_crf.score(docs, *line_crf.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return token_files.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
@@ -140,7 +155,9 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, None),
+    "op2_language_pieces": (op2_language_pieces, None),
     "op3_url_rules": (op3_url_rules, OP3_SQL),
+    "op4_line_crf": (op4_line_crf, None),
     "op5_token_files": (op5_token_files, None),
     "op6_jaccard_groups": (op6_jaccard_groups, OP6_SQL),
     "op7_decontamination": (op7_decontamination, OP7_SQL),

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fleetgrain.llm.common import WordCodes, kept_by_worker
+from fleetgrain.llm.common import WordCodes, kept_by_worker, slices
 from fleetgrain.session import cut_lineage, shared_dir
 
 MAGIC = b"BITIDS01"
@@ -256,9 +256,7 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id
         encoder = kept_by_worker(f"words-{tokenizer}", lambda: WordEncoder(tokenizer))
         part = TaskContext.get().partitionId()
         name, writer = f"{folder}/{part:06d}-{uuid.uuid4().hex}.ids", None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             writer = writer or TokenFileWriter(name, encoder.bits)
             sizes, ids = with_end(*encoder.texts(batch.column(1)), end_id)
             writer.add(batch.column(0).to_pylist(), sizes, ids)
