@@ -109,3 +109,13 @@ def rows_kernel(
             )
 
     return kernel
+
+
+def filter_rows(docs: DataFrame, mask: Callable[[pa.RecordBatch], list[bool]]) -> DataFrame:
+    """The rows, with all their columns, for which a function of a batch says so."""
+
+    def kernel(batches):
+        for batch in slices(batches):
+            yield batch.filter(pa.array(mask(batch), pa.bool_()))
+
+    return docs.mapInArrow(kernel, docs.schema)

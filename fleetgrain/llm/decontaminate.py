@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetgrain.llm.common import column, encoded, kept_by_worker, rows_kernel
+from fleetgrain.llm.common import column, encoded, filter_rows, kept_by_worker, rows_kernel
 
 WINDOW = 10
 PART_WORDS = 2_000_000
@@ -151,17 +151,18 @@ def _merge_parts(every: DataFrame, n_parts: int) -> DataFrame:
     return whole.select("doc_id", "text_key", "n_words", *[F.col(f"hits.{n}").alias(n) for n in names], "items")
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:
-    """One row per document with hit word intervals, their spans in the original and the item ids."""
+def _parts(benchmark: DataFrame, part_words: int) -> list[list[tuple]]:
+    """The items in parts of about `part_words` words, each small enough to broadcast."""
     sized = benchmark.select("item_id", "text", (F.length(F.coalesce("text", F.lit(""))) / 2 + 1).alias("size"))
-    most_words = sized.agg(F.sum("size")).first()[0] or 0
-    n_parts = max(1, -(-int(most_words) // part_words))
+    n_parts = max(1, -(-int(sized.agg(F.sum("size")).first()[0] or 0) // part_words))
     part_of = F.pmod(F.xxhash64("text"), F.lit(n_parts))
-    parts = []
-    for k in range(n_parts):
-        items = [tuple(r) for r in sized.where(part_of == k).select("item_id", "text").collect()]  # about part_words
-        parts.append(_scan_part(docs, items, window))
-    return parts[0] if n_parts == 1 else _merge_parts(reduce(DataFrame.unionByName, parts), n_parts)
+    return [[tuple(r) for r in sized.where(part_of == k).select("item_id", "text").collect()] for k in range(n_parts)]
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:
+    """One row per document with hit word intervals, their spans in the original and the item ids."""
+    parts = [_scan_part(docs, items, window) for items in _parts(benchmark, part_words)]
+    return parts[0] if len(parts) == 1 else _merge_parts(reduce(DataFrame.unionByName, parts), len(parts))
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:
@@ -180,3 +181,23 @@ def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_word
         "starts",
         "ends",
     )
+
+
+def keep(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:
+    """The documents, with all their columns, without a word inside a benchmark passage."""
+
+    def clean_of(items):
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+        key = f"automaton-{uuid.uuid4().hex}"
+
+        def clean(batch):
+            machine = kept_by_worker(key, lambda: automaton(patterns(shared.value, window)))
+            if not len(machine):
+                return [True] * batch.num_rows
+            return [next(machine.iter(word_text(raw)), None) is None for raw in encoded(batch, "text")]
+
+        return clean
+
+    for items in _parts(benchmark, part_words):
+        docs = filter_rows(docs, clean_of(items))
+    return docs

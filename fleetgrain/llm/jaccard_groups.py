@@ -375,3 +375,20 @@ def _other_visits(matrix: DataFrame, roots: DataFrame, percent: int) -> DataFram
     fits = f"100 * large >= {percent} * n and {percent} * small <= 100 * n"
     fits = f"block > other and other != lo and label != other_label and {fits}"
     return open_rows.join(held, "token").where(fits).select("rep", "k1", F.col("other").alias("block")).distinct()
+
+
+def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The documents, with all their columns, but one of each component: its smallest doc_id.
+
+    Of rows with one doc_id and text one stays; rows with a null doc_id all do.
+    """
+    found = cluster(docs.select("doc_id", "text"), words, percent)
+    first = found.where("component_id = doc_id").select(F.col("doc_id").alias("first_id")).distinct()
+    same = Window.partitionBy("doc_id", "group_text").orderBy("group_text")
+    kept = (
+        docs.join(first.hint("shuffle_hash"), F.col("doc_id") == F.col("first_id"), "left_semi")
+        .withColumn("group_text", F.xxhash64("text"))
+        .withColumn("group_row", F.row_number().over(same))
+        .where("group_row = 1")
+    )
+    return kept.drop("group_text", "group_row").unionByName(docs.where("doc_id is null"))

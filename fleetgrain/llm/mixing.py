@@ -44,12 +44,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, size class and hash bin of every document."""
+    """The rows with the size, size class and hash bin that the mix goes by, in columns named mix_*."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"))
-        .withColumn("size_class", F.when(F.col("size") > 0, F.floor(F.log2("size"))).otherwise(-1).cast("int"))
-        .withColumn("bin", F.pmod(F.xxhash64("doc_id", "size"), F.lit(BINS)).cast("int"))
+    size_class = F.when(F.col("mix_size") > 0, F.floor(F.log2("mix_size"))).otherwise(-1).cast("int")
+    return docs.withColumns({"mix_size": size, "mix_source": F.col("source").cast("string")}).withColumns(
+        {"mix_class": size_class, "mix_bin": F.pmod(F.xxhash64("doc_id", "mix_size"), F.lit(BINS)).cast("int")}
     )
 
 
@@ -105,17 +104,20 @@ def choose_bins(cells: pd.DataFrame, share: float) -> list[tuple[int, int]]:
     return chosen
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, most: int = MOST) -> DataFrame:
-    """doc_id, size, source_size, target, rate, copies and taken for every document."""
-    rows = cut_lineage(sized(docs))
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+def plan(rows: DataFrame, weights=WEIGHTS, percent: int = PERCENT, most: int = MOST) -> tuple[DataFrame, DataFrame]:
+    """For sized rows: source, source_size, target, rate and floor; and source, size class and last bin taken once more."""
+    sources = rows.groupBy(F.col("mix_source").alias("source")).agg(F.sum("mix_size").alias("source_size"))
     rated = cut_lineage(
         water_level(sources, weights, percent, most)
         .withColumn("rate", F.coalesce(F.exp(tilt(F.col("source_size"), F.col("target"))), F.lit(0.0)))
         .withColumn("rate", F.least("rate", F.lit(float(most))))
         .withColumn("floor", F.floor(F.col("rate") + 1e-9).cast("long"))
     )
-    cells = rows.where("size > 0").groupBy("source", "size_class", "bin").agg(F.sum("size").alias("words"))
+    cells = (
+        rows.where("mix_size > 0")
+        .groupBy(F.col("mix_source").alias("source"), F.col("mix_class").alias("size_class"), F.col("mix_bin").alias("bin"))
+        .agg(F.sum("mix_size").alias("words"))
+    )
     shares = rated.select(F.col("source").alias("of"), (F.col("rate") - F.col("floor")).alias("share"))
 
     def of_source(frame: pd.DataFrame) -> pd.DataFrame:
@@ -123,18 +125,51 @@ def mix(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, most: int = MO
         source = frame["source"].iloc[0]
         return pd.DataFrame([(source, *x) for x in found], columns=["source", "size_class", "last_bin"])
 
-    extra = cut_lineage(
-        cells.join(shares, F.col("source").eqNullSafe(F.col("of"))).drop("of").groupBy("source").applyInPandas(of_source, EXTRA)
-    ).select(F.col("source").alias("extra_source"), F.col("size_class").alias("extra_class"), "last_bin")
-    rated = rated.withColumnRenamed("source", "rated_source")
-    once_more = F.coalesce((F.col("bin") <= F.col("last_bin")).cast("long"), F.lit(0))
+    extra = cells.join(shares, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    return rated, cut_lineage(extra.groupBy("source").applyInPandas(of_source, EXTRA))
+
+
+def with_copies(rows: DataFrame, rated: DataFrame, extra: DataFrame, most: int = MOST) -> DataFrame:
+    """The sized rows with mix_source_size, mix_target, mix_rate and mix_copies. The joined tables hold a few rows per source."""
+    by_source = rated.select(
+        F.col("source").alias("mix_of"),
+        F.col("source_size").alias("mix_source_size"),
+        F.col("target").alias("mix_target"),
+        F.col("rate").alias("mix_rate"),
+        F.col("floor").alias("mix_floor"),
+    )
+    by_class = extra.select(
+        F.col("source").alias("mix_extra"), F.col("size_class").alias("mix_extra_class"), F.col("last_bin").alias("mix_last_bin")
+    )
+    once_more = F.coalesce((F.col("mix_bin") <= F.col("mix_last_bin")).cast("long"), F.lit(0))
+    same_class = F.col("mix_source").eqNullSafe(F.col("mix_extra")) & (F.col("mix_class") == F.col("mix_extra_class"))
     return (
-        rows.join(rated, F.col("source").eqNullSafe(F.col("rated_source")))
-        .join(
-            extra,
-            F.col("source").eqNullSafe(F.col("extra_source")) & (F.col("size_class") == F.col("extra_class")),
-            "left",
-        )
-        .withColumn("copies", F.least(F.col("floor") + once_more, F.lit(most).cast("long")))
-        .select("doc_id", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        rows.join(by_source, F.col("mix_source").eqNullSafe(F.col("mix_of")))
+        .join(by_class, same_class, "left")
+        .withColumn("mix_copies", F.least(F.col("mix_floor") + once_more, F.lit(most).cast("long")))
+    )
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, most: int = MOST) -> DataFrame:
+    """doc_id, size, source_size, target, rate, copies and taken for every document."""
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source")
+    rows = cut_lineage(sized(chosen).drop("text", "source"))
+    return with_copies(rows, *plan(rows, weights, percent, most), most).select(
+        "doc_id",
+        F.col("mix_size").alias("size"),
+        F.col("mix_source_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        F.col("mix_rate").alias("rate"),
+        F.col("mix_copies").alias("copies"),
+        (F.col("mix_copies") * F.col("mix_size")).alias("taken"),
+    )
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, most: int = MOST) -> DataFrame:
+    """The documents, with all their columns, each as often as the mix takes it."""
+    rows = sized(docs)
+    narrow = cut_lineage(rows.select("mix_source", "mix_size", "mix_class", "mix_bin"))
+    copies = with_copies(rows, *plan(narrow, weights, percent, most), most)
+    return copies.withColumn("mix_copy", F.explode(F.expr("if(mix_copies > 0, sequence(1, mix_copies), array())"))).select(
+        *[F.col(f"`{c}`") for c in docs.columns]
     )

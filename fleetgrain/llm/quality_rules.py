@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetgrain.llm.common import WHITE_BYTES, WordCodes, column, encoded, rows_kernel
+from fleetgrain.llm.common import WHITE_BYTES, WordCodes, column, encoded, filter_rows, rows_kernel
 from fleetgrain.session import cut_lineage
 
 SYMBOLS = b"#*$%&|<>"
@@ -101,6 +101,12 @@ def measure_text(raw: bytes | None, words: np.ndarray, capital: np.ndarray) -> d
     }
 
 
+def measure_batch(batch: pa.RecordBatch) -> list[dict[str, int]]:
+    words = WordCodes(batch.column(batch.schema.get_field_index("text")))
+    capital = np.array([w.isupper() for w in words.distinct], dtype=bool)
+    return [measure_text(raw, words[i], capital) for i, raw in enumerate(encoded(batch, "text"))]
+
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -111,9 +117,7 @@ def measure(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     schema = pa.schema(fields)
 
     def batch_columns(batch):
-        words = WordCodes(batch.column(batch.schema.get_field_index("text")))
-        capital = np.array([w.isupper() for w in words.distinct], dtype=bool)
-        measures = [measure_text(raw, words[i], capital) for i, raw in enumerate(encoded(batch, "text"))]
+        measures = measure_batch(batch)
         made = {n: [m[n] for m in measures] for n in (*COUNTS, *RULES)}
         return made | {"doc_id": column(batch, "doc_id"), "stratum": column(batch, "stratum")}
 
@@ -219,3 +223,22 @@ def judge(docs: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLimits(),
         .withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
         .select("doc_id", *COUNTS, "base_failed", "kept", "broken_rules")
     )
+
+
+def keep(docs: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLimits(), stratum: str = "lang") -> DataFrame:
+    """The documents, with all their columns, that pass the base check and break no certified rule.
+
+    Judged row by row with the cutoffs, a number per rule and stratum, so no text is shuffled.
+    """
+    found = certify(cut_lineage(measure(docs, stratum)), labels, limits).select("stratum", "rule", "cutoff").collect()
+    cutoffs = {(r["stratum"], r["rule"]): r["cutoff"] for r in found}
+
+    def passes(batch):
+        return [
+            m["n_words"] >= limits.min_words
+            and 100 * m["n_repeat_words"] <= limits.repeat_percent * m["n_words"]
+            and all(m[rule] <= cutoffs.get((of, rule), LEVELS) for rule in RULES)
+            for m, of in zip(measure_batch(batch), column(batch, stratum), strict=True)
+        ]
+
+    return filter_rows(docs, passes)

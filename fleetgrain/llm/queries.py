@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetgrain.llm import decontaminate, jaccard_groups, language_pieces, line_crf, mixing, personal_data, quality_rules, token_files, url_rules
+from fleetgrain.llm import (
+    decontaminate,
+    host_boilerplate,
+    jaccard_groups,
+    language_pieces,
+    line_crf,
+    mixing,
+    personal_data,
+    quality_rules,
+    token_files,
+    url_rules,
+)
 from fleetgrain.llm.common import prepare, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -153,6 +164,11 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_host_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return host_boilerplate.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, None),
     "op2_language_pieces": (op2_language_pieces, None),
@@ -163,4 +179,5 @@ QUERIES = {
     "op7_decontamination": (op7_decontamination, OP7_SQL),
     "op8_personal_data": (op8_personal_data, None),
     "op9_source_mix": (op9_source_mix, None),
+    "op10_host_boilerplate": (op10_host_boilerplate, None),
 }
