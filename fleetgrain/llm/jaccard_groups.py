@@ -352,7 +352,7 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     return placed.join(roots, F.col("rep") == F.col("node"), "left").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
-        F.coalesce("root", F.when(F.col("n") > 0, F.col("rep")), "doc_id").alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "rep", "doc_id")).alias("component_id"),
     )
 
 
@@ -384,11 +384,12 @@ def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     """
     found = cluster(docs.select("doc_id", "text"), words, percent)
     first = found.where("component_id = doc_id").select(F.col("doc_id").alias("first_id")).distinct()
-    same = Window.partitionBy("doc_id", "group_text").orderBy("group_text")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    rows = docs.select(whole, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"))
+    same = Window.partitionBy("doc_id", "text_key").orderBy("text_key")
     kept = (
-        docs.join(first.hint("shuffle_hash"), F.col("doc_id") == F.col("first_id"), "left_semi")
-        .withColumn("group_text", F.xxhash64("text"))
-        .withColumn("group_row", F.row_number().over(same))
-        .where("group_row = 1")
+        rows.join(first.hint("shuffle_hash"), F.col("doc_id") == F.col("first_id"), "left_semi")
+        .withColumn("nth", F.row_number().over(same))
+        .where("nth = 1")
     )
-    return kept.drop("group_text", "group_row").unionByName(docs.where("doc_id is null"))
+    return kept.select("whole.*").unionByName(docs.where("doc_id is null"))

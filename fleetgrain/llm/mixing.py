@@ -167,9 +167,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, most: int = MO
 
 def mixed(docs: DataFrame, weights=WEIGHTS, percent: int = PERCENT, most: int = MOST) -> DataFrame:
     """The documents, with all their columns, each as often as the mix takes it."""
-    rows = sized(docs)
-    narrow = cut_lineage(rows.select("mix_source", "mix_size", "mix_class", "mix_bin"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row")
+    rows = sized(docs.select(whole, "doc_id", "text", "source")).drop("doc_id", "text", "source")
+    narrow = cut_lineage(rows.drop("mix_row"))
     copies = with_copies(rows, *plan(narrow, weights, percent, most), most)
-    return copies.withColumn("mix_copy", F.explode(F.expr("if(mix_copies > 0, sequence(1, mix_copies), array())"))).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    times = F.expr("if(mix_copies > 0, sequence(1, mix_copies), array())")
+    return copies.withColumn("mix_copy", F.explode(times)).select("mix_row.*")

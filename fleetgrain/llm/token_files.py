@@ -161,8 +161,12 @@ class TokenFile:
         self.file.close()
 
 
-# runs of ASCII punctuation but the apostrophe, and runs of anything else
+# words of letters, digits and ASCII punctuation but the apostrophe, and their runs of punctuation and of the rest;
+# the one capital whose small form isn't a letter alone is left out
+_PLAIN = re.compile(r"(?:[^\W_İ]|[!-&(-/:-@\[-`{-~])+")
 _RUNS = re.compile(r"[!-&(-/:-@\[-`{-~]+|[^!-&(-/:-@\[-`{-~]+")
+# runs that the tokenizer takes as one: letters, or ASCII punctuation
+_ONE_TOKEN = re.compile(r"[^\W\d_İ]+|[!-&(-/:-@\[-`{-~]+")
 
 
 class WordEncoder:
@@ -187,7 +191,7 @@ class WordEncoder:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _runs(self, runs: list[str]) -> None:
-        plain = [r for r in runs if r.isalpha() or not (r[0].isalnum() or "'" in r or not r.isascii() or not r.isprintable())]
+        plain = [r for r in runs if _ONE_TOKEN.fullmatch(r)]
         groups = [plain[i : i + JOINED_WORDS] for i in range(0, len(plain), JOINED_WORDS)]
         alone = list(set(runs).difference(plain))
         for group, ids in zip(groups, self._encode([" ".join(g) for g in groups]), strict=True):
@@ -209,8 +213,9 @@ class WordEncoder:
         new = [w for w in distinct if w not in self.kept]
         parts = {}
         for w in new:
-            # a combining mark may join with the character before it, so such words stay whole
-            parts[w] = _RUNS.findall(w) if w.isascii() or unicodedata.is_normalized("NFC", w) else [w]
+            # other signs may join with punctuation, and marks with what is before them, so such words stay whole
+            plain = _PLAIN.fullmatch(w) and (w.isascii() or unicodedata.is_normalized("NFC", w))
+            parts[w] = _RUNS.findall(w) if plain else [w]
         runs = {r for found in parts.values() for r in found}
         self._runs([r for r in runs if r not in self.kept_runs])
         for w, found in parts.items():
