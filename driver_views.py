@@ -1,7 +1,7 @@
 """The driver's tables seen as transit tables, by plain arithmetic.
 
-Only the registered queries use this; the engine does not. `driver_sql.py`
-states the same arithmetic for the SQL check.
+Only the registered queries use this; the engine does not. Their SQL forms
+state the same arithmetic.
 """
 
 from __future__ import annotations
@@ -56,6 +56,14 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def torn_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The positions, some without latitude, some with a latitude or longitude that is no number."""
+    seq, nan = F.col("seq"), F.lit(float("nan"))
+    lat = F.when(seq % 101 == 0, F.lit(None)).when(seq % 103 == 0, nan).otherwise(F.col("lat"))
+    lon = F.when(seq % 107 == 0, F.lit(float("inf"))).otherwise(F.col("lon"))
+    return positions(spark, sf_dir).withColumns({"lat": lat, "lon": lon})
+
+
 def shape_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A straight line of 60 points per customer; some customers have none."""
     key = F.col("c_custkey")
@@ -261,7 +269,7 @@ def decoded_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = event_seconds(table(spark, sf_dir, "events"))
     user = F.col("user_id")
     position = F.struct(
-        (F.lit(42.0) + user * 0.0101234567).alias("latitude"),
+        (F.lit(42.0) + user % 150 * 0.0101234567).alias("latitude"),
         (F.lit(23.0) + F.col("event_id") % 100 * 0.0101234567).alias("longitude"),
         F.lit(None).cast("double").alias("bearing"),
         (F.col("value") / 7).alias("speed"),

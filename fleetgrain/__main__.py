@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import functions as F
 
+from fleetgrain.functions.clock import date_in
 from fleetgrain.operators import profile, quality, reconcile
 from fleetgrain.operators.digests import file_digests
 from fleetgrain.params import MANIFEST_SCHEMA_VERSION, MIN_SAMPLES, WalkParams
@@ -93,7 +94,7 @@ def run_manifests(spark, args) -> None:
     is_beat = F.col("file").contains(".polls.jsonl")
     digests = (
         file_digests(contents)
-        .withColumn("service_date", F.to_date(F.substring("file", 1, 10)))
+        .withColumn("service_date", date_in(F.col("file"), r"^(.{10})"))
         .groupBy("service_date")
         .agg(
             F.max(F.when(~is_beat, F.col("sha256"))).alias("data_sha256"),

@@ -48,6 +48,11 @@ def slot_spine(spark: SparkSession) -> DataFrame:
     )
 
 
+def date_in(name: Column, pattern: str) -> Column:
+    """The date that a pattern's first group finds in a name; null for none and for days no calendar has."""
+    return F.try_to_timestamp(F.nullif(F.regexp_extract(name, pattern, 1), F.lit("")), F.lit("yyyy-MM-dd")).cast("date")
+
+
 def day_start(date: Column, tz) -> Column:
     """Epoch second of local midnight."""
     return F.unix_timestamp(F.to_utc_timestamp(date.cast("timestamp"), tz))
@@ -67,5 +72,6 @@ def hour_key(ts: Column) -> Column:
 
 def hour_of_name(name: Column) -> Column:
     """UTC hour key inside a snapshot file name, null when it has another form."""
+    # Fixed value: how trip-update snapshots are named.
     pattern = r"^tu_(\d{4}-\d\d-\d\dT\d\d)\d{4}Z\.pb(?:\.tmp)?$"
     return F.nullif(F.regexp_extract(name, pattern, 1), F.lit(""))

@@ -21,6 +21,7 @@ ROUTE_TYPE_LABELS = {
     12: "Monorail",
 }
 UNKNOWN_ROUTE_TYPE = -1
+UNKNOWN_LABEL, UNLISTED_LABEL = "Unknown type", "Type "
 
 
 def short_digest(text: Column) -> Column:
@@ -58,8 +59,8 @@ def split_bin_key(key: Column) -> list[Column]:
 def route_type_label(code: Column) -> Column:
     known = F.create_map(*[F.lit(v) for kv in ROUTE_TYPE_LABELS.items() for v in kv])
     return (
-        F.when(code == UNKNOWN_ROUTE_TYPE, F.lit("Unknown type"))
-        .otherwise(F.coalesce(F.try_element_at(known, code), F.concat(F.lit("Type "), code.cast("string"))))
+        F.when(code == UNKNOWN_ROUTE_TYPE, F.lit(UNKNOWN_LABEL))
+        .otherwise(F.coalesce(F.try_element_at(known, code), F.concat(F.lit(UNLISTED_LABEL), code.cast("string"))))
     )
 
 

@@ -6,20 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetgrain.operators import ranks
-from fleetgrain.operators.walk import ACCEPTED, HEAD, PAIR_REJECTS, UNRESOLVED
+from fleetgrain.operators.walk import ACCEPTED, HEAD, NO_POSITION, PAIR_REJECTS, UNRESOLVED
 from fleetgrain.params import KMH_PER_MS, VALIDATION_DIFF_KMH
 
 BIN_KEYS = ["shape_key", "segment_index", "timeslot"]
 
 
-def typical_bins(samples: DataFrame, day_plan: DataFrame, hot_rows: int = ranks.HOT_ROWS) -> DataFrame:
+def typical_bins(samples: DataFrame, day_plan: DataFrame) -> DataFrame:
     """Exact median of the unrounded speed and count per period and bin.
 
     Days outside every period carry a null period_key and do not enter.
     """
     days = day_plan.filter(F.col("period_key").isNotNull()).select("service_date", "period_key")
     keyed = samples.select("service_date", *BIN_KEYS, "speed_raw").join(days, "service_date")
-    out = ranks.exact_median(keyed, ["period_key", *BIN_KEYS], "speed_raw", "median", hot_rows)
+    out = ranks.exact_median(keyed, ["period_key", *BIN_KEYS], "speed_raw", "median")
     return out.select(
         "period_key",
         *BIN_KEYS,
@@ -28,9 +28,9 @@ def typical_bins(samples: DataFrame, day_plan: DataFrame, hot_rows: int = ranks.
     )
 
 
-def day_bins(samples: DataFrame, hot_rows: int = ranks.HOT_ROWS) -> DataFrame:
+def day_bins(samples: DataFrame) -> DataFrame:
     """One bundle per day of any kind: median of the rounded speeds."""
-    out = ranks.exact_median(samples, ["service_date", *BIN_KEYS], "speed_ms", "median", hot_rows)
+    out = ranks.exact_median(samples, ["service_date", *BIN_KEYS], "speed_ms", "median")
     return out.select(
         "service_date", *BIN_KEYS, F.col("median").alias("median_speed_ms"), F.col("n").alias("n_samples")
     )
@@ -46,7 +46,7 @@ def day_counters(outcomes: DataFrame) -> DataFrame:
         kept = F.when(F.col("verdict").isin(*names), F.col("records"))
         return F.coalesce(F.sum(kept), F.lit(0))
 
-    rejects = (*UNRESOLVED, *PAIR_REJECTS)
+    rejects = (*UNRESOLVED, NO_POSITION, *PAIR_REJECTS)
     return outcomes.rollup("service_date").agg(
         F.sum("records").alias("records"),
         total((HEAD,)).alias("walks"),
@@ -57,9 +57,7 @@ def day_counters(outcomes: DataFrame) -> DataFrame:
 
 
 def feed_speed_validation(
-    samples: DataFrame,
-    threshold_kmh: float = VALIDATION_DIFF_KMH,
-    hot_rows: int = ranks.HOT_ROWS,
+    samples: DataFrame, threshold_kmh: float = VALIDATION_DIFF_KMH
 ) -> DataFrame:
     """Derived against reported speed over all processed days: one row."""
     diff = F.abs(F.col("speed_raw") * KMH_PER_MS - F.col("feed_speed_kmh"))
@@ -67,7 +65,7 @@ def feed_speed_validation(
         F.lit("all").alias("scope"), diff.alias("diff")
     )
     over = diffs.groupBy("scope").agg(F.count_if(F.col("diff") > threshold_kmh).alias("over"))
-    middle = ranks.exact_median(diffs, ["scope"], "diff", "median", hot_rows)
+    middle = ranks.exact_median(diffs, ["scope"], "diff", "median")
     return middle.join(over, "scope").select(
         F.col("n").alias("n_compared"),
         F.bround("median", 3).alias("median_abs_diff_kmh"),

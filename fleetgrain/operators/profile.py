@@ -58,9 +58,9 @@ def segment_table(bins: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
     )
 
 
-def network_profile(by_segment: DataFrame, hot_rows: int = ranks.HOT_ROWS) -> DataFrame:
+def network_profile(by_segment: DataFrame) -> DataFrame:
     """Median over segments and their count, per period and slot."""
-    out = ranks.exact_median(by_segment, ["period_key", "timeslot"], "kmh", "median_kmh", hot_rows)
+    out = ranks.exact_median(by_segment, ["period_key", "timeslot"], "kmh", "median_kmh")
     return out.withColumnRenamed("n", "segments")
 
 
@@ -96,7 +96,7 @@ def _pairs(values: DataFrame, names: list[tuple[str, Column, Column]], keys: lis
     )
 
 
-def _paired_stats(pairs: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+def _paired_stats(pairs: DataFrame, keys: list[str]) -> DataFrame:
     groups = [*keys, "label"]
     moved = (F.col("a") != 0) & (F.col("b") != 0)
     totals = pairs.groupBy(*groups).agg(
@@ -111,7 +111,7 @@ def _paired_stats(pairs: DataFrame, keys: list[str], hot_rows: int) -> DataFrame
         "iqr_low": ranks.lower_quarter,
         "iqr_high": ranks.upper_quarter,
     }
-    placed = ranks.order_stats(diffs, groups, "diff", picks, hot_rows).drop("n")
+    placed = ranks.order_stats(diffs, groups, "diff", picks).drop("n")
     return totals.join(placed, groups, "left").select(
         *groups,
         "n",
@@ -126,14 +126,13 @@ def _paired_stats(pairs: DataFrame, keys: list[str], hot_rows: int) -> DataFrame
 def paired(
     by_segment: DataFrame,
     comparisons: tuple[Comparison, ...] = COMPARISONS,
-    hot_rows: int = ranks.HOT_ROWS,
 ) -> DataFrame:
     """Same-segment comparisons. All sides come from one pass, not self joins."""
     specs = sorted({s for c in comparisons for s in (c.first, c.second)}, key=spec_label)
     names = {spec: f"s{i}" for i, spec in enumerate(specs)}
     values = by_segment.groupBy(*SEGMENT).agg(*[_at(s).alias(n) for s, n in names.items()])
     sides = [(c.label, F.col(names[c.first]), F.col(names[c.second])) for c in comparisons]
-    return _paired_stats(_pairs(values, sides, ["period_key"]), ["period_key"], hot_rows)
+    return _paired_stats(_pairs(values, sides, ["period_key"]), ["period_key"])
 
 
 def against(
@@ -141,7 +140,6 @@ def against(
     later: str,
     earlier: str,
     specs: tuple[Spec, ...] = AGAINST_SPECS,
-    hot_rows: int = ranks.HOT_ROWS,
 ) -> DataFrame:
     """Later minus earlier period on the same segment at the same time of day."""
     two = by_segment.filter(F.col("period_key").isin(later, earlier))
@@ -154,7 +152,7 @@ def against(
         ]
     )
     sides = [(spec_label(s), F.col(f"a{i}"), F.col(f"b{i}")) for i, s in enumerate(specs)]
-    return _paired_stats(_pairs(values, sides, []), [], hot_rows)
+    return _paired_stats(_pairs(values, sides, []), [])
 
 
 def common_segments(by_segment: DataFrame, later: str, earlier: str) -> DataFrame:

@@ -1,10 +1,10 @@
-"""Exact medians and order statistics that hold when one group is huge.
+"""Exact medians and order statistics, one plan for groups of any size.
 
-Ordinary groups use one aggregate. A group over `hot_rows` never reaches one
-task whole: its values are counted per coarse bucket (a partial aggregate that
-shuffles on key and bucket), the bucket holding the wanted rank is found in
-the small histogram, and only that bucket is counted again on a finer grid.
-The last level counts distinct values, so the answer stays exact.
+No group ever reaches one task whole. Values are counted per group and coarse
+bucket, which combines before it shuffles; the bucket that holds a wanted rank
+is read off the running counts of that small histogram; and only values of such
+buckets are looked at again, as distinct values with their counts. Ranks are
+kept as numbers, so nothing runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-WIDTHS = (1e-2, 1e-5)
+BUCKET_WIDTH = 1e-2
+_LARGEST = 1e15  # buckets beyond it are one; inside a bucket values are still told apart
 
 Rank = Callable[[Column], Column]
 
@@ -36,113 +36,45 @@ def upper_quarter(n: Column) -> Column:
     return F.floor(n * 3 / 4)
 
 
-def _sizes(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+def _bucket(value: str, width: float) -> Column:
+    """Buckets in the order of their values; one for what is no number, which sorts last."""
+    scaled = F.col(value).cast("double") / width
+    kept = F.greatest(F.least(scaled, F.lit(_LARGEST)), F.lit(-_LARGEST))
+    return F.when(F.isnan(scaled), F.lit(2**62)).otherwise(F.floor(kept))
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """Keys of the groups above the limit, None when there are none.
+def _running(hist: DataFrame, scope: list[str], by: str) -> DataFrame:
+    """Counts of a histogram with the count before each entry, and of the whole scope."""
+    upto = F.sum("_c").over(Window.partitionBy(*scope).orderBy(by))
+    every = F.sum("_c").over(Window.partitionBy(*scope))
+    return hist.withColumns({"_before": upto - F.col("_c"), "_n": every})
 
-    At most rows / hot_rows keys exist, which bounds every broadcast of them.
-    """
-    hot = _sizes(df, keys).filter(F.col("_n") > hot_rows).select(*keys)
-    return None if hot.isEmpty() else hot
 
-
-def _ordinary(rows: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
-    """Rows of the groups within the limit, shuffled by key once.
-
-    A list of distinct speeds does not shrink when combined before a shuffle,
-    and building it twice costs a sort per map task, so the rows move first.
-    """
-    cold = rows if hot is None else rows.join(F.broadcast(hot), keys, "left_anti")
-    return cold.repartition(*keys)
-
-
-def _at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Rank], widths) -> DataFrame:
-    """Rows (keys, n, one column per rank) by histogram refinement."""
-    sizes = _sizes(df, keys)
-    wanted = F.array(
-        *[F.struct(F.lit(name).alias("pick"), rank(F.col("_n")).alias("rank")) for name, rank in ranks.items()]
-    )
-    targets = sizes.select(*keys, "_n", F.explode(wanted).alias("_w")).select(
-        *keys, "_n", "_w.pick", "_w.rank"
+def order_stats(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Rank], width: float = BUCKET_WIDTH) -> DataFrame:
+    """Per group: n and the values at the given zero-based ranks."""
+    rows = df.select(*keys, value).filter(F.col(value).isNotNull()).withColumn("_b", _bucket(value, width))
+    buckets = _running(rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c")), keys, "_b")
+    picks = F.array(*[F.struct(F.lit(name).alias("pick"), rank(F.col("_n")).alias("rank")) for name, rank in ranks.items()])
+    inside = F.filter(picks, lambda p: (p["rank"] >= F.col("_before")) & (p["rank"] < F.col("_before") + F.col("_c")))
+    # the buckets that hold a rank: at most one row per group and rank
+    wanted = buckets.withColumn("_picks", inside).filter(F.size("_picks") > 0)
+    wanted = wanted.select(*keys, "_b", "_n", F.col("_before").alias("_skip"), "_picks")
+    # groups with a null key are groups too
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"w.{k}")) for k in [*keys, "_b"]]
+    joined = rows.alias("r").join(wanted.alias("w"), same).select(
+        *[F.col(f"r.{k}").alias(k) for k in keys], "w._b", "_n", "_skip", "_picks", value
     )
-    scope, rows = list(keys), df.select(*keys, value)
-    for level, width in enumerate(widths):
-        bucket = f"_b{level}"
-        rows = rows.withColumn(bucket, F.floor(F.col(value) / F.lit(width)))
-        targets = _narrow(rows, targets, scope, bucket)
-        scope = [*scope, bucket]
-        rows = rows.join(F.broadcast(targets.select(*scope).distinct()), scope, "left_semi")
-    found = _narrow(rows, targets, scope, value)
+    facts = ["_n", "_skip", "_picks"]  # the same for all rows of a bucket
+    values = joined.groupBy(*keys, "_b", value).agg(F.count(F.lit(1)).alias("_c"), *[F.first(c).alias(c) for c in facts])
+    upto = F.sum("_c").over(Window.partitionBy(*keys, "_b").orderBy(value))
+    placed = values.withColumn("_at", F.col("_skip") + upto - F.col("_c"))
+    found = placed.withColumn("_p", F.explode("_picks")).filter("_p.rank >= _at AND _p.rank < _at + _c")
     return found.groupBy(*keys).agg(
-        F.max("_n").alias("n"),
-        *[F.max(F.when(F.col("pick") == name, F.col(value))).alias(name) for name in ranks],
-    )
-
-
-def _narrow(rows: DataFrame, targets: DataFrame, scope: list[str], bucket: str) -> DataFrame:
-    """Replace each target's rank by the bucket holding it and the rank inside."""
-    hist = rows.groupBy(*scope, bucket).agg(F.count(F.lit(1)).alias("_c"))
-    upto = F.sum("_c").over(Window.partitionBy(*scope).orderBy(bucket))
-    hist = hist.withColumn("_upto", upto)
-    before = F.col("_upto") - F.col("_c")
-    return (
-        targets.join(hist, scope)
-        .filter((F.col("rank") >= before) & (F.col("rank") < F.col("_upto")))
-        .withColumn("rank", F.col("rank") - before)
-        .drop("_c", "_upto")
+        F.max("_n").alias("n"), *[F.max(F.when(F.col("_p.pick") == name, F.col(value))).alias(name) for name in ranks]
     )
 
 
-def order_stats(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    ranks: dict[str, Rank],
-    hot_rows: int = HOT_ROWS,
-    widths=WIDTHS,
-) -> DataFrame:
-    """Per group: n and the values at the given zero-based ranks."""
-    rows = df.select(*keys, value).filter(F.col(value).isNotNull())
-    hot = hot_keys(rows, keys, hot_rows)
-    listed = _ordinary(rows, keys, hot).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(value)).alias("_v")
-    )
-    plain = listed.select(
-        *keys,
-        "n",
-        *[F.element_at("_v", (rank(F.col("n")) + 1).cast("int")).alias(name) for name, rank in ranks.items()],
-    )
-    if hot is None:
-        return plain
-    refined = _at_ranks(rows.join(F.broadcast(hot), keys, "left_semi"), keys, value, ranks, widths)
-    return plain.unionByName(refined)
-
-
-def exact_median(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    name: str,
-    hot_rows: int = HOT_ROWS,
-    widths=WIDTHS,
-) -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str, width: float = BUCKET_WIDTH) -> DataFrame:
     """Per group: the exact median under `name`, and n."""
-    rows = df.select(*keys, value).filter(F.col(value).isNotNull())
-    hot = hot_keys(rows, keys, hot_rows)
-    plain = _ordinary(rows, keys, hot).groupBy(*keys).agg(
-        F.median(value).alias(name), F.count(F.lit(1)).alias("n")
-    )
-    if hot is None:
-        return plain
-    middles = _at_ranks(
-        rows.join(F.broadcast(hot), keys, "left_semi"),
-        keys,
-        value,
-        {"_lo": lower_middle, "_hi": upper_middle},
-        widths,
-    )
-    middle = (F.col("_lo") + F.col("_hi")) / 2
-    return plain.unionByName(middles.select(*keys, middle.alias(name), "n"))
+    middles = order_stats(df, keys, value, {"_lo": lower_middle, "_hi": upper_middle}, width)
+    return middles.select(*keys, ((F.col("_lo") + F.col("_hi")) / 2).alias(name), "n")

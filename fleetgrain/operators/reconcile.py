@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetgrain.functions.clock import date_in
 from fleetgrain.params import MANIFEST_SCHEMA_VERSION
 
 
@@ -115,12 +116,12 @@ def missing_days(ranges: DataFrame, manifests: DataFrame) -> DataFrame:
 
 def check_range(start: str, end: str) -> None:
     if end < start:
-        raise ValueError(f"end date {end} is before start date {start}")
+        raise ValueError(f"nothing to package: the range {start} to {end} runs backwards")
 
 
 def unconsumed(files: DataFrame, consumed: DataFrame, start: Column, end: Column) -> DataFrame:
     """Files a packaging run leaves behind, with the reason."""
-    date = F.to_date(F.nullif(F.regexp_extract("name", r"^(\d{4}-\d{2}-\d{2})\.", 1), F.lit("")))
+    date = date_in(F.col("name"), r"^(\d{4}-\d{2}-\d{2})\.")
     outside = ~date.between(start, end)
     reason = F.when(F.coalesce(outside, F.lit(False)), "out_of_range").otherwise("unrecognised")
     return files.join(consumed.select("name"), "name", "left_anti").select("name", reason.alias("reason"))
@@ -169,7 +170,8 @@ def choose_day_files(files: DataFrame, suffix: str = ".jsonl") -> DataFrame:
     zipped = F.col("name").endswith(".gz")
     return (
         files.filter(F.col("name").rlike(pattern))
-        .select(F.to_date(F.substring("name", 1, 10)).alias("service_date"), "name", zipped.alias("gz"))
+        .select(date_in(F.col("name"), r"^(.{10})").alias("service_date"), "name", zipped.alias("gz"))
+        .filter("service_date IS NOT NULL")
         .groupBy("service_date")
         .agg(F.min_by("name", "gz").alias("name"))
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fleetgrain.operators import bins, reconcile, shapes, walk
 from fleetgrain.params import WalkParams
 from fleetgrain.plans import calendar, periods, snapshots
-from fleetgrain.sinks import overwrite_partitions, replace_tree, write_bins, write_samples
+from fleetgrain.sinks import overwrite_partitions, replace_tree, stored, write_samples
 from fleetgrain.sources import gtfs, jsonl, listings
 
 NETWORK = ["city"]
@@ -33,11 +33,21 @@ class Static:
     routes: DataFrame
     calendar_dates: DataFrame
     feed_info: DataFrame
+    unusable: DataFrame
 
 
 def load_static(spark: SparkSession, folder: str, out: str, city: str) -> Static:
-    """Unzip each archive once into tables under `out`, then work from those."""
-    archives = gtfs.read_archives(spark, folder)
+    """Unzip each archive once into tables under `out`, then work from those.
+
+    An archive that can't be opened or lacks a required member enters neither
+    the catalogue nor any table; `out`/unusable names it with what it lacks.
+    """
+    found = gtfs.read_archives(spark, folder)
+    lacking = gtfs.usability(found, gtfs.member_names(found)).filter(F.size("missing") > 0)
+    replace_tree(lacking, f"{out}/unusable")
+    unusable = stored(spark, f"{out}/unusable", lacking.schema)
+    # one row per archived feed
+    archives = found.join(F.broadcast(unusable.select("snapshot")), "snapshot", "left_anti")
     members = ["trips.txt", "shapes.txt", "routes.txt", "calendar_dates.txt", "stops.txt", "feed_info.txt"]
     overwrite_partitions(gtfs.member_rows(archives, members), f"{out}/members", ["member"])
     rows = spark.read.parquet(f"{out}/members")
@@ -59,6 +69,7 @@ def load_static(spark: SparkSession, folder: str, out: str, city: str) -> Static
         routes=gtfs.routes(rows),
         calendar_dates=gtfs.calendar_dates(rows),
         feed_info=gtfs.feed_info(names, rows),
+        unusable=unusable,
     )
 
 
@@ -85,6 +96,11 @@ class SpeedsRun:
     bins: DataFrame
     days: DataFrame
     summary: DataFrame
+    unusable: DataFrame
+
+
+# what the walk and its counters read of a position record
+POSITION_COLUMNS = ["service_date", "snapshot_ts", "vehicle_id", "trip_id", "lat", "lon", "speed_ms", *jsonl.FILE_ORDER]
 
 
 def run_speeds(
@@ -100,6 +116,7 @@ def run_speeds(
     """Read day files, walk every trip, and write samples, bins and records under `out`.
 
     The plan covers the whole archive, so period keys do not depend on `dates`.
+    Records of this run count the days it processed, whatever `out` held before.
     """
     static = load_static(spark, static_dir, f"{out}/static", city)
     today = F.to_date(F.from_utc_timestamp(F.current_timestamp(), params.timezone)) if today is None else today
@@ -112,29 +129,32 @@ def run_speeds(
     paths = [f"{data_dir}/{r['name']}" for r in chosen.select("name").collect()]
     if not paths:
         raise ValueError(f"no day files found in {data_dir}")
-    positions = jsonl.read_positions(spark, paths)
-    steps = walk.walk(positions, plan, static.trips, static.shapes, params, jsonl.FILE_ORDER)
-    overwrite_partitions(steps, f"{out}/steps", ["service_date"])
-    steps = spark.read.parquet(f"{out}/steps")
-    write_samples(walk.samples(steps, params), f"{out}/samples")
-    samples = spark.read.parquet(f"{out}/samples").join(
-        plan.filter("processed").select("service_date"), "service_date", "left_semi"
-    )
-    replace_tree(bins.typical_bins(samples, plan), f"{out}/bins", ["period_key"])
-    stored = spark.read.parquet(f"{out}/bins").withColumn("period_key", F.col("period_key").cast("string"))
+    # day files are parsed once; all counts start from the table
+    parsed = jsonl.read_positions(spark, paths).select(*POSITION_COLUMNS)
+    replace_tree(parsed, f"{out}/positions", ["service_date"])
+    positions = stored(spark, f"{out}/positions", parsed.schema)
+    processed = plan.filter("processed").select("service_date")
+    walked = walk.walk(positions, plan, static.trips, static.shapes, params, jsonl.FILE_ORDER)
+    overwrite_partitions(walked, f"{out}/steps", ["service_date"])
+    steps = stored(spark, f"{out}/steps", walked.schema).join(processed, "service_date", "left_semi")
+    sampled = walk.samples(steps, params)
+    write_samples(sampled, f"{out}/samples")
+    samples = stored(spark, f"{out}/samples", sampled.schema).join(processed, "service_date", "left_semi")
+    typical = bins.typical_bins(samples, plan)
+    replace_tree(typical, f"{out}/bins", ["period_key"])
+    made = stored(spark, f"{out}/bins", typical.schema)
     counters = bins.day_counters(
-        walk.outcomes(steps).unionByName(walk.keyless_records(positions))
+        walk.outcomes(steps).unionByName(walk.keyless_records(positions)).unionByName(walk.unusable_fixes(positions))
     )
     from_next = walk.next_feed_counts(positions, plan, static.trips)
     replace_tree(_day_records(plan, counters, from_next), f"{out}/days")
-    replace_tree(_summary(samples, stored, static.bridge), f"{out}/summary")
+    replace_tree(_summary(samples, made, static.bridge), f"{out}/summary")
     replace_tree(
-        periods.period_summary(plan.filter("processed"), bins.bins_per_period(stored), NETWORK),
+        periods.period_summary(plan.filter("processed"), bins.bins_per_period(made), NETWORK).orderBy(*NETWORK, "first_date"),
         f"{out}/periods",
     )
-    return SpeedsRun(
-        plan, samples, stored, spark.read.parquet(f"{out}/days"), spark.read.parquet(f"{out}/summary")
-    )
+    days, summary = (spark.read.parquet(f"{out}/{name}") for name in ("days", "summary"))
+    return SpeedsRun(plan, samples, made, days, summary, static.unusable)
 
 
 def _day_records(plan: DataFrame, counters: DataFrame, next_feed: DataFrame) -> DataFrame:
@@ -150,7 +170,8 @@ def _day_records(plan: DataFrame, counters: DataFrame, next_feed: DataFrame) ->
         "trip_count",
     )
     joined = counters.join(facts, "service_date", "left").join(next_feed, "service_date", "left")
-    return joined.fillna(0, ["records_from_next_feed", "trips_from_next_feed"])
+    whole = joined.fillna(0, ["records_from_next_feed", "trips_from_next_feed"])
+    return whole.orderBy(F.col("service_date").asc_nulls_last())
 
 
 def _summary(samples: DataFrame, stored: DataFrame, bridge: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetgrain.functions.clock import date_in
+
 # Fixed value: the only names taken as snapshots.
 SNAPSHOT_PATTERN = r"^gtfs_(\d{4}-\d{2}-\d{2})(?:T\d{4})?\.zip$"
 
@@ -16,13 +18,13 @@ def catalogue(files: DataFrame, keys: list[str]) -> DataFrame:
     """
     in_order = Window.partitionBy(*keys).orderBy("name")
     return (
-        files.filter(F.col("name").rlike(SNAPSHOT_PATTERN))
+        files.filter(date_in(F.col("name"), SNAPSHOT_PATTERN).isNotNull())
         .select(*keys, "name")
         .distinct()
         .select(
             *keys,
             F.col("name").alias("snapshot"),
-            F.to_date(F.regexp_extract("name", SNAPSHOT_PATTERN, 1)).alias("snap_date"),
+            date_in(F.col("name"), SNAPSHOT_PATTERN).alias("snap_date"),
             F.row_number().over(in_order).alias("seq"),
             F.lead("name").over(in_order).alias("next_snapshot"),
         )

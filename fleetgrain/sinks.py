@@ -20,6 +20,14 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     )
 
 
+def stored(spark, path: str, schema) -> DataFrame:
+    """A stage read back by its known schema, so one without rows is an empty table and no error."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def replace_tree(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     """Replace everything under `path`, so stale members vanish."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")

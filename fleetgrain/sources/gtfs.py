@@ -83,7 +83,7 @@ def _as_batch(snapshot: str, member: str, rows: list, map_type: pa.DataType) ->
 
 def _member(rows: DataFrame, member: str, columns: dict[str, str]) -> DataFrame:
     typed = [
-        F.try_element_at("row", F.lit(name)).cast(kind).alias(name) for name, kind in columns.items()
+        F.try_element_at("row", F.lit(name)).try_cast(kind).alias(name) for name, kind in columns.items()
     ]
     return rows.filter(F.col("member") == member).select("snapshot", *typed)
 
@@ -132,6 +132,19 @@ def feed_info(archives: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
+def member_names(archives: DataFrame) -> DataFrame:
+    """(snapshot, name) of the members each readable archive lists."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for snapshot, archive in _archives(batches):
+            names = archive.namelist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([snapshot] * len(names), pa.string()), pa.array(names, pa.string())], names=["snapshot", "name"]
+            )
+
+    return archives.mapInArrow(run, "snapshot string, name string")
+
+
 def member_digests(archives: DataFrame) -> DataFrame:
     """(snapshot, name, sha256) of every member, for content digests and usability."""
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetgrain.functions.clock import date_in
 from fleetgrain.functions.geo import inside_box
 from fleetgrain.functions.keys import split_bin_key
 
@@ -48,14 +49,16 @@ _DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})\.[^/]*$"
 def _scan(spark: SparkSession, paths: list[str] | str, schema: str) -> DataFrame:
     """Torn lines land in _corrupt_record, blank ones vanish, .gz opens by itself.
 
-    The service date is the file's own; `file_spot` orders records within it.
+    The service date is the file's own, null where the name holds no real date.
+    `file_spot` orders records within a file: a later block starts further on,
+    blocks are far more than 64 bytes apart, and rows count up inside one.
     """
     lines = spark.read.text(paths).filter(F.trim("value") != "")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))  # without the task's number
     spots = lines.select(
-        F.to_date(F.regexp_extract("_metadata.file_path", _DATE_IN_NAME, 1)).alias("service_date"),
+        date_in(F.col("_metadata.file_path"), _DATE_IN_NAME).alias("service_date"),
         F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_block_start").alias("file_block"),
-        F.monotonically_increasing_id().alias("file_row"),
+        (F.shiftleft(F.col("_metadata.file_block_start"), 27) + row).alias("file_spot"),
         "value",
     )
     return parse_lines(spots, "value", schema).select(*spots.columns[:-1], "record.*")
@@ -69,8 +72,7 @@ def whole_lines(scan: DataFrame) -> DataFrame:
     return scan.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
-# within one file a later block holds later lines, and so does a later row of a block
-FILE_ORDER = ["file_block", "file_row"]
+FILE_ORDER = ["file_spot"]
 
 
 def read_polls(spark: SparkSession, paths: list[str] | str) -> DataFrame:

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetgrain.operators import bins, walk
 from fleetgrain.params import WalkParams
-from fleetgrain.sinks import overwrite_partitions, write_bins
-from fleetgrain.streaming.state import BatchState
+from fleetgrain import sinks
+from fleetgrain.session import cut_lineage
+from fleetgrain.sinks import overwrite_partitions
+from fleetgrain.streaming.state import DayState
 
 _ANCHORS = "service_date DATE, vehicle_id STRING, trip_id STRING, anchor_ts BIGINT, anchor_m DOUBLE"
 
@@ -26,24 +26,23 @@ def start_walk(
     out: str,
     checkpoint: str,
     trigger: dict,
-    keep_days: int = 2,
 ) -> StreamingQuery:
     """Steps per micro-batch; open walks go on from their anchor of the batch before.
 
-    Equal to the batch walk when each vehicle's fixes arrive in time order.
-    Anchors of days older than `keep_days` behind the newest are dropped: a
-    walk never leaves its service day.
+    Equal to the batch walk when each vehicle's fixes arrive in time order,
+    however late a day's fixes come: anchors are kept by service day, and a
+    batch reads and writes those of its own days.
     """
-    state = BatchState(positions.sparkSession, f"{out}/anchors", _ANCHORS)
+    state = DayState(positions.sparkSession, f"{out}/anchors", _ANCHORS)
 
     def judge(batch: DataFrame, batch_id: int) -> None:
-        before = state.before(batch_id)
+        before = state.before_days(batch_id, batch.select("service_date").distinct())
         steps = walk.walk(batch, day_plan, trips, shapes, params, order, anchors=before)
         overwrite_partitions(
             steps.withColumn("batch", F.lit(batch_id)), f"{out}/steps", ["batch", "service_date"]
         )
         done = batch.sparkSession.read.parquet(f"{out}/steps").filter(F.col("batch") == batch_id)
-        state.save(_next_anchors(done, before, keep_days), batch_id)
+        state.save(_next_anchors(done, before), batch_id)
 
     return (
         positions.writeStream.foreachBatch(judge)
@@ -53,24 +52,22 @@ def start_walk(
     )
 
 
-def _next_anchors(done: DataFrame, before: DataFrame, keep_days: int) -> DataFrame:
+def _next_anchors(done: DataFrame, before: DataFrame) -> DataFrame:
     fresh = done.filter("anchor_ts IS NOT NULL").groupBy(*walk.WALK_KEYS).agg(
         F.max_by(F.struct("anchor_ts", "anchor_m"), "snapshot_ts").alias("a")
     )
     fresh = fresh.select(*walk.WALK_KEYS, "a.anchor_ts", "a.anchor_m")
     old = before.join(fresh.select(*walk.WALK_KEYS), walk.WALK_KEYS, "left_anti")
-    merged = old.unionByName(fresh)
-    newest = done.agg(F.max("service_date").alias("d")).first()["d"]
-    return merged if newest is None else merged.filter(F.col("service_date") >= newest - timedelta(days=keep_days))
+    return cut_lineage(old.unionByName(fresh))  # the states it is made from may be deleted
 
 
 def start_typical(
     samples: DataFrame, day_plan: DataFrame, out: str, checkpoint: str, trigger: dict
 ) -> StreamingQuery:
-    """Keep `out`/bins current: a batch stores its samples, then redoes the periods they touch.
+    """Keep `out`/bins current: a batch stores its samples, then redoes the bins they touch.
 
-    A median needs all its values, so touched periods are computed again from
-    the stored samples; other periods are not read.
+    A median needs all its values, so touched bins are computed again from the
+    stored samples; the other bins of their periods are taken over.
     """
 
     def update(batch: DataFrame, batch_id: int) -> None:
@@ -78,9 +75,15 @@ def start_typical(
         stored = f"{out}/samples"
         overwrite_partitions(batch.withColumn("batch", F.lit(batch_id)), stored, ["service_date", "batch"])
         fresh = spark.read.parquet(stored).filter(F.col("batch") == batch_id)
-        touched = day_plan.join(fresh.select("service_date").distinct(), "service_date", "left_semi")
-        plan = day_plan.join(touched.select("period_key").distinct(), "period_key", "left_semi")
-        write_bins(bins.typical_bins(spark.read.parquet(stored), plan), f"{out}/bins")
+        days = day_plan.filter("period_key IS NOT NULL").select("service_date", "period_key")
+        touched = cut_lineage(fresh.join(days, "service_date").select("period_key", *bins.BIN_KEYS).distinct())
+        periods = F.broadcast(touched.select("period_key").distinct())  # a few per year
+        plan = days.join(periods, "period_key", "left_semi")
+        behind = spark.read.parquet(stored).join(plan, "service_date").join(touched, ["period_key", *bins.BIN_KEYS], "left_semi")
+        made = bins.typical_bins(behind.drop("period_key"), plan)
+        held = sinks.stored(spark, f"{out}/bins", made.schema).join(periods, "period_key", "left_semi")
+        rest = held.join(touched, ["period_key", *bins.BIN_KEYS], "left_anti")
+        sinks.write_bins(cut_lineage(made.unionByName(rest)), f"{out}/bins")
 
     return (
         samples.writeStream.foreachBatch(update)

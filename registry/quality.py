@@ -214,7 +214,7 @@ IDENTITY_SQL = """SELECT count(CASE WHEN c_custkey % 30 = 1 THEN 1 END) AS multi
 ENTITIES = """
 e AS (
   SELECT *, CAST(floor(epoch(ts) / 1200) AS BIGINT) * 300 + 1278000000 AS poll_ts,
-         42.0e0 + user_id * 0.0101234567e0 AS lat, 23.0e0 + event_id % 100 * 0.0101234567e0 AS lon,
+         42.0e0 + user_id % 150 * 0.0101234567e0 AS lat, 23.0e0 + event_id % 100 * 0.0101234567e0 AS lon,
          event_id % 11 <> 0 AS has_vehicle, event_id % 11 <> 0 AND event_id % 7 <> 0 AS placed
   FROM events),
 x AS (SELECT *, placed AND lat BETWEEN 42.1 AND 43.2 AND lon BETWEEN 23.05 AND 23.8 AS inside FROM e)

@@ -370,10 +370,10 @@ FROM r GROUP BY period_key, run_no"""
 
 
 def _customer_segments(spark, sf_dir):
-    """Three 20 km segments of every customer line, the last one past its end for some."""
+    """Every 20 km segment of every customer line, and one past its end."""
     keyed = walk_shapes(spark, sf_dir)
     last = (F.element_at("cum_dist", -1) / 20000).cast("int")
-    return keyed.select("shape_key", F.explode(F.array(F.lit(0), F.lit(7), last + 1)).alias("segment_index"))
+    return keyed.select("shape_key", F.explode(F.sequence(F.lit(0), last + 1)).alias("segment_index"))
 
 
 def segment_paths(spark, sf_dir):
@@ -399,7 +399,7 @@ geo AS (
          59 * (5000.0e0 + (c_custkey % 40) * 100) AS len
   FROM line GROUP BY c_custkey),
 want AS (
-  SELECT *, unnest([0, 7, CAST(floor((len + 0.001e0) / 20000) AS INTEGER) + 1]) AS segment_index FROM geo)
+  SELECT *, CAST(unnest(range(0, CAST(floor((len + 0.001e0) / 20000) AS INTEGER) + 2)) AS INTEGER) AS segment_index FROM geo)
 SELECT shape_key, segment_index, 2 AS n_points,
        round(round(42.5e0 + degrees(least(segment_index * 20000.0e0, len) / 6371000.0e0), 5), 4) AS from_lat,
        round(round(42.5e0 + degrees(least((segment_index + 1) * 20000.0e0, len) / 6371000.0e0), 5), 4) AS to_lat,
@@ -493,10 +493,10 @@ WHERE note IS NOT NULL AND isodow(service_date) = 1"""
 
 def drawable_slots(spark, sf_dir):
     """Slots joined to their polylines, here the first and last point of 20 km stretches."""
-    segments = _customer_segments(spark, sf_dir).distinct().withColumn("bundle", F.lit("b"))
+    segments = _customer_segments(spark, sf_dir).withColumn("bundle", F.substring("shape_key", 1, 1))
     shapes = walk_shapes(spark, sf_dir)
     indexed = serve.index_segments(segments)
-    paths = indexed.join(serve.draw_paths(segments, shapes, 20000.0), ["shape_key", "segment_index"])
+    paths = indexed.join(serve.draw_paths(segments.drop("bundle"), shapes, 20000.0), ["shape_key", "segment_index"])
     bins = segments.select(
         "bundle",
         "shape_key",
@@ -507,13 +507,14 @@ def drawable_slots(spark, sf_dir):
     )
     out = serve.drawable_slots(serve.slot_bins(bins, indexed), paths)
     return out.select(
-        "segment_idx", "timeslot", "speed_kmh", F.round(F.col("points")[0]["lat"], 4).alias("from_lat")
+        "bundle", "segment_idx", "timeslot", "speed_kmh", F.round(F.col("points")[0]["lat"], 4).alias("from_lat")
     )
 
 
 DRAWABLE_SQL = PATHS_SQL.split("SELECT shape_key, segment_index, 2")[0] + """
 , d AS (SELECT DISTINCT shape_key, segment_index FROM want)
-SELECT row_number() OVER (ORDER BY shape_key, segment_index) - 1 AS segment_idx, '08:00' AS timeslot,
+SELECT shape_key[1:1] AS bundle,
+       row_number() OVER (PARTITION BY shape_key[1:1] ORDER BY shape_key, segment_index) - 1 AS segment_idx, '08:00' AS timeslot,
        CAST(round_even((segment_index + 0.5e0) * 3.6e0, 0) AS INTEGER) AS speed_kmh,
        (SELECT any_value(round(round(42.5e0 + degrees(least(w.segment_index * 20000.0e0, w.len) / 6371000.0e0), 5), 4))
         FROM want w WHERE w.shape_key = d.shape_key AND w.segment_index = d.segment_index) AS from_lat

@@ -6,8 +6,11 @@ session's shared one and returns the table the stream left.
 
 from __future__ import annotations
 
+import gzip
 import uuid
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 import driver_views as views
@@ -19,6 +22,7 @@ from registry import files, quality, walking
 from registry.common import steps, walk_plan, walk_shapes, walk_trips
 
 ONCE = {"availableNow": True}
+FILES_PER_PART = 4
 
 
 def _folder(spark, name):
@@ -26,14 +30,14 @@ def _folder(spark, name):
 
 
 def _sliced(df, folder, name, by):
-    """Land a table as three files one after another in order of `by`; each is one micro-batch."""
+    """Land a table in three parts one after another in order of `by`, of some files each; a part is one micro-batch."""
     spark = df.sparkSession
     path = f"{folder}/{name}"
     third = df.agg(F.percentile_approx(by, F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("c")).first()["c"]
     spot = F.col(by)
     for part in (spot <= third[0], (spot > third[0]) & (spot <= third[1]), spot > third[1]):
-        df.filter(part).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        df.filter(part).repartition(FILES_PER_PART).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES_PER_PART).parquet(path)
 
 
 def _drain(query):
@@ -127,23 +131,53 @@ def stream_typical_bins(spark, sf_dir):
 
 
 def json_lines_round_trip(spark, sf_dir):
-    """Positions written as gzip JSON lines by day and scanned back with the tolerant reader."""
-    folder = f"{_folder(spark, 'lines')}"
+    """Positions written as one gzip file a day, its last line torn, and read back by the day files' own reader.
+
+    Fixes keep the order they were written in, which the first and last event show.
+    """
+    folder = _folder(spark, "lines")
     rows = views.positions(spark, sf_dir)
-    rows.repartition("service_date").write.partitionBy("service_date").option("compression", "gzip").json(folder)
-    scan = spark.read.schema(jsonl.POSITION_SCHEMA).option("mode", "PERMISSIVE").json(folder)
-    good = jsonl.whole_lines(scan)
+    lines = rows.select("service_date", "seq", F.to_json(F.struct(*[c for c in rows.columns if c != "service_date"])).alias("line"))
+    ordered = lines.repartition("service_date").sortWithinPartitions("service_date", "seq").select("service_date", "line")
+    ordered.mapInArrow(_write_day_files(folder), "written string").count()
+    good = jsonl.read_positions(spark, folder)
     return good.groupBy("service_date").agg(
         F.count(F.lit(1)).alias("records"),
         F.count("vehicle_id").alias("with_vehicle"),
         F.count_if(F.col("trip_id") == "").alias("blank_trip"),
         F.sum("snapshot_ts").alias("stamps"),
+        F.min_by("snapshot_ts", "file_spot").alias("first_stamp"),
+        F.max_by("snapshot_ts", "file_spot").alias("last_stamp"),
     )
 
 
+def _write_day_files(folder):
+    """A kernel that writes sorted (service_date, line) rows as <date>.jsonl.gz, whole days per task."""
+
+    def run(batches):
+        system, path = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        system.create_dir(path, recursive=True)
+        day, out = None, None
+        for batch in batches:
+            for date, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if date != day:
+                    if out:
+                        out.write(b'{"torn')
+                        out.close()
+                    day, out = date, gzip.open(system.open_output_stream(f"{path}/{date}.jsonl.gz", compression=None), "wb")
+                out.write(line.encode() + b"\n")
+        if out:
+            out.write(b'{"torn')
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([path])], ["written"])
+
+    return run
+
+
 LINES_SQL = f"""WITH RECURSIVE {walking.FIXES}
 SELECT service_date, count(*) AS records, count(CASE WHEN has_vehicle THEN 1 END) AS with_vehicle, count(CASE WHEN NOT has_trip THEN 1 END) AS blank_trip,
-       CAST(sum(snapshot_ts) AS BIGINT) AS stamps
+       CAST(sum(snapshot_ts) AS BIGINT) AS stamps, arg_min(snapshot_ts, event_id) AS first_stamp,
+       arg_max(snapshot_ts, event_id) AS last_stamp
 FROM pos GROUP BY service_date"""
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import driver_views as views
 from fleetgrain.operators import bins, walk
-from registry.common import judged_steps, steps, walk_plan, walk_trips
+from registry.common import judged_steps, steps, walk_plan, walk_shapes, walk_trips
 
 # Events as fixes, walked fix by fix; the same arithmetic as driver_views.
 FIXES = """
@@ -171,7 +171,7 @@ SELECT service_date, count(*) AS records,
        count(CASE WHEN verdict NOT IN ('walk_start', 'shape_not_found', 'trip_not_in_static') THEN 1 END) AS pairs,
        count(CASE WHEN verdict = 'accepted' THEN 1 END) AS samples,
        count(CASE WHEN verdict = 'trip_not_in_static' THEN 1 END) AS trip_not_in_static,
-       count(CASE WHEN verdict = 'shape_not_found' THEN 1 END) AS shape_not_found,
+       count(CASE WHEN verdict = 'shape_not_found' THEN 1 END) AS shape_not_found, 0 AS position_unusable,
        count(CASE WHEN verdict = 'gap_too_short' THEN 1 END) AS gap_too_short,
        count(CASE WHEN verdict = 'non_positive_time_delta' THEN 1 END) AS non_positive_time_delta,
        count(CASE WHEN verdict = 'gap_too_large' THEN 1 END) AS gap_too_large,
@@ -180,6 +180,22 @@ SELECT service_date, count(*) AS records,
 FROM judged GROUP BY ROLLUP (service_date)"""
 
 
+def unusable_fixes(spark, sf_dir):
+    """Positions with gaps in their coordinates; what is left is walked, and every fix is counted once."""
+    seen = views.torn_positions(spark, sf_dir)
+    dims = walk_plan(spark, sf_dir), walk_trips(spark, sf_dir), walk_shapes(spark, sf_dir)
+    judged = walk.walk(seen, *dims, views.WALK, ["seq"])
+    outcomes = walk.outcomes(judged).unionByName(walk.keyless_records(seen)).unionByName(walk.unusable_fixes(seen))
+    return bins.day_counters(outcomes).select("service_date", "records", "position_unusable")
+
+
+UNUSABLE_SQL = f"""WITH RECURSIVE {FIXES}, torn AS (
+  SELECT service_date, has_trip AND has_vehicle AND (event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 107 = 0) AS bad
+  FROM pos)
+SELECT service_date, count(*) AS records, count(CASE WHEN bad THEN 1 END) AS position_unusable
+FROM torn GROUP BY ROLLUP (service_date)"""
+
+
 def feed_speed_check(spark, sf_dir):
     return bins.feed_speed_validation(_samples(spark, sf_dir), views.VALIDATION_KMH)
 
@@ -216,6 +232,7 @@ QUERIES = {
     "speed_samples": (speed_samples, SPEED_SAMPLES_SQL),
     "day_speed_bins": (day_speed_bins, DAY_BINS_SQL),
     "walk_reject_counters": (walk_reject_counters, COUNTERS_SQL),
+    "unusable_fixes": (unusable_fixes, UNUSABLE_SQL),
     "feed_speed_check": (feed_speed_check, VALIDATION_SQL),
     "next_feed_resolution": (next_feed_resolution, NEXT_FEED_SQL),
     "typical_bin_totals": (typical_bin_totals, BIN_TOTALS_SQL),

@@ -102,6 +102,58 @@ def test_requested_day_keeps_the_plans_keys(spark, archive, run, tmp_path):
     assert one.samples.count() == 6
 
 
+def _rerun(spark, archive, out, dates, static="static"):
+    today = F.lit("2026-09-20").cast("date")
+    return pipeline.run_speeds(
+        spark, str(archive), str(archive / static), str(out), "c", WalkParams(timezone="UTC"), today=today, dates=dates
+    )
+
+
+def test_a_rerun_of_one_day_counts_that_day_only(spark, archive, tmp_path):
+    _rerun(spark, archive, tmp_path, ["2026-09-01"])
+    days = {r["service_date"]: r for r in _rerun(spark, archive, tmp_path, ["2026-09-02"]).days.collect()}
+    assert days.keys() == {DAYS[1], None}
+    assert days[None]["records"] == days[DAYS[1]]["records"] == 11 and days[DAYS[1]]["snapshot"] == "gtfs_2026-09-02.zip"
+    # the other day's samples are still there
+    assert {r["service_date"] for r in spark.read.parquet(f"{tmp_path}/samples").select("service_date").collect()} == set(DAYS[:2])
+
+
+def test_a_run_without_weekdays_ends_with_an_empty_median(spark, archive, tmp_path):
+    run = _rerun(spark, archive, tmp_path, ["2026-09-05"])
+    assert run.samples.count() == 6 and run.bins.count() == 0
+    assert {r["service_date"] for r in run.days.collect()} == {DAYS[2], None}
+    assert run.summary.first()["segment_count"] == 0
+
+
+def test_a_broken_archive_is_named_and_not_used(spark, archive, tmp_path):
+    folder = archive / "static_broken"
+    folder.mkdir(exist_ok=True)
+    _feed(folder / "gtfs_2026-09-01.zip", [("T1", "S1"), ("T2", "S1")])
+    whole = (folder / "gtfs_2026-09-01.zip").read_bytes()
+    (folder / "gtfs_2026-09-02.zip").write_bytes(whole[: len(whole) // 2])
+    (folder / "gtfs_2026-99-99.zip").write_bytes(whole)
+    run = _rerun(spark, archive, tmp_path, [], "static_broken")
+    assert [(r["snapshot"], len(r["missing"])) for r in run.unusable.collect()] == [("gtfs_2026-09-02.zip", 4)]
+    days = {r["service_date"]: r for r in run.days.collect()}
+    assert days[DAYS[1]]["snapshot"] == "gtfs_2026-09-01.zip" and days[DAYS[1]]["samples"] == 6
+
+
+def test_fixes_without_coordinates_are_counted(spark, archive, tmp_path):
+    root = tmp_path / "data"
+    root.mkdir()
+    t = NOON[DAYS[0]]
+    records = [_fix(t + 45 * i, "V1", "T1", 2 + i) for i in range(4)]
+    records[1] = {**records[1], "lat": None}
+    (root / f"{DAYS[0]}.jsonl").write_text("".join(json.dumps(r) + "\n" for r in records))
+    (root / "2026-99-99.jsonl").write_text("")
+    today = F.lit("2026-09-20").cast("date")
+    run = pipeline.run_speeds(
+        spark, str(root), str(archive / "static"), str(tmp_path / "out"), "c", WalkParams(timezone="UTC"), today=today
+    )
+    row = run.days.filter("service_date IS NULL").first()
+    assert (row["records"], row["position_unusable"], row["samples"]) == (4, 1, 2)
+
+
 def test_export_manifests_and_profile(spark, archive, run, capsys):
     out, made = run
     parse = cli._parser().parse_args

@@ -24,10 +24,9 @@ def table(spark):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 0])
-def test_paired(table, hot_rows):
+def test_paired(table):
     comparisons = (Comparison("x", "08:00", "12:00"), Comparison("none", "08:00", "23:45"))
-    rows = profile.paired(table.filter("period_key = 'early'"), comparisons, hot_rows).collect()
+    rows = profile.paired(table.filter("period_key = 'early'"), comparisons).collect()
     assert [r["label"] for r in rows] == ["x"]  # nothing carries both sides of the other
     row = rows[0]
     assert (row["n"], row["zeroes"], row["median_diff"]) == (2, 1, 0.0)

@@ -20,13 +20,12 @@ def _values(seed=3):
     return groups, [(k, v) for k, vs in groups.items() for v in vs]
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 500, 0])
-def test_median_and_ranks_with_and_without_hot_groups(spark, hot_rows):
+def test_median_and_ranks(spark):
     groups, rows = _values()
     df = spark.createDataFrame(rows, "k string, v double")
-    medians = {r["k"]: r for r in ranks.exact_median(df, ["k"], "v", "m", hot_rows).collect()}
+    medians = {r["k"]: r for r in ranks.exact_median(df, ["k"], "v", "m").collect()}
     picks = {"q1": ranks.lower_quarter, "q3": ranks.upper_quarter}
-    placed = {r["k"]: r for r in ranks.order_stats(df, ["k"], "v", picks, hot_rows).collect()}
+    placed = {r["k"]: r for r in ranks.order_stats(df, ["k"], "v", picks).collect()}
     assert medians.keys() == groups.keys() == placed.keys()
     for key, values in groups.items():
         ordered, n = sorted(values), len(values)
@@ -35,15 +34,31 @@ def test_median_and_ranks_with_and_without_hot_groups(spark, hot_rows):
         assert placed[key]["q1"] == ordered[n // 4] and placed[key]["q3"] == ordered[3 * n // 4]
 
 
-def test_hot_path_matches_at_coarse_and_fine_widths(spark):
+def test_any_bucket_width_gives_the_same(spark):
     groups, rows = _values(9)
     df = spark.createDataFrame(rows, "k string, v double")
-    for widths in ((100.0,), (1.0, 0.1, 0.001)):
-        out = ranks.exact_median(df, ["k"], "v", "m", 0, widths)
-        for r in out.collect():
+    for width in (100.0, 0.1, 1e-5):
+        for r in ranks.exact_median(df, ["k"], "v", "m", width).collect():
             assert r["m"] == pytest.approx(statistics.median(groups[r["k"]]), abs=1e-12)
 
 
+def test_odd_values_have_a_place(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", v) for v in (nan, 1.0, inf, -inf, 1e300, -1e300, None, 2e300)] + [(None, 3.0), (None, 5.0), ("b", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    at = {f"r{i}": (lambda n, i=i: F.least(n - 1, F.lit(i))) for i in range(7)}
+    got = {r["k"]: r for r in ranks.order_stats(df, ["k"], "v", at).collect()}
+    assert got.keys() == {"a", None}  # a group of nulls only has no ranks
+    assert [got["a"][f"r{i}"] for i in range(6)] == [-inf, -1e300, 1.0, 1e300, 2e300, inf]
+    assert got["a"]["r6"] != got["a"]["r6"] and got["a"]["n"] == 7
+    assert ranks.exact_median(df, ["k"], "v", "m").filter("k IS NULL").first()["m"] == 4.0
+
+
+def test_nothing_runs_while_the_plan_is_built(spark):
+    df = spark.range(10).selectExpr("id % 2 AS k", "CAST(raise_error('ran') AS DOUBLE) AS v")
+    ranks.exact_median(df, ["k"], "v", "m")
+
+
 def test_lag_and_running_sum_cross_buckets(spark):
     rng = random.Random(5)
     rows = sorted({(rng.choice("ab"), rng.randrange(0, 5000)) for _ in range(400)})

@@ -1,11 +1,10 @@
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
 from fleetgrain.functions import clock, geo
 from fleetgrain.operators import bins, shapes as shape_ops, walk
 from fleetgrain.params import WalkParams
+from fleetgrain.sources import jsonl
 from tests.helpers import (
     DAY,
     HOP_M,
@@ -136,14 +135,13 @@ def test_next_feed_answers_only_for_unknown_trips(spark):
         "snapshot string, trip_id string, route_id string, shape_id string, shape_key string",
     )
     asked = spark.createDataFrame([(DAY, f"T{i}") for i in range(1, 5)], "service_date date, trip_id string")
-    for small in (True, False):
-        found = walk.resolve_trips(asked, F.col("trip_id"), plan, trips, small)
-        assert {(r["trip_id"], r["route_id"], r["from_next"]) for r in found.collect()} == {
-            ("T1", "own", False),
-            ("T2", "later", True),
-            ("T3", None, False),
-            ("T4", None, False),
-        }
+    found = walk.resolve_trips(asked, plan, trips)
+    assert {(r["trip_id"], r["route_id"], r["from_next"]) for r in found.collect()} == {
+        ("T1", "own", False),
+        ("T2", "later", True),
+        ("T3", None, False),
+        ("T4", None, False),
+    }
     rows = [(1000, 0.001, 0.0, None, "V1", "T2"), (1045, 0.002, 0.0, None, None, "T2")]
     counts = walk.next_feed_counts(fixes(spark, rows), plan, trips).first()
     # counted before the missing vehicle is looked at
@@ -171,22 +169,21 @@ def test_kernel_equals_plain_walk_on_random_trips(spark):
     positions, dims, expected = _random_inputs(spark, seeds)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")  # walks span batches
     try:
-        for limit in (1 << 30, 0):
-            steps = walk.walk(positions, *dims, PARAMS, ["seq"], broadcast_limit=limit).collect()
-            for seed in seeds:
-                shape, records = expected[seed]
-                by_second = {}
-                for ts, verdict, dist in plain_walk(shape, records, PARAMS):
-                    by_second.setdefault(ts, []).append((verdict, dist))
-                mine = {r["snapshot_ts"]: r for r in steps if r["trip_id"] == f"T{seed}"}
-                assert mine.keys() == by_second.keys()
-                for ts, judged in by_second.items():
-                    row = mine[ts]
-                    assert (row["verdict"], row["n"]) == (judged[0][0], len(judged)), (seed, ts)
-                    if judged[0][1] is not None:
-                        assert row["dist_m"] == pytest.approx(judged[0][1], abs=1e-6)
-            seen = {r["verdict"] for r in steps}
-            assert {walk.SHORT, walk.LONG, walk.BACKWARD, walk.FAST, walk.ACCEPTED} <= seen
+        steps = walk.walk(positions, *dims, PARAMS, ["seq"]).collect()
+        for seed in seeds:
+            shape, records = expected[seed]
+            by_second = {}
+            for ts, verdict, dist in plain_walk(shape, records, PARAMS):
+                by_second.setdefault(ts, []).append((verdict, dist))
+            mine = {r["snapshot_ts"]: r for r in steps if r["trip_id"] == f"T{seed}"}
+            assert mine.keys() == by_second.keys()
+            for ts, judged in by_second.items():
+                row = mine[ts]
+                assert (row["verdict"], row["n"]) == (judged[0][0], len(judged)), (seed, ts)
+                if judged[0][1] is not None:
+                    assert row["dist_m"] == pytest.approx(judged[0][1], abs=1e-6)
+        seen = {r["verdict"] for r in steps}
+        assert {walk.SHORT, walk.LONG, walk.BACKWARD, walk.FAST, walk.ACCEPTED} <= seen
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
@@ -209,13 +206,52 @@ def test_walk_goes_on_from_anchors(spark):
     assert whole.exceptAll(parts).count() == 0 and parts.exceptAll(whole).count() == 0
 
 
-def test_small_path_shuffles_fixes_twice_only(spark):
-    positions, dims, _ = _random_inputs(spark, range(2))
-    steps = walk.walk(positions.repartition(4), *dims, PARAMS, ["seq"])
-    plan = steps._jdf.queryExecution().executedPlan().toString()
-    kernel_side = plan.split("MapInArrow")[1]
-    assert "BroadcastHashJoin" in kernel_side
-    assert len(re.findall(r"Exchange hashpartitioning\([^)]*vehicle_id", kernel_side)) == 2
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_seconds_collapse_by_hash_in_the_readers_order(spark, tmp_path):
+    (tmp_path / "2026-09-01.jsonl").write_text('{"snapshot_ts": 1, "vehicle_id": "V", "trip_id": "T", "lat": 1.0, "lon": 2.0}\n')
+    plan = _plan(walk.collapse_seconds(jsonl.read_positions(spark, str(tmp_path)), jsonl.FILE_ORDER))
+    assert plan.count("HashAggregate") >= 2 and "SortAggregate" not in plan
+
+
+def test_lookups_have_no_common_null_key(spark):
+    """Every row the own feed knows would meet in one task if it asked the next feed for a null name."""
+    plan, trips = plan_and_trips(spark, [(f"T{i}", "R", "S", "k") for i in range(50)])
+    asked = spark.createDataFrame([(DAY, f"T{i}") for i in range(50)] * 40, "service_date date, trip_id string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = walk.resolve_trips(asked, plan, trips)
+        sizes = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 2000 and max(sizes) < 1200
+
+
+def test_unplanned_snapshots_are_not_looked_at(spark):
+    plan = spark.createDataFrame([(DAY, "a", None)], "service_date date, snapshot string, next_snapshot string")
+    trips = spark.createDataFrame(
+        [("a", "T1", "R", "S", "k"), ("old", "T1", "R", "S", "k")],
+        "snapshot string, trip_id string, route_id string, shape_id string, shape_key string",
+    )
+    assert [r["snapshot"] for r in walk.planned_trips(trips, plan).collect()] == ["a"]
+
+
+def test_fixes_without_a_position_are_counted_and_poison_nothing(spark):
+    shapes, key = line_shapes(spark)
+    plan, trips = plan_and_trips(spark, [("T1", "R1", "S1", key)])
+    rows = [(1000, 0.001, 0.0), (1045, None, 0.0), (1090, 0.003, 0.0), (1135, float("nan"), 0.0), (1180, 0.005, float("inf")), (1225, 0.006, 0.0)]
+    positions = fixes(spark, rows)
+    steps = walk.walk(positions, plan, trips, shapes, PARAMS, ["seq"])
+    assert [(r["snapshot_ts"], r["verdict"]) for r in steps.orderBy("snapshot_ts").collect()] == [
+        (1000, walk.HEAD), (1090, walk.ACCEPTED), (1225, walk.ACCEPTED),
+    ]
+    total = bins.day_counters(walk.outcomes(steps).unionByName(walk.unusable_fixes(positions))).filter("service_date IS NULL")
+    row = total.first()
+    assert (row["records"], row["samples"], row[walk.NO_POSITION]) == (6, 2, 3)
 
 
 def test_samples_pool_over_periods_apart(spark):
