@@ -179,21 +179,24 @@ def coverage(times: DataFrame, windows: DataFrame, interval_sec: float) -> DataF
 def day_manifests(
     positions: DataFrame,
     polls: DataFrame,
-    file_digests: DataFrame,
+    files: DataFrame,
     tz,
     now: Column,
     interval_sec: float,
     multiplier: float = GAP_MULTIPLIER,
 ) -> DataFrame:
-    """The quality record of every day in one pass, ready to write by service_date.
+    """The quality record of every listed day in one pass, ready to write by service_date.
 
-    `file_digests` has (service_date, data_sha256, data_size_bytes, polls_sha256).
+    `files` has a row per day file: service_date and what the record says of
+    the files themselves. A day whose file holds no record has a record too.
     """
     # positions are read once, down to one row per poll; all that follows starts from these tables
     per_poll = cut_lineage(
         positions.groupBy("service_date", "snapshot_ts").agg(F.count(F.lit(1)).alias("records"))
     )
-    days = per_poll.groupBy("service_date").agg(F.sum("records").alias("total_vehicle_records"))
+    days = files.join(
+        per_poll.groupBy("service_date").agg(F.sum("records").alias("total_vehicle_records")), "service_date", "left"
+    ).fillna(0, ["total_vehicle_records"])
     windows = day_windows(days, tz, now)
     times = cut_lineage(poll_times(polls, per_poll))
     gaps = poll_gaps(times, windows, interval_sec, multiplier).groupBy("service_date").agg(
@@ -207,7 +210,6 @@ def day_manifests(
         partial,
         poll_outcomes(polls),
         observed_interval(times),
-        file_digests,
     ):
         out = out.join(part, "service_date", "left")
     none = F.array().cast(gaps.schema["gaps"].dataType)

@@ -185,4 +185,52 @@ def test_export_manifests_and_profile(spark, archive, run, capsys):
     root = {(r["kind"], r["is_current"]) for r in spark.read.parquet(f"{out}/index").collect()}
     assert root == {("day", False), ("typical_weekday", True)}
     cli.run_profile(spark, parse(["profile", out]))
-    assert "12:00" in capsys.readouterr().out
+    assert "12:00" in {r["timeslot"] for r in spark.read.parquet(f"{out}/profile/slots").collect()}
+    assert f"{out}/profile/paired" in capsys.readouterr().out
+
+
+def test_day_records_close_the_loop(spark, archive, tmp_path):
+    """Records of all listed days, an empty one too, then the origin's checksums, then the gate."""
+    data, out = tmp_path / "data", str(tmp_path / "out")
+    data.mkdir()
+    for name in sorted(os.listdir(archive)):
+        if ".jsonl" in name:
+            (data / name).write_bytes((archive / name).read_bytes())
+    (data / "2026-09-03.jsonl").write_text("")
+    (data / "2026-09-04.jsonl").write_text("")
+    (data / "2026-09-04.polls.jsonl").write_text('{"snapshot_ts": 1788480000, "fetch_ok": true, "vehicle_count": 0}\n{"torn')
+    (data / "2026-99-99.jsonl").write_text("stray")
+    parse = cli._parser().parse_args
+    cli.run_manifests(spark, parse(["manifests", str(data), out]))
+    made = {str(r["service_date"]): r for r in spark.read.parquet(f"{out}/manifests").collect()}
+    assert sorted(made) == [f"2026-09-0{d}" for d in range(1, 6)]
+    first, plain, empty, beats = (made[f"2026-09-0{d}"] for d in (2, 1, 3, 4))
+    assert (first["data_file"], first["compressed"], plain["compressed"]) == ("2026-09-02.jsonl", True, False)
+    assert (first["data_malformed_lines"], first["polls_malformed_lines"], first["nominal_interval_sec"]) == (1, 0, 45)
+    assert (empty["total_vehicle_records"], empty["heartbeat_available"], empty["polls_file"]) == (0, False, None)
+    assert (empty["coverage_pct"], empty["gap_count"], empty["day_in_progress"]) == (0.0, 1, False)
+    assert (beats["polls_logged"], beats["polls_malformed_lines"], beats["heartbeat_available"]) == (1, 1, True)
+    assert first["generated_at"].endswith("Z")
+    # nothing is stale now, not even the empty day
+    before = {k: r["manifest_mtime"] for k, r in made.items()}
+    cli.run_manifests(spark, parse(["manifests", str(data), out]))
+    assert before == {str(r["service_date"]): r["manifest_mtime"] for r in spark.read.parquet(f"{out}/manifests").collect()}
+
+    sums = tmp_path / "sums.txt"
+    lines = [f"{r[f'{k}_sha256']}  {r[f'{k}_file']}" for r in made.values() for k in ("data", "polls") if r[f"{k}_file"]]
+    sums.write_text("\n".join(line for line in lines if "2026-09-05" not in line).replace(plain["data_sha256"], "0" * 64))
+    cli.run_verify(spark, parse(["verify", str(sums), out]))
+    checked = {str(r["service_date"]): r for r in spark.read.parquet(f"{out}/manifests").collect()}
+    assert {d[-1]: r["remote_verified"] for d, r in checked.items()} == {"1": False, "2": True, "3": True, "4": True, "5": None}
+    assert checked["2026-09-01"]["remote_verify_note"] == "data_sha256" and checked["2026-09-02"]["remote_verified_at"]
+
+    cli.run_package_check(spark, parse(["package-check", str(data), "2026-09-02", "2026-09-04", out]))
+    left = {r["name"]: r["reason"] for r in spark.read.parquet(f"{out}/left_behind").collect()}
+    assert left["2026-09-01.jsonl"] == "out_of_range" and left["2026-99-99.jsonl"] == "unrecognised"
+    (data / "2026-09-03.jsonl").write_text("changed")
+    with pytest.raises(ValueError, match="can't be packaged"):
+        cli.run_package_check(spark, parse(["package-check", str(data), "2026-09-02", "2026-09-06", out]))
+    found = {(r["item"], r["reason"]) for r in spark.read.parquet(f"{out}/package_check").collect()}
+    assert found == {("2026-09-03.jsonl", "hash_mismatch"), ("2026-09-06", "missing")}
+    with pytest.raises(ValueError, match="backwards"):
+        cli.run_package_check(spark, parse(["package-check", str(data), "2026-09-06", "2026-09-02", out]))
