@@ -24,7 +24,69 @@ TOKENIZER = "word_bpe_49k.json"
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.drop("broken_rules")
+
+
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), pieces AS (
+  SELECT doc_id, first, array_to_string(w[first:first + 7], ' ') AS piece
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 7)) AS first FROM d WHERE len(w) >= 8)
+), twice AS (
+  SELECT doc_id, first FROM pieces QUALIFY count(*) OVER (PARTITION BY doc_id, piece) > 1
+), repeats AS (
+  SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(generate_series(first, first + 7)) AS place FROM twice) GROUP BY doc_id
+), counts AS (
+  SELECT doc_id, lang, w, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         length(regexp_replace(t, '[^!]', '', 'g')) AS n_bangs,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         len(list_filter(w, lambda x: x = upper(x) AND x <> lower(x))) AS n_capitals,
+         len(list_filter(generate_series(2, len(w)), lambda i: w[i] = w[i - 1])) AS n_same,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN repeats USING (doc_id)
+), measured AS (
+  SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines FROM counts
+), levels AS (
+  SELECT doc_id, lang, unnest([
+    {'rule': 'symbols', 'part': n_symbols, 'whole': word_chars}, {'rule': 'bangs', 'part': n_bangs, 'whole': n_words},
+    {'rule': 'capitals', 'part': n_capitals, 'whole': n_words}, {'rule': 'dup_lines', 'part': n_dup_lines, 'whole': len(lines)},
+    {'rule': 'repeats', 'part': n_repeat_words, 'whole': n_words}, {'rule': 'stutter', 'part': n_same, 'whole': n_words}], recursive := true)
+  FROM measured
+), leveled AS (
+  SELECT doc_id, lang, rule, CASE WHEN whole > 0 THEN least(100, 100 * part // whole) ELSE 0 END AS level FROM levels
+), marks AS (
+  SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+), held AS (
+  SELECT lang, rule, level, good FROM leveled JOIN marks USING (doc_id)
+), strata AS (
+  SELECT lang, rule, count(*) FILTER (good) AS n FROM held GROUP BY ALL
+), tried AS (
+  SELECT s.lang, s.rule, s.n, cutoff, count(*) FILTER (good AND level > cutoff) AS false_rejects,
+         count(*) FILTER (NOT good AND level > cutoff) AS caught
+  FROM strata s CROSS JOIN range(100) c(cutoff) JOIN held h ON h.rule = s.rule AND h.lang IS NOT DISTINCT FROM s.lang GROUP BY ALL
+), tested AS (
+  SELECT *, n = 0 OR false_rejects >= n OR list_sum(list_transform(range(0, false_rejects + 1), lambda i:
+      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01e0) + (n - i) * ln(0.99e0))))
+      > 0.05e0 / (SELECT count(*) FROM strata) AS fails
+  FROM tried
+), certified AS (
+  SELECT *, max(CASE WHEN fails THEN cutoff ELSE -1 END) OVER (PARTITION BY lang, rule) AS last_failure FROM tested
+), chosen AS (
+  SELECT lang, rule, arg_max(cutoff, (caught - 20 * false_rejects) * 1000 + cutoff) AS cutoff
+  FROM certified WHERE cutoff > last_failure AND caught > 20 * false_rejects GROUP BY lang, rule
+), broken AS (
+  SELECT DISTINCT doc_id FROM leveled l JOIN chosen c ON c.rule = l.rule AND c.lang IS NOT DISTINCT FROM l.lang AND level > cutoff
+), based AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM broken) AS kept
+FROM based
+"""
 
 
 PIECES = "piece_bpe_32k.model"
@@ -170,7 +232,7 @@ def op10_host_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_quality_rules": (op1_quality_rules, None),
+    "op1_quality_rules": (op1_quality_rules, OP1_SQL),
     "op2_language_pieces": (op2_language_pieces, None),
     "op3_url_rules": (op3_url_rules, OP3_SQL),
     "op4_line_crf": (op4_line_crf, None),
