@@ -27,6 +27,7 @@ inputs of a prediction.
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 from collections import Counter
 
@@ -60,34 +61,88 @@ def vocabulary(model_file: str) -> list[str]:
     )
 
 
+class Pieces:
+    """The vocabulary as a trie in arrays, so that all places of all words step down it together.
+
+    A step is one look-up in a dense table of nodes by letters that longer
+    pieces use; pieces of one character are found by code point.
+    """
+
+    def __init__(self, pieces: list[str]):
+        self.unknown = len(pieces)
+        points = range(sys.maxunicode + 1)
+        self.single = np.full(len(points), self.unknown, np.int32)
+        self.letter = np.zeros(len(points), np.int16)
+        letters = sorted({c for p in pieces if len(p) > 1 for c in p})
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        nodes: dict[str, int] = {"": 0}
+        for i, p in enumerate(pieces):
+            if len(p) == 1:
+                self.single[ord(p)] = i
+                continue
+            for k in range(1, len(p) + 1):
+                nodes.setdefault(p[:k], len(nodes))
+        self.step = np.zeros((len(nodes), len(letters) + 1), np.int32)
+        for text, node in nodes.items():
+            if text:
+                self.step[nodes[text[:-1]], self.letter[ord(text[-1])]] = node
+        self.piece = np.full(len(nodes), -1, np.int32)
+        for i, p in enumerate(pieces):
+            if len(p) > 1:
+                self.piece[nodes[p]] = i
+
+    def edges(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """(word, start, end, piece) of every piece at every place of the marked words."""
+        points = np.frombuffer((START + START.join(words)).encode("utf-32-le"), np.uint32) if words else np.zeros(0, np.uint32)
+        sizes = np.array([len(w) + 1 for w in words], np.int64)
+        word = np.repeat(np.arange(len(words)), sizes)
+        ends = np.cumsum(sizes)
+        start = np.arange(len(points)) - (ends - sizes)[word]
+        letters = self.letter[points]
+        found = [(word, start, start + 1, self.single[points])]
+        at = np.arange(len(points))
+        node = self.step[0, letters]
+        for size in range(2, LONGEST_PIECE + 1):
+            alive = (node > 0) & (at + size <= ends[word[at]])
+            at, node = at[alive], node[alive]
+            node = self.step[node, letters[at + size - 1]]
+            piece = self.piece[node]
+            hit = (node > 0) & (piece >= 0)
+            found.append((word[at[hit]], start[at[hit]], start[at[hit]] + size, piece[hit]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 class Lattice:
     """All pieces of a list of words, and sums over the ways to cut the words into them."""
 
-    def __init__(self, words: list[str], ids: dict[str, int]):
-        unknown, get = len(ids), ids.get
-        word, start, end, piece = [], [], [], []
-        for w, text in enumerate(words):
-            text = START + text
-            n = len(text)
-            for i in range(n):
-                for j in range(i + 1, min(n, i + LONGEST_PIECE) + 1):
-                    at = get(text[i:j])
-                    if at is None:
-                        if j > i + 1:
-                            continue
-                        at = unknown
-                    word.append(w)
-                    start.append(i)
-                    end.append(j)
-                    piece.append(at)
-        self.word, self.start, self.end, self.piece = (np.array(x, np.int64) for x in (word, start, end, piece))
+    def __init__(self, words: list[str], pieces: Pieces):
+        self.word, self.start, self.end, self.piece = pieces.edges(words)
         self.lengths = np.array([len(w) + 1 for w in words], np.int64)
 
-    def forward(self, odds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """odds: a piece's probability by (piece, language). Gives log sums by (word, language), and scaled sums with their scales."""
+    def forward(self, odds: np.ndarray) -> np.ndarray:
+        """Log sums over all segmentations by (word, language), from a piece's probability by (piece, language)."""
+        if self.lengths.max(initial=0) > LONGEST_LEARNED + 1:
+            return self._scaled_forward(odds)
+        return np.log(self._sums(odds, self.word, self.start, self.end)[self.lengths, np.arange(len(self.lengths))])
+
+    def _sums(self, odds: np.ndarray, word: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Sums of what leads to each place, by (place, word, language); short words need no scaling."""
+        n_words, longest, langs = len(self.lengths), int(self.lengths.max(initial=0)), odds.shape[1]
+        sums = np.zeros((longest + 1, n_words, langs))
+        sums[0] = 1.0
+        order = np.argsort(end, kind="stable")
+        cuts = np.searchsorted(end[order], np.arange(longest + 2))
+        for j in range(1, longest + 1):
+            edges = order[cuts[j] : cuts[j + 1]]
+            w = word[edges]
+            part = sums[start[edges], w] * odds[self.piece[edges]]
+            for k in range(langs):
+                sums[j, :, k] = np.bincount(w, part[:, k], n_words)
+        return sums
+
+    def _scaled_forward(self, odds: np.ndarray) -> np.ndarray:
         n_words, longest, langs = len(self.lengths), int(self.lengths.max(initial=0)), odds.shape[1]
-        alpha = np.zeros((longest + 1, n_words, langs))
-        scale = np.zeros((longest + 1, n_words, langs))
+        alpha, scale = np.zeros((longest + 1, n_words, langs)), np.zeros((longest + 1, n_words, langs))
         alpha[0] = 1.0
         order = np.argsort(self.end, kind="stable")
         cuts = np.searchsorted(self.end[order], np.arange(longest + 2))
@@ -100,34 +155,18 @@ class Lattice:
             reached = total > 0
             scale[j] = scale[j - 1] + np.log(np.where(reached, total, 1.0))
             alpha[j] = reached
-        at = (self.lengths, np.arange(n_words))
-        return scale[at], alpha, scale
+        return scale[self.lengths, np.arange(n_words)]
 
     def expected(self, odds: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece by (piece, language), words weighed by counts of (word, language)."""
-        logs, alpha, scale = self.forward(odds)
-        n_words, longest, langs = len(self.lengths), int(self.lengths.max(initial=0)), odds.shape[1]
-        behind = np.full((longest + 1, n_words, langs), -np.inf)
-        behind[self.lengths, np.arange(n_words)] = 0.0
-        order = np.argsort(self.start, kind="stable")
-        cuts = np.searchsorted(self.start[order], np.arange(longest + 2))
-        log_odds = np.log(odds)
-        uses = np.zeros(odds.shape)
-        for i in range(longest - 1, -1, -1):
-            edges = order[cuts[i] : cuts[i + 1]]
-            w, j = self.word[edges], self.end[edges]
-            tail = log_odds[self.piece[edges]] + behind[j, w]
-            chance = np.exp(scale[i, w] + tail - logs[w]) * counts[w]
-            for k in range(langs):
-                uses[:, k] += np.bincount(self.piece[edges], chance[:, k], len(odds))
-            with np.errstate(divide="ignore"):
-                peak = np.full((n_words, langs), -np.inf)
-                np.maximum.at(peak, w, tail)
-                safe = np.where(np.isfinite(peak), peak, 0.0)
-                sums = np.stack([np.bincount(w, np.exp(tail - safe[w])[:, k], n_words) for k in range(langs)], axis=1)
-                found = np.log(sums) + safe
-            behind[i] = np.where(np.isfinite(found), found, behind[i])
-        return uses
+        before = self._sums(odds, self.word, self.start, self.end)
+        # the same sums from the words' ends
+        size = self.lengths[self.word]
+        behind = self._sums(odds, self.word, size - self.end, size - self.start)
+        total = before[self.lengths, np.arange(len(self.lengths))]
+        chance = before[self.start, self.word] * odds[self.piece] * behind[size - self.end, self.word]
+        chance *= (counts / total)[self.word]
+        return np.stack([np.bincount(self.piece, chance[:, k], len(odds)) for k in range(odds.shape[1])], axis=1)
 
 
 def runs(chunk: str) -> list[str]:
@@ -186,13 +225,13 @@ def learn(docs: DataFrame, model_file: str, sample_docs: int = SAMPLE_DOCS, roun
         shared = spark.sparkContext.broadcast((pieces, odds))
 
         def count(batches, shared=shared):
-            pieces, odds = shared.value
-            ids = {p: i for i, p in enumerate(pieces)}
+            names, odds = shared.value
+            pieces = Pieces(names)
             uses = np.zeros(odds.shape)
             for batch in batches:
                 if batch.num_rows:
                     n = np.stack([batch.column(k + 1).to_numpy().astype(float) for k in range(odds.shape[1])], axis=1)
-                    uses += Lattice(batch.column(0).to_pylist(), ids).expected(odds, n)
+                    uses += Lattice(batch.column(0).to_pylist(), pieces).expected(odds, n)
             piece, lang = np.nonzero(uses)
             columns = [pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(uses[piece, lang])]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -209,40 +248,63 @@ def learn(docs: DataFrame, model_file: str, sample_docs: int = SAMPLE_DOCS, roun
 
 
 class Scorer:
-    """Log probabilities of white-space separated pieces of text, kept by piece of text."""
+    """Log probabilities of white-space separated pieces of text, kept by piece of text and by word."""
 
     def __init__(self, model: dict):
-        self.ids = {p: i for i, p in enumerate(model["pieces"])}
-        self.odds = model["odds"]
+        self.pieces, self.odds = Pieces(model["pieces"]), model["odds"]
+        self.chunks = Kept(self.odds.shape[1], self._chunks)
+        self.words = Kept(self.odds.shape[1], self._words)
+
+    def _words(self, words: list[str]) -> np.ndarray:
+        logs = np.zeros((len(words), self.odds.shape[1]))
+        # words of like length together, as shorter ones would wait for longer ones
+        by_length = sorted(range(len(words)), key=lambda i: len(words[i]))
+        at = 0
+        while at < len(by_length):
+            longest = len(words[by_length[min(at + 4096, len(by_length)) - 1]])
+            part = by_length[at : at + max(1, min(4096, 200_000 // (longest + 1)))]
+            logs[part] = Lattice([words[i] for i in part], self.pieces).forward(self.odds)
+            at += len(part)
+        return logs
+
+    def _chunks(self, chunks: list[str]) -> np.ndarray:
+        found = [runs(c) for c in chunks]
+        words = list({w for f in found for w in f})
+        place = dict(zip(words, range(len(words)), strict=True))
+        rows = self.words.of(words)
+        of = np.repeat(np.arange(len(found)), [len(f) for f in found])
+        at = [place[w] for f in found for w in f]
+        return np.stack([np.bincount(of, rows[at, k], len(found)) for k in range(rows.shape[1])], axis=1)
+
+    def of(self, chunks: list[str]) -> np.ndarray:
+        """A row of log probabilities for each chunk; chunks without letters have zeros."""
+        return self.chunks.of(chunks)
+
+
+class Kept:
+    """Rows of numbers by text, made when first asked for; emptied when there are too many."""
+
+    def __init__(self, width: int, make):
+        self.width, self.make = width, make
         self._empty()
 
     def _empty(self) -> None:
         self.place: dict[str, int] = {}
-        self.rows = np.zeros((0, self.odds.shape[1]))
+        self.rows = np.zeros((1024, self.width))
 
-    def of(self, chunks: list[str]) -> np.ndarray:
-        """A row of log probabilities for each chunk; chunks without letters have zeros."""
+    def of(self, texts: list[str]) -> np.ndarray:
         if len(self.place) > WORDS_KEPT:
             self._empty()
-        new = [c for c in chunks if c not in self.place]
+        new = [t for t in texts if t not in self.place]
         if new:
-            found = [runs(c) for c in new]
-            words = sorted({w for f in found for w in f})
-            logs = np.zeros((len(words), self.odds.shape[1]))
-            # words of like length together, as shorter ones would wait for longer ones
-            by_length = sorted(range(len(words)), key=lambda i: len(words[i]))
-            at = 0
-            while at < len(by_length):
-                longest = len(words[by_length[min(at + 4096, len(by_length)) - 1]])
-                step = max(1, min(4096, 200_000 // (longest + 1)))
-                part = by_length[at : at + step]
-                logs[part] = Lattice([words[i] for i in part], self.ids).forward(self.odds)[0]
-                at += step
-            place = {w: i for i, w in enumerate(words)}
-            rows = np.array([logs[[place[w] for w in f]].sum(axis=0) if len(f) != 1 else logs[place[f[0]]] for f in found])
-            self.place.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
-            self.rows = np.concatenate([self.rows, rows])
-        return self.rows[[self.place[c] for c in chunks]]
+            held = len(self.place)
+            if held + len(new) > len(self.rows):
+                grown = np.zeros((2 * (held + len(new)), self.width))
+                grown[:held] = self.rows[:held]
+                self.rows = grown
+            self.rows[held : held + len(new)] = self.make(new)
+            self.place.update(zip(new, range(held, held + len(new)), strict=True))
+        return self.rows[[self.place[t] for t in texts]]
 
 
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"

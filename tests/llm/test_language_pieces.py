@@ -25,9 +25,11 @@ def test_forward_sums_all_segmentations():
     ids = {p: i for i, p in enumerate(lang.vocabulary(MODEL))}
     odds = np.random.default_rng(0).random((len(ids) + 1, 2))
     odds /= odds.sum(axis=0)
-    words = ["the", "über", "çon", "x", "tionthe", "дом"]
-    got, _, _ = lang.Lattice(words, ids).forward(odds)
-    uses = lang.Lattice(words, ids).expected(odds, np.ones((len(words), 2)))
+    words = ["the", "über", "çon", "x", "tionthe", "дом", "日本", "thex"]
+    pieces = lang.Pieces(lang.vocabulary(MODEL))
+    got = lang.Lattice(words, pieces).forward(odds)
+    assert np.allclose(got, lang.Lattice(words, pieces)._scaled_forward(odds))
+    uses = lang.Lattice(words, pieces).expected(odds, np.ones((len(words), 2)))
     want_uses = np.zeros_like(odds)
     for w, word in enumerate(words):
         for k in range(2):
@@ -45,9 +47,9 @@ def test_forward_sums_all_segmentations():
 
 
 def test_a_very_long_word_has_a_finite_score():
-    ids = {p: i for i, p in enumerate(lang.vocabulary(MODEL))}
-    odds = np.full((len(ids) + 1, 2), 1e-5)
-    assert np.isfinite(lang.Lattice(["the" * 20_000], ids).forward(odds)[0]).all()
+    pieces = lang.Pieces(lang.vocabulary(MODEL))
+    odds = np.full((pieces.unknown + 1, 2), 1e-5)
+    assert np.isfinite(lang.Lattice(["the" * 20_000], pieces).forward(odds)).all()
 
 
 def test_held_out_documents_are_told_apart(documents):
