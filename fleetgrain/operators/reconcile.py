@@ -134,16 +134,19 @@ def unprocessed_days(manifests: DataFrame, processed: DataFrame) -> DataFrame:
 
 
 def newest_bundles(bundles: DataFrame, keep: int, keys: list[str]) -> DataFrame:
-    """Day bundles with a manifest, the newest `keep` marked published, the rest skipped.
+    """Day bundles with a manifest, those of the newest `keep` days marked published, the rest skipped.
 
-    One row per day bundle of a network enters the window.
+    Only the newest days of each network are ranked, which tasks cut before
+    they are shuffled; the oldest of them is the limit for all bundles.
     """
     if keep <= 0:
         raise ValueError(f"the number of days must be positive, got {keep}")
+    ready = bundles.filter("has_manifest").select(*keys, "service_date")
     order = Window.partitionBy(*keys).orderBy(F.col("service_date").desc())
-    return bundles.filter("has_manifest").select(
-        *keys, "service_date", (F.row_number().over(order) <= keep).alias("published")
-    )
+    newest = ready.distinct().withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= keep)
+    limits = newest.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min("service_date").alias("_limit"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return ready.join(limits, same).select(*keys, "service_date", (F.col("service_date") >= F.col("_limit")).alias("published"))
 
 
 def attribution_conflicts(bundles: DataFrame, keys: list[str]) -> DataFrame:
