@@ -29,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
         large = both.join(least, F.col("u") == F.col("w")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = cut_lineage(large.distinct())
+        large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         rest = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = cut_lineage(rest.unionAll(least.select("u", F.col("m").alias("v"))).distinct())

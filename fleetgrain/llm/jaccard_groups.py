@@ -5,23 +5,28 @@ sets form a class, and only classes are compared. A group is the classes with
 the same smallest token (near copies mostly share it), dealt by hash into blocks
 of about `BLOCK_CLASSES`, so a group of any size is many bounded blocks.
 
-Matrix. Two sets with Jaccard similarity s or more share a token among the first
-|A| - ceil(s |A|) + 1 of each, in any common order of tokens. The order puts
-tokens known to be frequent last, so passages that many documents share rarely
-count. Rows (token, block, class) of these first tokens are the part of the
-token-group matrix that can open a block.
-
-Opening. A class visits a block when a first token of it is in the block. There
-the bound is taken on the block's whole token union: fewer than ceil(s |Q|) of
-the visitor's tokens in it, and no member is looked at. Otherwise its overlaps
-with all members are counted at once and each pair is judged exactly.
-
-Rounds. First every block links its own members, and each class visits, for each
-of its tokens, the first block that has it: a cluster of n near copies makes
-visits in proportion to n, not to n squared. Components of those links are
-taken, and only tokens still spread over several components make further
-visits, of the rest of their blocks. After that no pair that could be linked is
-untested, except between classes that are in one component already.
+Matrix. Linked sets A and B share ceil(s |A|) tokens at least. So, in any common
+order of tokens, the first |A| - ceil(s |A|) + l of A and as many of B, taken by
+its size, share l or more. With l as a tenth of the set and one, rows (token,
+block, class) of these first tokens are the part of the token-group matrix that
+opens blocks. The order puts tokens known to be frequent last, so passages that
+many documents share rarely count.
+
+Opening. A class visits a block that holds `bound` of its first tokens or more.
+There the bound is taken on the block's whole token union: fewer than
+ceil(s |Q|) of the visitor's tokens in it, and no member is looked at. Otherwise
+its overlaps with all members are counted at once and each pair is judged
+exactly.
+
+Rounds. First every block links its own members, and a class visits the blocks
+that are the first ones of enough of its tokens: a cluster of n near copies
+makes visits in proportion to n, not to n squared. Components of those links are
+taken, and as long as some grow together, each class visits, token by token, the
+first block of another component. Only tokens that are then still spread over
+several components, of classes that the union of all the others allows a link,
+open further blocks, in groups made anew from the tokens they share, and by the
+rarest of them. After that no pair that could be linked is untested, except
+within one component.
 
 Blocks with many visitors are dealt out in several copies. Nothing is capped:
 the table of frequent tokens has a fixed size, but it only orders tokens.
@@ -38,7 +43,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetgrain.llm.common import WordCodes, slices
@@ -47,7 +52,7 @@ from fleetgrain.session import cut_lineage
 
 WORDS = 5
 PERCENT = 80
-BLOCK_CLASSES = 64
+BLOCK_CLASSES = 256
 VISITS_PER_COPY = 4096
 
 #: Frequent tokens known to all tasks, and how they are noticed: in `CHUNK`
@@ -95,6 +100,17 @@ def needed(n, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
+def lead(n):
+    """First tokens that a set of n has beyond those it may miss, and so shares with a linked set of its size."""
+    return n // 10 + 1
+
+
+def bound(n: Column, percent: int) -> Column:
+    """First tokens of a set of n that are in any set it is linked with: the lead of the smallest such set."""
+    smallest = F.floor((percent * n + 99) / 100)
+    return F.floor(smallest / 10) + 1
+
+
 def digest(tokens: np.ndarray) -> tuple[int, int]:
     both = xxhash.xxh128_intdigest(tokens.tobytes())
     return _signed(both >> 64), _signed(both & (2**64 - 1))
@@ -162,7 +178,7 @@ def first_tokens(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], words
                 if key in known:
                     continue
                 known.add(key)
-                size = len(tokens) - needed(len(tokens), percent) + 1
+                size = min(len(tokens), len(tokens) - needed(len(tokens), percent) + lead(len(tokens)))
                 if len(common):
                     at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
                     often = np.where(common[at] == tokens, counts[at], 0)
@@ -217,6 +233,33 @@ class Block:
         return list({self.find(int(j)): self.ids[int(j)] for j in self.linked(tokens)}.values())
 
 
+#: A filter of so many bits tells which texts a join needs, whatever their number.
+FILTER_BITS = 1 << 26
+_BITS_IN_ROW = 32_768
+
+
+def only_called(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents whose doc_id may be among `ids` (rep): all of those, and a few others.
+
+    A bitmap of the ids' hashes, at most FILTER_BITS long, is broadcast, so other texts need not be shuffled.
+    """
+    place = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS)) + 1
+    bits = (
+        ids.select(place.alias("place"))
+        .groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    )
+    bits = cut_lineage(bits)  # FILTER_BITS / 8 bytes at most
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    byte = "cast(conv(hex(substring(bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)"
+    return (
+        docs.withColumns({"of": F.floor(at / _BITS_IN_ROW) + 1, "bit": at % _BITS_IN_ROW})
+        .join(F.broadcast(bits), F.col("of") == F.col("bucket"))
+        .where(f"shiftright({byte}, cast(bit % 8 as int)) & 1 = 1")
+        .select("doc_id", "text")
+    )
+
+
 def open_blocks(docs: DataFrame, calls: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) found by calls (rep, k1, block, visitor, copy).
 
@@ -225,8 +268,9 @@ def open_blocks(docs: DataFrame, calls: DataFrame, words: int = WORDS, percent:
     """
     to = F.struct("block", "visitor", "copy")
     by_rep = calls.groupBy("rep", "k1").agg(F.collect_list(to).alias("places"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     called = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        only_called(texts, calls)
         .join(by_rep.hint("shuffle_hash"), F.col("doc_id") == F.col("rep"))
         .select("rep", "k1", "text", F.col("places.block"), F.col("places.visitor"), F.col("places.copy"))
     )
@@ -340,15 +384,24 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     matrix = matrix.withColumns({"lo": F.min("block").over(by_token), "hi": F.max("block").over(by_token)})
     matrix = cut_lineage(matrix.where("lo != hi").drop("hi"))
 
-    visits = cut_lineage(matrix.where("block != lo").select("rep", "k1", F.col("lo").alias("block")).distinct())
-    links = cut_lineage(open_blocks(docs, _calls(classes, visits, own=True), words, percent))
+    visits = cut_lineage(_enough(matrix.where("block != lo").select("rep", "k1", "n", F.col("lo").alias("block")), percent))
+    calls = cut_lineage(_calls(classes, visits, own=True))
+    links = cut_lineage(open_blocks(docs, calls, words, percent))
     roots = cut_lineage(components(links))
 
-    more = cut_lineage(_other_visits(matrix, roots, percent))
-    if more.limit(1).count():
-        found = cut_lineage(open_blocks(docs, _calls(classes, more, own=False), words, percent))
-        joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found)
-        roots = cut_lineage(components(joined))
+    joins = None
+    while True:
+        mixed = cut_lineage(_mixed_tokens(matrix, roots, percent))
+        before, joins = joins, roots.where("node != root").count()
+        star = cut_lineage(_star_visits(mixed, percent).join(visits, ["rep", "block"], "left_anti"))
+        if joins == before or star.isEmpty():
+            break
+        roots, visits = _open_more(docs, classes, roots, visits, star, words, percent)
+    spread = cut_lineage(_spread_tokens(docs, mixed, words, percent))
+    if not spread.isEmpty():
+        groups = _regrouped(spread)
+        rest = cut_lineage(_other_visits(_rarest(spread, percent), groups, percent))
+        roots, _ = _open_more(docs, groups, roots, rest, rest, words, percent, own=True)
     return placed.join(roots, F.col("rep") == F.col("node"), "left").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
@@ -356,25 +409,107 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     )
 
 
-def _other_visits(matrix: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Visits to blocks of tokens that still lie in several components, but for those made before."""
+def _open_more(docs, classes, roots, visits, more, words, percent, own=False) -> tuple[DataFrame, DataFrame]:
+    """Components and visits after further visits."""
+    calls = cut_lineage(_calls(classes, more, own))
+    found = cut_lineage(open_blocks(docs, calls, words, percent))
+    joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found)
+    return cut_lineage(components(joined)), cut_lineage(visits.unionByName(more))
+
+
+def _enough(shared: DataFrame, percent: int) -> DataFrame:
+    """(rep, k1, block) of those rows, one per shared token, that come often enough to allow a link."""
+    counted = shared.groupBy("rep", "k1", "n", "block").agg(F.count(F.lit(1)).alias("shared"))
+    return counted.where(F.col("shared") >= bound(F.col("n"), percent)).select("rep", "k1", "block")
+
+
+def _mixed_tokens(matrix: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Rows of tokens that lie in several components, of classes with enough such tokens to be linked with another."""
     by_token = Window.partitionBy("token")
-    label = F.coalesce("root", "rep")
-    open_rows = (
+    mixed = cut_lineage(
         matrix.join(roots, F.col("rep") == F.col("node"), "left")
-        .select("token", "rep", "k1", "block", "n", "lo", label.alias("label"))
+        .select("token", "rep", "k1", "block", "n", F.coalesce("root", "rep").alias("label"))
         .withColumns({"one": F.min("label").over(by_token), "two": F.max("label").over(by_token)})
         .where("one != two")
         .drop("one", "two")
     )
-    open_rows = cut_lineage(open_rows)
-    held = open_rows.groupBy("token", F.col("block").alias("other"), F.col("label").alias("other_label")).agg(
-        F.min("n").alias("small"), F.max("n").alias("large")
+    able = _enough(mixed.select("rep", "k1", "n", F.lit(0).alias("block")), percent)
+    return mixed.join(able.select("rep"), "rep", "left_semi")
+
+
+def _regrouped(spread: DataFrame) -> DataFrame:
+    """(rep, k1, block) of classes in new groups, by the smallest of the tokens they share.
+
+    Edited copies of one text differ in their smallest token, mostly one of
+    their own, but agree in the smallest that others have too.
+    """
+    least = cut_lineage(spread.groupBy("rep", "k1").agg(F.min("token").alias("least")))
+    parts = least.groupBy("least").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).alias("parts"))
+    block = F.xxhash64("least", F.pmod("k1", "parts")).alias("block")
+    return cut_lineage(least.join(parts, "least").select("rep", "k1", block))
+
+
+def _star_visits(mixed: DataFrame, percent: int) -> DataFrame:
+    """For each class and token the first block of another component: as many rows as tokens, however large a group is."""
+    by_token = Window.partitionBy("token")
+    first = mixed.withColumn("first", F.min(F.struct("block", "label")).over(by_token))
+    other = F.when(F.col("label") != F.col("first.label"), F.col("block"))
+    chosen = first.withColumn("second", F.min(other).over(by_token)).withColumn(
+        "other", F.when(F.col("label") != F.col("first.label"), F.col("first.block")).otherwise(F.col("second"))
+    )
+    return _enough(chosen.where("other != block").select("rep", "k1", "n", F.col("other").alias("block")), percent)
+
+
+def _spread_tokens(docs: DataFrame, mixed: DataFrame, words: int, percent: int) -> DataFrame:
+    """(rep, k1, n, label, token): all tokens, not the first ones only, that several components have.
+
+    Only of classes with ceil(s n) such tokens or more. This is the bound of a
+    block taken on the union of all other components at once: it drops classes
+    that share much with a large group and yet too little for any of it.
+    """
+    reps = cut_lineage(mixed.select("rep", "k1", "n", "label").distinct())
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    called = only_called(texts, reps).join(reps.hint("shuffle_hash"), F.col("doc_id") == F.col("rep"))
+    names = ("rep", "k1", "n", "label", "token")
+    schema = pa.schema([(name, pa.int64()) for name in names])
+
+    def every_token(batches):
+        for batch in slices(batches):
+            for i, tokens in enumerate(token_sets(batch.column(0), words)):
+                facts = [batch.column(c)[i].as_py() for c in range(1, 5)]
+                if digest(tokens)[0] == facts[1]:
+                    columns = [pa.array(np.full(len(tokens), x, np.int64)) for x in facts]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(tokens.view(np.int64))], schema=schema)
+
+    rows = called.select("text", "rep", "k1", F.col("n").cast("long").alias("n"), "label")
+    rows = rows.mapInArrow(every_token, ", ".join(f"{name} long" for name in names)).distinct()
+    by_token, by_rep = Window.partitionBy("token"), Window.partitionBy("rep", "k1")
+    spread = rows.withColumn("spread", F.min("label").over(by_token) != F.max("label").over(by_token)).where("spread")
+    shared = spread.withColumn("shared", F.count(F.lit(1)).over(by_rep))
+    return shared.where(F.col("shared") >= F.ceil(F.col("n") * percent / 100)).select(*names)
+
+
+def _rarest(spread: DataFrame, percent: int) -> DataFrame:
+    """The first |A| - ceil(s |A|) + 1 tokens of each class, tokens of one component before, then by rarity.
+
+    Two linked classes of different components share one of these.
+    """
+    by_token, by_rep = Window.partitionBy("token"), Window.partitionBy("rep", "k1")
+    counted = spread.withColumns({"seen": F.count(F.lit(1)).over(by_token), "shared": F.count(F.lit(1)).over(by_rep)})
+    place = F.row_number().over(by_rep.orderBy("seen", "token"))
+    allowed = F.col("shared") - F.ceil(F.col("n") * percent / 100) + 1
+    return counted.withColumn("place", place).where(F.col("place") <= allowed).select(*spread.columns)
+
+
+def _other_visits(first: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """All visits by classes to blocks that share a first token and hold a class of another component."""
+    rows = cut_lineage(first.join(groups, ["rep", "k1"]))
+    held = rows.groupBy("token", F.col("block").alias("other")).agg(
+        F.min("n").alias("small"), F.max("n").alias("large"), F.min("label").alias("one"), F.max("label").alias("two")
     )
-    # a block's members of a size that allows a link, in another component
-    fits = f"100 * large >= {percent} * n and {percent} * small <= 100 * n"
-    fits = f"block > other and other != lo and label != other_label and {fits}"
-    return open_rows.join(held, "token").where(fits).select("rep", "k1", F.col("other").alias("block")).distinct()
+    # and one of a size that allows a link
+    fits = f"block > other and not (one = label and two = label) and 100 * large >= {percent} * n and {percent} * small <= 100 * n"
+    return rows.join(held, "token").where(fits).select("rep", "k1", F.col("other").alias("block")).distinct()
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
