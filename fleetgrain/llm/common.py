@@ -18,7 +18,7 @@ from fleetgrain.session import apply_conf
 ROWS_PER_BATCH = 1000
 
 #: Bytes of text that a kernel takes up at once; one text may be longer.
-BYTES_AT_ONCE = 16 << 20
+BYTES_AT_ONCE = 4 << 20
 
 #: `bytes.split()` without argument splits on these and nothing else.
 WHITE_BYTES = b" \t\n\r\x0b\x0c"
@@ -34,16 +34,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def kept_by_worker(key: str, build: Callable[[], object]) -> object:
+def kept_by_worker(kind: str, key: str, build: Callable[[], object]) -> object:
     """What `build` gives, made once in a Python worker and used by its later tasks.
 
-    Kernels travel by value, so their module globals live for one task only.
+    Kernels travel by value, so their module globals live for one task only. Of
+    each kind a worker keeps the last one, so earlier jobs' leave its memory.
     """
     home = sys.modules.setdefault("_llm_worker", types.ModuleType("_llm_worker"))
     held = home.__dict__.setdefault("held", {})
-    if key not in held:
-        held[key] = build()
-    return held[key]
+    if held.get(kind, ("",))[0] != key:
+        held.pop(kind, None)
+        held[kind] = (key, build())
+    return held[kind][1]
 
 
 def column(batch: pa.RecordBatch, name: str) -> list:

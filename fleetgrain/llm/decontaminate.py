@@ -90,9 +90,9 @@ SCANNED = (
 )
 
 
-def _scan_part(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
+def _scan_part(docs: DataFrame, part: int, items: list[tuple], window: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
-    key = f"automaton-{uuid.uuid4().hex}"
+    key = uuid.uuid4().hex
     longs = pa.list_(pa.int64())
     schema = pa.schema(
         [("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_words", pa.int64()), ("first_words", longs)]
@@ -100,7 +100,7 @@ def _scan_part(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
     )
 
     def batch_columns(batch):
-        machine = kept_by_worker(key, lambda: automaton(patterns(shared.value, window)))
+        machine = kept_by_worker(f"automaton-{part}", key, lambda: automaton(patterns(shared.value, window)))
         made = {f.name: [] for f in schema}
         for raw in encoded(batch, "text"):
             text = word_text(raw)
@@ -161,7 +161,7 @@ def _parts(benchmark: DataFrame, part_words: int) -> list[list[tuple]]:
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:
     """One row per document with hit word intervals, their spans in the original and the item ids."""
-    parts = [_scan_part(docs, items, window) for items in _parts(benchmark, part_words)]
+    parts = [_scan_part(docs, k, items, window) for k, items in enumerate(_parts(benchmark, part_words))]
     return parts[0] if len(parts) == 1 else _merge_parts(reduce(DataFrame.unionByName, parts), len(parts))
 
 
@@ -186,18 +186,18 @@ def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_word
 def keep(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:
     """The documents, with all their columns, without a word inside a benchmark passage."""
 
-    def clean_of(items):
+    def clean_of(part, items):
         shared = docs.sparkSession.sparkContext.broadcast(items)
-        key = f"automaton-{uuid.uuid4().hex}"
+        key = uuid.uuid4().hex
 
         def clean(batch):
-            machine = kept_by_worker(key, lambda: automaton(patterns(shared.value, window)))
+            machine = kept_by_worker(f"automaton-{part}", key, lambda: automaton(patterns(shared.value, window)))
             if not len(machine):
                 return [True] * batch.num_rows
             return [next(machine.iter(word_text(raw)), None) is None for raw in encoded(batch, "text")]
 
         return clean
 
-    for items in _parts(benchmark, part_words):
-        docs = filter_rows(docs, clean_of(items))
+    for part, items in enumerate(_parts(benchmark, part_words)):
+        docs = filter_rows(docs, clean_of(part, items))
     return docs

@@ -45,7 +45,7 @@ ROUNDS = 3
 #: Longer words are scored, but not learned from.
 LONGEST_LEARNED = 40
 LONGEST_PIECE = 8
-WORDS_KEPT = 400_000
+WORDS_KEPT = 300_000
 SMOOTHING = 0.1
 START = "▁"
 
@@ -313,7 +313,7 @@ RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 def predict(docs: DataFrame, model: dict | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    key = f"pieces-{uuid.uuid4().hex}"
+    key = uuid.uuid4().hex
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def batch_columns(batch):
@@ -321,7 +321,7 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
         made = {"doc_id": column(batch, "doc_id"), "held_out": column(batch, "held_out"), "lang_pred": [], "score": []}
         if not model:
             return made | {"lang_pred": ["und"] * batch.num_rows, "score": [0.0] * batch.num_rows}
-        scorer = kept_by_worker(key, lambda: Scorer(model))
+        scorer = kept_by_worker("language", key, lambda: Scorer(model))
         words = WordCodes(batch.column(batch.schema.get_field_index("text")), lower=True)
         rows = scorer.of(words.distinct) if words.distinct else np.zeros((0, len(model["langs"])))
         doc = np.repeat(np.arange(len(words)), np.diff(words.ends))

@@ -46,7 +46,7 @@ LANES = 64
 TAIL = "<6Q8s"
 
 #: Words a worker keeps with their ids; a bound on memory, not on what is encoded.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000
 JOINED_WORDS = 64
 
 
@@ -258,7 +258,7 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id
     schema = pa.schema([("file", pa.string()), ("part", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
     def write(batches):
-        encoder = kept_by_worker(f"words-{tokenizer}", lambda: WordEncoder(tokenizer))
+        encoder = kept_by_worker("words", tokenizer, lambda: WordEncoder(tokenizer))
         part = TaskContext.get().partitionId()
         name, writer = f"{folder}/{part:06d}-{uuid.uuid4().hex}.ids", None
         for batch in slices(batches):
