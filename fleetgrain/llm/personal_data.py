@@ -3,8 +3,9 @@
 Plain identifiers (email, ip, card, phone) are found in the text itself. Then a
 chain of transducers rewrites disguises: look-alike and full-width characters
 and foreign digits to ASCII, invisible characters to nothing, spelled digits to
-digits, and `(at)`, `[dot]`, ` at ... dot ... ` to signs. Each rewritten
-character remembers the source characters it stands for, the same detectors run
+digits, and `(at)`, `[dot]`, ` at ... dot ... ` to signs; words may stand
+between any white space, lines too, and a domain may mix plain, spelled and
+bracketed dots. Each rewritten character remembers the source characters it stands for, the same detectors run
 over the result, and what they find goes back to the source. A disguised find
 that lies inside a plain one of its kind is the same find and is not added.
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 import unicodedata
 
 import pyarrow as pa
@@ -119,23 +121,35 @@ _DIGIT_WORD = f"(?:(?:{'|'.join(_TIMES)})[ ])?(?:{'|'.join(sorted(_SPELLED, key=
 _DIGIT_RUN = re.compile(
     rf"(?<!\w)(?:plus[ ,]+)?{_DIGIT_WORD}(?:[ ,\n-]{{1,2}}(?:{_DIGIT_WORD}|[0-9]|dot(?=[ ,]))(?!\w)){{3,}}", re.IGNORECASE
 )
-_OPEN, _CLOSE = r"[ ]*[\[({<][ ]*", r"[ ]*[\])}>][ ]*"
+_WHITE = f"[{''.join(c for c in map(chr, range(sys.maxunicode)) if c.isspace())}]"
+# white space is taken from where it starts only, so a long run is walked once
+_OPEN, _CLOSE = rf"(?:(?<!{_WHITE}){_WHITE}+)?[\[({{<]{_WHITE}*", rf"{_WHITE}*[\])}}>]{_WHITE}*"
 _DOT_WORD = "(?:dot|punkt|punto|point)"
+_LABEL = "[A-Za-z0-9-]++"
 _SIGNS = [
     (re.compile(rf"{_OPEN}(?:at|@|arroba){_CLOSE}", re.IGNORECASE), "@"),
+    # before bracketed dots are read: a domain with plain dots up to one that is spelled or in brackets
+    (
+        re.compile(
+            rf"(?<=[A-Za-z0-9]){_WHITE}+(?:at|arroba){_WHITE}+(?!(?:the|an?|this|that){_WHITE})"
+            rf"(?={_LABEL}(?:\.{_LABEL})*+(?:{_WHITE}+{_DOT_WORD}{_WHITE}+|{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE})[A-Za-z0-9-])",
+            re.IGNORECASE,
+        ),
+        "@",
+    ),
     (re.compile(rf"{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE}", re.IGNORECASE), "."),
-    (re.compile(rf"(?<=[A-Za-z0-9])[ ]+(?:at|arroba)[ ]+(?!(?:the|an?|this|that)[ ])(?=[A-Za-z0-9-]+(?:[ ]+{_DOT_WORD}[ ]+[A-Za-z0-9-]+)+)", re.IGNORECASE), "@"),
     (re.compile(r"(?<=[A-Za-z0-9])[ ]+@[ ]*(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@[ ]+(?=[A-Za-z0-9])"), "@"),
 ]
 # a spelled or parted dot counts around an @ only
-_DOTTED = re.compile(rf"(?<![A-Za-z0-9])[A-Za-z0-9]+(?:[ ]+{_DOT_WORD}[ ]+[A-Za-z0-9]+)*@[A-Za-z0-9-]+(?:(?:\.|[ ]+(?:{_DOT_WORD}|\.)[ ]+)[A-Za-z0-9-]+)+", re.IGNORECASE)
-_DOT = re.compile(rf"[ ]+(?:{_DOT_WORD}|\.)[ ]+", re.IGNORECASE)
+_SPELLED_DOT = f"{_WHITE}+{_DOT_WORD}{_WHITE}+"
+_DOTTED = re.compile(rf"(?<![A-Za-z0-9])[A-Za-z0-9]+(?:{_SPELLED_DOT}[A-Za-z0-9]+)*@[A-Za-z0-9-]+(?:(?:\.|{_SPELLED_DOT}|[ ]+\.[ ]+)[A-Za-z0-9-]+)+", re.IGNORECASE)
+_DOT = re.compile(rf"{_SPELLED_DOT}|[ ]+\.[ ]+", re.IGNORECASE)
 # for Arrow's linear-time matcher: every text that some rule above can change matches one of them
 _HINTS = (
     f"[{_STRANGE_SET}]",
     rf"(?i){_DIGIT_WORD}(?:[ ,\n-]{{1,2}}(?:{_DIGIT_WORD}|[0-9]|dot)){{3}}",
-    rf"(?i)[\[({{<][ ]*(?:at|@|arroba|{_DOT_WORD}|\.)[ ]*[\])}}>]|[ ](?:at|arroba)[ ]+[A-Za-z0-9-]+[ ]+{_DOT_WORD}[ ]|[ ]@|@[ ]|@[A-Za-z0-9.-]+[ ]+(?:{_DOT_WORD}|\.)[ ]",
-    rf"(?i)[ ]{_DOT_WORD}[ ]+[A-Za-z0-9]+@",
+    rf"(?i)[\[({{<]{_WHITE}*(?:at|@|arroba|{_DOT_WORD}|\.){_WHITE}*[\])}}>]|[ ]@|@[ ]|@[A-Za-z0-9.-]+(?:{_WHITE}+{_DOT_WORD}{_WHITE}|[ ]+\.[ ])",
+    rf"(?i){_WHITE}(?:at|arroba){_WHITE}+[A-Za-z0-9.-]+{_WHITE}+{_DOT_WORD}{_WHITE}|{_WHITE}{_DOT_WORD}{_WHITE}+[A-Za-z0-9]+@",
 )
 
 

@@ -61,6 +61,45 @@ def test_disguises_map_back_to_the_source(text, kind, find):
     assert [text[a:b] for a, b in every[kind]][:1] == [find]
 
 
+MIXED = [
+    "john at example [dot] com",
+    "jane at mail.example dot com",
+    "jane at mail.example (dot) co dot uk",
+    "john\nat\nexample dot com",
+    "john at\texample\tdot\ncom",
+    "john at example\r\ndot com",
+    "john dot doe at example\n[dot]\ncom",
+    "john\u2003at\u2003example dot com",
+]
+
+
+@pytest.mark.parametrize("find", MIXED)
+def test_mixed_disguises_over_any_white_space(find):
+    import pyarrow as pa
+
+    text = f"write: {find}, please"
+    assert pd.hinted(pa.array([text])) == [True]
+    base, every = pd.find(text)
+    assert base == plain(text) and [text[a:b] for a, b in every["email"]] == [find]
+
+
+def test_long_white_space_and_domains_are_walked_once():
+    for text in ("a at " + "b." * 50_000, "a\n" * 50_000 + "(dot)", "\n" * 200_000 + "[at] x dot y", "x at " * 30_000, "a" + "\t" * 200_000 + "at b dot c"):
+        pd.rewrite(text)
+    for text in ("meet at\nthe dot com", "at noon.\nDot the i", "he is at home.\n dot"):
+        assert not any(pd.find(text)[1].values()), text
+
+
+def test_hints_miss_nothing_over_white_space():
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    parts = ["at", "dot", "(at)", "[dot]", " ", " ", "\n", "\t", "\u2003", "a", "x.y", "@", ".", "com", "the"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 16))) for _ in range(6000)]
+    for text, hint in zip(texts, pd.hinted(pa.array(texts)), strict=True):
+        assert hint or pd.rewrite(text).text == text, text
+
+
 def test_invisible_characters_widen_a_find():
     text = "x jo" + chr(0x200B) + "hn@example.com"
     base, every = pd.find(text)
