@@ -8,7 +8,9 @@ positions go back to the original text through the order of its words.
 
 The automaton is broadcast, so its size is bounded: the benchmark is cut by item
 into parts of about `part_words` words, mostly one, and the documents are
-scanned once for each part; the hits of a document are then merged.
+scanned once for each part. One part at a time is collected, broadcast and
+scanned, and its hits are written before the next, so neither the driver nor a
+worker holds more than one; the hits of a document are then merged.
 
 Defined cases: null or empty texts and items have no words and no hits; an item
 with a null id takes part in hits but is not listed; repeated items are listed
@@ -20,16 +22,18 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetgrain.llm.common import column, encoded, filter_rows, kept_by_worker, rows_kernel
+from fleetgrain.session import cut_lineage
 
 WINDOW = 10
 PART_WORDS = 2_000_000
@@ -90,9 +94,14 @@ SCANNED = (
 )
 
 
-def _scan_part(docs: DataFrame, part: int, items: list[tuple], window: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def _machine_of(shared: Broadcast, window: int) -> Callable[[], ahocorasick.Automaton]:
+    """The automaton of a part; a worker keeps one, whatever the number of parts."""
     key = uuid.uuid4().hex
+    return lambda: kept_by_worker("automaton", key, lambda: automaton(patterns(shared.value, window)))
+
+
+def _scan_part(docs: DataFrame, shared: Broadcast, window: int) -> DataFrame:
+    machine_here = _machine_of(shared, window)
     longs = pa.list_(pa.int64())
     schema = pa.schema(
         [("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_words", pa.int64()), ("first_words", longs)]
@@ -100,7 +109,7 @@ def _scan_part(docs: DataFrame, part: int, items: list[tuple], window: int) -> D
     )
 
     def batch_columns(batch):
-        machine = kept_by_worker(f"automaton-{part}", key, lambda: automaton(patterns(shared.value, window)))
+        machine = machine_here()
         made = {f.name: [] for f in schema}
         for raw in encoded(batch, "text"):
             text = word_text(raw)
@@ -151,17 +160,25 @@ def _merge_parts(every: DataFrame, n_parts: int) -> DataFrame:
     return whole.select("doc_id", "text_key", "n_words", *[F.col(f"hits.{n}").alias(n) for n in names], "items")
 
 
-def _parts(benchmark: DataFrame, part_words: int) -> list[list[tuple]]:
-    """The items in parts of about `part_words` words, each small enough to broadcast."""
+def _each_part(benchmark: DataFrame, part_words: int, scanned: Callable[[Broadcast, bool], DataFrame]) -> list[DataFrame]:
+    """What `scanned` makes of each part of about `part_words` words, told if it is the only one; of several, one is held at a time."""
+    spark = benchmark.sparkSession
     sized = benchmark.select("item_id", "text", (F.length(F.coalesce("text", F.lit(""))) / 2 + 1).alias("size"))
     n_parts = max(1, -(-int(sized.agg(F.sum("size")).first()[0] or 0) // part_words))
     part_of = F.pmod(F.xxhash64("text"), F.lit(n_parts))
-    return [[tuple(r) for r in sized.where(part_of == k).select("item_id", "text").collect()] for k in range(n_parts)]
+    made = []
+    for k in range(n_parts):
+        shared = spark.sparkContext.broadcast([tuple(r) for r in sized.where(part_of == k).select("item_id", "text").collect()])
+        if n_parts == 1:
+            return [scanned(shared, True)]
+        made.append(cut_lineage(scanned(shared, False)))
+        shared.destroy()
+    return made
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:
     """One row per document with hit word intervals, their spans in the original and the item ids."""
-    parts = [_scan_part(docs, k, items, window) for k, items in enumerate(_parts(benchmark, part_words))]
+    parts = _each_part(benchmark, part_words, lambda shared, _: _scan_part(docs, shared, window))
     return parts[0] if len(parts) == 1 else _merge_parts(reduce(DataFrame.unionByName, parts), len(parts))
 
 
@@ -186,18 +203,26 @@ def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_word
 def keep(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:
     """The documents, with all their columns, without a word inside a benchmark passage."""
 
-    def clean_of(part, items):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
-        key = uuid.uuid4().hex
+    def clean_of(shared):
+        machine_here = _machine_of(shared, window)
 
         def clean(batch):
-            machine = kept_by_worker(f"automaton-{part}", key, lambda: automaton(patterns(shared.value, window)))
+            machine = machine_here()
             if not len(machine):
                 return [True] * batch.num_rows
             return [next(machine.iter(word_text(raw)), None) is None for raw in encoded(batch, "text")]
 
         return clean
 
-    for part, items in enumerate(_parts(benchmark, part_words)):
-        docs = filter_rows(docs, clean_of(part, items))
-    return docs
+    # whether a passage occurs depends on the text alone, so of several parts the digests of such texts are written
+    digest, name = F.sha2(F.col("text").cast("binary"), 256), f"hit_{uuid.uuid4().hex}"
+
+    def scanned(shared, only):
+        clean = clean_of(shared)
+        if only:
+            return filter_rows(docs, clean)
+        texts = docs.select("text").where("text is not null")
+        return filter_rows(texts, lambda batch: [not x for x in clean(batch)]).select(digest.alias(name)).distinct()
+
+    parts = _each_part(benchmark, part_words, scanned)
+    return parts[0] if len(parts) == 1 else docs.join(reduce(DataFrame.unionByName, parts), digest == F.col(name), "left_anti")

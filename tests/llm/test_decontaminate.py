@@ -67,6 +67,32 @@ def test_against_all_windows(llm, make_docs, case, part_words):
     assert sorted(str(r["doc_id"]) for r in clean.collect()) == sorted(str(r[0]) for r in plain(docs, items) if not r[5])
 
 
+def test_a_worker_and_the_driver_hold_one_part(llm, make_docs, case, monkeypatch):
+    """Automata that workers hold after a benchmark in many parts, and parts collected before the first is scanned."""
+    import pyarrow as pa
+
+    docs, items = case
+    table = llm.createDataFrame(items, "item_id long, text string")
+    steps, collect, broadcast = [], type(table).collect, type(llm.sparkContext).broadcast
+    monkeypatch.setattr(type(table), "collect", lambda self: steps.append("collect") or collect(self))
+    monkeypatch.setattr(type(llm.sparkContext), "broadcast", lambda self, value: steps.append("broadcast") or broadcast(self, value))
+
+    def held(batches):
+        import sys
+
+        for _ in batches:
+            home = sys.modules.get("_llm_worker")
+            n = sum(kind.startswith("automaton") for kind in (home.held if home else ()))
+            yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    for run in (dc.judge, dc.keep):
+        steps.clear()
+        out = run(make_docs(docs).repartition(1), table, part_words=60)
+        assert steps.count("broadcast") > 3 and steps[1:] == ["collect", "broadcast"] * (len(steps) // 2)  # the first is of the size
+        out.collect()
+        assert max(r["n"] for r in llm.range(0, 400, 1, 16).mapInArrow(held, "n long").collect()) <= 1
+
+
 def test_all_documents_of_the_smallest_tables(documents, benchmark, texts):
     items = [tuple(r) for r in benchmark.select("item_id", "text").collect()]
     assert judged(documents, benchmark) == plain(list(texts.items()), items)
