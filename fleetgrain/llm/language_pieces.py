@@ -29,7 +29,9 @@ from __future__ import annotations
 import re
 import sys
 import uuid
+from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +44,8 @@ from fleetgrain.session import cut_lineage
 
 SAMPLE_DOCS = 1000
 ROUNDS = 3
-#: Longer words are scored, but not learned from.
-LONGEST_LEARNED = 40
-LONGEST_PIECE = 8
+#: Sums over longer words are scaled.
+LONGEST_PLAIN = 40
 WORDS_KEPT = 300_000
 SMOOTHING = 0.1
 START = "▁"
@@ -56,9 +57,7 @@ def vocabulary(model_file: str) -> list[str]:
     """The model's pieces of lower-case letters, with or without the start mark, in a fixed order."""
     model = sentencepiece.SentencePieceProcessor(model_file=model_file)
     pieces = {model.id_to_piece(i) for i in range(model.get_piece_size())}
-    return sorted(
-        p for p in pieces if len(p) <= LONGEST_PIECE and (body := p.removeprefix(START)).isalpha() and body == body.lower()
-    )
+    return sorted(p for p in pieces if (body := p.removeprefix(START)).isalpha() and body == body.lower())
 
 
 class Pieces:
@@ -70,6 +69,7 @@ class Pieces:
 
     def __init__(self, pieces: list[str]):
         self.unknown = len(pieces)
+        self.longest = max(map(len, pieces), default=1)
         points = range(sys.maxunicode + 1)
         self.single = np.full(len(points), self.unknown, np.int32)
         self.letter = np.zeros(len(points), np.int16)
@@ -102,7 +102,7 @@ class Pieces:
         found = [(word, start, start + 1, self.single[points])]
         at = np.arange(len(points))
         node = self.step[0, letters]
-        for size in range(2, LONGEST_PIECE + 1):
+        for size in range(2, self.longest + 1):
             alive = (node > 0) & (at + size <= ends[word[at]])
             at, node = at[alive], node[alive]
             node = self.step[node, letters[at + size - 1]]
@@ -121,7 +121,7 @@ class Lattice:
 
     def forward(self, odds: np.ndarray) -> np.ndarray:
         """Log sums over all segmentations by (word, language), from a piece's probability by (piece, language)."""
-        if self.lengths.max(initial=0) > LONGEST_LEARNED + 1:
+        if self.lengths.max(initial=0) > LONGEST_PLAIN + 1:
             return self._scaled_forward(odds)
         return np.log(self._sums(odds, self.word, self.start, self.end)[self.lengths, np.arange(len(self.lengths))])
 
@@ -141,34 +141,57 @@ class Lattice:
         return sums
 
     def _scaled_forward(self, odds: np.ndarray) -> np.ndarray:
+        return self._log_sums(odds, self.word, self.start, self.end)[self.lengths, np.arange(len(self.lengths))]
+
+    def _log_sums(self, odds: np.ndarray, word: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Logs of what `_sums` gives, for words of any length."""
         n_words, longest, langs = len(self.lengths), int(self.lengths.max(initial=0)), odds.shape[1]
         alpha, scale = np.zeros((longest + 1, n_words, langs)), np.zeros((longest + 1, n_words, langs))
         alpha[0] = 1.0
-        order = np.argsort(self.end, kind="stable")
-        cuts = np.searchsorted(self.end[order], np.arange(longest + 2))
+        order = np.argsort(end, kind="stable")
+        cuts = np.searchsorted(end[order], np.arange(longest + 2))
         for j in range(1, longest + 1):
             edges = order[cuts[j] : cuts[j + 1]]
-            w, i = self.word[edges], self.start[edges]
+            w, i = word[edges], start[edges]
             # sums of earlier places are scaled; bring them to the scale of the place just before
             part = alpha[i, w] * np.exp(scale[i, w] - scale[j - 1, w]) * odds[self.piece[edges]]
             total = np.stack([np.bincount(w, part[:, k], n_words) for k in range(langs)], axis=1)
             reached = total > 0
             scale[j] = scale[j - 1] + np.log(np.where(reached, total, 1.0))
             alpha[j] = reached
-        return scale[self.lengths, np.arange(n_words)]
+        return scale
 
     def expected(self, odds: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece by (piece, language), words weighed by counts of (word, language)."""
-        before = self._sums(odds, self.word, self.start, self.end)
+        scaled = self.lengths.max(initial=0) > LONGEST_PLAIN + 1
+        sums = self._log_sums if scaled else self._sums
+        before = sums(odds, self.word, self.start, self.end)
         # the same sums from the words' ends
         size = self.lengths[self.word]
-        behind = self._sums(odds, self.word, size - self.end, size - self.start)
+        behind = sums(odds, self.word, size - self.end, size - self.start)
         total = before[self.lengths, np.arange(len(self.lengths))]
-        chance = before[self.start, self.word] * odds[self.piece] * behind[size - self.end, self.word]
-        chance *= (counts / total)[self.word]
+        if scaled:
+            logs = before[self.start, self.word] + np.log(odds)[self.piece] + behind[size - self.end, self.word]
+            chance = np.exp(logs - total[self.word]) * counts[self.word]
+        else:
+            chance = before[self.start, self.word] * odds[self.piece] * behind[size - self.end, self.word]
+            chance *= (counts / total)[self.word]
         return np.stack([np.bincount(self.piece, chance[:, k], len(odds)) for k in range(odds.shape[1])], axis=1)
 
 
+def by_length(words: list[str]) -> Iterator[list[int]]:
+    """Places of words of like length together, as shorter ones would wait for longer ones; long words apart."""
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    plain = bisect_right(order, LONGEST_PLAIN, key=lambda i: len(words[i]))
+    at = 0
+    while at < len(order):
+        stop = plain if at < plain else len(order)
+        longest = len(words[order[min(at + 4096, stop) - 1]])
+        part = order[at : min(stop, at + max(1, min(4096, 200_000 // (longest + 1))))]
+        yield part
+        at += len(part)
+
+
 def runs(chunk: str) -> list[str]:
     """The lower-cased letter runs of a white-space separated piece of text."""
     return _LETTERS.findall(chunk.lower())
@@ -201,8 +224,7 @@ def word_counts(docs: DataFrame, sample_docs: int) -> tuple[DataFrame, dict[str,
                 codes, n = np.unique(words[i], return_counts=True)
                 for code, times in zip(codes.tolist(), n.tolist(), strict=True):
                     for run in runs(words.distinct[code]):
-                        if len(run) <= LONGEST_LEARNED:
-                            found[lang, run] += times
+                        found[lang, run] += times
             columns = [[k[0] for k in found], [k[1] for k in found], list(found.values())]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
@@ -231,7 +253,9 @@ def learn(docs: DataFrame, model_file: str, sample_docs: int = SAMPLE_DOCS, roun
             for batch in batches:
                 if batch.num_rows:
                     n = np.stack([batch.column(k + 1).to_numpy().astype(float) for k in range(odds.shape[1])], axis=1)
-                    uses += Lattice(batch.column(0).to_pylist(), pieces).expected(odds, n)
+                    words = batch.column(0).to_pylist()
+                    for part in by_length(words):
+                        uses += Lattice([words[i] for i in part], pieces).expected(odds, n[part])
             piece, lang = np.nonzero(uses)
             columns = [pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(uses[piece, lang])]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -257,14 +281,8 @@ class Scorer:
 
     def _words(self, words: list[str]) -> np.ndarray:
         logs = np.zeros((len(words), self.odds.shape[1]))
-        # words of like length together, as shorter ones would wait for longer ones
-        by_length = sorted(range(len(words)), key=lambda i: len(words[i]))
-        at = 0
-        while at < len(by_length):
-            longest = len(words[by_length[min(at + 4096, len(by_length)) - 1]])
-            part = by_length[at : at + max(1, min(4096, 200_000 // (longest + 1)))]
+        for part in by_length(words):
             logs[part] = Lattice([words[i] for i in part], self.pieces).forward(self.odds)
-            at += len(part)
         return logs
 
     def _chunks(self, chunks: list[str]) -> np.ndarray:

@@ -52,6 +52,31 @@ def test_a_very_long_word_has_a_finite_score():
     assert np.isfinite(lang.Lattice(["the" * 20_000], pieces).forward(odds)).all()
 
 
+def test_long_pieces_count_like_all_others():
+    names = lang.vocabulary(MODEL)
+    word = next(p for p in names if p.startswith(lang.START) and len(p) == 11)
+    ids = {p: i for i, p in enumerate(names)}
+    odds = np.full((len(names) + 1, 1), 1e-9)
+    odds[ids[word]] = 0.5
+    assert abs(lang.Lattice([word[1:]], lang.Pieces(names)).forward(odds)[0, 0] - math.log(0.5)) < 1e-6
+
+
+def test_long_runs_are_learned_from(make_docs, monkeypatch):
+    run = "thequickbrownfox" * 300
+    docs = make_docs([(i, f"{run} word", "en") for i in range(9)])
+    table, _ = lang.word_counts(docs, 1000)
+    assert {r["word"] for r in table.collect()} == {run, "word"}
+    assert all(np.isfinite(lang.learn(docs, MODEL)["odds"]).ravel())
+    pieces = lang.Pieces(lang.vocabulary(MODEL))
+    odds = np.random.default_rng(1).random((pieces.unknown + 1, 2))
+    odds /= odds.sum(axis=0)
+    words, counts = ["the", "quickly", "дом", "x" * 30], np.array([[1, 2], [3, 0], [1, 1], [2, 5]])
+    plain = lang.Lattice(words, pieces).expected(odds, counts)
+    monkeypatch.setattr(lang, "LONGEST_PLAIN", 1)
+    assert np.allclose(lang.Lattice(words, pieces).expected(odds, counts), plain)
+    assert sorted(i for part in lang.by_length([run, *words]) for i in part) == list(range(5))
+
+
 def test_held_out_documents_are_told_apart(documents):
     rows = lang.predict(documents, lang.learn(documents, MODEL)).join(documents.select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in rows if r["held_out"]]
