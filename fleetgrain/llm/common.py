@@ -58,6 +58,14 @@ def encoded(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return values.cast(pa.large_binary() if pa.types.is_large_string(values.type) else pa.binary()).to_pylist()
 
 
+def whole(texts: pa.Array) -> pa.Array:
+    """A text column with 64-bit offsets that begin at 0.
+
+    Arrow lower-cases the cast of a slice by wrong offsets, so the cast is copied.
+    """
+    return pa.concat_arrays([texts.cast(pa.large_string())])
+
+
 class WordCodes:
     """The words of a batch of texts, each word as a number into the batch's distinct words.
 
@@ -66,7 +74,7 @@ class WordCodes:
     """
 
     def __init__(self, texts: pa.Array, lower: bool = False):
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts = pc.fill_null(whole(texts), "")
         lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
         words = lists.flatten().dictionary_encode()
         codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)

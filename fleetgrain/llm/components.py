@@ -1,4 +1,9 @@
-"""Connected components of a large graph by star contraction."""
+"""Connected components of a large graph by star contraction.
+
+Defined cases: links of a node with itself and repeated links count for nothing;
+a link with a null end joins nothing; nodes without another are not in the
+result; no links give no rows.
+"""
 
 from __future__ import annotations
 

@@ -12,7 +12,8 @@ scanned once for each part. One part at a time is collected, broadcast and
 scanned, and its hits are written before the next, so neither the driver nor a
 worker holds more than one; the hits of a document are then merged.
 
-Defined cases: null or empty texts and items have no words and no hits; an item
+Defined cases: texts of any length are scanned whole; a null doc_id is returned
+as null, its row judged like any other; null or empty texts and items have no words and no hits; an item
 with a null id takes part in hits but is not listed; repeated items are listed
 once; repeated documents give a row each; an empty
 benchmark contaminates nothing. Other columns of the inputs are ignored.

@@ -31,7 +31,8 @@ within one component.
 Blocks with many visitors are dealt out in several copies. Nothing is capped:
 the table of frequent tokens has a fixed size, but it only orders tokens.
 
-Defined cases: null or wordless texts have empty sets and are linked with
+Defined cases: texts of any length are hashed whole, so one set may be as large
+as its text; null or wordless texts have empty sets and are linked with
 nothing; fewer words than a shingle are one token; rows with a null doc_id are
 returned with a null component and take no part; rows that share a doc_id are
 separate rows; a component's id is its smallest doc_id; an empty table gives no

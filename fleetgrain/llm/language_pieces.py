@@ -17,7 +17,9 @@ is the bound on the classifier's training sample.
 Scoring: a worker keeps the words it has scored, up to a fixed number, so only
 new words are cut into pieces; text goes through Arrow as numbered words.
 
-Defined cases: a null text or one without a letter is `und` with score 0; with
+Defined cases: texts of any length are read whole, some megabytes at once; a
+null text or one without a letter is `und` with score 0 (signs such as ² or ½
+are no letters); languages that differ in case only are two languages; with
 nothing to learn from, every text is; documents with a null language or id are
 not learned from; a null id is not held out; repeated rows give a row each.
 Other columns of the inputs are ignored, and lang, source and doc_id are never
@@ -35,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -193,8 +196,11 @@ def by_length(words: list[str]) -> Iterator[list[int]]:
 
 
 def runs(chunk: str) -> list[str]:
-    """The lower-cased letter runs of a white-space separated piece of text."""
-    return _LETTERS.findall(chunk.lower())
+    """The lower-cased letter runs of a white-space separated piece of text; number signs such as ² are no letters."""
+    found = _LETTERS.findall(chunk.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return "".join(c if c.isalpha() else " " for c in " ".join(found)).split()
 
 
 def learnable(docs: DataFrame) -> DataFrame:
@@ -208,13 +214,18 @@ def held_out(doc_id):
 
 
 def word_counts(docs: DataFrame, sample_docs: int) -> tuple[DataFrame, dict[str, int]]:
-    """(lang, word, n) of a sample of about `sample_docs` documents of each language, and documents by language."""
+    """(word, [(lang, n)]) of a sample of about `sample_docs` documents of each language, and documents by language.
+
+    A language is its number in the order of the second result, so its name may be any text.
+    """
     open_docs = learnable(docs)
     sizes = cut_lineage(open_docs.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")))
-    held = {r["lang"]: r["docs"] for r in sizes.orderBy("lang").collect()}  # one row per language
+    held = {r["lang"]: r["docs"] for r in sorted(sizes.collect())}  # one row per language
+    numbered = [(lang, k, n) for k, (lang, n) in enumerate(held.items())]
+    sizes = docs.sparkSession.createDataFrame(numbered, "lang string, number int, docs long")
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6 < sample_docs / F.col("docs")
-    sample = open_docs.join(F.broadcast(sizes) if len(held) < 10_000 else sizes, "lang").where(share).select("lang", "text")
-    schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+    sample = open_docs.join(sizes, "lang").where(share).select(F.col("number").alias("lang"), "text")
+    schema = pa.schema([("lang", pa.int32()), ("word", pa.string()), ("n", pa.int64())])
 
     def count(batches):
         for batch in slices(batches):
@@ -228,8 +239,9 @@ def word_counts(docs: DataFrame, sample_docs: int) -> tuple[DataFrame, dict[str,
             columns = [[k[0] for k in found], [k[1] for k in found], list(found.values())]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    counted = sample.mapInArrow(count, "lang string, word string, n long")
-    return cut_lineage(counted.groupBy("word").pivot("lang", list(held)).agg(F.sum("n")).na.fill(0)) if held else counted, held
+    counted = sample.mapInArrow(count, "lang int, word string, n long")
+    by_word = counted.groupBy("word", "lang").agg(F.sum("n").alias("n"))
+    return cut_lineage(by_word.groupBy("word").agg(F.collect_list(F.struct("lang", "n")).alias("counts"))), held
 
 
 def learn(docs: DataFrame, model_file: str, sample_docs: int = SAMPLE_DOCS, rounds: int = ROUNDS) -> dict | None:
@@ -252,7 +264,10 @@ def learn(docs: DataFrame, model_file: str, sample_docs: int = SAMPLE_DOCS, roun
             uses = np.zeros(odds.shape)
             for batch in batches:
                 if batch.num_rows:
-                    n = np.stack([batch.column(k + 1).to_numpy().astype(float) for k in range(odds.shape[1])], axis=1)
+                    counts, n = batch.column(1), np.zeros((batch.num_rows, odds.shape[1]))
+                    of = np.repeat(np.arange(batch.num_rows), pc.list_value_length(counts).to_numpy())
+                    lang, times = (c.to_numpy() for c in counts.flatten().flatten())
+                    n[of, lang] = times
                     words = batch.column(0).to_pylist()
                     for part in by_length(words):
                         uses += Lattice([words[i] for i in part], pieces).expected(odds, n[part])

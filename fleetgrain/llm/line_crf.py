@@ -12,7 +12,8 @@ The training sample is about `SAMPLE_DOCS` documents of each label, chosen by
 hash and weighed back to the true shares of the labels; this is the bound on
 what the classifier is fitted to.
 
-Defined cases: a null text, or one of blank lines only, has the labelled share
+Defined cases: texts of any length are read whole, all lines of one text at
+once; a null text, or one of blank lines only, has the labelled share
 of good documents as its score; without labels every score is 0.5; a null
 doc_id is neither learned from nor held out; null qualities are ignored, and a
 document with contradicting labels counts as bad; repeated rows give a row

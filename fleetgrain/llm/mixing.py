@@ -19,7 +19,8 @@ order as near to the class's goal as they come, and what is left over or
 overdrawn is carried to the next smaller class. The histogram of a source has a
 bounded number of cells, so no source, however large, meets in one task.
 
-Defined cases: a null text has size 0 and counts for nothing; a null source is
+Defined cases: a null text has size 0 and counts for nothing, a text of any
+length counts whole; a null doc_id is a document like any other; a null source is
 a source of its own; documents of size 0 are taken with the copies of their
 source's floor but add no words; repeated rows are documents of their own and
 land in the same bin; no documents give no rows. Other columns are ignored.

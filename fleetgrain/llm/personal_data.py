@@ -11,8 +11,10 @@ that lies inside a plain one of its kind is the same find and is not added.
 
 Most texts hold no hint of a disguise and are not rewritten.
 
-Defined cases: null and empty texts have no finds; repeated rows give a row
-each; a text without finds has the digest of the empty string and empty spans.
+Defined cases: null and empty texts have no finds; a text of any length is read
+whole, in time in proportion to it; a null doc_id is returned as null; repeated
+rows give a row each; a text without finds has the digest of the empty string
+and empty spans; an empty table gives no rows.
 Other columns of the input are ignored.
 """
 
@@ -22,6 +24,8 @@ import hashlib
 import re
 import sys
 import unicodedata
+from bisect import bisect_right
+from operator import itemgetter
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -141,8 +145,13 @@ _SIGNS = [
     (re.compile(r"(?<=[A-Za-z0-9])[ ]+@[ ]*(?=[A-Za-z0-9])|(?<=[A-Za-z0-9])@[ ]+(?=[A-Za-z0-9])"), "@"),
 ]
 # a spelled or parted dot counts around an @ only
-_SPELLED_DOT = f"{_WHITE}+{_DOT_WORD}{_WHITE}+"
-_DOTTED = re.compile(rf"(?<![A-Za-z0-9])[A-Za-z0-9]+(?:{_SPELLED_DOT}[A-Za-z0-9]+)*@[A-Za-z0-9-]+(?:(?:\.|{_SPELLED_DOT}|[ ]+\.[ ]+)[A-Za-z0-9-]+)+", re.IGNORECASE)
+_SPELLED_DOT = f"{_WHITE}++{_DOT_WORD}{_WHITE}++"
+# every chain of words and spelled dots is taken whole, with or without an address behind it, so none is walked twice
+_DOTTED = re.compile(
+    rf"(?<![A-Za-z0-9])[A-Za-z0-9]++(?:{_SPELLED_DOT}[A-Za-z0-9]++)*+"
+    rf"(?P<host>@[A-Za-z0-9-]++(?:(?:\.|{_SPELLED_DOT}|[ ]++\.[ ]++)[A-Za-z0-9-]++)++)?",
+    re.IGNORECASE,
+)
 _DOT = re.compile(rf"{_SPELLED_DOT}|[ ]+\.[ ]+", re.IGNORECASE)
 # for Arrow's linear-time matcher: every text that some rule above can change matches one of them
 _HINTS = (
@@ -213,11 +222,18 @@ def rewrite(text: str) -> Rewritten:
     out.replace([(*m.span(), _digits(m[0])) for m in _DIGIT_RUN.finditer(out.text)])
     for pattern, sign in _SIGNS:
         out.replace([(*m.span(), sign) for m in pattern.finditer(out.text)])
-    dots = [(m.start() + d.start(), m.start() + d.end(), ".") for m in _DOTTED.finditer(out.text) for d in _DOT.finditer(m[0])]
-    out.replace(dots)
+    if "@" in out.text:
+        chains = [m for m in _DOTTED.finditer(out.text) if m["host"]]
+        out.replace([(m.start() + d.start(), m.start() + d.end(), ".") for m in chains for d in _DOT.finditer(m[0])])
     return out
 
 
+def _inside(span: Span, plain: list[Span]) -> bool:
+    """Whether one of the plain finds, which are in order and apart, holds a range."""
+    at = bisect_right(plain, span[0], key=itemgetter(0))
+    return at > 0 and span[1] <= plain[at - 1][1]
+
+
 def find(text: str, hint: bool = True) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     """Plain finds, and all finds, by kind, as half-open ranges of code points."""
     base = detect(text)
@@ -227,7 +243,7 @@ def find(text: str, hint: bool = True) -> tuple[dict[str, list[Span]], dict[str,
     every = {}
     for kind, spans in detect(rewritten.text).items():
         new = {rewritten.source(s) for s in spans}
-        new = {s for s in new if not any(a <= s[0] and s[1] <= b for a, b in base[kind])}
+        new = {s for s in new if not _inside(s, base[kind])}
         every[kind] = sorted([*base[kind], *new])
     return base, every
 

@@ -13,8 +13,9 @@ ones is used, the mildest on ties. A stratum with too few labels certifies
 nothing and rejects nothing by rule.
 
 Defined cases: a null or empty text has measures of 0 and fails the base check
-for want of words; a null stratum is a stratum of its own; repeated rows are
-measured one by one; labels that are null, or of unknown documents, count for
+for want of words; a text of any length is measured whole, some megabytes at
+once; a null doc_id is returned as null and meets no label; a null stratum is a
+stratum of its own; repeated rows are measured one by one; labels that are null, or of unknown documents, count for
 nothing, and a document with contradicting labels counts as bad; without
 labels nothing is certified. Other columns of the inputs are ignored.
 """

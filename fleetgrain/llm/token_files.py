@@ -14,7 +14,8 @@ ascending order. Names are unique to an attempt and only the files named by the
 manifest, a table that Spark commits, count: a lost or repeated task leaves at
 most an unread file behind. The folder must be visible to every executor.
 
-Defined cases: a null text is an empty one and gets the end id alone; null
+Defined cases: texts of any length are encoded whole, one at least at a time; a
+null text is an empty one and gets the end id alone; null
 doc_ids come first; equal doc_ids are ordered by a hash of their text and keep
 a row each; without documents no file and no row results. Other columns of the
 input are ignored.
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fleetgrain.llm.common import WordCodes, kept_by_worker, slices
+from fleetgrain.llm.common import WordCodes, kept_by_worker, slices, whole
 from fleetgrain.session import cut_lineage, shared_dir
 
 MAGIC = b"BITIDS01"
@@ -224,7 +225,7 @@ class WordEncoder:
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of ids of each text, and all ids one after the other."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts = pc.fill_null(whole(texts), "")
         special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(special), "", texts) if special.any() else texts
         words = WordCodes(plain, lower=True)

@@ -18,7 +18,7 @@ block wins between equal rules); without one the verdict is `default`.
 Defined cases: a null url, or one without `://`, has empty host and path and
 only the default; hosts and paths of rules are taken as given but for A-Z in
 hosts, a null part counts as empty, and a rule with an empty host fits no page;
-repeated pages are judged row by row; without rules all get the default. Other
+urls of any length are read whole; repeated pages are judged row by row; without rules all get the default. Other
 columns of the inputs are ignored.
 """
 

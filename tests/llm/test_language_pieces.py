@@ -94,6 +94,21 @@ def test_labels_of_held_out_documents_and_sources_are_no_input(documents):
     assert sorted(map(str, a)) == sorted(map(str, b))
 
 
+def test_languages_may_have_any_name(make_docs):
+    names = {"EN": "the house", "en": "der garten", "word": "el perro", "": "la maison"}
+    rows = [(100 * k + i, f"{text} {text} " * 3, name) for k, (name, text) in enumerate(names.items()) for i in range(12)]
+    got = lang.predict(make_docs(rows), lang.learn(make_docs(rows), MODEL)).collect()
+    by_id = {r[0]: r[2] for r in rows}
+    assert len(got) == len(rows) and all(r["lang_pred"] == by_id[r["doc_id"]] for r in got)
+
+
+def test_number_signs_are_no_letters(make_docs):
+    assert lang.runs("a²b") == ["a", "b"] and lang.runs("x1Ⅷ½é") == ["x", "é"]
+    learned = [(i, "the house", "en") for i in range(9)]
+    got = lang.predict(make_docs([(1, "5 ²"), (2, "① ½ Ⅷ"), (3, "5 m²")]), lang.learn(make_docs(learned), MODEL)).collect()
+    assert [r["lang_pred"] for r in sorted(got)] == ["und", "und", "en"]
+
+
 def test_defined_cases(make_docs):
     learned = [(i, "the house and the garden " * 5, "en") for i in range(30)]
     learned += [(100 + i, "das haus und der garten " * 5, "de") for i in range(30)]

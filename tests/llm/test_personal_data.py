@@ -107,6 +107,22 @@ def test_invisible_characters_widen_a_find():
     assert every["email"] == [(2, len(text)), *base["email"]]
 
 
+def test_time_follows_the_text():
+    """Twice the text may not take much more than twice the time; a quadratic walk took 29 s here."""
+    import time
+
+    for text in ("x (at) y " + "a dot " * 16_000, "dot a@b " * 16_000 + "one two " * 16_000, "a@b.co " * 16_000 + "x (at) y.zz"):
+        began = time.perf_counter()
+        pd.find(text)
+        assert time.perf_counter() - began < 5
+
+
+def test_chains_of_spelled_dots_around_an_address():
+    text = "write x (at) mail dot example dot com or j dot doe (at) y.org, dot dot end"
+    _, every = pd.find(text)
+    assert [text[a:b] for a, b in every["email"]] == ["x (at) mail dot example dot com", "j dot doe (at) y.org"]
+
+
 def test_common_words_are_no_disguise():
     for text in ("meet at the dot com", "look at it. dot the i", "one two three", "plus one", "at [4] dot", "un deux, et un", "a < b > c"):
         base, every = pd.find(text)
