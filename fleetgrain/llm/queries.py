@@ -6,13 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetgrain.llm import (
+    centroid_walk,
     decontaminate,
+    exact_dedup,
     host_boilerplate,
     jaccard_groups,
     language_pieces,
     line_crf,
     mixing,
     personal_data,
+    prefix_trie,
     quality_rules,
     token_files,
     url_rules,
@@ -231,6 +234,105 @@ def op10_host_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_boilerplate.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_centroid_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return centroid_walk.cluster(table(spark, sf_dir, "embeddings"))[0]
+
+
+def _op11_round(n: int) -> str:
+    return f"""
+, near{n} AS (
+  SELECT nth, vec_id, v, min({{'d': list_sum(list_transform(generate_series(1, 64), lambda i: (v[i] - c[i]) * (v[i] - c[i]))), 'k': cluster}}) AS best
+  FROM kept, cents{n} GROUP BY nth, vec_id, v
+), sums{n} AS (
+  SELECT k, dim, sum(x) AS total, count(*) AS n FROM (
+    SELECT best.k AS k, unnest(generate_series(1, 64)) AS dim, unnest(v) AS x FROM near{n}) GROUP BY k, dim
+), moved{n} AS (
+  SELECT k, list(((total - ((total % n) + n) % n) // n)::BIGINT ORDER BY dim) AS c FROM sums{n} GROUP BY k
+), cents{n + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(moved{n}.c, cents{n}.c) AS c FROM cents{n} LEFT JOIN moved{n} ON k = cluster
+)"""
+
+
+OP11_SQL = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS nth, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), cents0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS cluster, v AS c
+  FROM (SELECT v, sha256('1:' || vec_id) AS h FROM kept ORDER BY h, v LIMIT 16)
+){"".join(map(_op11_round, range(4)))}
+, assigned AS (
+  SELECT vec_id, best.k::INTEGER AS cluster, best.d::BIGINT AS distance FROM near3
+)
+SELECT vec_id, a.cluster, distance, sum(distance) OVER (PARTITION BY a.cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM assigned a JOIN cents3 ON cents3.cluster = a.cluster
+"""
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return exact_dedup.judge(table(spark, sf_dir, "documents"), all_digests=True)
+
+
+OP12_SQL = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), g AS (
+  SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t)::BIGINT AS group_size FROM d
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g
+"""
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
+# the unsigned crc32 is folded bit by bit over steps: a byte to mix in, or -1 for one shift
+OP13_SQL = r"""
+WITH own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 'x': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), steps AS (
+  SELECT conv_id, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])) AS steps FROM own
+), hashed AS (
+  SELECT conv_id, xor(list_reduce(list_concat([4294967295], steps), lambda c, s:
+    CASE WHEN s >= 0 THEN xor(c, s) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END), 4294967295) % 4 AS h FROM steps
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(list_slice(coalesce(b.turns, []), 1, h), list_slice(o.turns, h + 1, len(o.turns))) AS turns
+  FROM own o JOIN hashed USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+), prefixes AS (
+  SELECT conv_id, len(turns) AS size, d, list_slice(turns, 1, d) AS prefix
+  FROM (SELECT conv_id, turns, unnest(generate_series(0, len(turns))) AS d FROM rebuilt)
+), nodes AS (
+  SELECT d, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '') AS ends
+  FROM prefixes GROUP BY d, prefix
+), measured AS (
+  SELECT *, CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(prefix[-1].x, '[^ 	-
+]+')) END AS words,
+         CASE WHEN d = 0 THEN NULL ELSE list_slice(prefix, 1, d - 1) END AS up
+  FROM nodes
+), families AS (
+  SELECT up, count(*) AS n_children FROM measured WHERE d > 0 GROUP BY up
+), counted AS (
+  SELECT m.*, coalesce(n_children, 0) AS n_children FROM measured m LEFT JOIN families f ON f.up = m.prefix
+), ancestors AS (
+  SELECT list_slice(prefix, 1, k) AS prefix, n_children, n_convs, words
+  FROM (SELECT *, unnest(generate_series(0, d)) AS k FROM counted)
+), below AS (
+  SELECT prefix, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+  FROM ancestors GROUP BY prefix
+)
+SELECT c.conv_id, c.d::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, sha256(c.ends) AS ends_sha256
+FROM counted c JOIN below USING (prefix) LEFT JOIN nodes p ON p.prefix = c.up
+"""
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, OP1_SQL),
     "op2_language_pieces": (op2_language_pieces, None),
@@ -242,4 +344,7 @@ QUERIES = {
     "op8_personal_data": (op8_personal_data, None),
     "op9_source_mix": (op9_source_mix, None),
     "op10_host_boilerplate": (op10_host_boilerplate, None),
+    "op11_centroid_walk": (op11_centroid_walk, OP11_SQL),
+    "op12_exact_dedup": (op12_exact_dedup, OP12_SQL),
+    "op13_prefix_trie": (op13_prefix_trie, OP13_SQL),
 }
