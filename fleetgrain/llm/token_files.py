@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import re
 import struct
-import unicodedata
 import uuid
 import zlib
 
@@ -48,7 +47,7 @@ TAIL = "<6Q8s"
 
 #: Words a worker keeps with their ids; a bound on memory, not on what is encoded.
 WORDS_KEPT = 150_000
-JOINED_WORDS = 64
+JOINED_WORDS = 256
 
 
 def bits_for(vocabulary: int) -> int:
@@ -162,21 +161,57 @@ class TokenFile:
         self.file.close()
 
 
-# words of letters, digits and ASCII punctuation but the apostrophe, and their runs of punctuation and of the rest;
-# the one capital whose small form isn't a letter alone is left out
-_PLAIN = re.compile(r"(?:[^\W_İ]|[!-&(-/:-@\[-`{-~])+")
-_RUNS = re.compile(r"[!-&(-/:-@\[-`{-~]+|[^!-&(-/:-@\[-`{-~]+")
-# runs that the tokenizer takes as one: letters, or ASCII punctuation
-_ONE_TOKEN = re.compile(r"[^\W\d_İ]+|[!-&(-/:-@\[-`{-~]+")
+# letters whose small and composed forms are single, beyond ASCII those of Latin-1 and Latin Extended-A but İ and ŉ
+_LETTER = "A-Za-zÀ-ÖØ-öø-įı-ňŊ-ž"
+# ASCII punctuation but the apostrophe
+_SIGN = r"!-&(-/:-@\[-`{-~"
+_PLAIN = f"^[{_LETTER}0-9{_SIGN}]+$"
+# signs between letters, digits and white space, where the tokenizer parts them and nothing joins across
+_BETWEEN = f"(^|[{_LETTER}0-9 \\t-\\r])([{_SIGN}]+)([{_LETTER}0-9 \\t-\\r]|$)"
+# what the tokenizer takes as one: letters, one digit, or signs
+_RUN = f"[{_LETTER}]+|[0-9]|[{_SIGN}]+"
+
+
+class KeptIds:
+    """Ids of words, one after the other in one array; a word is a number."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.ids = np.zeros(1 << 16, "<u4")
+        self.ends = np.zeros(1 << 14, np.int64)
+
+    def add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        held = len(self.number)
+        end = int(self.ends[held])
+        self.ids = _room(self.ids, end + len(ids))
+        self.ends = _room(self.ends, held + len(words) + 1)
+        self.ids[end : end + len(ids)] = ids
+        self.ends[held + 1 : held + len(words) + 1] = end + np.cumsum(sizes)
+        self.number.update(zip(words, range(held, held + len(words)), strict=True))
+
+
+def _room(held: np.ndarray, size: int) -> np.ndarray:
+    return held if size <= len(held) else np.concatenate([held, np.zeros(max(size, 2 * len(held)) - len(held), held.dtype)])
+
+
+def gathered(pool: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Ranges of a pool one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return pool[np.repeat(first - before, sizes) + np.arange(int(sizes.sum()))]
 
 
 class WordEncoder:
     """Ids of white-space separated words, equal to those of the whole text.
 
-    The tokenizer drops white space and never joins across it. Inside a word it
-    also parts letters from punctuation, so both are encoded apart and kept.
-    Plain runs are encoded many in one call and told apart by the mark that
-    ends each of them; what isn't plain goes to the tokenizer alone.
+    The tokenizer drops white space and never joins across it, nor between a
+    letter and a sign, so such places are parted and distinct words, far fewer
+    without their punctuation, are encoded once and kept. Plain words are encoded many in one call;
+    the tokenizer parts letters, digits and signs and marks the last id of each
+    such run, so a word ends with as many marks as it has runs. What isn't plain
+    goes to the tokenizer alone.
+
+    Two generations are kept: when the young one is full it becomes the old one,
+    and words of the old one that come again move on without being encoded.
     """
 
     def __init__(self, path: str):
@@ -185,57 +220,58 @@ class WordEncoder:
         size = max(self.tokenizer.get_vocab().values()) + 1
         self.ends_run = np.zeros(size, bool)
         self.ends_run[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-        self.kept: dict[str, bytes] = {}
-        self.kept_runs: dict[str, bytes] = {}
+        self.young, self.old = KeptIds(), KeptIds()
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _runs(self, runs: list[str]) -> None:
-        plain = [r for r in runs if _ONE_TOKEN.fullmatch(r)]
-        groups = [plain[i : i + JOINED_WORDS] for i in range(0, len(plain), JOINED_WORDS)]
-        alone = list(set(runs).difference(plain))
-        for group, ids in zip(groups, self._encode([" ".join(g) for g in groups]), strict=True):
-            cuts = np.flatnonzero(self.ends_run[ids]) + 1
-            if len(cuts) != len(group):
+    def _learn(self, words: list[str]) -> None:
+        """Encode words that are new and keep their ids."""
+        found = pa.array(words, pa.string())
+        plain = pc.match_substring_regex(found, _PLAIN)
+        alone = pc.filter(found, pc.invert(plain)).to_pylist()
+        found = pc.filter(found, plain)
+        runs = pc.count_substring_regex(found, _RUN).to_numpy()
+        found = found.to_pylist()
+        cuts = range(0, len(found), JOINED_WORDS)
+        for at, ids in zip(cuts, self._encode([" ".join(found[i : i + JOINED_WORDS]) for i in cuts]), strict=True):
+            group, of_word = found[at : at + JOINED_WORDS], runs[at : at + JOINED_WORDS]
+            marks = np.flatnonzero(self.ends_run[ids])
+            if len(marks) == of_word.sum():
+                ends = marks[np.cumsum(of_word) - 1] + 1
+                self.young.add(group, np.diff(ends, prepend=0), ids)
+            else:
                 alone += group
-                continue
-            for run, part in zip(group, np.split(ids, cuts[:-1]), strict=True):
-                self.kept_runs[run] = part.tobytes()
-        for run, ids in zip(alone, self._encode(alone), strict=True):
-            self.kept_runs[run] = ids.tobytes()
-
-    def words(self, distinct: list[str]) -> list[bytes]:
-        """The ids of each word as little-endian 32-bit integers."""
-        if len(self.kept) > WORDS_KEPT:
-            self.kept.clear()
-        if len(self.kept_runs) > WORDS_KEPT:
-            self.kept_runs.clear()
-        new = [w for w in distinct if w not in self.kept]
-        parts = {}
-        for w in new:
-            # other signs may join with punctuation, and marks with what is before them, so such words stay whole
-            plain = _PLAIN.fullmatch(w) and (w.isascii() or unicodedata.is_normalized("NFC", w))
-            parts[w] = _RUNS.findall(w) if plain else [w]
-        runs = {r for found in parts.values() for r in found}
-        self._runs([r for r in runs if r not in self.kept_runs])
-        for w, found in parts.items():
-            self.kept[w] = b"".join([self.kept_runs[r] for r in found])
-        return [self.kept[w] for w in distinct]
+        if alone:
+            ids = self._encode(alone)
+            self.young.add(alone, np.array([len(x) for x in ids]), np.concatenate(ids))
+
+    def words(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids held, and of each word the first of its ids and their number."""
+        if len(self.young.number) > WORDS_KEPT:
+            self.young, self.old = KeptIds(), self.young
+        new = [w for w in distinct if w not in self.young.number]
+        again = [w for w in new if w in self.old.number] if self.old.number else []
+        if again:
+            at = np.fromiter(map(self.old.number.__getitem__, again), np.int64, len(again))
+            sizes = self.old.ends[at + 1] - self.old.ends[at]
+            self.young.add(again, sizes, gathered(self.old.ids, self.old.ends[at], sizes))
+            new = [w for w in new if w not in self.old.number]
+        if new:
+            self._learn(new)
+        at = np.fromiter(map(self.young.number.__getitem__, distinct), np.int64, len(distinct))
+        return self.young.ids, self.young.ends[at], self.young.ends[at + 1] - self.young.ends[at]
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of ids of each text, and all ids one after the other."""
         texts = pc.fill_null(whole(texts), "")
         special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(special), "", texts) if special.any() else texts
-        words = WordCodes(plain, lower=True)
-        raw = self.words(words.distinct)
-        counts = np.array([len(r) // 4 for r in raw], np.int64)
-        pool = np.frombuffer(b"".join(raw), "<u4")
-        first = np.concatenate([[0], np.cumsum(counts)])[:-1][words.codes] if len(raw) else np.zeros(0, np.int64)
-        sizes = counts[words.codes] if len(raw) else np.zeros(0, np.int64)
+        words = WordCodes(pc.replace_substring_regex(plain, _BETWEEN, r"\1 \2 \3"), lower=True)
+        pool, first, counts = self.words(words.distinct)
+        sizes = counts[words.codes]
         before = np.concatenate([[0], np.cumsum(sizes)])
-        ids = pool[np.repeat(first - before[:-1], sizes) + np.arange(before[-1])]
+        ids = gathered(pool, first[words.codes], sizes)
         ends = before[words.ends]
         if not special.any():
             return np.diff(ends), ids
