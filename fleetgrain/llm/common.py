@@ -17,6 +17,9 @@ from fleetgrain.session import apply_conf
 #: bounds what a Python worker holds besides one text.
 ROWS_PER_BATCH = 1000
 
+#: Bytes of one Arrow batch, as a few rows may hold long texts or large sets.
+BYTES_PER_BATCH = 8 << 20
+
 #: Bytes of text that a kernel takes up at once; one text may be longer.
 BYTES_AT_ONCE = 4 << 20
 
@@ -27,6 +30,7 @@ WHITE_BYTES = b" \t\n\r\x0b\x0c"
 def prepare(spark: SparkSession) -> SparkSession:
     apply_conf(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     return spark
 
 
@@ -34,20 +38,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _worker() -> dict:
+    home = sys.modules.setdefault("_llm_worker", types.ModuleType("_llm_worker"))
+    return home.__dict__.setdefault("held", {})
+
+
 def kept_by_worker(kind: str, key: str, build: Callable[[], object]) -> object:
     """What `build` gives, made once in a Python worker and used by its later tasks.
 
-    Kernels travel by value, so their module globals live for one task only. Of
-    each kind a worker keeps the last one, so earlier jobs' leave its memory.
+    Kernels travel by value, so their module globals live for one task only. A
+    worker keeps one such object, whatever its kind, so those of earlier jobs
+    leave its memory.
     """
-    home = sys.modules.setdefault("_llm_worker", types.ModuleType("_llm_worker"))
-    held = home.__dict__.setdefault("held", {})
+    held = _worker()
     if held.get(kind, ("",))[0] != key:
-        held.pop(kind, None)
+        held.clear()
         held[kind] = (key, build())
     return held[kind][1]
 
 
+def forget_kept() -> None:
+    """Give back what earlier jobs left in this worker; for kernels that need much memory themselves."""
+    _worker().clear()
+    pa.default_memory_pool().release_unused()
+
+
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

@@ -47,8 +47,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgrain.llm.common import WordCodes, slices
+from fleetgrain.llm.common import WordCodes, forget_kept, slices
 from fleetgrain.llm.components import components
+from fleetgrain.llm.hot_keys import join_by_key
 from fleetgrain.session import cut_lineage
 
 WORDS = 5
@@ -59,7 +60,7 @@ VISITS_PER_COPY = 4096
 #: Frequent tokens known to all tasks, and how they are noticed: in `CHUNK`
 #: tokens of one task at least `NOTICED` times.
 FREQUENT_KEPT = 200_000
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 NOTICED = 3
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -140,6 +141,7 @@ def describe(docs: DataFrame, words: int = WORDS) -> DataFrame:
         return rows(token=tokens[often].view(np.int64), seen=seen[often])
 
     def kernel(batches):
+        forget_kept()
         held, n_held, known = [], 0, set()
         for batch in slices(batches):
             out = {c: [] for c in ("doc_id", "n", "k1", "k2", "least")}
@@ -168,6 +170,7 @@ def first_tokens(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], words
     schema = pa.schema([("token", pa.int64()), ("doc_id", pa.int64())])
 
     def kernel(batches):
+        forget_kept()
         common, counts = shared.value
         known = set()
         for batch in slices(batches):
@@ -280,6 +283,7 @@ def open_blocks(docs: DataFrame, calls: DataFrame, words: int = WORDS, percent:
     )
 
     def sets(batches):
+        forget_kept()
         for batch in slices(batches):
             found = token_sets(batch.column(2), words)
             for i, tokens in enumerate(found):
@@ -294,6 +298,7 @@ def open_blocks(docs: DataFrame, calls: DataFrame, words: int = WORDS, percent:
     def links(batches):
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         place, members, block = None, {}, None
+        forget_kept()
         for batch in batches:
             a, b = [], []
 
@@ -367,12 +372,7 @@ def cluster(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     distinct = rows.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("least").alias("least")
     )
-    sizes = distinct.groupBy("least").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).alias("parts"))
-    classes = cut_lineage(
-        distinct.join(sizes, "least").select(
-            "k1", "k2", "rep", "n", F.xxhash64("least", F.pmod("k1", "parts")).alias("block")
-        )
-    )
+    classes = cut_lineage(_in_blocks(cut_lineage(distinct)).select("k1", "k2", "rep", "n", "block"))
     placed = cut_lineage(rows.join(classes.drop("n"), ["k1", "k2"], "left").select("doc_id", "n", "rep", "block", "k1"))
 
     by_token = Window.partitionBy("token")
@@ -445,9 +445,14 @@ def _regrouped(spread: DataFrame) -> DataFrame:
     their own, but agree in the smallest that others have too.
     """
     least = cut_lineage(spread.groupBy("rep", "k1").agg(F.min("token").alias("least")))
-    parts = least.groupBy("least").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).alias("parts"))
-    block = F.xxhash64("least", F.pmod("k1", "parts")).alias("block")
-    return cut_lineage(least.join(parts, "least").select("rep", "k1", block))
+    return cut_lineage(_in_blocks(least).select("rep", "k1", "block"))
+
+
+def _in_blocks(classes: DataFrame) -> DataFrame:
+    """Classes (k1, least) with the block of their group, groups dealt by hash into blocks of about BLOCK_CLASSES."""
+    sizes = cut_lineage(classes.groupBy("least").agg(F.count(F.lit(1)).alias("group")))
+    part = F.pmod("k1", F.ceil(F.col("group") / BLOCK_CLASSES))
+    return join_by_key(classes, sizes, ["least"], "group").withColumn("block", F.xxhash64("least", part))
 
 
 def _star_visits(mixed: DataFrame, percent: int) -> DataFrame:
@@ -522,10 +527,9 @@ def keep_first(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     first = found.where("component_id = doc_id").select(F.col("doc_id").alias("first_id")).distinct()
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
     rows = docs.select(whole, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"))
-    same = Window.partitionBy("doc_id", "text_key").orderBy("text_key")
     kept = (
         rows.join(first.hint("shuffle_hash"), F.col("doc_id") == F.col("first_id"), "left_semi")
-        .withColumn("nth", F.row_number().over(same))
-        .where("nth = 1")
+        .groupBy("doc_id", "text_key")
+        .agg(F.max_by("whole", F.xxhash64("whole")).alias("whole"))
     )
     return kept.select("whole.*").unionByName(docs.where("doc_id is null"))

@@ -7,7 +7,8 @@ cutoff rejects stays at or below `false_share`. The first failure ends the
 sequence, so one rule and stratum need no correction among their own cutoffs
 (fixed-sequence testing); over rules and strata the error `miss` is divided by
 their number (Bonferroni). Hence, with probability 1 - `miss`, no rule rejects
-more than `false_share` of the good documents of any stratum. Among certified
+more than `false_share` of the good documents of any stratum. A trial is a
+distinct text of a stratum: copies are no further evidence. Among certified
 cutoffs the one that removes most bad documents net of `harm` times the good
 ones is used, the mildest on ties. A stratum with too few labels certifies
 nothing and rejects nothing by rule.
@@ -16,7 +17,7 @@ Defined cases: a null or empty text has measures of 0 and fails the base check
 for want of words; a text of any length is measured whole, some megabytes at
 once; a null doc_id is returned as null and meets no label; a null stratum is a
 stratum of its own; repeated rows are measured one by one; labels that are null, or of unknown documents, count for
-nothing, and a document with contradicting labels counts as bad; without
+nothing, and a document or text with contradicting labels counts as bad; without
 labels nothing is certified. Other columns of the inputs are ignored.
 """
 
@@ -31,12 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetgrain.llm.bitsets import bitmap, marked
 from fleetgrain.llm.common import WHITE_BYTES, WordCodes, column, encoded, filter_rows, rows_kernel
 from fleetgrain.session import cut_lineage
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 LEVELS = 100
+#: Bits of the set of labelled ids; an id that it marks needlessly only costs its measures.
+LABEL_BITS = 1 << 26
 
 #: Measures with their rule, each a share of 0 to 1 counted in hundredths, larger is worse.
 RULES = ("symbols", "bangs", "capitals", "dup_lines", "repeats", "stutter")
@@ -112,20 +116,23 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def measure(docs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """One row per document: doc_id, stratum, the counts and the rule levels."""
-    fields = [pa.field("doc_id", pa.int64()), pa.field("stratum", pa.string())]
+    """One row per document: doc_id, stratum, a hash of its text, the counts and the rule levels."""
+    fields = [pa.field("doc_id", pa.int64()), pa.field("stratum", pa.string()), pa.field("text_key", pa.int64())]
     fields += [pa.field(n, pa.int64()) for n in COUNTS] + [pa.field(n, pa.int32()) for n in RULES]
     schema = pa.schema(fields)
 
     def batch_columns(batch):
         measures = measure_batch(batch)
         made = {n: [m[n] for m in measures] for n in (*COUNTS, *RULES)}
-        return made | {"doc_id": column(batch, "doc_id"), "stratum": column(batch, "stratum")}
+        return made | {name: column(batch, name) for name in ("doc_id", "stratum", "text_key")}
 
     chosen = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(stratum).cast("string").alias("stratum")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        "text",
+        F.col(stratum).cast("string").alias("stratum"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"),
     )
-    ddl = "doc_id long, stratum string, " + ", ".join(f"{n} long" for n in COUNTS)
+    ddl = "doc_id long, stratum string, text_key long, " + ", ".join(f"{n} long" for n in COUNTS)
     ddl += ", " + ", ".join(f"{n} int" for n in RULES)
     return chosen.mapInArrow(rows_kernel(batch_columns, schema), ddl)
 
@@ -183,9 +190,11 @@ def certify(measured: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLim
         .agg(F.min("quality").alias("quality"))
     )
     levels = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("level")) for r in RULES])).alias("x")
+    trials = measured.join(marks, "doc_id").groupBy("stratum", "text_key").agg(
+        F.min("quality").alias("quality"), *[F.first(r).alias(r) for r in RULES]
+    )
     counts = cut_lineage(
-        measured.join(marks, "doc_id")
-        .select("stratum", "quality", levels)
+        trials.select("stratum", "quality", levels)
         .groupBy("stratum", "x.rule", "x.level")
         .agg(F.sum((F.col("quality") > 0).cast("long")).alias("good"), F.sum((F.col("quality") <= 0).cast("long")).alias("bad"))
     )
@@ -229,9 +238,13 @@ def judge(docs: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLimits(),
 def keep(docs: DataFrame, labels: DataFrame, limits: RiskLimits = RiskLimits(), stratum: str = "lang") -> DataFrame:
     """The documents, with all their columns, that pass the base check and break no certified rule.
 
-    Judged row by row with the cutoffs, a number per rule and stratum, so no text is shuffled.
+    Only texts that a bitmap of labelled ids marks are measured for the certificate. All rows are judged with the
+    cutoffs, a number per rule and stratum, so no text is shuffled.
     """
-    found = certify(cut_lineage(measure(docs, stratum)), labels, limits).select("stratum", "rule", "cutoff").collect()
+    asked = labels.where("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(stratum).alias("stratum"))
+    labelled = marked(narrow, [F.col("doc_id")], bitmap(asked, LABEL_BITS), LABEL_BITS, "labelled").where("labelled")
+    found = certify(cut_lineage(measure(labelled, "stratum")), labels, limits).select("stratum", "rule", "cutoff").collect()
     cutoffs = {(r["stratum"], r["rule"]): r["cutoff"] for r in found}
 
     def passes(batch):

@@ -64,7 +64,8 @@ WITH d AS (
 ), marks AS (
   SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
 ), held AS (
-  SELECT lang, rule, level, good FROM leveled JOIN marks USING (doc_id)
+  SELECT lang, rule, min(level) AS level, bool_and(good) AS good
+  FROM leveled JOIN marks USING (doc_id) JOIN (SELECT doc_id, t FROM d) USING (doc_id) GROUP BY lang, rule, t
 ), strata AS (
   SELECT lang, rule, count(*) FILTER (good) AS n FROM held GROUP BY ALL
 ), tried AS (

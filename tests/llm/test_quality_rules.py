@@ -104,3 +104,14 @@ def test_empty_tables(llm, make_docs, labels):
     rows = q.judge(make_docs([(1, "a " * 5), (2, " ".join(map(str, range(50))))]), labels.limit(0)).collect()
     assert {r["doc_id"]: r["kept"] for r in rows} == {1: False, 2: True}
     assert q.keep(make_docs([]), labels).count() == 0
+
+
+def test_copies_are_no_further_evidence(llm, make_docs):
+    good = " ".join(f"word{i}" for i in range(30))
+    junk = " ".join(f"w{i}###" for i in range(30))
+    rows = [(i, good) for i in range(1500)] + [(i, f"{junk} {i}") for i in range(1500, 1600)]
+    labels = llm.createDataFrame([(i, int(i < 1500)) for i in range(1600)], "doc_id long, quality int")
+    docs = make_docs(rows)
+    found = q.certify(q.measure(docs), labels).collect()
+    assert all(r["n_good"] == 1 and r["cutoff"] == q.LEVELS for r in found)
+    assert all(r["kept"] for r in q.judge(docs, labels).collect())
