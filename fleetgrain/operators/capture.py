@@ -39,12 +39,22 @@ def keep_changes(runs: DataFrame, keys: list[str], order: list[str], bucket: Col
     return out.withColumn("kept", ~F.col("digest").eqNullSafe(F.col("_before"))).drop("_before")
 
 
-def name_snapshots(kept: DataFrame, keys: list[str], order: list[str], local_ts: Column) -> DataFrame:
-    """File names of kept static feeds: plain for a local day's first, with the clock after."""
+def name_snapshots(
+    kept: DataFrame, keys: list[str], order: list[str], local_ts: Column, named_before: DataFrame | None = None
+) -> DataFrame:
+    """File names of kept static feeds: plain for a local day's first, with the clock after.
+
+    `named_before` (keys, day, named) counts feeds of a day that were named earlier; one row per key and day.
+    """
     rows = kept.withColumn("_local", local_ts).withColumn("_date", F.to_date("_local"))
     numbered = running_sum_in_buckets(
         rows, [*keys, "_date"], order, F.hour("_local"), F.lit(1), "_nth"
     )
+    if named_before is not None:
+        earlier = named_before.select(*keys, F.col("day").alias("_date"), F.col("named").alias("_named"))
+        numbered = numbered.join(earlier, [*keys, "_date"], "left").withColumn(
+            "_nth", F.col("_nth") + F.coalesce("_named", F.lit(0))
+        ).drop("_named")
     date = F.date_format("_local", "yyyy-MM-dd")
     name = F.when(F.col("_nth") == 1, F.concat(F.lit("gtfs_"), date, F.lit(".zip"))).otherwise(
         F.concat(F.lit("gtfs_"), date, F.lit("T"), F.date_format("_local", "HHmm"), F.lit(".zip"))

@@ -1,7 +1,8 @@
 """Change capture and closed-hour compaction over streams.
 
-Both run the batch operators on each micro-batch. Capture carries two rows of
-memory per network between batches; compaction carries the archive itself.
+All run the batch operators on each micro-batch. Alert capture carries two rows
+of memory per network between batches, static capture one; compaction carries
+the archive itself.
 """
 
 from __future__ import annotations
@@ -88,6 +89,67 @@ def _next_memory(done: DataFrame, before: DataFrame, order: list[str]) -> DataFr
     )
 
 
+_STATIC_MEMORY = "city STRING, last_digest STRING, day DATE, named BIGINT"
+
+
+def start_static_capture(
+    runs: DataFrame,
+    out: str,
+    checkpoint: str,
+    order: list[str],
+    bucket: Callable[[], Column],
+    local_ts: Callable[[], Column],
+    trigger: dict,
+) -> StreamingQuery:
+    """Keep static feeds that differ from the one before and name them, equal to the batch form over all runs.
+
+    `runs` has (city, order columns, digest); batches must arrive in order, rows
+    inside one need not. A network's memory is one row: the newest digest, the
+    newest local day with a kept feed and how many were named on it. A batch with
+    a later day starts that day's numbers anew. `out`/static gets the kept runs
+    with `day` and `snapshot`; a repeated batch replaces its own.
+    """
+    spark = runs.sparkSession
+    memory = BatchState(spark, f"{out}/memory", _STATIC_MEMORY)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        before = memory.before(batch_id)
+        # the newest digest is replayed ahead of the batch
+        replay = before.select("city", F.lit(0).alias("_turn"), F.col("last_digest").alias("digest"))
+        rows = batch.withColumn("_turn", F.lit(1)).unionByName(replay, allowMissingColumns=True)
+        spot = F.when(F.col("_turn") == 1, bucket()).otherwise(F.lit(-(2**62)).cast("bigint"))
+        changed = capture.keep_changes(rows, ["city"], ["_turn", *order], spot).filter("kept AND _turn = 1")
+        kept = changed.drop("kept", "_turn").withColumn("day", F.to_date(local_ts()))
+        named = capture.name_snapshots(kept, ["city"], order, local_ts(), before.select("city", "day", "named"))
+        append_runs(named, f"{out}/static", batch_id)
+        done = spark.read.parquet(f"{out}/static").filter(F.col("batch") == batch_id)
+        memory.save(_next_static_memory(done, before, order), batch_id)
+
+    return (
+        runs.writeStream.foreachBatch(keep)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def _next_static_memory(done: DataFrame, before: DataFrame, order: list[str]) -> DataFrame:
+    """The newest digest and day of each network, with the number of names given on that day."""
+    newest = F.struct(*[F.col(c) for c in order])
+    by_day = done.groupBy("city", "day").agg(
+        F.max(F.struct(newest.alias("spot"), F.col("digest"))).alias("end"), F.count(F.lit(1)).alias("n")
+    )
+    fresh = by_day.groupBy("city").agg(F.max(F.struct("day", "end", "n")).alias("now"))
+    merged = before.join(fresh, "city", "full_outer")
+    same_day = F.when(F.col("now.day") == F.col("day"), F.col("named")).otherwise(F.lit(0))
+    return merged.select(
+        "city",
+        F.when(F.col("now").isNotNull(), F.col("now.end.digest")).otherwise(F.col("last_digest")).alias("last_digest"),
+        F.coalesce("now.day", "day").alias("day"),
+        F.when(F.col("now").isNotNull(), same_day + F.col("now.n")).otherwise(F.col("named")).alias("named"),
+    )
+
+
 def start_compaction(
     incoming: DataFrame, out: str, checkpoint: str, now: Callable[[], Column], trigger: dict
 ) -> StreamingQuery:

@@ -14,6 +14,7 @@ from pyarrow import fs
 from pyspark.sql import functions as F
 
 import driver_views as views
+from fleetgrain.functions.clock import local_time
 from fleetgrain.operators import walk as walk_ops
 from fleetgrain.session import shared_dir
 from fleetgrain.sources import jsonl
@@ -74,6 +75,15 @@ def stream_alert_capture(spark, sf_dir):
     return spark.read.parquet(f"{out}/runs").select("city", "event_id", "items", "accepted", "kept")
 
 
+def stream_static_capture(spark, sf_dir):
+    """Kept feeds with their names, numbered within a local day over all batches."""
+    out = _folder(spark, "static")
+    runs = _sliced(views.runs(spark, sf_dir), out, "landed", "snapshot_ts")
+    local = lambda: local_time(F.col("snapshot_ts"), views.TZ)
+    _drain(capture.start_static_capture(runs, out, f"{out}/checkpoint", views.RUN_ORDER, views.run_bucket, local, ONCE))
+    return spark.read.parquet(f"{out}/static").select("city", "event_id", "snapshot")
+
+
 def stream_hour_compaction(spark, sf_dir):
     """Every file arrives as incoming; the archive after all batches."""
     out = _folder(spark, "hours")
@@ -184,6 +194,7 @@ FROM pos GROUP BY service_date"""
 QUERIES = {
     "stream_poll_ingest": (stream_poll_ingest, INGEST_SQL),
     "stream_alert_capture": (stream_alert_capture, files.CAPTURE_SQL),
+    "stream_static_capture": (stream_static_capture, files.STATIC_SQL),
     "stream_hour_compaction": (stream_hour_compaction, COMPACTION_SQL),
     "stream_trip_walk": (stream_trip_walk, walking.TRIP_WALK_SQL),
     "stream_typical_bins": (stream_typical_bins, walking.TYPICAL_SQL),

@@ -56,6 +56,36 @@ def test_capture_over_restarts_and_a_repeated_batch(spark, tmp_path):
     assert kept == {"one": "aba-", "two": "-ab", "three": "a"}
 
 
+def test_static_capture_over_restarts_days_and_a_repeated_batch(spark, tmp_path):
+    """Names equal those of the whole log, however it is cut; a day's numbers go on over batches and start anew with the next."""
+    schema = "city string, ts long, digest string"
+    noon, hour = 1_790_000_000 // 86_400 * 86_400 + 9 * 3600, 3600
+    logs = {"one": "aabab--aacc", "two": "----aaabab", "three": "bbbbbbbbbbbbbb"}
+    rows = [(city, noon + 3 * hour * i, None if c == "-" else c) for city, log in logs.items() for i, c in enumerate(log)]
+    landed, out, checkpoint = (str(tmp_path / n) for n in ("landed", "out", "checkpoint"))
+    local = lambda: F.col("ts").cast("timestamp")
+
+    def drain():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+        capture.start_static_capture(stream, out, checkpoint, ["ts"], _bucket, local, ONCE).awaitTermination()
+
+    def named(df):
+        return sorted((r["city"], r["ts"], r["snapshot"]) for r in df.select("city", "ts", "snapshot").collect())
+
+    for cut in ((0, 2), (2, 3), (3, 4), (4, 9), (9, 99)):
+        _land(spark, [r for r in rows if cut[0] <= (r[1] - noon) // (3 * hour) < cut[1]], schema, landed)
+        drain()
+    _forget_last_commit(checkpoint)
+    drain()
+    changed = batch.keep_changes(spark.createDataFrame(rows, schema), ["city"], ["ts"], _bucket())
+    whole = batch.name_snapshots(changed.filter("kept"), ["city"], ["ts"], local())
+    got = named(spark.read.parquet(f"{out}/static"))
+    assert got == named(whole)
+    of_one = [name.removeprefix("gtfs_") for city, _, name in got if city == "one"]
+    assert len({name[:10] for name in of_one}) > 1 and sum("T" not in name for name in of_one) == len({n[:10] for n in of_one})
+    assert [city for city, _, _ in got].count("three") == 1
+
+
 def test_compaction_waits_merges_late_files_and_repeats_safely(spark, tmp_path):
     schema = "name string, sha256 string"
     stamp = "tu_2026-10-17T{}Z.pb".format
