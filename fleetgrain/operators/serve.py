@@ -170,56 +170,94 @@ def _cutter(segment_length_m: float, tolerance_m: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             key, wanted, *arrays, ref_lat, ref_lon = batch.columns
-            rows = []
+            cuts = []
             for i in range(batch.num_rows):
-                index = np.asarray(wanted[i].as_py())
                 x, y, cum = (a[i].values.to_numpy(zero_copy_only=False) for a in arrays)
-                head = (key[i].as_py(), ref_lat[i].as_py(), ref_lon[i].as_py())
-                for at, part in zip(index.tolist(), cut_line(x, y, cum, index, segment_length_m)):
-                    thin = part[keep_vertices(part, tolerance_m)]
-                    rows.append((head[0], at, *head[1:], thin[:, 0], thin[:, 1]))
-            kinds = [pa.string(), pa.int32(), pa.float64(), pa.float64(), *[pa.list_(pa.float64())] * 2]
-            columns = zip(*rows) if rows else [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+                cuts.append(cut_line(x, y, cum, wanted[i].values.to_numpy(zero_copy_only=False), segment_length_m))
+            points = np.concatenate([points for points, _ in cuts])
+            sizes = np.concatenate([sizes for _, sizes in cuts])
+            keep = kept_vertices(points, sizes, tolerance_m)
+            first = np.cumsum(sizes) - sizes
+            kept = np.add.reduceat(keep, first, dtype=np.int32) if len(first) else np.zeros(0, np.int32)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(kept)]).astype(np.int32))
+            thin = points[keep]
+            line = pa.array(np.repeat(np.arange(batch.num_rows), [len(sizes) for _, sizes in cuts]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    key.take(line),
+                    wanted.flatten().cast(pa.int32()),
+                    ref_lat.take(line),
+                    ref_lon.take(line),
+                    *[pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(thin[:, k]))) for k in (0, 1)],
+                ],
+                names=names,
+            )
 
     return run
 
 
-def cut_line(x, y, cum, index: np.ndarray, length_m: float) -> Iterator[np.ndarray]:
-    """The stretch of a line under each segment: its ends and the vertices between them."""
+def cut_line(x, y, cum, index: np.ndarray, length_m: float) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of a line under its segments, one after the other, and the number of points of each.
+
+    A stretch is its two ends and the vertices between them.
+    """
     bounds = np.clip(np.stack([index, index + 1]) * length_m, 0.0, cum[-1])
     ends = np.stack([np.interp(bounds, cum, x), np.interp(bounds, cum, y)], axis=-1)
     first = np.searchsorted(cum, bounds[0], side="right")
-    stop = np.searchsorted(cum, bounds[1], side="left")
-    for i in range(len(index)):
-        inner = np.column_stack([x[first[i] : stop[i]], y[first[i] : stop[i]]])
-        yield np.concatenate([ends[0, i : i + 1], inner, ends[1, i : i + 1]])
+    inner = np.maximum(np.searchsorted(cum, bounds[1], side="left") - first, 0)
+    sizes = inner + 2
+    last = np.cumsum(sizes) - 1
+    points = np.empty((int(sizes.sum()), 2))
+    points[last - sizes + 1], points[last] = ends
+    between = np.ones(len(points), bool)
+    between[last - sizes + 1] = between[last] = False
+    source = _ranges(first, inner)
+    points[between] = np.column_stack([x[source], y[source]])
+    return points, sizes
 
 
-def keep_vertices(line: np.ndarray, tolerance_m: float) -> np.ndarray:
-    """Mask of the vertices a Douglas-Peucker pass keeps; ends always stay."""
-    keep = np.zeros(len(line), dtype=bool)
-    keep[[0, -1]] = True
-    if len(line) == 2:
-        return keep
-    todo = [(0, len(line) - 1)]
-    while todo:
-        a, b = todo.pop()
-        if b - a < 2:
-            continue
-        base = line[b] - line[a]
-        rel = line[a + 1 : b] - line[a]
-        len_sq = float(base @ base)
-        frac = np.clip(rel @ base / len_sq, 0.0, 1.0) if len_sq else np.zeros(len(rel))
-        off = np.hypot(*(rel - frac[:, None] * base).T)
-        far = int(off.argmax())
-        if off[far] > tolerance_m:
-            keep[a + 1 + far] = True
-            todo += [(a, a + 1 + far), (a + 1 + far, b)]
+def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each first one on, one range after the other."""
+    return np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+
+
+def kept_vertices(points: np.ndarray, sizes: np.ndarray, tolerance_m: float) -> np.ndarray:
+    """Mask of the points that a Douglas-Peucker pass over each of many lines keeps; ends always stay.
+
+    All chords of a level are measured at once, and those that a vertex is too
+    far from are split there for the next; a chord within the tolerance is done.
+    """
+    keep = np.zeros(len(points), dtype=bool)
+    b = np.cumsum(sizes) - 1
+    a = b - sizes + 1
+    keep[a] = keep[b] = True
+    while len(a):
+        wide = b - a >= 2
+        a, b = a[wide], b[wide]
+        inner = b - a - 1
+        at, chord = _ranges(a + 1, inner), np.repeat(np.arange(len(a)), inner)
+        base, rel = (points[b] - points[a])[chord], points[at] - points[a][chord]
+        len_sq = (base * base).sum(axis=1)
+        along = np.divide((rel * base).sum(axis=1), len_sq, out=np.zeros(len(at)), where=len_sq > 0)
+        off = np.hypot(*(rel - np.clip(along, 0.0, 1.0)[:, None] * base).T)
+        most = np.maximum.reduceat(off, np.cumsum(inner) - inner) if len(a) else np.zeros(0)
+        farthest = np.flatnonzero(off == most[chord])
+        farthest = farthest[np.unique(chord[farthest], return_index=True)[1]]
+        split = most > tolerance_m
+        far, a, b = at[farthest][split], a[split], b[split]
+        keep[far] = True
+        a, b = np.concatenate([a, far]), np.concatenate([far, b])
     return keep
 
 
+def keep_vertices(line: np.ndarray, tolerance_m: float) -> np.ndarray:
+    """Mask of the vertices of one line that a Douglas-Peucker pass keeps."""
+    return kept_vertices(line, np.array([len(line)]), tolerance_m)
+
+
 def point_offsets(indexed_paths: DataFrame) -> DataFrame:
     """Add the running start offset of each segment's points per bundle."""
     summed = running_sum_in_buckets(

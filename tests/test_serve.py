@@ -186,3 +186,36 @@ def test_keys_and_slot_choice(spark):
     ]
     row = spark.range(1).select(*[p.alias(f"p{i}") for i, p in enumerate(picks)]).first()
     assert tuple(row) == (2, 1, 0)
+
+
+def _recursive(line, tolerance_m):
+    """Douglas-Peucker by the book, for comparison only."""
+    if len(line) < 3:
+        return [True] * len(line)
+    base, rel = line[-1] - line[0], line[1:-1] - line[0]
+    size = (base * base).sum()
+    along = np.clip((rel * base).sum(axis=1) / size, 0, 1) if size else np.zeros(len(rel))
+    off = np.hypot(*(rel - along[:, None] * base).T)
+    far = int(off.argmax()) + 1
+    if off[far - 1] <= tolerance_m:
+        return [True, *[False] * (len(line) - 2), True]
+    return [*_recursive(line[: far + 1], tolerance_m), *_recursive(line[far:], tolerance_m)[1:]]
+
+
+def test_many_lines_are_simplified_like_each_alone():
+    rng = np.random.default_rng(2)
+    lines = [np.cumsum(rng.normal(0, 8, (int(n), 2)), axis=0) for n in rng.integers(2, 80, 120)]
+    lines += [np.repeat(lines[0], 3, axis=0), np.zeros((5, 2)), np.array([(0, 0), (0, 30), (0, 0)], float)]
+    sizes = np.array([len(line) for line in lines])
+    got = serve.kept_vertices(np.concatenate(lines), sizes, 5.0)
+    want = [k for line in lines for k in _recursive(line, 5.0)]
+    assert got.tolist() == want and 0 < sum(want) < len(want)
+
+
+def test_stretches_hold_their_ends_and_the_vertices_between():
+    x, y = np.array([0.0, 10, 20, 20, 20]), np.array([0.0, 0, 0, 15, 30])
+    cum = np.array([0.0, 10, 20, 35, 50])
+    points, sizes = serve.cut_line(x, y, cum, np.array([3, 0, 1, 9]), 15.0)
+    cut = [p.tolist() for p in np.split(points, np.cumsum(sizes)[:-1])]
+    assert cut[0] == [[20, 25], [20, 30]] and cut[1] == [[0, 0], [10, 0], [15, 0]]
+    assert cut[2] == [[15, 0], [20, 0], [20, 10]] and cut[3] == [[20, 30], [20, 30]]
