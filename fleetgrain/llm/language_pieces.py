@@ -224,7 +224,8 @@ def word_counts(docs: DataFrame, sample_docs: int) -> tuple[DataFrame, dict[str,
     numbered = [(lang, k, n) for k, (lang, n) in enumerate(held.items())]
     sizes = docs.sparkSession.createDataFrame(numbered, "lang string, number int, docs long")
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6 < sample_docs / F.col("docs")
-    sample = open_docs.join(sizes, "lang").where(share).select(F.col("number").alias("lang"), "text")
+    # one row per language, each of which the model has a column for
+    sample = open_docs.join(F.broadcast(sizes), "lang").where(share).select(F.col("number").alias("lang"), "text")
     schema = pa.schema([("lang", pa.int32()), ("word", pa.string()), ("n", pa.int64())])
 
     def count(batches):
