@@ -37,7 +37,7 @@ class Static:
 
 
 def load_static(spark: SparkSession, folder: str, out: str, city: str) -> Static:
-    """Unzip each archive once into tables under `out`, then work from those.
+    """Unzip each member once into a table under `out`, then work from those.
 
     An archive that can't be opened or lacks a required member enters neither
     the catalogue nor any table; `out`/unusable names it with what it lacks.
@@ -48,17 +48,17 @@ def load_static(spark: SparkSession, folder: str, out: str, city: str) -> Static
     unusable = stored(spark, f"{out}/unusable", lacking.schema)
     # one row per archived feed
     archives = found.join(F.broadcast(unusable.select("snapshot")), "snapshot", "left_anti")
-    members = ["trips.txt", "shapes.txt", "routes.txt", "calendar_dates.txt", "stops.txt", "feed_info.txt"]
-    overwrite_partitions(gtfs.member_rows(archives, members), f"{out}/members", ["member"])
-    rows = spark.read.parquet(f"{out}/members")
     names = archives.select("snapshot")  # contents are pruned from this scan
-    keyed = shapes.keyed_points(gtfs.shape_points(rows), ["snapshot", "shape_id"])
+    tables = {"routes": gtfs.routes, "calendar_dates": gtfs.calendar_dates, "feed_info": gtfs.feed_info}
+    for name, read in tables.items():
+        replace_tree(read(archives), f"{out}/{name}")
+    keyed = shapes.keyed_points(gtfs.shape_points(archives), ["snapshot", "shape_id"])
     replace_tree(keyed, f"{out}/lines")
     keyed = spark.read.parquet(f"{out}/lines")
     replace_tree(shapes.build_shapes(keyed), f"{out}/shapes")
     known = keyed.select("snapshot", "shape_id", "shape_key")
     # a shape id without points still gets a key, of an empty geometry, and no shape
-    trips = gtfs.trips(rows).join(known, ["snapshot", "shape_id"], "left")
+    trips = gtfs.trips(archives).join(known, ["snapshot", "shape_id"], "left")
     replace_tree(trips.withColumn("shape_key", F.coalesce("shape_key", F.lit(EMPTY_KEY))), f"{out}/trips")
     files = names.select(F.lit(city).alias("city"), F.col("snapshot").alias("name"))
     return Static(
@@ -66,9 +66,9 @@ def load_static(spark: SparkSession, folder: str, out: str, city: str) -> Static
         trips=spark.read.parquet(f"{out}/trips"),
         shapes=spark.read.parquet(f"{out}/shapes"),
         bridge=shapes.shape_bridge(keyed),
-        routes=gtfs.routes(rows),
-        calendar_dates=gtfs.calendar_dates(rows),
-        feed_info=gtfs.feed_info(names, rows),
+        routes=spark.read.parquet(f"{out}/routes"),
+        calendar_dates=spark.read.parquet(f"{out}/calendar_dates"),
+        feed_info=spark.read.parquet(f"{out}/feed_info"),
         unusable=unusable,
     )
 

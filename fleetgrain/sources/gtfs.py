@@ -5,10 +5,13 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.csv as pacsv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +20,8 @@ from fleetgrain.plans.snapshots import SNAPSHOT_PATTERN
 # Members a usable feed must have.
 REQUIRED_MEMBERS = ["trips.txt", "shapes.txt", "stops.txt", "routes.txt"]
 
-_ROW_SCHEMA = "snapshot string, member string, line_no bigint, row map<string,string>"
+#: Bytes of a member that are columns at once, and rows at once where rows are read one by one.
+_BLOCK_BYTES = 1 << 20
 _ROWS_PER_BATCH = 20_000
 
 
@@ -28,20 +32,32 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     return files.filter(name.rlike(SNAPSHOT_PATTERN)).select(name.alias("snapshot"), "content")
 
 
-def member_rows(archives: DataFrame, members: list[str]) -> DataFrame:
-    """Rows of the named CSV members as maps; a byte-order mark is dropped.
+def member_table(archives: DataFrame, member: str, columns: list[str]) -> DataFrame:
+    """(snapshot, line_no, the named columns as text) of one CSV member of each archive.
 
-    Read each archive once and write the typed tables it yields; later jobs
-    start from those tables.
+    One scan for each member, a task unzips that member only, as a stream of
+    column blocks, and Arrow's reader turns the named columns only into values.
+    Defined cases: an unreadable archive, a missing or empty member gives no
+    rows; a column the header lacks is null; fields a short row lacks are null,
+    those beyond the header are ignored; of columns with one name the last
+    counts; a byte-order mark is dropped, blank lines are no rows, and bytes
+    that are not UTF-8 become U+FFFD. line_no counts the rows from 0.
     """
+    schema = pa.schema([("snapshot", pa.string()), ("line_no", pa.int64()), *[(c, pa.string()) for c in columns]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for snapshot, archive in _archives(batches):
-            for member in members:
-                if member in archive.namelist():
-                    yield from _member_batches(snapshot, archive, member)
+            if member not in archive.namelist():
+                continue
+            done = 0
+            for arrays in _member_columns(archive, member, columns):
+                size = len(arrays[0])
+                names = pa.repeat(pa.scalar(snapshot, pa.string()), size)
+                lines = pa.array(np.arange(done, done + size))
+                yield pa.RecordBatch.from_arrays([names, lines, *arrays], schema=schema)
+                done += size
 
-    return archives.mapInArrow(run, _ROW_SCHEMA)
+    return archives.mapInArrow(run, ", ".join(["snapshot string", "line_no bigint", *[f"`{c}` string" for c in columns]]))
 
 
 def _archives(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, zipfile.ZipFile]]:
@@ -54,82 +70,86 @@ def _archives(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, zipfile.
                 continue
 
 
-def _member_batches(snapshot: str, archive: zipfile.ZipFile, member: str) -> Iterator[pa.RecordBatch]:
-    map_type = pa.map_(pa.string(), pa.string())
+def _member_columns(archive: zipfile.ZipFile, member: str, columns: list[str]) -> Iterator[list[pa.Array]]:
+    """Blocks of the named columns; from the first row on that Arrow's reader refuses, row by row."""
+    done = 0
+    try:
+        for batch in _column_blocks(archive, member, columns):
+            yield batch.columns
+            done += batch.num_rows
+    except pa.ArrowInvalid:
+        yield from _row_blocks(archive, member, columns, done)
+
+
+def _column_blocks(archive: zipfile.ZipFile, member: str, columns: list[str]) -> Iterator[pa.RecordBatch]:
     with archive.open(member) as raw:
-        reader = csv.DictReader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
-        rows: list = []
-        for line_no, row in enumerate(reader):
-            rows.append((line_no, [(k, v) for k, v in row.items() if k is not None]))
-            if len(rows) == _ROWS_PER_BATCH:
-                yield _as_batch(snapshot, member, rows, map_type)
-                rows = []
-        if rows:
-            yield _as_batch(snapshot, member, rows, map_type)
-
-
-def _as_batch(snapshot: str, member: str, rows: list, map_type: pa.DataType) -> pa.RecordBatch:
-    line_nos, maps = zip(*rows)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([snapshot] * len(rows)),
-            pa.array([member] * len(rows)),
-            pa.array(line_nos, pa.int64()),
-            pa.array(maps, map_type),
-        ],
-        names=["snapshot", "member", "line_no", "row"],
-    )
+        header = next(csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace", newline="")), [])
+    if len(set(header)) < len(header):
+        raise pa.ArrowInvalid("several columns of one name")
+    with archive.open(member) as raw:
+        yield from pacsv.open_csv(
+            raw,
+            read_options=pacsv.ReadOptions(use_threads=False, block_size=_BLOCK_BYTES),
+            parse_options=pacsv.ParseOptions(newlines_in_values=True),
+            convert_options=pacsv.ConvertOptions(
+                include_columns=columns,
+                include_missing_columns=True,
+                column_types=dict.fromkeys(columns, pa.string()),
+                strings_can_be_null=False,
+            ),
+        )
+
+
+def _row_blocks(archive: zipfile.ZipFile, member: str, columns: list[str], start: int) -> Iterator[list[pa.Array]]:
+    """The rows from `start` on, ragged or longer than a block."""
+    csv.field_size_limit(2**31 - 1)
+    with archive.open(member) as raw:
+        lines = io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace", newline="")
+        rows = itertools.islice(csv.DictReader(lines), start, None)
+        for block in itertools.batched(rows, _ROWS_PER_BATCH):
+            yield [pa.array([row.get(c) for row in block], pa.string()) for c in columns]
 
 
-def _member(rows: DataFrame, member: str, columns: dict[str, str]) -> DataFrame:
-    typed = [
-        F.try_element_at("row", F.lit(name)).try_cast(kind).alias(name) for name, kind in columns.items()
-    ]
-    return rows.filter(F.col("member") == member).select("snapshot", *typed)
+def _member(archives: DataFrame, member: str, columns: dict[str, str]) -> DataFrame:
+    rows = member_table(archives, member, list(columns))
+    return rows.select("snapshot", *[F.col(name).try_cast(kind).alias(name) for name, kind in columns.items()])
 
 
-def trips(rows: DataFrame) -> DataFrame:
+def trips(archives: DataFrame) -> DataFrame:
     names = ("trip_id", "route_id", "service_id", "shape_id")
-    return _member(rows, "trips.txt", dict.fromkeys(names, "string"))
+    return _member(archives, "trips.txt", dict.fromkeys(names, "string"))
 
 
-def shape_points(rows: DataFrame) -> DataFrame:
+def shape_points(archives: DataFrame) -> DataFrame:
     columns = {
         "shape_id": "string",
         "shape_pt_sequence": "int",
         "shape_pt_lat": "double",
         "shape_pt_lon": "double",
     }
-    return _member(rows, "shapes.txt", columns)
+    return _member(archives, "shapes.txt", columns)
 
 
-def routes(rows: DataFrame) -> DataFrame:
+def routes(archives: DataFrame) -> DataFrame:
     columns = {"route_id": "string", "route_short_name": "string", "route_type": "int"}
-    return _member(rows, "routes.txt", columns)
+    return _member(archives, "routes.txt", columns)
 
 
-def stops(rows: DataFrame) -> DataFrame:
-    return _member(rows, "stops.txt", {"stop_id": "string", "stop_lat": "double", "stop_lon": "double"})
+def stops(archives: DataFrame) -> DataFrame:
+    return _member(archives, "stops.txt", {"stop_id": "string", "stop_lat": "double", "stop_lon": "double"})
 
 
-def calendar_dates(rows: DataFrame) -> DataFrame:
+def calendar_dates(archives: DataFrame) -> DataFrame:
     names = ("service_id", "date", "exception_type")
-    return _member(rows, "calendar_dates.txt", dict.fromkeys(names, "string"))
+    return _member(archives, "calendar_dates.txt", dict.fromkeys(names, "string"))
 
 
-def feed_info(archives: DataFrame, rows: DataFrame) -> DataFrame:
+def feed_info(archives: DataFrame) -> DataFrame:
     """First feed_info row per snapshot, null when the member is absent."""
-    first = (
-        rows.filter(F.col("member") == "feed_info.txt")
-        .groupBy("snapshot")
-        .agg(F.min_by("row", "line_no").alias("info"))
-    )
-    names = ("feed_version", "feed_start_date", "feed_end_date")
-    return (
-        archives.select("snapshot")
-        .join(first, "snapshot", "left")
-        .select("snapshot", *[F.try_element_at("info", F.lit(n)).alias(n) for n in names])
-    )
+    names = ["feed_version", "feed_start_date", "feed_end_date"]
+    rows = member_table(archives, "feed_info.txt", names)
+    first = rows.groupBy("snapshot").agg(F.min_by(F.struct(*names), "line_no").alias("info"))
+    return archives.select("snapshot").join(first, "snapshot", "left").select("snapshot", *[f"info.{n}" for n in names])
 
 
 def member_names(archives: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import csv
 import datetime as dt
 import gzip
 import hashlib
@@ -165,6 +166,39 @@ def _zip(path, members, stamp=(2026, 9, 1, 0, 0, 0)):
             z.writestr(zipfile.ZipInfo(name, stamp), text)
 
 
+ODD_MEMBERS = {
+    "short": "b,a\n1,2\n3\n5,6,7\n",
+    "same name": "b,b\n1,2\n",
+    "blank lines": "a,b\n\n1,2\n\n3,4\n",
+    "quoted": 'a,b\r\n"x, ""y""\r\nz", k \r\n,\r\n',
+    "no newline": "b\n1\n2",
+    "header only": "a,b\n",
+    "empty": "",
+    "no such column": "c,d\n1,2\n",
+    "marked": BOM + "b,a\nü,\u00a0\n",
+    "long field": "a,b\n1," + "y" * 1_500_000 + "\n2,z\n",
+    "ragged late": "a,b\n" + "".join(f"{i},{i}\n" for i in range(200_000)) + "x\n" + "7,8\n" * 30_000,
+}
+
+
+def test_members_equal_rows_read_one_by_one(spark, tmp_path):
+    for i, text in enumerate(ODD_MEMBERS.values()):
+        _zip(tmp_path / f"gtfs_2026-09-{i + 1:02}.zip", {"m.txt": text})
+    with zipfile.ZipFile(tmp_path / "gtfs_2026-10-01.zip", "w") as z:
+        z.writestr("m.txt", b"a,b\n\xff,1\n")
+    _zip(tmp_path / "gtfs_2026-10-02.zip", {"other.txt": "a,b\n1,2\n"})
+    table = gtfs.member_table(gtfs.read_archives(spark, str(tmp_path)), "m.txt", ["b", "a", "z"])
+    found = {}
+    for r in table.orderBy("snapshot", "line_no").toArrow().to_pylist():
+        found.setdefault(r["snapshot"], []).append((r["line_no"], r["b"], r["a"], r["z"]))
+    csv.field_size_limit(2**31 - 1)
+    for i, (case, text) in enumerate(ODD_MEMBERS.items()):
+        rows = csv.DictReader(io.StringIO(text.removeprefix(BOM), newline=""))
+        want = [(n, r.get("b"), r.get("a"), r.get("z")) for n, r in enumerate(rows)]
+        assert found.get(f"gtfs_2026-09-{i + 1:02}.zip", []) == want, case
+    assert found["gtfs_2026-10-01.zip"] == [(0, "1", "\ufffd", None)] and "gtfs_2026-10-02.zip" not in found
+
+
 def test_feed_archives(spark, tmp_path):
     _zip(tmp_path / "gtfs_2026-09-01.zip", MEMBERS)
     _zip(tmp_path / "gtfs_2026-09-02.zip", {n: MEMBERS[n] for n in ("trips.txt", "stops.txt")})
@@ -173,18 +207,17 @@ def test_feed_archives(spark, tmp_path):
     _zip(tmp_path / "gtfs_2026-09-05_copy.zip", MEMBERS)
     archives = gtfs.read_archives(spark, str(tmp_path))
     assert archives.count() == 4
-    rows = gtfs.member_rows(archives, list(MEMBERS))
     first = "snapshot = 'gtfs_2026-09-01.zip'"
-    assert [tuple(r)[1:] for r in gtfs.trips(rows).filter(first).orderBy("trip_id").collect()] == [
+    assert [tuple(r)[1:] for r in gtfs.trips(archives).filter(first).orderBy("trip_id").collect()] == [
         ("T1", "R1", "A", "S1"),
         ("T2", "R1", "A", ""),
     ]
-    points = gtfs.shape_points(rows).filter(first).orderBy("shape_pt_sequence").collect()
+    points = gtfs.shape_points(archives).filter(first).orderBy("shape_pt_sequence").collect()
     assert [r["shape_pt_lat"] for r in points] == [42.2, 42.1, 42.0]
-    assert gtfs.routes(rows).filter(first).first()["route_short_name"] == "1, express"
-    assert [r["service_id"] for r in gtfs.calendar_dates(rows).filter(first + " AND date = '20260901'").collect()] == ["A"]
-    assert gtfs.stops(rows).filter(first).first()["stop_lat"] == 42.0
-    info = {r["snapshot"][5:15]: (r["feed_version"], r["feed_end_date"]) for r in gtfs.feed_info(archives, rows).collect()}
+    assert gtfs.routes(archives).filter(first).first()["route_short_name"] == "1, express"
+    assert [r["service_id"] for r in gtfs.calendar_dates(archives).filter(first + " AND date = '20260901'").collect()] == ["A"]
+    assert gtfs.stops(archives).filter(first).first()["stop_lat"] == 42.0
+    info = {r["snapshot"][5:15]: (r["feed_version"], r["feed_end_date"]) for r in gtfs.feed_info(archives).collect()}
     assert info == {"2026-09-01": ("v7", None), "2026-09-02": (None, None), "2026-09-03": ("v7", None), "2026-09-04": (None, None)} or (
         info["2026-09-01"] == ("v7", None) and info["2026-09-02"] == (None, None)
     )
