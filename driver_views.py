@@ -6,6 +6,11 @@ state the same arithmetic.
 
 from __future__ import annotations
 
+import csv
+import io
+import zipfile
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +18,7 @@ from fleetgrain.functions.clock import hour_of_name, local_date, slot_label
 from fleetgrain.operators.ranks import exact_median
 from fleetgrain.operators.shapes import keyed_points
 from fleetgrain.params import EARTH_RADIUS_M, WalkParams
+from fleetgrain.session import cut_lineage
 
 TZ = "Europe/Athens"
 
@@ -339,6 +345,47 @@ def doc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CUSTOMERS_PER_FEED = 200
+
+
+def feed_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as zipped feeds, one per block of customers, packed inside tasks (snapshot, content).
+
+    Some feeds aren't archives, lack members or a column, begin with a byte-order
+    mark; some rows are short, some names hold quotes, commas and line ends.
+    """
+
+    def packed(key, rows):
+        block = key[0].as_py()
+        buffer = io.BytesIO()
+        trips = [["trip_id", "route_id", "service_id", "shape_id"][: 3 if block % 5 == 3 else 4]]
+        routes, versions = [["route_type", "route_id", "route_short_name"]], [["feed_version"]]
+        for row in sorted(rows.to_pylist(), key=lambda r: r["c_custkey"]):
+            n = row["c_custkey"]
+            trip = [f"T{n}", f"R{row['c_nationkey']}", row["c_mktsegment"], f"S{n % 7}"]
+            trips.append(trip[: 3 if block % 5 == 3 or n % 11 == 0 else 4])
+            routes.append(["x" if n % 17 == 3 else n % 4, f"R{n}", f'{row["c_name"]}, "{n}"\n' if n % 3 == 0 else row["c_name"]])
+            versions.append([f"v{n}"])
+        members = {"trips.txt": trips, "shapes.txt": [["shape_id"]], "stops.txt": [["stop_id"]]}
+        if block % 7 != 2:
+            members["routes.txt"] = routes
+        if block % 4 == 1:
+            del members["stops.txt"]
+        if block % 3 == 0:
+            members["feed_info.txt"] = versions
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            for name, lines in members.items():
+                text = io.StringIO(newline="")
+                csv.writer(text).writerows(lines)
+                archive.writestr(name, ("\ufeff" if block % 2 else "") + text.getvalue())
+        content = b"not an archive" if block % 13 == 5 else buffer.getvalue()
+        return pa.table({"snapshot": pa.array([f"f{block}"]), "content": pa.array([content], pa.binary())})
+
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    blocks = customers.withColumn("block", F.floor(F.col("c_custkey") / CUSTOMERS_PER_FEED))
+    return cut_lineage(blocks.groupBy("block").applyInArrow(packed, "snapshot string, content binary"))
+
+
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as capture runs of five networks: refused, empty and repeating answers."""
     events = event_seconds(table(spark, sf_dir, "events"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import driver_views as views
 from fleetgrain.functions.clock import local_time
 from fleetgrain.operators import capture, digests, reconcile
+from fleetgrain.sources import gtfs
 
 SOURCE = ["city"]
 
@@ -429,6 +430,61 @@ COMPLETE_SQL = f"""WITH {HOURS}
 SELECT hour, count(*) AS files, count(*) * 2 >= 15 AS half_full FROM archive GROUP BY hour"""
 
 
+FEEDS = """
+c AS (SELECT c_custkey AS n, c_custkey // 200 AS block, c_nationkey, c_name, c_mktsegment FROM customer),
+f AS (SELECT DISTINCT block, 'f' || block AS snapshot, block % 13 <> 5 AS opens FROM c)
+"""
+
+
+def feed_members(spark, sf_dir):
+    """Trips and routes out of zipped feeds."""
+    archives = views.feed_archives(spark, sf_dir)
+    trips = gtfs.trips(archives).select(
+        "snapshot", F.lit("trip").alias("kind"), F.col("trip_id").alias("id"), F.col("service_id").alias("label"),
+        F.col("shape_id").alias("detail"),
+    )
+    routes = gtfs.routes(archives).select(
+        "snapshot", F.lit("route").alias("kind"), F.col("route_id").alias("id"), F.col("route_short_name").alias("label"),
+        F.col("route_type").cast("string").alias("detail"),
+    )
+    return trips.unionByName(routes)
+
+
+MEMBERS_SQL = f"""WITH {FEEDS}
+SELECT snapshot, 'trip' AS kind, 'T' || n AS id, c_mktsegment AS label,
+  CASE WHEN block % 5 <> 3 AND n % 11 <> 0 THEN 'S' || n % 7 END AS detail
+FROM c JOIN f USING (block) WHERE opens
+UNION ALL
+SELECT snapshot, 'route', 'R' || n, CASE WHEN n % 3 = 0 THEN c_name || ', "' || n || '"' || chr(10) ELSE c_name END,
+  CASE WHEN n % 17 <> 3 THEN CAST(n % 4 AS VARCHAR) END
+FROM c JOIN f USING (block) WHERE opens AND block % 7 <> 2"""
+
+
+def feed_versions(spark, sf_dir):
+    """What the first row of each feed's feed_info says."""
+    return gtfs.feed_info(views.feed_archives(spark, sf_dir))
+
+
+VERSIONS_SQL = f"""WITH {FEEDS}
+SELECT snapshot, CASE WHEN opens AND block % 3 = 0 THEN 'v' || min(n) END AS feed_version,
+  CAST(NULL AS VARCHAR) AS feed_start_date, CAST(NULL AS VARCHAR) AS feed_end_date
+FROM c JOIN f USING (block) GROUP BY snapshot, opens, block"""
+
+
+def feed_usability(spark, sf_dir):
+    """Required members that each feed lacks."""
+    archives = views.feed_archives(spark, sf_dir)
+    lacking = gtfs.usability(archives, gtfs.member_names(archives))
+    return lacking.select("snapshot", F.array_join("missing", ",").alias("missing"), (F.size("missing") == 0).alias("usable"))
+
+
+USABILITY_SQL = f"""WITH {FEEDS},
+m AS (SELECT snapshot, concat_ws(',', CASE WHEN NOT opens THEN 'trips.txt,shapes.txt' END,
+  CASE WHEN NOT opens OR block % 4 = 1 THEN 'stops.txt' END,
+  CASE WHEN NOT opens OR block % 7 = 2 THEN 'routes.txt' END) AS missing FROM f)
+SELECT snapshot, missing, missing = '' AS usable FROM m"""
+
+
 QUERIES = {
     "pending_manifests": (pending_manifests, PENDING_SQL),
     "checksum_verdicts": (checksum_verdicts, VERDICTS_SQL),
@@ -448,6 +504,9 @@ QUERIES = {
     "text_digests": (text_digests, DIGESTS_SQL),
     "alert_set_digests": (alert_set_digests, SET_SQL),
     "archive_digests": (archive_digests, ARCHIVE_SQL),
+    "feed_members": (feed_members, MEMBERS_SQL),
+    "feed_versions": (feed_versions, VERSIONS_SQL),
+    "feed_usability": (feed_usability, USABILITY_SQL),
     "copy_verdicts": (copy_verdicts, COPIES_SQL),
     "alert_capture": (alert_capture, CAPTURE_SQL),
     "static_capture": (static_capture, STATIC_SQL),
