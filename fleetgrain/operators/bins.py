@@ -65,7 +65,7 @@ def feed_speed_validation(
         F.lit("all").alias("scope"), diff.alias("diff")
     )
     over = diffs.groupBy("scope").agg(F.count_if(F.col("diff") > threshold_kmh).alias("over"))
-    middle = ranks.exact_median(diffs, ["scope"], "diff", "median")
+    middle = ranks.exact_median(diffs, ["scope"], "diff", "median", finer=ranks.FINER)
     return middle.join(over, "scope").select(
         F.col("n").alias("n_compared"),
         F.bround("median", 3).alias("median_abs_diff_kmh"),

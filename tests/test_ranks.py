@@ -42,6 +42,26 @@ def test_any_bucket_width_gives_the_same(spark):
             assert r["m"] == pytest.approx(statistics.median(groups[r["k"]]), abs=1e-12)
 
 
+@pytest.mark.parametrize("finer", [(0.1,), (1e-5, 1e-8)])
+def test_finer_buckets_give_the_same(spark, finer):
+    groups, rows = _values(5)
+    groups["odd"] = [float("inf"), -0.0, 0.0, 1e300, -1e300, 5e-324, 1e-9, 2e-9]
+    df = spark.createDataFrame([*rows, *(("odd", v) for v in groups["odd"]), ("odd", None)], "k string, v double")
+    picks = {"q1": ranks.lower_quarter, "lo": ranks.lower_middle, "q3": ranks.upper_quarter}
+    for r in ranks.order_stats(df, ["k"], "v", picks, 1.0, finer).collect():
+        ordered, n = sorted(groups[r["k"]]), len(groups[r["k"]])
+        assert (r["n"], r["q1"], r["lo"], r["q3"]) == (n, ordered[n // 4], ordered[(n - 1) // 2], ordered[3 * n // 4])
+
+
+def test_a_group_of_the_whole_table_is_many_small_ones(spark):
+    """200,000 values in one coarse bucket, at most five of them in a narrow one."""
+    df = spark.range(200_000).selectExpr("'all' AS k", "5.001 + (id * 7919 % 200000) / 4e7 AS v")
+    held = {w: df.groupBy(ranks._bucket("v", w)).count().agg(F.max("count")).first()[0] for w in (ranks.BUCKET_WIDTH, *ranks.FINER)}
+    assert held[ranks.BUCKET_WIDTH] == 200_000 and held[ranks.FINER[-1]] <= 5
+    found = ranks.exact_median(df, ["k"], "v", "m", finer=ranks.FINER).first()
+    assert found["n"] == 200_000 and found["m"] == pytest.approx(5.001 + 99_999.5 / 4e7, abs=1e-12)
+
+
 def test_odd_values_have_a_place(spark):
     inf, nan = float("inf"), float("nan")
     rows = [("a", v) for v in (nan, 1.0, inf, -inf, 1e300, -1e300, None, 2e300)] + [(None, 3.0), (None, 5.0), ("b", None)]
