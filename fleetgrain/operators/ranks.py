@@ -1,12 +1,12 @@
 """Exact medians and order statistics, one plan for groups of any size.
 
-No group ever reaches one task whole. Equal values of a group are counted, which
-combines before it shuffles, and what follows reads those counts. They are summed
-by coarse bucket, the bucket that holds a wanted rank is read off the running
-sums of that small histogram, and only values of such buckets are looked at
-again. A group as large as the table is refined by narrower buckets inside the
-chosen one, so that no task meets more values than fit a narrow bucket. Ranks
-are kept as numbers, so nothing runs while the plan is built.
+No group ever reaches one task whole. Values are counted per group and coarse
+bucket, which combines before it shuffles; the bucket that holds a wanted rank
+is read off the running counts of that small histogram; and only values of such
+buckets are looked at again, as distinct values with their counts. A group as
+large as the table counts equal values first and is refined by narrower buckets
+inside the chosen one, so that no task meets more values than fit a narrow
+bucket. Ranks are kept as numbers, so nothing runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -65,7 +65,9 @@ def order_stats(
     table; each adds a pass over the values of the chosen buckets. Results do
     not depend on any width.
     """
-    values = df.select(*keys, value).filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    values = df.select(*keys, value).filter(F.col(value).isNotNull()).withColumn("_c", F.lit(1))
+    if finer:  # large groups repeat values, small ones hardly do and count them once a bucket is chosen
+        values = values.groupBy(*keys, value).agg(F.sum("_c").alias("_c"))
     facts, scope = [], list(keys)
     for level, size in enumerate((width, *finer)):
         by = f"_b{level}"
@@ -88,6 +90,8 @@ def order_stats(
         facts = ["_n", "_skip", "_picks"]  # the same for all values of a bucket
         values = values.drop(*facts).alias("v").join(wanted.alias("w"), same)
         values = values.select(*[F.col(f"v.{k}").alias(k) for k in scope], value, "_c", *facts)
+    if not finer:
+        values = values.groupBy(*scope, value).agg(F.sum("_c").alias("_c"), *[F.first(c).alias(c) for c in facts])
     placed = values.withColumn("_at", F.col("_skip") + _running(values, scope, value))
     found = placed.withColumn("_p", F.explode("_picks")).filter("_p.rank >= _at AND _p.rank < _at + _c")
     return found.groupBy(*keys).agg(
