@@ -9,6 +9,7 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -93,6 +94,43 @@ def shape_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Lines of 150 points that go north for half their length and come back beside
+# themselves, with a bend at every second point; fixes lie anywhere between the
+# two halves, so only the search window tells which half a vehicle is on.
+BENT = replace(WALK, search_margin_m=4000.0)
+BENT_TURN_M = 42000.0
+
+
+def bent_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, i = F.col("c_custkey"), F.col("shape_pt_sequence")
+    steps = F.when(i < 75, i).otherwise(149 - i)
+    north = steps * (F.lit(BENT_TURN_M / 74) + (key % 40) * 5)
+    east = key * 0.0005 + F.when(i < 75, 0.0).otherwise(0.0101) + (i % 2) * 0.0007
+    line = table(spark, sf_dir, "customer").filter(key % 13 != 5).select("c_custkey")
+    return line.repartition("c_custkey").select(
+        F.lit("s1").alias("snapshot"),
+        F.concat(F.lit("S"), key.cast("string")).alias("shape_id"),
+        F.explode(F.sequence(F.lit(0), F.lit(149))).alias("shape_pt_sequence"),
+        key,
+    ).select(
+        "snapshot",
+        "shape_id",
+        "shape_pt_sequence",
+        (F.lit(42.5) + F.degrees(north / EARTH_RADIUS_M)).alias("shape_pt_lat"),
+        (F.lit(20.0) + east).alias("shape_pt_lon"),
+    )
+
+
+def bent_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seq = F.col("seq")
+    travelled = (F.col("snapshot_ts") % 86400) * 1.0037117283 + (seq % 13) * 1200.1173911
+    north = F.when(travelled < BENT_TURN_M, travelled).otherwise(2 * BENT_TURN_M - travelled)
+    lon = F.lit(20.0) + F.col("trip_id").try_cast("double") * 0.0005 + (seq % 7) * 0.0020173
+    return positions(spark, sf_dir).withColumns(
+        {"lat": F.lit(42.5) + F.degrees(north / EARTH_RADIUS_M), "lon": lon}
+    )
+
+
 def keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_points(shape_points(spark, sf_dir), ["snapshot", "shape_id"])
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import driver_views as views
 from fleetgrain.operators import bins, walk
+from fleetgrain.operators.shapes import build_shapes, keyed_points
 from registry.common import judged_steps, steps, walk_plan, walk_shapes, walk_trips
 
 # Events as fixes, walked fix by fix; the same arithmetic as driver_views.
@@ -125,6 +126,87 @@ FROM step JOIN judged j ON CAST(j.user_id AS VARCHAR) = step.vehicle_id
  AND j.service_date = step.service_date AND j.snapshot_ts = step.snapshot_ts AND j.rn = step.rn"""
 
 
+def trip_walk_bent(spark, sf_dir):
+    """The walk on lines that come back beside themselves, where the search window decides."""
+    lines = keyed_points(views.bent_points(spark, sf_dir), ["snapshot", "shape_id"])
+    trips = views.trips(spark, sf_dir, lines)
+    seen = views.bent_positions(spark, sf_dir)
+    judged = walk.walk(seen, walk_plan(spark, sf_dir), trips, build_shapes(lines), views.BENT, ["seq"])
+    return judged.select(
+        "service_date",
+        "vehicle_id",
+        "snapshot_ts",
+        F.col("n").alias("records"),
+        "verdict",
+        "from_ts",
+        F.round("dist_m", 3).alias("dist_m"),
+        F.round("delta_m", 3).alias("delta_m"),
+    )
+
+
+# Every fix on every segment of its line, then fix by fix the nearest one that the window holds.
+TRIP_WALK_BENT_SQL = f"""WITH RECURSIVE {FIXES.split("f AS (")[0].rstrip().rstrip(",")},
+line AS (
+  SELECT c_custkey, i,
+         42.5e0 + degrees(least(i, 149 - i) * (42000.0e0 / 74 + (c_custkey % 40) * 5) / 6371000.0e0) AS lat,
+         20.0e0 + c_custkey * 0.0005e0 + CASE WHEN i < 75 THEN 0.0e0 ELSE 0.0101e0 END + (i % 2) * 0.0007e0 AS lon
+  FROM customer, range(150) r(i) WHERE c_custkey % 13 <> 5),
+hop AS (
+  SELECT *, avg(lat) OVER (PARTITION BY c_custkey) AS ref_lat,
+         first_value(lon) OVER (PARTITION BY c_custkey ORDER BY i) AS ref_lon,
+         coalesce(2 * 6371000.0e0 * asin(sqrt(
+           sin((radians(lat) - radians(lag(lat) OVER o)) / 2) ^ 2 + cos(radians(lat)) * cos(radians(lag(lat) OVER o))
+           * sin((radians(lon) - radians(lag(lon) OVER o)) / 2) ^ 2)), 0) AS m
+  FROM line WINDOW o AS (PARTITION BY c_custkey ORDER BY i)),
+vertex AS (
+  SELECT *, radians(lon - ref_lon) * cos(radians(ref_lat)) * 6371000.0e0 AS x, radians(lat - ref_lat) * 6371000.0e0 AS y,
+         sum(m) OVER (PARTITION BY c_custkey ORDER BY i) AS cum
+  FROM hop),
+seg AS (
+  SELECT * FROM (SELECT *, lead(x) OVER o - x AS dx, lead(y) OVER o - y AS dy, lead(cum) OVER o - cum AS span
+                 FROM vertex WINDOW o AS (PARTITION BY c_custkey ORDER BY i)) WHERE span IS NOT NULL),
+cums AS (SELECT c_custkey, list(cum ORDER BY i) AS cums FROM vertex GROUP BY c_custkey),
+spot AS (
+  SELECT *, 42.5e0 + degrees(CASE WHEN dist < 42000 THEN dist ELSE 84000.0e0 - dist END / 6371000.0e0) AS lat,
+         20.0e0 + user_id * 0.0005e0 + (event_id % 7) * 0.0020173e0 AS lon
+  FROM keyed WHERE known AND has_shape),
+rel AS (
+  SELECT spot.event_id, seg.*, radians(spot.lon - ref_lon) * cos(radians(ref_lat)) * 6371000.0e0 - x AS px,
+         radians(spot.lat - ref_lat) * 6371000.0e0 - y AS py
+  FROM spot JOIN seg ON seg.c_custkey = spot.user_id),
+foot AS (
+  SELECT *, greatest(0, least(1, (px * dx + py * dy) / (dx * dx + dy * dy))) AS frac FROM rel),
+feet AS (
+  SELECT event_id, list(struct_pack(off := (px - frac * dx) ^ 2 + (py - frac * dy) ^ 2, i := i,
+                                    along := cum + frac * span) ORDER BY i) AS feet
+  FROM foot GROUP BY event_id),
+f AS (
+  SELECT spot.*, feet, cums, list_min(feet).along AS free,
+         row_number() OVER (PARTITION BY service_date, user_id ORDER BY snapshot_ts, event_id) AS rn
+  FROM spot JOIN feet USING (event_id) JOIN cums ON cums.c_custkey = spot.user_id),
+w AS (
+  SELECT service_date, user_id, rn, snapshot_ts, snapshot_ts AS anchor_ts, free AS anchor_dist, 'walk_start' AS verdict,
+         CAST(NULL AS BIGINT) AS from_ts, free AS dist, CAST(NULL AS DOUBLE) AS delta
+  FROM f WHERE rn = 1
+  UNION ALL
+  SELECT service_date, user_id, rn, snapshot_ts,
+         CASE WHEN short THEN anchor_ts ELSE snapshot_ts END, CASE WHEN short THEN anchor_dist ELSE d END,
+         CASE WHEN short THEN 'gap_too_short'
+              WHEN gap <= 0 THEN 'non_positive_time_delta'
+              WHEN gap > 20000 THEN 'gap_too_large'
+              WHEN d - anchor_dist < -5000 THEN 'moved_backward'
+              WHEN (d - anchor_dist) / gap > 10 / 3.6e0 THEN 'speed_too_high'
+              ELSE 'accepted' END,
+         anchor_ts, d, d - anchor_dist
+  FROM (SELECT *, gap > 0 AND gap < 2500 AS short,
+               CASE WHEN gap <= 0 OR gap > 20000 THEN free ELSE list_min([v FOR v IN feet IF v.i >= lo AND v.i <= hi]).along END AS d
+        FROM (SELECT f.*, w.anchor_ts, w.anchor_dist, f.snapshot_ts - w.anchor_ts AS gap,
+                     least(148, greatest(0, len([c FOR c IN cums IF c < w.anchor_dist - 9000]) - 1)) AS lo,
+                     greatest(0, len([c FOR c IN cums IF c <= w.anchor_dist + 10 / 3.6e0 * (f.snapshot_ts - w.anchor_ts) + 4000])) AS hi
+              FROM w JOIN f ON f.service_date = w.service_date AND f.user_id = w.user_id AND f.rn = w.rn + 1))),
+{TRIP_WALK_SQL.split(FIXES + ",")[1].lstrip()}"""
+
+
 def speed_samples(spark, sf_dir):
     out = _samples(spark, sf_dir)
     return out.drop("vehicle_id", "shape_id").withColumn("speed_raw", F.round("speed_raw", 6))
@@ -229,6 +311,7 @@ FROM bins"""
 QUERIES = {
     "typical_weekday_bins": (typical_weekday_bins, TYPICAL_SQL),
     "trip_walk": (trip_walk, TRIP_WALK_SQL),
+    "trip_walk_bent": (trip_walk_bent, TRIP_WALK_BENT_SQL),
     "speed_samples": (speed_samples, SPEED_SAMPLES_SQL),
     "day_speed_bins": (day_speed_bins, DAY_BINS_SQL),
     "walk_reject_counters": (walk_reject_counters, COUNTERS_SQL),

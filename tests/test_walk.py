@@ -1,3 +1,6 @@
+from dataclasses import replace
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -283,3 +286,72 @@ def test_day_bins(spark):
     )
     row = bins.day_bins(samples).first()
     assert (row["median_speed_ms"], row["n_samples"]) == (2.0, 2)
+
+
+def _hairpin(n):
+    rng = np.random.default_rng(n)
+    t = np.linspace(0.0, 200.0 * n, n)
+    lat = 38 + np.degrees(np.minimum(t, t[-1] - t) / 6371000) + rng.normal(0, 5e-5, n)
+    lon = 23.7 + 2e-3 * np.sin(t / 1500) + rng.normal(0, 5e-5, n)
+    if n > 4:
+        lat[3], lon[3] = lat[2], lon[2]  # a segment of no length
+    ref = float(lat.mean())
+    xs, ys = np.radians(lon - lon[0]) * np.cos(np.radians(ref)) * 6371000, np.radians(lat - ref) * 6371000
+    cum = np.concatenate([[0.0], np.cumsum(np.hypot(np.diff(xs), np.diff(ys)))])
+    return walk._Line(xs, ys, cum, ref, float(lon[0])), lat, lon, xs, ys, cum
+
+
+@pytest.mark.parametrize("n", [2, 3, 64, 65, 66, 67, 82, 400, 1501])
+def test_boxes_lose_no_nearest_segment(n):
+    line, lat, lon, xs, ys, cum = _hairpin(n)
+    rng = np.random.default_rng(7)
+    near = rng.integers(0, n, 300)
+    off = np.concatenate([np.zeros(100), rng.normal(0, 3e-4, 100), rng.normal(0, 2.0, 100)])
+    x, y = line.plane(lat[near] + off, lon[near] - off)
+    full, segment = line.nearest(x, y)
+    dx, dy = np.diff(xs), np.diff(ys)
+    for i in range(len(x)):
+        len_sq = np.where(dx * dx + dy * dy > 0, dx * dx + dy * dy, 1.0)
+        frac = np.clip(((x[i] - xs[:-1]) * dx + (y[i] - ys[:-1]) * dy) / len_sq, 0, 1)
+        far = (x[i] - xs[:-1] - frac * dx) ** 2 + (y[i] - ys[:-1] - frac * dy) ** 2
+        j = int(far.argmin())
+        # equally near neighbours share the vertex, so the distance is what must agree
+        assert full[i] == pytest.approx(cum[j] + frac[j] * (cum[j + 1] - cum[j]), abs=1e-5)
+        assert far[segment[i]] == pytest.approx(far[j], abs=1e-6)
+        lo, hi = n // 3, max(n // 3, n // 2 - 1)
+        k = lo + int(far[lo : hi + 1].argmin())
+        assert line.nearest_between(x[i], y[i], lo, min(hi, n - 2)) == pytest.approx(
+            cum[k] + frac[k] * (cum[k + 1] - cum[k]), abs=1e-5
+        ) if lo <= n - 2 else True
+
+
+def test_boxes_of_a_line_with_odd_vertices():
+    line, lat, lon, xs, ys, cum = _hairpin(120)
+    xs[60] = np.nan
+    odd = walk._Line(xs, ys, cum, line.ref_lat, line.ref_lon)
+    full, segment = odd.nearest(*odd.plane(lat[:20], lon[:20]))
+    assert len(full) == len(segment) == 20
+
+
+def test_boxes_skip_most_segments():
+    line, lat, lon, *_ = _hairpin(1501)
+    x, y = line.plane(lat + 1e-4, lon)
+    opened = line._maybe_nearest(x[:, None], y[:, None]).sum() * line.run
+    assert opened < 0.15 * len(x) * line.size
+
+
+def test_window_decides_on_lines_that_come_back(spark):
+    import driver_views as views
+    from registry.walking import trip_walk_bent
+
+    sf = "/root/testdata/sf0.001"
+    narrow = {(r["vehicle_id"], r["snapshot_ts"]): r["dist_m"] for r in trip_walk_bent(spark, sf).collect()}
+    kept = views.BENT
+    try:
+        views.BENT = replace(kept, search_margin_m=1e9)
+        wide = {(r["vehicle_id"], r["snapshot_ts"]): r["dist_m"] for r in trip_walk_bent(spark, sf).collect()}
+    finally:
+        views.BENT = kept
+    assert narrow.keys() == wide.keys()
+    moved = [k for k in narrow if narrow[k] is not None and wide[k] is not None and abs(narrow[k] - wide[k]) > 1000]
+    assert len(moved) > 0.05 * len(narrow)
