@@ -10,10 +10,10 @@ from fleetgrain.functions.clock import date_in
 from fleetgrain.operators import profile, quality, reconcile
 from fleetgrain.operators.digests import file_digests
 from fleetgrain.params import MANIFEST_SCHEMA_VERSION, MIN_SAMPLES, WalkParams
-from fleetgrain.plans import export, periods, pipeline
+from fleetgrain.plans import export, periods, pipeline, snapshots
 from fleetgrain.session import build_session, cut_lineage
 from fleetgrain.sinks import replace_tree, write_manifests
-from fleetgrain.sources import jsonl, listings
+from fleetgrain.sources import jsonl, listings, profiles
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -27,6 +27,7 @@ def _parser() -> argparse.ArgumentParser:
     export_job = jobs.add_parser("export", help="serving tables of periods and days")
     export_job.add_argument("static_dir")
     export_job.add_argument("--min-samples", type=int, default=MIN_SAMPLES)
+    export_job.add_argument("--profile", help="the city's profile file, for its attribution")
     manifests = jobs.add_parser("manifests", help="quality record of every day")
     manifests.add_argument("data_dir")
     verify = jobs.add_parser("verify", help="hold pending records against the origin's checksums")
@@ -56,14 +57,28 @@ def run_export(spark, args) -> None:
     manifests = spark.read.parquet(f"{args.out}/manifests") if _has(spark, f"{args.out}/manifests") else None
     stored = spark.read.parquet(f"{args.out}/bins").withColumn("period_key", F.col("period_key").cast("string"))
     behind = plan.filter("period_key IS NOT NULL").select(F.col("period_key").alias("bundle"), "service_date")
+    about = spark.read.parquet(f"{args.out}/periods")
+    attribution = None
+    if args.profile:
+        known = profiles.read_profiles(spark, args.profile)
+        reconcile.require_empty(profiles.profile_violations(known), "the profile breaks a rule")
+        attribution = profiles.attributions(known).first()["attribution"]
     records = export.export_bundles(
-        export.period_bundles(stored), behind, static, manifests, f"{args.out}/typical", args.min_samples
+        export.period_bundles(stored), behind, static, manifests, f"{args.out}/typical", args.min_samples,
+        about=about, attribution=attribution, source=f"{args.out}/bins",
     )
-    index = export.bundle_index(records, spark.read.parquet(f"{args.out}/periods"))
+    index = export.bundle_index(records, about)
+    document = reconcile.index_document(
+        index.withColumn("city", F.lit(args.city)), plan.withColumn("city", F.lit(args.city)), ["city"]
+    )
+    replace_tree(document, f"{args.out}/period_index")
+    used = plan.select(F.explode(F.array("snapshot", "next_snapshot")).alias("snapshot")).filter("snapshot IS NOT NULL")
+    replace_tree(snapshots.unloaded_feeds(used, static.catalogue.select("snapshot")), f"{args.out}/unloaded_feeds")
     samples = spark.read.parquet(f"{args.out}/samples")
     days = plan.select(F.date_format("service_date", "yyyy-MM-dd").alias("bundle"), "service_date")
     by_day = export.export_bundles(
-        export.day_bundles(samples), days, static, manifests, f"{args.out}/by_day", args.min_samples, False
+        export.day_bundles(samples), days, static, manifests, f"{args.out}/by_day", args.min_samples,
+        mode=export.SINGLE_DAY, attribution=attribution, source=f"{args.out}/samples",
     )
     replace_tree(export.root_index(by_day, index), f"{args.out}/index")
     index.show(truncate=False)

@@ -78,14 +78,17 @@ def unknown_segments(bins: DataFrame, shapes: DataFrame) -> DataFrame:
     return pairs.join(shapes.select("shape_key"), "shape_key", "left_anti")
 
 
+def _key_slice() -> Column:
+    """Leading digits of a geometry key, a digest: up to 4,096 even slices of a bundle, in key order."""
+    return F.substring("shape_key", 1, 3)
+
+
 def index_segments(segments: DataFrame) -> DataFrame:
     """Zero-based segment_idx per bundle in (shape_key, segment_index) order.
 
-    Numbered inside each shape, then shifted by the count of earlier shapes.
+    Numbered inside each slice of the keys, then shifted by the count of earlier slices.
     """
-    numbered = running_sum_in_buckets(
-        segments, ["bundle"], PAIR, F.col("shape_key"), F.lit(1).cast("bigint"), "_nth"
-    )
+    numbered = running_sum_in_buckets(segments, ["bundle"], PAIR, _key_slice(), F.lit(1).cast("bigint"), "_nth")
     return numbered.withColumn("segment_idx", F.col("_nth") - 1).drop("_nth")
 
 
@@ -261,30 +264,62 @@ def keep_vertices(line: np.ndarray, tolerance_m: float) -> np.ndarray:
 def point_offsets(indexed_paths: DataFrame) -> DataFrame:
     """Add the running start offset of each segment's points per bundle."""
     summed = running_sum_in_buckets(
-        indexed_paths, ["bundle"], ["segment_idx"], F.col("shape_key"), F.size("points").cast("bigint"), "_upto"
+        indexed_paths, ["bundle"], ["segment_idx"], _key_slice(), F.size("points").cast("bigint"), "_upto"
     )
     return summed.withColumn("point_offset", F.col("_upto") - F.size("points")).drop("_upto")
 
 
-def geometry_document(paths: DataFrame, baseline: DataFrame | None = None) -> DataFrame:
-    """One row per bundle with flat lat, lon and point_offset arrays, from `point_offsets` rows.
+def shape_table(segments: DataFrame, routes: DataFrame) -> DataFrame:
+    """Dense zero-based shape_idx per bundle in key order, with what is known of each shape's routes.
 
-    The published document is one file per network; this is its writer only.
+    `routes` is `shape_routes`; a shape without a row there has empty lists and no type.
+    """
+    keys = segments.select("bundle", "shape_key").distinct()
+    numbered = running_sum_in_buckets(
+        keys, ["bundle"], ["shape_key"], _key_slice(), F.lit(1).cast("bigint"), "_nth"
+    )
+    none = F.array().cast("array<string>")
+    known = numbered.join(routes, "shape_key", "left")
+    return known.select(
+        "bundle",
+        (F.col("_nth") - 1).alias("shape_idx"),
+        "shape_key",
+        *[F.coalesce(name, none).alias(name) for name in ("shape_ids", "route_ids", "route_names")],
+        "route_type",
+    )
+
+
+def geometry_document(
+    paths: DataFrame, table: DataFrame, baseline: DataFrame | None = None, segment_length_m: float = SEGMENT_LENGTH_M
+) -> DataFrame:
+    """One row per bundle: the shape table's columns, and for its segments flat lat, lon and point_offset arrays.
+
+    `paths` are `point_offsets` rows, `table` is the `shape_table` of their bundles; a segment
+    names its shape by shape_idx. The published document is one file per network; this is its writer only.
     """
     if baseline is not None:
         paths = paths.join(baseline.select("bundle", "segment_idx", "typical_kmh"), ["bundle", "segment_idx"], "left")
     else:
         paths = paths.withColumn("typical_kmh", F.lit(None).cast("int"))
-    part = F.struct("segment_idx", "shape_key", "segment_index", "points", "point_offset", "typical_kmh")
-    listed = paths.groupBy("bundle").agg(F.sort_array(F.collect_list(part)).alias("s"))
+    placed = paths.join(table.select("bundle", "shape_key", "shape_idx"), ["bundle", "shape_key"])
+    part = F.struct("segment_idx", "shape_idx", "segment_index", "points", "point_offset", "typical_kmh")
+    listed = placed.groupBy("bundle").agg(F.sort_array(F.collect_list(part)).alias("s"))
+    entry = F.struct("shape_idx", "shape_key", "shape_ids", "route_ids", "route_names", "route_type")
+    shapes = table.groupBy("bundle").agg(F.sort_array(F.collect_list(entry)).alias("t"))
     points = F.flatten(F.col("s.points"))
-    return listed.select(
+    return listed.join(shapes, "bundle").select(
         "bundle",
-        F.col("s.shape_key").alias("shape_key"),
+        F.lit(segment_length_m).alias("segment_length_m"),
+        F.col("t.shape_key").alias("shape_keys"),
+        F.col("t.shape_ids").alias("shape_ids"),
+        F.col("t.route_ids").alias("shape_route_ids"),
+        F.col("t.route_names").alias("shape_route_names"),
+        F.col("t.route_type").alias("shape_route_type"),
+        F.col("s.shape_idx").alias("shape_idx"),
         F.col("s.segment_index").alias("segment_index"),
+        F.concat(F.col("s.point_offset"), F.array(F.size(points).cast("bigint"))).alias("point_offset"),
         points["lat"].alias("lat"),
         points["lon"].alias("lon"),
-        F.concat(F.col("s.point_offset"), F.array(F.size(points).cast("bigint"))).alias("point_offset"),
         F.col("s.typical_kmh").alias("typical_kmh"),
     )
 

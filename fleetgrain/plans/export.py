@@ -43,6 +43,15 @@ STATED = {
 }
 
 
+# The two kinds of bundle and the version of their layout.
+TYPICAL, SINGLE_DAY = "typical_weekday", "day"
+FORMAT_VERSION = 2
+
+PERIOD_TYPE = (
+    "struct<period_key: string, reference_date: date, first_date: date, last_date: date, route_count: int, trip_count: bigint>"
+)
+
+
 def period_bundles(bins: DataFrame) -> DataFrame:
     return bins.withColumnRenamed("period_key", "bundle")
 
@@ -62,11 +71,15 @@ def export_bundles(
     manifests: DataFrame | None,
     out: str,
     min_samples: int = MIN_SAMPLES,
-    with_baseline: bool = True,
+    mode: str = TYPICAL,
+    about: DataFrame | None = None,
+    attribution: str | None = None,
+    source: str | None = None,
 ) -> DataFrame:
     """Write slots, segments and the bundle records under `out`; returns the records.
 
-    `days` has (bundle, service_date), the days behind each bundle.
+    `days` has (bundle, service_date), the days behind each bundle; `about` describes
+    schedule periods by period_key. Only bundles of a typical weekday have a baseline.
     """
     spark = bundles.sparkSession
     kept = serve.retained_bins(bundles, min_samples)
@@ -79,7 +92,7 @@ def export_bundles(
     routes = serve.shape_routes(static.bridge, static.trips, static.routes, static.catalogue)
     paths = indexed.join(serve.draw_paths(indexed, static.shapes), serve.PAIR)
     placed = serve.point_offsets(paths).join(routes, "shape_key", "left")
-    baseline = serve.segment_baseline(slots) if with_baseline else None
+    baseline = serve.segment_baseline(slots) if mode == TYPICAL else None
     if baseline is not None:
         placed = placed.join(
             baseline.select("bundle", "segment_idx", "typical_kmh"), ["bundle", "segment_idx"], "left"
@@ -88,17 +101,40 @@ def export_bundles(
     placed = spark.read.parquet(f"{out}/segments").withColumn("bundle", F.col("bundle").cast("string"))
     reconcile.require_empty(serve.undrawable(slots, placed), "a slot names a segment without a path")
     write_slots(serve.slot_documents(slots), f"{out}/slot_documents")
-    write_geometry(serve.geometry_document(placed.drop("typical_kmh"), baseline), f"{out}/geometry")
-    replace_tree(_records(bundles, days, static, slots, placed, manifests, min_samples), f"{out}/bundles")
+    table = serve.shape_table(indexed, routes)
+    write_geometry(serve.geometry_document(placed.drop("typical_kmh"), table, baseline), f"{out}/geometry")
+    records = bundle_records(bundles, days, static.shapes, slots, table, manifests, min_samples, mode, about)
+    stated = records.withColumns(
+        {
+            "attribution": F.lit(attribution).cast("string"),
+            "source": F.lit(source).cast("string"),
+            "generated_at": F.current_timestamp(),
+        }
+    )
+    replace_tree(stated, f"{out}/bundles")
     return spark.read.parquet(f"{out}/bundles")
 
 
-def _records(bundles, days, static, slots, placed, manifests, min_samples) -> DataFrame:
-    counts = serve.bundle_counts(bundles, static.shapes, min_samples)
+def bundle_records(
+    bundles: DataFrame,
+    days: DataFrame,
+    shapes: DataFrame,
+    slots: DataFrame,
+    table: DataFrame,
+    manifests: DataFrame | None = None,
+    min_samples: int = MIN_SAMPLES,
+    mode: str = TYPICAL,
+    about: DataFrame | None = None,
+) -> DataFrame:
+    """What each bundle states about itself: mode, period, days, counts and the parameters behind it.
+
+    `table` is the bundles' `shape_table`. schedule_period is null for single days and where `about` has no row.
+    """
+    counts = serve.bundle_counts(bundles, shapes, min_samples)
     listed = days.groupBy("bundle").agg(F.sort_array(F.collect_list("service_date")).alias("days_in_median"))
     labels = slots.groupBy("bundle").agg(F.sort_array(F.collect_set("timeslot")).alias("timeslots"))
-    several = placed.filter(F.size("route_ids") > 1).groupBy("bundle").agg(
-        F.count_distinct("shape_key").alias("multi_route_shapes")
+    several = table.filter(F.size("route_ids") > 1).groupBy("bundle").agg(
+        F.count(F.lit(1)).alias("multi_route_shapes")
     )
     out = counts
     for part in (listed, labels, several):
@@ -110,9 +146,26 @@ def _records(bundles, days, static, slots, placed, manifests, min_samples) -> Da
             )
         )
         out = out.join(notes, "bundle", "left")
+    period = F.struct("period_key", "reference_date", "first_date", "last_date", "route_count", "trip_count")
+    if mode == TYPICAL and about is not None:
+        described = about.select(F.col("period_key").alias("bundle"), period.alias("schedule_period"))
+        out = out.join(described, "bundle", "left")
+    else:
+        out = out.withColumn("schedule_period", F.lit(None).cast(PERIOD_TYPE))
+    none = F.array().cast(out.schema["timeslots"].dataType)
     stated = [F.lit(value).alias(name) for name, value in STATED.items()]
-    return out.fillna(0, ["multi_route_shapes"]).select(
-        "*", F.lit(min_samples).alias("min_samples"), *stated, F.current_timestamp().alias("generated_at")
+    return (
+        out.fillna(0, ["multi_route_shapes"])
+        .withColumn("timeslots", F.coalesce("timeslots", none))
+        .select(
+            "*",
+            F.size("timeslots").alias("timeslot_count"),
+            (F.col("bins_before") - F.col("bins_after")).alias("bins_dropped"),
+            F.lit(FORMAT_VERSION).alias("format_version"),
+            F.lit(mode).alias("mode"),
+            F.lit(min_samples).alias("min_samples"),
+            *stated,
+        )
     )
 
 
@@ -121,7 +174,7 @@ def bundle_index(records: DataFrame, summary: DataFrame) -> DataFrame:
     current = periods.current_period(
         summary.join(records.select(F.col("bundle").alias("period_key")), "period_key", "left_semi"), NETWORK
     )
-    described = records.join(
+    described = records.drop("schedule_period").join(
         summary.select(F.col("period_key").alias("bundle"), "first_date", "last_date", "route_count", "trip_count"),
         "bundle",
         "left",
@@ -131,6 +184,6 @@ def bundle_index(records: DataFrame, summary: DataFrame) -> DataFrame:
 
 def root_index(day_records: DataFrame, period_index_rows: DataFrame) -> DataFrame:
     """What is published: every day bundle that exists, and each period with the current one marked."""
-    days = day_records.select(F.lit("day").alias("kind"), "bundle", F.lit(False).alias("is_current"))
-    typical = period_index_rows.select(F.lit("typical_weekday").alias("kind"), "bundle", "is_current")
+    days = day_records.select(F.lit(SINGLE_DAY).alias("kind"), "bundle", F.lit(False).alias("is_current"))
+    typical = period_index_rows.select(F.lit(TYPICAL).alias("kind"), "bundle", "is_current")
     return days.unionByName(typical)

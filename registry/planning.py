@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import driver_views as views
 from fleetgrain.functions.clock import is_weekday
-from fleetgrain.operators import serve
+from fleetgrain.operators import reconcile, serve
 from fleetgrain.plans import calendar, periods, snapshots
 
 TOLERANCE_PCT = 22.0
@@ -161,6 +161,39 @@ p AS (SELECT city, period_key, count(*) AS n, max(service_date) AS last FROM ass
 SELECT city, arg_max(period_key, (n, last)) AS current_period FROM p GROUP BY city"""
 
 
+def period_index(spark, sf_dir):
+    """Index of each city's periods, with the days that no median holds."""
+    assigned = _assigned(spark, sf_dir)
+    none = spark.createDataFrame([], "period_key string, bin_count bigint")
+    summary = periods.period_summary(assigned, none, CITY).withColumnRenamed("period_key", "bundle")
+    current = periods.current_period(summary.withColumnRenamed("bundle", "period_key"), CITY)
+    marked = summary.join(current, CITY, "left").withColumn("is_current", F.col("bundle") == F.col("current_period"))
+    document = reconcile.index_document(marked.drop("current_period"), assigned, CITY)
+    return document.select(
+        "city",
+        "current_period",
+        "period_count",
+        F.array_join(F.transform("periods", lambda p: F.concat_ws(" ", p["first_date"].cast("string"), p["bundle"])), ",").alias("periods"),
+        F.array_join(
+            F.transform("days_excluded_from_median", lambda d: F.concat_ws(" ", d["date"].cast("string"), d["reason"])), ","
+        ).alias("days_excluded"),
+    )
+
+
+PERIOD_INDEX_SQL = f"""WITH RECURSIVE {TIMETABLE}, {FOLD},
+p AS (SELECT city, period_key, count(*) AS n, min(service_date) AS first_date, max(service_date) AS last FROM assigned GROUP BY ALL),
+listed AS (
+  SELECT city, arg_max(period_key, (n, last)) AS current_period, CAST(count(*) AS INTEGER) AS period_count,
+         string_agg(CAST(first_date AS VARCHAR) || ' ' || period_key, ',' ORDER BY first_date, period_key) AS periods
+  FROM p GROUP BY city),
+out AS (
+  SELECT city, string_agg(CAST(service_date AS VARCHAR) || ' ' || excluded_from_median, ',' ORDER BY service_date) AS days_excluded
+  FROM judged WHERE excluded_from_median IS NOT NULL GROUP BY city)
+SELECT city, current_period, coalesce(period_count, 0) AS period_count, coalesce(periods, '') AS periods,
+       coalesce(days_excluded, '') AS days_excluded
+FROM listed FULL JOIN out USING (city)"""
+
+
 def schedule_churn(spark, sf_dir):
     """Trips between each network day and the one before it."""
     days = views.order_days(spark, sf_dir).withColumn("snapshot", F.col("city"))
@@ -306,6 +339,7 @@ QUERIES = {
     "schedule_periods": (schedule_periods, PERIODS_SQL),
     "period_summaries": (period_summaries, SUMMARY_SQL),
     "current_period": (current_period, CURRENT_SQL),
+    "period_index": (period_index, PERIOD_INDEX_SQL),
     "schedule_churn": (schedule_churn, CHURN_SQL),
     "snapshot_catalogue": (snapshot_catalogue, CATALOGUE_SQL),
     "snapshot_as_of": (snapshot_as_of, AS_OF_SQL),

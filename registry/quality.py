@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import driver_views as views
 from fleetgrain.operators import quality, shapes
 from fleetgrain.params import BBOX_MARGIN_DEG
-from fleetgrain.sources import jsonl
+from fleetgrain.sources import jsonl, profiles
 
 MULTIPLIER = 10.0
 
@@ -303,7 +303,66 @@ v AS (
 SELECT CAST(n AS VARCHAR) AS slug, problem FROM v"""
 
 
+def profile_violations(spark, sf_dir):
+    """A profile document per customer, nested JSON, some of them broken in one or several places."""
+    key = F.col("c_custkey")
+
+    def unless(broken, column):
+        return F.when(~broken, column)
+
+    def stated(name, text):
+        return F.concat(F.lit(f'"{name}":"'), text, F.lit('"'))
+
+    def block(*parts):
+        return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+
+    licences = block(
+        unless(key % 11 == 1, F.lit('"vehicle_positions":"CC BY"')), F.lit('"static":"CC0"')
+    )
+    attribution = block(
+        stated("source_name", F.col("c_name")),
+        stated("licence", F.when(key % 17 == 3, "").otherwise("CC BY")),
+        F.concat(F.lit('"feed_licences":'), F.when(key % 13 == 2, F.lit('"CC BY"')).otherwise(licences)),
+    )
+    lat = F.concat(F.lit('"lat_min":'), F.when(key % 19 == 4, "43").otherwise("42.5"))
+    box = block(lat, F.lit('"lat_max":43'), unless(key % 23 == 5, F.lit('"lon_min":23')), F.lit('"lon_max":24'))
+    feeds = block(F.lit('"vehicle_positions":"u"'), F.when(key % 29 == 6, '"static":null').otherwise('"static":"v"'))
+    text = block(
+        stated("slug", F.when(key % 31 == 7, "other").otherwise(key.cast("string"))),
+        stated("name", F.col("c_name")),
+        F.lit('"timezone":"UTC"'),
+        unless(key % 37 == 8, F.lit('"poll_interval_sec":45')),
+        F.concat(F.lit('"bbox":'), box),
+        unless(key % 41 == 9, F.concat(F.lit('"feeds":'), feeds)),
+        unless(key % 43 == 10, F.concat(F.lit('"attribution":'), attribution)),
+        stated("speed_field_unit", F.when(key % 7 == 3, "mph").otherwise("ms")),
+        F.when(key % 5 == 1, F.lit('"auth":{"kind":"header"}')),
+    )
+    torn = F.when(key % 47 == 11, F.substring(text, 1, 40)).otherwise(text)
+    files = views.table(spark, sf_dir, "customer").select(key.cast("string").alias("slug"), torn.alias("text"))
+    return profiles.profile_violations(files)
+
+
+VIOLATIONS_SQL = """WITH v AS (
+  SELECT c_custkey AS k, unnest(CASE WHEN k % 47 = 11 THEN ['not a JSON object'] ELSE list_filter([
+    CASE WHEN k % 31 = 7 THEN 'declares another slug than its file name' END,
+    CASE WHEN k % 37 = 8 THEN 'missing required key poll_interval_sec' END,
+    CASE WHEN k % 41 = 9 THEN 'missing required key feeds' END,
+    CASE WHEN k % 43 = 10 THEN 'missing required key attribution' END,
+    CASE WHEN k % 23 = 5 THEN 'bbox is missing lon_min' END,
+    CASE WHEN k % 19 = 4 THEN 'bbox has lat_min at or above lat_max' END,
+    CASE WHEN k % 29 = 6 AND k % 41 <> 9 THEN 'no static feed' END,
+    CASE WHEN k % 7 = 3 THEN 'unknown speed field unit' END,
+    CASE WHEN k % 17 = 3 AND k % 43 <> 10 THEN 'attribution is missing licence' END,
+    CASE WHEN k % 13 = 2 AND k % 43 <> 10 THEN 'attribution has no feed_licences map' END,
+    CASE WHEN k % 11 = 1 AND k % 13 <> 2 AND k % 43 <> 10 THEN 'no licence stated for the vehicle_positions feed' END,
+    CASE WHEN k % 5 = 1 THEN 'auth names no environment variable' END], lambda p: p IS NOT NULL) END) AS problem
+  FROM customer)
+SELECT CAST(k AS VARCHAR) AS slug, problem FROM v"""
+
+
 QUERIES = {
+    "profile_violations": (profile_violations, VIOLATIONS_SQL),
     "poll_outcomes": (poll_outcomes, OUTCOMES_SQL),
     "heartbeat_reconciliation": (heartbeat_reconciliation, RECONCILED_SQL),
     "poll_gaps": (poll_gaps, GAPS_SQL),

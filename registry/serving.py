@@ -8,7 +8,8 @@ import driver_views as views
 from fleetgrain.functions.clock import SLOTS_PER_DAY, slot_label
 from fleetgrain.functions.keys import bin_key, route_type_label, split_bin_key
 from fleetgrain.operators import profile, serve
-from registry.common import stage, walk_shapes
+from fleetgrain.plans import export
+from registry.common import stage, walk_lines, walk_shapes, walk_trips
 
 MIN_SLOTS = 15
 BINS = """
@@ -426,6 +427,133 @@ SELECT bundle, row_number() OVER o - 1 AS segment_idx, shape_key, segment_index,
 FROM d WINDOW o AS (PARTITION BY bundle ORDER BY shape_key, segment_index)"""
 
 
+def _customer_geometry(spark, sf_dir):
+    """Placed segment paths and the shape table of the customer lines, a bundle per line family."""
+    segments = _customer_segments(spark, sf_dir).select(
+        F.substring("shape_key", 1, 1).alias("bundle"), "shape_key", "segment_index"
+    ).distinct()
+    lines, trips = walk_lines(spark, sf_dir), walk_trips(spark, sf_dir)
+    named = trips.select("snapshot", "route_id").distinct()
+    type_no = F.length("route_id") % 4
+    routes = named.select(
+        "*",
+        F.when(type_no == 2, "").otherwise(F.substring("route_id", 1, 3)).alias("route_short_name"),
+        F.when(type_no != 1, type_no).alias("route_type"),
+    )
+    order = spark.createDataFrame([("s1", 1), ("s2", 2)], "snapshot string, seq int")
+    known = serve.shape_routes(lines.select("shape_key", "shape_id"), trips, routes, order)
+    paths = serve.draw_paths(segments, walk_shapes(spark, sf_dir), 20000.0)
+    placed = serve.point_offsets(serve.index_segments(segments).join(paths, ["shape_key", "segment_index"]))
+    return placed, serve.shape_table(segments, known)
+
+
+def geometry_documents(spark, sf_dir):
+    """The published document of each bundle: shape table, shape_idx of each segment, flat points and offsets."""
+    placed, table = _customer_geometry(spark, sf_dir)
+    document = serve.geometry_document(placed, table, segment_length_m=20000.0)
+    lists = ["shape_ids", "shape_route_ids", "shape_route_names"]
+    flat = {name: F.transform(name, lambda ids: F.array_join(ids, ",")) for name in lists}
+    flat["shape_route_type"] = F.transform("shape_route_type", lambda t: F.coalesce(t, F.lit(-1)))
+    for name in ("lat", "lon"):
+        flat[name] = F.transform(name, lambda v: F.round(v, 4))
+    return document.withColumns(flat).drop("typical_kmh")
+
+
+GEOMETRY_SQL = PATHS_SQL.split("SELECT shape_key, segment_index, 2")[0] + """,
+fact AS (
+  SELECT shape_key, 'S' || g.c_custkey AS shape_id, length(c_mktsegment) % 4 AS kind,
+         CASE WHEN c.c_custkey % 17 <> 4 THEN c_mktsegment END AS route_id
+  FROM geo g JOIN customer c USING (c_custkey)),
+shape AS (
+  SELECT shape_key[1:1] AS bundle, shape_key, row_number() OVER (PARTITION BY shape_key[1:1] ORDER BY shape_key) - 1 AS shape_idx,
+         string_agg(shape_id, ',' ORDER BY shape_id) AS ids, coalesce(any_value(route_id), '') AS routes,
+         coalesce(any_value(CASE WHEN route_id IS NULL THEN NULL WHEN kind = 2 THEN route_id ELSE route_id[1:3] END), '') AS names,
+         coalesce(any_value(CASE WHEN route_id IS NOT NULL AND kind <> 1 THEN kind END), -1) AS kind
+  FROM fact GROUP BY shape_key),
+d AS (SELECT DISTINCT shape_key, segment_index, len, c_custkey FROM want),
+seg AS (
+  SELECT bundle, shape_idx, d.*, row_number() OVER (PARTITION BY bundle ORDER BY shape_key, segment_index) - 1 AS segment_idx
+  FROM d JOIN shape USING (shape_key)),
+ends AS (
+  SELECT *, round(round(42.5e0 + degrees(least((segment_index + side) * 20000.0e0, len) / 6371000.0e0), 5), 4) AS lat,
+         round(round(20.0e0 + c_custkey * 0.0005e0, 5), 4) AS lon
+  FROM seg, range(2) r(side)),
+points AS (SELECT bundle, list(lat ORDER BY segment_idx, side) AS lat, list(lon ORDER BY segment_idx, side) AS lon FROM ends GROUP BY bundle),
+tables AS (
+  SELECT bundle, list(shape_key ORDER BY shape_idx) AS shape_keys, list(ids ORDER BY shape_idx) AS shape_ids,
+         list(routes ORDER BY shape_idx) AS shape_route_ids, list(names ORDER BY shape_idx) AS shape_route_names,
+         list(CAST(kind AS INTEGER) ORDER BY shape_idx) AS shape_route_type
+  FROM shape GROUP BY bundle)
+SELECT bundle, 20000.0e0 AS segment_length_m, shape_keys, shape_ids, shape_route_ids, shape_route_names, shape_route_type,
+       list(shape_idx ORDER BY segment_idx) AS shape_idx, list(segment_index ORDER BY segment_idx) AS segment_index,
+       range(0, 2 * count(*) + 1, 2) AS point_offset, any_value(lat) AS lat, any_value(lon) AS lon
+FROM seg JOIN points USING (bundle) JOIN tables USING (bundle)
+GROUP BY bundle, shape_keys, shape_ids, shape_route_ids, shape_route_names, shape_route_type"""
+
+
+def bundle_records(spark, sf_dir):
+    """What the bundles of line items state about themselves."""
+    bundles, shapes = _bundles(spark, sf_dir), views.nation_shapes(spark, sf_dir)
+    kept, indexed = _indexed(spark, sf_dir)
+    slots = serve.slot_bins(kept, indexed)
+    number = F.col("shape_key").cast("int")
+    known = shapes.select(
+        "shape_key",
+        F.array("shape_key").alias("shape_ids"),
+        F.transform(F.sequence(F.lit(0), number % 3), lambda i: i.cast("string")).alias("route_ids"),
+        F.array().cast("array<string>").alias("route_names"),
+        F.lit(3).alias("route_type"),
+    )
+    items = views.table(spark, sf_dir, "lineitem")
+    days = items.select(
+        F.col("l_returnflag").alias("bundle"), F.to_date(F.date_trunc("month", "l_shipdate")).alias("service_date")
+    ).distinct()
+    about = days.filter("bundle <> 'N'").groupBy(F.col("bundle").alias("period_key")).agg(
+        F.min("service_date").alias("first_date"), F.max("service_date").alias("last_date")
+    )
+    about = about.select(
+        "*", F.col("first_date").alias("reference_date"), F.lit(7).alias("route_count"), F.lit(9).cast("bigint").alias("trip_count")
+    )
+    records = export.bundle_records(bundles, days, shapes, slots, serve.shape_table(indexed, known), about=about)
+    return records.select(
+        "bundle",
+        "mode",
+        "format_version",
+        "bins_dropped",
+        "segments_after",
+        "shapes_written",
+        "multi_route_shapes",
+        "timeslot_count",
+        F.array_join("timeslots", ",").alias("timeslots"),
+        F.size("days_in_median").alias("days"),
+        F.array_join(F.transform("days_in_median", lambda d: d.cast("string")), ",").alias("days_in_median"),
+        F.col("schedule_period.first_date").alias("first_date"),
+        F.col("schedule_period.last_date").alias("last_date"),
+        "min_samples",
+        "max_speed_kmh",
+    )
+
+
+RECORDS_SQL = f"""WITH {BINS},
+known AS (SELECT CAST(n_nationkey AS VARCHAR) AS shape_key, n_nationkey % 3 > 0 AS several FROM nation WHERE n_nationkey % 9 <> 4),
+b AS (SELECT bins.*, n_samples >= 2 AS kept, known.shape_key IS NOT NULL AS known, coalesce(several, false) AS several
+      FROM bins LEFT JOIN known USING (shape_key)),
+d AS (SELECT DISTINCT l_returnflag AS bundle, CAST(date_trunc('month', l_shipdate) AS DATE) AS day FROM lineitem),
+days AS (SELECT bundle, CAST(count(*) AS INTEGER) AS days, string_agg(CAST(day AS VARCHAR), ',' ORDER BY day) AS days_in_median,
+                min(day) AS first_date, max(day) AS last_date FROM d GROUP BY bundle)
+SELECT period_key AS bundle, 'typical_weekday' AS mode, 2 AS format_version, count(CASE WHEN NOT kept THEN 1 END) AS bins_dropped,
+       count(DISTINCT CASE WHEN kept THEN (shape_key, segment_index) END) AS segments_after,
+       count(DISTINCT CASE WHEN kept AND known THEN shape_key END) AS shapes_written,
+       count(DISTINCT CASE WHEN kept AND several THEN shape_key END) AS multi_route_shapes,
+       CAST(count(DISTINCT CASE WHEN kept AND known THEN timeslot END) AS INTEGER) AS timeslot_count,
+       string_agg(DISTINCT timeslot, ',' ORDER BY timeslot) FILTER (kept AND known) AS timeslots,
+       any_value(days) AS days, any_value(days_in_median) AS days_in_median,
+       any_value(CASE WHEN period_key <> 'N' THEN first_date END) AS first_date,
+       any_value(CASE WHEN period_key <> 'N' THEN last_date END) AS last_date,
+       2 AS min_samples, 100.0e0 AS max_speed_kmh
+FROM b JOIN days ON days.bundle = period_key GROUP BY period_key"""
+
+
 def window_medians(spark, sf_dir):
     windows = {"day_kmh": ("07:00", "18:45"), "night_kmh": ("00:00", "03:45")}
     return _round(profile.window_medians(_segments(spark, sf_dir), windows), list(windows))
@@ -548,4 +676,6 @@ QUERIES = {
     "profile_edge_runs": (profile_edge_runs, EDGES_SQL),
     "segment_paths": (segment_paths, PATHS_SQL),
     "geometry_offsets": (geometry_offsets, OFFSETS_SQL),
+    "geometry_documents": (geometry_documents, GEOMETRY_SQL),
+    "bundle_records": (bundle_records, RECORDS_SQL),
 }

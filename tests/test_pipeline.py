@@ -5,6 +5,7 @@ import gzip
 import json
 import os
 import zipfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,15 +172,37 @@ def test_export_manifests_and_profile(spark, archive, run, capsys):
     after = {r["service_date"]: r["manifest_mtime"] for r in spark.read.parquet(f"{out}/manifests").collect()}
     assert after.keys() == before.keys()
     assert {d for d in DAYS if after[d] != before[d]} == {DAYS[2]}
-    cli.run_export(spark, parse(["export", str(archive / "static"), out]))
+    attribution = {"source_name": "s", "licence": "CC0", "feed_licences": {"vehicle_positions": "a", "static": "b"}}
+    profile = {
+        "slug": "c", "name": "C", "timezone": "UTC", "poll_interval_sec": 45, "speed_field_unit": "kmh",
+        "bbox": {"lat_min": 0, "lat_max": 1, "lon_min": 0, "lon_max": 1},
+        "feeds": {"vehicle_positions": "u", "static": "v"}, "attribution": attribution,
+    }
+    folder = Path(out).parent / "profiles"
+    folder.mkdir(exist_ok=True)
+    (folder / "c.json").write_text(json.dumps({**profile, "timezone": "UTC", "feeds": {}}))
+    job = ["export", str(archive / "static"), out, "--profile", str(folder / "c.json")]
+    with pytest.raises(ValueError, match="breaks a rule"):
+        cli.run_export(spark, parse(job))
+    (folder / "c.json").write_text(json.dumps(profile))
+    cli.run_export(spark, parse(job))
     records = spark.read.parquet(f"{out}/typical/bundles").first()
     assert records["days_in_median"] == DAYS[:2]
     assert set(records["incomplete_days"]) == {str(d) for d in DAYS[:2]}
     assert records["segments_after"] >= 2 and records["segment_length_m"] == 200.0
+    assert (records["mode"], records["schedule_period"]["period_key"]) == ("typical_weekday", records["bundle"])
+    assert json.loads(records["attribution"]) == attribution and records["timeslot_count"] == len(records["timeslots"])
+    document = spark.read.json(f"{out}/typical/geometry").first()
+    assert set(document["shape_idx"]) <= set(range(len(document["shape_keys"]))) and document["shape_route_type"] == [3]
+    whole = spark.read.parquet(f"{out}/period_index").first()
+    assert (whole["current_period"], whole["period_count"]) == (records["bundle"], 1)
+    assert {r["date"] for r in whole["days_excluded_from_median"]} == set(DAYS[2:])
+    assert spark.read.parquet(f"{out}/unloaded_feeds").count() == 0
     segments = spark.read.parquet(f"{out}/typical/segments").collect()
     assert {tuple(s["route_ids"]) for s in segments} == {("R1",)} and {s["route_type"] for s in segments} == {3}
     by_day = {r["bundle"]: r for r in spark.read.parquet(f"{out}/by_day/bundles").collect()}
     assert by_day.keys() == {str(d) for d in DAYS}
+    assert {(r["mode"], r["schedule_period"]) for r in by_day.values()} == {("day", None)}
     index = export.bundle_index(spark.read.parquet(f"{out}/typical/bundles"), spark.read.parquet(f"{out}/periods"))
     assert [r["is_current"] for r in index.collect()] == [True]
     root = {(r["kind"], r["is_current"]) for r in spark.read.parquet(f"{out}/index").collect()}

@@ -1,10 +1,12 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from fleetgrain.functions import clock
 from fleetgrain.operators import quality
+from fleetgrain.sources import profiles
 
 DAY = dt.date(2026, 9, 1)
 POLL = (
@@ -125,3 +127,60 @@ def test_city_violations(spark):
     bad = ("bad", 2.0, 2.0, 1.0, None, "mph", "", 0, "", None, "")
     rows = quality.city_violations(spark.createDataFrame([good, bad], schema)).collect()
     assert {r["slug"] for r in rows} == {"bad"} and len(rows) == 8
+
+
+GOOD = {
+    "slug": "good", "name": "G", "timezone": "Europe/Athens", "poll_interval_sec": 30, "speed_field_unit": "ms",
+    "bbox": {"lat_min": 1, "lat_max": 2, "lon_min": 3.5, "lon_max": 4},
+    "feeds": {"vehicle_positions": "u", "static": "v"},
+    "attribution": {"source_name": "s", "licence": "CC0", "feed_licences": {"vehicle_positions": "a", "static": "b"}},
+    "auth": None,
+}
+
+
+def _problems(spark, profile):
+    text = profile if profile is None or isinstance(profile, str) else json.dumps(profile)
+    frame = spark.createDataFrame([("good", text)], "slug string, text string")
+    return sorted(r["problem"] for r in profiles.profile_violations(frame).collect())
+
+
+def test_profiles_name_every_broken_rule(spark):
+    assert _problems(spark, GOOD) == []
+    for text in (None, "", "{", "[]", "3", "null"):
+        assert _problems(spark, text) == ["not a JSON object"]
+    assert _problems(spark, {**GOOD, "slug": "bad"}) == ["declares another slug than its file name"]
+    assert _problems(spark, {k: v for k, v in GOOD.items() if k not in ("feeds", "bbox")}) == [
+        "missing required key bbox",
+        "missing required key feeds",
+    ]
+    assert _problems(spark, {**GOOD, "bbox": {"lat_min": 2, "lat_max": 2, "lon_min": "x"}}) == [
+        "bbox has lat_min at or above lat_max",
+        "bbox is missing lon_max",
+        "bbox is missing lon_min",
+    ]
+    assert _problems(spark, {**GOOD, "feeds": {"static": ""}}) == ["no static feed", "no vehicle_positions feed"]
+    assert _problems(spark, {**GOOD, "attribution": {"licence": "x", "feed_licences": []}}) == [
+        "attribution has no feed_licences map",
+        "attribution is missing source_name",
+    ]
+    licences = {"source_name": "s", "licence": "x", "feed_licences": {"static": "CC0"}}
+    assert _problems(spark, {**GOOD, "attribution": licences}) == ["no licence stated for the vehicle_positions feed"]
+    assert _problems(spark, {**GOOD, "auth": {}, "speed_field_unit": None}) == [
+        "auth names no environment variable",
+        "unknown speed field unit",
+    ]
+
+
+def test_profile_files_become_parameters(spark, tmp_path):
+    (tmp_path / "good.json").write_text(json.dumps(GOOD, indent=1))
+    (tmp_path / "torn.json").write_text('{"slug": "torn"')
+    read = profiles.read_profiles(spark, str(tmp_path))
+    found = profiles.city(read, "good")
+    assert (found.lat_min, found.lon_min, found.poll_interval_sec) == (1.0, 3.5, 30)
+    assert (found.walk_params().timezone, found.walk_params().speed_field_unit) == ("Europe/Athens", "ms")
+    with pytest.raises(ValueError, match="not a JSON object"):
+        profiles.city(read, "torn")
+    with pytest.raises(ValueError, match="no profile"):
+        profiles.city(read, "absent")
+    said = {r["slug"]: r["attribution"] for r in profiles.attributions(read).collect()}
+    assert json.loads(said["good"]) == GOOD["attribution"] and said["torn"] is None

@@ -64,9 +64,15 @@ def test_paths_offsets_and_documents(spark, tmp_path):
     assert serve.undrawable(slots, flat).count() == 0
     assert serve.undrawable(slots, flat.filter("segment_idx > 0")).count() == 2
     assert serve.drawable_slots(slots, flat).count() == 6
-    document = serve.geometry_document(flat)
+    known = spark.createDataFrame(
+        [(key, ["S1", "S2"], ["R1"], ["1"], 3)],
+        "shape_key string, shape_ids array<string>, route_ids array<string>, route_names array<string>, route_type int",
+    )
+    document = serve.geometry_document(flat, serve.shape_table(indexed, known))
     row = document.first()
     assert len(row["point_offset"]) == 4 and row["point_offset"][-1] == len(row["lat"])
+    assert (row["shape_keys"], row["shape_idx"], row["shape_ids"]) == ([key], [0, 0, 0], [["S1", "S2"]])
+    assert (row["shape_route_type"], row["shape_route_ids"], row["segment_length_m"]) == ([3], [["R1"]], 200.0)
     write_geometry(document, str(tmp_path / "g"))
     write_slots(serve.slot_documents(slots), str(tmp_path / "s"))
     write_slots(serve.slot_documents(slots.filter("timeslot = '09:00'")), str(tmp_path / "s"))
@@ -219,3 +225,21 @@ def test_stretches_hold_their_ends_and_the_vertices_between():
     cut = [p.tolist() for p in np.split(points, np.cumsum(sizes)[:-1])]
     assert cut[0] == [[20, 25], [20, 30]] and cut[1] == [[0, 0], [10, 0], [15, 0]]
     assert cut[2] == [[15, 0], [20, 0], [20, 10]] and cut[3] == [[20, 30], [20, 30]]
+
+
+def test_shapes_are_numbered_in_key_order_across_slices(spark):
+    keys = ["0010", "0011", "001f", "0020", "a", "ab1", "abc0", "abc1"]
+    rows = [(b, k, i) for b, some in (("p", keys), ("q", keys[3:6])) for k in some for i in (2, 0, 2)]
+    segments = spark.createDataFrame(rows, "bundle string, shape_key string, segment_index int").distinct()
+    routes = spark.createDataFrame(
+        [("ab1", ["S"], ["R", "T"], ["1"], None)],
+        "shape_key string, shape_ids array<string>, route_ids array<string>, route_names array<string>, route_type int",
+    )
+    table = {(r["bundle"], r["shape_key"]): r for r in serve.shape_table(segments, routes).collect()}
+    assert [table["p", k]["shape_idx"] for k in keys] == list(range(8))
+    assert [table["q", k]["shape_idx"] for k in keys[3:6]] == [0, 1, 2]
+    assert table["p", "0020"]["route_ids"] == [] and table["q", "ab1"]["route_ids"] == ["R", "T"]
+    placed = serve.index_segments(segments)
+    order = [(r["shape_key"], r["segment_index"]) for r in placed.filter("bundle = 'p'").orderBy("segment_idx").collect()]
+    assert order == [(k, i) for k in keys for i in (0, 2)]
+    assert serve.shape_table(segments.limit(0), routes).count() == 0
