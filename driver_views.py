@@ -71,15 +71,20 @@ def torn_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions(spark, sf_dir).withColumns({"lat": lat, "lon": lon})
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers that have a line, dealt by its id: a small file is one task, and points by line needn't move again."""
+    key = F.col("c_custkey")
+    line = table(spark, sf_dir, "customer").filter(key % 13 != 5)
+    return line.select(F.concat(F.lit("S"), key.cast("string")).alias("shape_id"), key).repartition("shape_id")
+
+
 def shape_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A straight line of 60 points per customer; some customers have none."""
     key = F.col("c_custkey")
     spacing = F.lit(5000.0) + (key % 40) * 100
-    # one small file is one task, so customers spread out before each becomes a line
-    line = table(spark, sf_dir, "customer").filter(key % 13 != 5).select("c_custkey")
-    return line.repartition("c_custkey").select(
+    return _lines(spark, sf_dir).select(
         F.lit("s1").alias("snapshot"),
-        F.concat(F.lit("S"), key.cast("string")).alias("shape_id"),
+        "shape_id",
         F.explode(F.sequence(F.lit(0), F.lit(59))).alias("shape_pt_sequence"),
         key,
         spacing.alias("spacing"),
@@ -106,10 +111,9 @@ def bent_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = F.when(i < 75, i).otherwise(149 - i)
     north = steps * (F.lit(BENT_TURN_M / 74) + (key % 40) * 5)
     east = key * 0.0005 + F.when(i < 75, 0.0).otherwise(0.0101) + (i % 2) * 0.0007
-    line = table(spark, sf_dir, "customer").filter(key % 13 != 5).select("c_custkey")
-    return line.repartition("c_custkey").select(
+    return _lines(spark, sf_dir).select(
         F.lit("s1").alias("snapshot"),
-        F.concat(F.lit("S"), key.cast("string")).alias("shape_id"),
+        "shape_id",
         F.explode(F.sequence(F.lit(0), F.lit(149))).alias("shape_pt_sequence"),
         key,
     ).select(
@@ -135,6 +139,10 @@ def keyed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_points(shape_points(spark, sf_dir), ["snapshot", "shape_id"])
 
 
+def bent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed_points(bent_points(spark, sf_dir), ["snapshot", "shape_id"])
+
+
 def trips(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
     """Snapshot s1 lacks some trips, s2 has most of those, a few are in neither."""
     keyed = lines.select("shape_id", "shape_key")

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 import driver_views as views
 from fleetgrain.operators import bins, walk
-from fleetgrain.operators.shapes import build_shapes, keyed_points
-from registry.common import judged_steps, steps, walk_plan, walk_shapes, walk_trips
+from fleetgrain.operators.shapes import build_shapes
+from registry.common import judged_steps, stage, steps, walk_plan, walk_shapes, walk_trips
 
 # Events as fixes, walked fix by fix; the same arithmetic as driver_views.
 FIXES = """
@@ -128,7 +128,8 @@ FROM step JOIN judged j ON CAST(j.user_id AS VARCHAR) = step.vehicle_id
 
 def trip_walk_bent(spark, sf_dir):
     """The walk on lines that come back beside themselves, where the search window decides."""
-    lines = keyed_points(views.bent_points(spark, sf_dir), ["snapshot", "shape_id"])
+    # trips and shapes both start from the lines, which are long in making
+    lines = stage(spark, sf_dir, "bent_lines", views.bent_lines)
     trips = views.trips(spark, sf_dir, lines)
     seen = views.bent_positions(spark, sf_dir)
     judged = walk.walk(seen, walk_plan(spark, sf_dir), trips, build_shapes(lines), views.BENT, ["seq"])

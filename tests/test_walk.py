@@ -234,6 +234,24 @@ def test_lookups_have_no_common_null_key(spark):
     assert sum(sizes) == 2000 and max(sizes) < 1200
 
 
+def test_lines_are_not_sent_through_the_driver(spark):
+    """Spark took 323 MB of lines for less than its limit of a broadcast, 10 MB."""
+    judged = walk_line(spark, [(1000, 0.0), (1023, 0.001)])
+    joins = [line for line in _plan(judged).splitlines() if "Join" in line and ("shape_key#" in line or "_asked#" in line)]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
+def test_rows_without_a_trip_ask_for_lines_apart(spark):
+    heads = spark.createDataFrame([(f"T{i}", None) for i in range(200)], "trip_id string, shape_key string")
+    shapes, _ = line_shapes(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = walk.with_lines(heads, shapes).select("xs", F.spark_partition_id().alias("part")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(found) == 200 and len({r["part"] for r in found}) > 1 and {r["xs"] for r in found} == {None}
+
+
 def test_unplanned_snapshots_are_not_looked_at(spark):
     plan = spark.createDataFrame([(DAY, "a", None)], "service_date date, snapshot string, next_snapshot string")
     trips = spark.createDataFrame(
