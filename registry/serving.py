@@ -408,14 +408,20 @@ SELECT shape_key, segment_index, 2 AS n_points,
 FROM want"""
 
 
+def _placed_paths(spark, sf_dir):
+    """Numbered and placed paths of every customer segment, a bundle per line family.
+
+    Paths are stored before they are numbered, as numbering reads them several times.
+    """
+    drawn = stage(
+        spark, sf_dir, "drawn_paths", lambda s, d: serve.draw_paths(_customer_segments(s, d), walk_shapes(s, d), 20000.0)
+    )
+    return serve.point_offsets(serve.index_segments(drawn.withColumn("bundle", F.substring("shape_key", 1, 1))))
+
+
 def geometry_offsets(spark, sf_dir):
     """Flat point offsets of drawn segments, one bundle per line family."""
-    segments = _customer_segments(spark, sf_dir).select(
-        F.substring("shape_key", 1, 1).alias("bundle"), "shape_key", "segment_index"
-    ).distinct()
-    paths = serve.draw_paths(segments, walk_shapes(spark, sf_dir), 20000.0)
-    placed = serve.index_segments(segments).join(paths, ["shape_key", "segment_index"])
-    return serve.point_offsets(placed).select(
+    return _placed_paths(spark, sf_dir).select(
         "bundle", "segment_idx", "shape_key", "segment_index", F.size("points").alias("n_points"), "point_offset"
     )
 

@@ -81,6 +81,14 @@ def test_paths_offsets_and_documents(spark, tmp_path):
     assert json.loads(files[0].read_text())["speed_kmh"] == [18, 18, 18]
 
 
+def test_numbering_reads_stored_paths(spark):
+    """Paths were drawn again in each of the numbering's passes."""
+    from registry.serving import geometry_offsets
+
+    plan = geometry_offsets(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan
+
+
 def test_point_at_a_distance(spark):
     cum, xs = F.array(*map(F.lit, (0.0, 10.0, 10.0, 30.0))), F.array(*map(F.lit, (0.0, 4.0, 4.0, 8.0)))
     at = [-5.0, 0.0, 5.0, 10.0, 20.0, 30.0, 99.0]
