@@ -289,6 +289,24 @@ def shape_table(segments: DataFrame, routes: DataFrame) -> DataFrame:
     )
 
 
+_SLICE = 4096  # rows of a bundle whose lists are made together
+
+
+def _lists(rows: DataFrame, order: str, columns: dict[str, Column]) -> DataFrame:
+    """One row per bundle with a flat list of each column, whose values are lists, in the order of a dense number.
+
+    Lists of slices are made first and then put one after the other, so that a whole bundle is only ever
+    held as its flat lists and not as a row object for each entry.
+    """
+    cells = F.struct(order, *[c for c in rows.columns if c not in ("bundle", order)])
+    slices = rows.groupBy("bundle", F.floor(F.col(order) / _SLICE).alias("_slice")).agg(
+        F.sort_array(F.collect_list(cells)).alias("s")
+    )
+    slices = slices.select("bundle", F.struct("_slice", *[values.alias(name) for name, values in columns.items()]).alias("part"))
+    whole = slices.groupBy("bundle").agg(F.sort_array(F.collect_list("part")).alias("p"))
+    return whole.select("bundle", *[F.flatten(F.col("p")[name]).alias(name) for name in columns])
+
+
 def geometry_document(
     paths: DataFrame, table: DataFrame, baseline: DataFrame | None = None, segment_length_m: float = SEGMENT_LENGTH_M
 ) -> DataFrame:
@@ -297,30 +315,37 @@ def geometry_document(
     `paths` are `point_offsets` rows, `table` is the `shape_table` of their bundles; a segment
     names its shape by shape_idx. The published document is one file per network; this is its writer only.
     """
+    per_segment = ["shape_idx", "segment_index", "point_offset"]
     if baseline is not None:
         paths = paths.join(baseline.select("bundle", "segment_idx", "typical_kmh"), ["bundle", "segment_idx"], "left")
-    else:
-        paths = paths.withColumn("typical_kmh", F.lit(None).cast("int"))
+        per_segment.append("typical_kmh")
     placed = paths.join(table.select("bundle", "shape_key", "shape_idx"), ["bundle", "shape_key"])
-    part = F.struct("segment_idx", "shape_idx", "segment_index", "points", "point_offset", "typical_kmh")
-    listed = placed.groupBy("bundle").agg(F.sort_array(F.collect_list(part)).alias("s"))
-    entry = F.struct("shape_idx", "shape_key", "shape_ids", "route_ids", "route_names", "route_type")
-    shapes = table.groupBy("bundle").agg(F.sort_array(F.collect_list(entry)).alias("t"))
     points = F.flatten(F.col("s.points"))
+    listed = _lists(
+        placed.select("bundle", "segment_idx", *per_segment, "points"),
+        "segment_idx",
+        {**{name: F.col(f"s.{name}") for name in per_segment}, "lat": points["lat"], "lon": points["lon"]},
+    )
+    if baseline is None:
+        listed = listed.withColumn("typical_kmh", F.array_repeat(F.lit(None).cast("int"), F.size("segment_index")))
+    per_shape = ["shape_key", "shape_ids", "route_ids", "route_names", "route_type"]
+    shapes = _lists(table.select("bundle", "shape_idx", *per_shape), "shape_idx", {name: F.col(f"s.{name}") for name in per_shape})
+    named = {name: f"shape_{name}" for name in ("route_ids", "route_names", "route_type")}
+    shapes = shapes.withColumnsRenamed({"shape_key": "shape_keys", **named})
     return listed.join(shapes, "bundle").select(
         "bundle",
         F.lit(segment_length_m).alias("segment_length_m"),
-        F.col("t.shape_key").alias("shape_keys"),
-        F.col("t.shape_ids").alias("shape_ids"),
-        F.col("t.route_ids").alias("shape_route_ids"),
-        F.col("t.route_names").alias("shape_route_names"),
-        F.col("t.route_type").alias("shape_route_type"),
-        F.col("s.shape_idx").alias("shape_idx"),
-        F.col("s.segment_index").alias("segment_index"),
-        F.concat(F.col("s.point_offset"), F.array(F.size(points).cast("bigint"))).alias("point_offset"),
-        points["lat"].alias("lat"),
-        points["lon"].alias("lon"),
-        F.col("s.typical_kmh").alias("typical_kmh"),
+        "shape_keys",
+        "shape_ids",
+        "shape_route_ids",
+        "shape_route_names",
+        "shape_route_type",
+        "shape_idx",
+        "segment_index",
+        F.concat("point_offset", F.array(F.size("lat").cast("bigint"))).alias("point_offset"),
+        "lat",
+        "lon",
+        "typical_kmh",
     )
 
 

@@ -435,9 +435,6 @@ FROM d WINDOW o AS (PARTITION BY bundle ORDER BY shape_key, segment_index)"""
 
 def _customer_geometry(spark, sf_dir):
     """Placed segment paths and the shape table of the customer lines, a bundle per line family."""
-    segments = _customer_segments(spark, sf_dir).select(
-        F.substring("shape_key", 1, 1).alias("bundle"), "shape_key", "segment_index"
-    ).distinct()
     lines, trips = walk_lines(spark, sf_dir), walk_trips(spark, sf_dir)
     named = trips.select("snapshot", "route_id").distinct()
     type_no = F.length("route_id") % 4
@@ -448,21 +445,21 @@ def _customer_geometry(spark, sf_dir):
     )
     order = spark.createDataFrame([("s1", 1), ("s2", 2)], "snapshot string, seq int")
     known = serve.shape_routes(lines.select("shape_key", "shape_id"), trips, routes, order)
-    paths = serve.draw_paths(segments, walk_shapes(spark, sf_dir), 20000.0)
-    placed = serve.point_offsets(serve.index_segments(segments).join(paths, ["shape_key", "segment_index"]))
-    return placed, serve.shape_table(segments, known)
+    # every line has segments
+    drawn = walk_shapes(spark, sf_dir).select(F.substring("shape_key", 1, 1).alias("bundle"), "shape_key")
+    return _placed_paths(spark, sf_dir), serve.shape_table(drawn, known)
 
 
 def geometry_documents(spark, sf_dir):
     """The published document of each bundle: shape table, shape_idx of each segment, flat points and offsets."""
     placed, table = _customer_geometry(spark, sf_dir)
-    document = serve.geometry_document(placed, table, segment_length_m=20000.0)
-    lists = ["shape_ids", "shape_route_ids", "shape_route_names"]
-    flat = {name: F.transform(name, lambda ids: F.array_join(ids, ",")) for name in lists}
-    flat["shape_route_type"] = F.transform("shape_route_type", lambda t: F.coalesce(t, F.lit(-1)))
-    for name in ("lat", "lon"):
-        flat[name] = F.transform(name, lambda v: F.round(v, 4))
-    return document.withColumns(flat).drop("typical_kmh")
+    # made flat entry by entry, as the document's lists are as long as a bundle
+    lists = ["shape_ids", "route_ids", "route_names"]
+    flat = {name: F.array_join(name, ",") for name in lists}
+    table = table.withColumns({**flat, "route_type": F.coalesce("route_type", F.lit(-1))})
+    point = lambda p: F.struct(*[F.round(p[name], 4).alias(name) for name in ("lat", "lon")])
+    placed = placed.withColumn("points", F.transform("points", point))
+    return serve.geometry_document(placed, table, segment_length_m=20000.0).drop("typical_kmh")
 
 
 GEOMETRY_SQL = PATHS_SQL.split("SELECT shape_key, segment_index, 2")[0] + """,

@@ -81,6 +81,28 @@ def test_paths_offsets_and_documents(spark, tmp_path):
     assert json.loads(files[0].read_text())["speed_kmh"] == [18, 18, 18]
 
 
+def test_documents_join_lists_of_slices(spark, monkeypatch):
+    """A bundle's lists were made from one list of row objects, which did not fit an executor at 17 million segments."""
+    monkeypatch.setattr(serve, "_SLICE", 3)
+    rows = [("p", f"k{i // 4}", i % 4, i, [(float(i), 1.0), (float(i), 2.0)], 2 * i) for i in range(20)]
+    paths = spark.createDataFrame(
+        rows,
+        "bundle string, shape_key string, segment_index int, segment_idx bigint, points array<struct<lat: double, lon: double>>, point_offset bigint",
+    )
+    table = spark.createDataFrame(
+        [("p", i, f"k{i}", [f"S{i}"], [], [], None if i == 2 else 3) for i in range(5)],
+        "bundle string, shape_idx bigint, shape_key string, shape_ids array<string>, route_ids array<string>, route_names array<string>, route_type int",
+    )
+    baseline = spark.createDataFrame([("p", i, 7) for i in range(0, 20, 2)], "bundle string, segment_idx bigint, typical_kmh int")
+    for known, typical in ((None, [None] * 20), (baseline, [7, None] * 10)):
+        (row,) = serve.geometry_document(paths.repartition(7), table.repartition(3), known).collect()
+        assert row["shape_idx"] == [i // 4 for i in range(20)] and row["segment_index"] == [i % 4 for i in range(20)]
+        assert row["point_offset"] == list(range(0, 41, 2)) and row["typical_kmh"] == typical
+        assert row["lat"] == [float(i // 2) for i in range(40)] and row["lon"] == [1.0, 2.0] * 20
+        assert row["shape_keys"] == [f"k{i}" for i in range(5)] and row["shape_ids"] == [[f"S{i}"] for i in range(5)]
+        assert row["shape_route_type"] == [3, 3, None, 3, 3]
+
+
 def test_numbering_reads_stored_paths(spark):
     """Paths were drawn again in each of the numbering's passes."""
     from registry.serving import geometry_offsets
