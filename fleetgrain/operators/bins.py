@@ -12,13 +12,15 @@ from fleetgrain.params import KMH_PER_MS, VALIDATION_DIFF_KMH
 BIN_KEYS = ["shape_key", "segment_index", "timeslot"]
 
 
-def typical_bins(samples: DataFrame, day_plan: DataFrame) -> DataFrame:
-    """Exact median of the unrounded speed and count per period and bin.
-
-    Days outside every period carry a null period_key and do not enter.
-    """
+def _in_periods(samples: DataFrame, day_plan: DataFrame) -> DataFrame:
+    """Speeds with their period and bin. Days outside every period carry a null period_key and do not enter."""
     days = day_plan.filter(F.col("period_key").isNotNull()).select("service_date", "period_key")
-    keyed = samples.select("service_date", *BIN_KEYS, "speed_raw").join(days, "service_date")
+    return samples.select("service_date", *BIN_KEYS, "speed_raw").join(days, "service_date")
+
+
+def typical_bins(samples: DataFrame, day_plan: DataFrame) -> DataFrame:
+    """Exact median of the unrounded speed and count per period and bin."""
+    keyed = _in_periods(samples, day_plan)
     out = ranks.exact_median(keyed, ["period_key", *BIN_KEYS], "speed_raw", "median")
     return out.select(
         "period_key",
@@ -28,6 +30,12 @@ def typical_bins(samples: DataFrame, day_plan: DataFrame) -> DataFrame:
     )
 
 
+def typical_keys(samples: DataFrame, day_plan: DataFrame) -> DataFrame:
+    """Period and bin of every row of `typical_bins`, for those who count bins and need no median."""
+    keyed = _in_periods(samples, day_plan).filter(F.col("speed_raw").isNotNull())
+    return keyed.select("period_key", *BIN_KEYS).distinct()
+
+
 def day_bins(samples: DataFrame) -> DataFrame:
     """One bundle per day of any kind: median of the rounded speeds."""
     out = ranks.exact_median(samples, ["service_date", *BIN_KEYS], "speed_ms", "median")

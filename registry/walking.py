@@ -301,7 +301,7 @@ FROM pos JOIN lookup ON c_custkey = user_id WHERE has_trip AND lookup.from_next
 
 
 def typical_bin_totals(spark, sf_dir):
-    return bins.bin_totals(typical_weekday_bins(spark, sf_dir))
+    return bins.bin_totals(bins.typical_keys(_samples(spark, sf_dir), walk_plan(spark, sf_dir)))
 
 
 BIN_TOTALS_SQL = f"""{_B}

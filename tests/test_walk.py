@@ -252,6 +252,13 @@ def test_rows_without_a_trip_ask_for_lines_apart(spark):
     assert len(found) == 200 and len({r["part"] for r in found}) > 1 and {r["xs"] for r in found} == {None}
 
 
+def test_totals_of_bins_need_no_medians(spark):
+    from registry.walking import typical_bin_totals
+
+    plan = _plan(typical_bin_totals(spark, "/root/testdata/sf0.001"))
+    assert "Window" not in plan and "HashAggregate" in plan
+
+
 def test_unplanned_snapshots_are_not_looked_at(spark):
     plan = spark.createDataFrame([(DAY, "a", None)], "service_date date, snapshot string, next_snapshot string")
     trips = spark.createDataFrame(
