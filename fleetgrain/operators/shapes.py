@@ -54,26 +54,41 @@ def build_shapes(keyed: DataFrame) -> DataFrame:
     )
 
 
+_POINTS = 1 << 16  # points measured at once; one line may have more
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors of each line, one NumPy pass per line."""
-    names = ["shape_key", "xs", "ys", "cum_dist", "ref_lat_deg", "ref_lon"]
-    array = pa.list_(pa.float64())
-    kinds = [pa.string(), array, array, array, pa.float64(), pa.float64()]
+    """Vectors of each line, some lines at a time."""
     for batch in batches:
-        keys, lats, lons = batch.columns
-        rows = []
-        for key, lat, lon in zip(keys.to_pylist(), lats, lons):
-            lat, lon = (a.values.to_numpy(zero_copy_only=False) for a in (lat, lon))
-            ref_lat, ref_lon = float(lat.mean()), float(lon[0])
-            phi, lam = np.radians(lat), np.radians(lon)
-            h = np.sin((phi[1:] - phi[:-1]) / 2) ** 2
-            h += np.cos(phi[1:]) * np.cos(phi[:-1]) * np.sin((lam[1:] - lam[:-1]) / 2) ** 2
-            cum = np.concatenate([[0.0], np.cumsum(2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(h)))])
-            xs = np.radians(lon - ref_lon) * np.cos(np.radians(ref_lat)) * EARTH_RADIUS_M
-            ys = np.radians(lat - ref_lat) * EARTH_RADIUS_M
-            rows.append((key, xs, ys, cum, ref_lat, ref_lon))
-        columns = zip(*rows) if rows else [()] * len(names)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        ends = np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < batch.num_rows:
+            done = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(ends.searchsorted(done + _POINTS, "right")))
+            yield _vectors(batch.slice(lo, hi - lo))
+            lo = hi
+
+
+def _vectors(batch: pa.RecordBatch) -> pa.RecordBatch:
+    keys, lats, lons = batch.columns
+    lat, lon = (a.flatten().to_numpy(zero_copy_only=False) for a in (lats, lons))
+    sizes = lats.value_lengths().to_numpy(zero_copy_only=False)
+    cuts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    first = cuts[:-1]
+    lines = [slice(a, b) for a, b in zip(first.tolist(), cuts[1:].tolist())]
+    ref_lat, ref_lon = np.array([lat[line].mean() for line in lines]), lon[first]
+    phi, lam = np.radians(lat), np.radians(lon)
+    h = np.sin((phi[1:] - phi[:-1]) / 2) ** 2
+    h += np.cos(phi[1:]) * np.cos(phi[:-1]) * np.sin((lam[1:] - lam[:-1]) / 2) ** 2
+    cum = np.concatenate([[0.0], 2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(h))])
+    cum[first] = 0.0  # not the hop from the line before
+    for line in lines:
+        np.cumsum(cum[line], out=cum[line])
+    xs = np.radians(lon - np.repeat(ref_lon, sizes)) * np.repeat(np.cos(np.radians(ref_lat)), sizes) * EARTH_RADIUS_M
+    ys = np.radians(lat - np.repeat(ref_lat, sizes)) * EARTH_RADIUS_M
+    lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(values)) for values in (xs, ys, cum)]
+    names = ["shape_key", "xs", "ys", "cum_dist", "ref_lat_deg", "ref_lon"]
+    return pa.RecordBatch.from_arrays([keys, *lists, pa.array(ref_lat), pa.array(ref_lon)], names=names)
 
 
 def vertex_distances(shape_points: DataFrame, keys: list[str]) -> DataFrame:

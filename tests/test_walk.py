@@ -1,6 +1,7 @@
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -252,6 +253,40 @@ def test_rows_without_a_trip_ask_for_lines_apart(spark):
     assert len(found) == 200 and len({r["part"] for r in found}) > 1 and {r["xs"] for r in found} == {None}
 
 
+def test_lines_are_measured_some_at_a_time(monkeypatch):
+    """What a worker holds must not follow the rows of a batch."""
+    rng = np.random.default_rng(5)
+    sizes = [2, 40, 3, 3, 90, 2]
+    lats, lons = ([rng.uniform(20, 40, n).tolist() for n in sizes] for _ in range(2))
+    batch = pa.RecordBatch.from_arrays([pa.array(list("abcdef")), pa.array(lats), pa.array(lons)], names=["shape_key", "lats", "lons"])
+    whole = pa.Table.from_batches(shape_ops._measure([batch])).to_pylist()
+    monkeypatch.setattr(shape_ops, "_POINTS", 45)
+    parts = list(shape_ops._measure([batch.slice(1)]))
+    assert [p.num_rows for p in parts] == [2, 1, 1, 1]
+    assert pa.Table.from_batches(parts).to_pylist() == whole[1:]
+    for row, lat, lon in zip(whole, lats, lons, strict=True):
+        assert (row["ref_lat_deg"], row["ref_lon"]) == (float(np.mean(lat)), lon[0])
+        assert len(row["cum_dist"]) == len(lat) and row["cum_dist"][0] == 0 and (np.diff(row["cum_dist"]) > 0).all()
+        assert row["ys"] == pytest.approx(np.radians(np.array(lat) - np.mean(lat)) * 6371000)
+
+
+def test_a_task_remembers_segments_and_not_lines(monkeypatch):
+    monkeypatch.setattr(walk, "_SEGMENTS_KEPT", 100)
+    flat = np.arange(31.0)
+
+    class Heads:
+        trips, anchors, has_line = [("R", "S", f"k{i}", False) for i in range(9)], [(None, None)] * 9, [True] * 9
+
+        def line(self, i):
+            return walk._Line(flat, flat, flat, 42.0, 20.0)
+
+    state = walk._Walk(PARAMS)
+    for i in range(9):
+        state.begin(Heads(), i)
+        assert state.line is state.lines[f"k{i}"] and sum(line.size for line in state.lines.values()) <= 100
+        assert state.line.cum.base is None  # holds no batch
+
+
 def test_totals_of_bins_need_no_medians(spark):
     from registry.walking import typical_bin_totals
 
