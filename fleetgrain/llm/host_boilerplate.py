@@ -10,18 +10,25 @@ host's distinct streams is counted over the whole host, however many pages it
 has; runs of `PAGES` streams or more are repeated substrings, and longer ones
 are covered by overlapping runs. Runs are named by 128 bits of a hash with their
 host's, counted before they are shuffled, and joined back to their places, so
-neither a host nor its pages meet in one task. Only hosts with a page that needs
-it are looked at: one that has open blocks and no article.
+neither a host nor its pages meet in one task. All pages are counted and every
+page's text is judged by the counts.
 
-An open block whose words are all covered is boilerplate and goes. Of another one
+Pages without an article element keep their open blocks, but an open block whose
+words are all covered is boilerplate and goes. Of another one
 the repeated runs that lie inside it go and all other words stay; a run that
 reaches into it from a neighbour, as from a menu into the first words of a text,
-is no evidence against those words. Pages without an article element keep their open blocks, pages with
-one only what is inside it. If nothing at all would stay, the open blocks do.
+is no evidence against those words.
+
+Pages with an article keep only what is inside it. A block of it goes if every run
+of it repeats outside articles and `PAGES` distinct article texts of the host or more
+have the whole block: a notice that markup doesn't name. A headline that others list
+is in one article only, and a paragraph of copied articles isn't repeated outside.
+Which blocks may go is told by a bitmap of the repeated runs first, so only those
+are shuffled. If nothing at all would stay, the open blocks or the article do.
 
 Repetition alone can't tell an article that a host shows on several pages from
-a menu, so text inside an article is never judged by it, and pages whose open
-text is the same count as one.
+a menu, so what repeats inside articles only stays, and pages whose open
+text is the same count as one, as do pages with the same article.
 
 Defined cases: pages of any length are read whole, in time in proportion to
 them; null or empty html, or none but markup, gives an empty text; a
@@ -37,18 +44,23 @@ import hashlib
 import html as entities
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetgrain.llm.bitsets import BITS_IN_ROW
 from fleetgrain.llm.common import column, rows_kernel
 from fleetgrain.session import cut_lineage
 
 RUN = 8
 PAGES = 3
 
+#: Bits of the bitmap of repeated runs, 8 MB for any input.
+N_BITS = 1 << 26
+
 ARTICLE, OPEN, BOILERPLATE = range(3)
 
 _RAW = "script|style|textarea|title"
@@ -169,20 +181,32 @@ def _hash(text: str) -> np.ndarray:
     return np.frombuffer(hashlib.blake2b(text.encode(), digest_size=16).digest(), np.uint64)
 
 
-def run_keys(words: list[str], names: dict[str, np.ndarray], host: str = "", run: int = RUN) -> np.ndarray:
+class WordHashes(dict):
+    """Places of words in a table of their hashes; a word is hashed when it is first met."""
+
+    def __init__(self):
+        self.table = np.zeros((1024, 2), np.uint64)
+
+    def __missing__(self, word: str) -> int:
+        at = self[word] = len(self)
+        if at == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[at] = _hash(word)
+        return at
+
+
+def run_keys(words: list[str], names: WordHashes, host: str = "", run: int = RUN) -> np.ndarray:
     """A key of two numbers for the run of words of a host that starts at each place; `names` keeps hashes of words."""
     n = len(words) - run + 1
     if n <= 0:
         return np.zeros((0, 2), np.int64)
-    for w in words:
-        if w not in names:
-            names[w] = _hash(w)
-    hashed = np.stack([names[w] for w in words])
-    keys = np.tile(_hash(f"host {host}"), (n, 1))
+    at = np.fromiter(map(names.__getitem__, words), np.int64, len(words))
+    hashed = np.ascontiguousarray(names.table[at].T)
+    keys = np.repeat(_hash(f"host {host}")[:, None], n, axis=1)
     for i in range(run):
         # an odd factor for each place
-        keys += hashed[i : i + n] * (_hash(f"place {i}") | np.uint64(1))
-    return keys.view(np.int64)
+        keys += hashed[:, i : i + n] * (_hash(f"place {i}") | np.uint64(1))[:, None]
+    return keys.view(np.int64).T
 
 
 def distinct_keys(keys: np.ndarray) -> np.ndarray:
@@ -201,7 +225,7 @@ def covered_by(starts, n: int, run: int = RUN) -> np.ndarray:
 
 def covered_words(streams: list[list[str]], run: int = RUN, pages: int = PAGES) -> list[np.ndarray]:
     """For each page's words, which lie in a substring of `run` words or more found in `pages` distinct pages or more."""
-    names: dict[str, np.ndarray] = {}
+    names = WordHashes()
     keys = [run_keys(s, names, run=run) for s in streams]
     seen: dict[tuple, int] = {}
     for found in keys:
@@ -231,20 +255,29 @@ def open_text(outside: list[tuple[int, str]], starts: list[int]) -> str:
     return "\n".join([t for t in unique if t] or every)
 
 
-RESULT = "page_id long, url string, text string, n_chars long"
+def article_text(inside: list[str], gone: list[int]) -> str:
+    """What stays of an article, given the numbers of its repeated blocks."""
+    dropped = set(gone)
+    return "\n".join([t for i, t in enumerate(inside) if i not in dropped] or inside)
+
+
 BLOCKS = "array<struct<place int, text string>>"
 
+# the key of what is judged of a page, its article or else its stream
+KEY = ["key_a", "key_b"]
+
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """Every page with its blocks outside articles, the key of their words, and its text unless that has to be judged."""
+    """Every page with its blocks, the key of its words outside articles, and the key of what is judged of it."""
     url = F.coalesce("url", F.lit(""))
     keyed = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html"
     ).withColumn("host", F.lower(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)))
     lists = pa.list_(pa.struct([("place", pa.int32()), ("text", pa.string())]))
     schema = pa.schema(
-        [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("text", pa.string())]
-        + [("judged", pa.bool_()), ("stream_a", pa.int64()), ("stream_b", pa.int64()), ("outside", lists)]
+        [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("article", pa.bool_()), ("open", pa.bool_())]
+        + [(n, pa.int64()) for n in ("stream_a", "stream_b", *KEY)]
+        + [("blocks", lists)]
     )
 
     def parse(batch):
@@ -252,18 +285,17 @@ def _parsed(pages: DataFrame) -> DataFrame:
         for host, page in zip(made["host"], column(batch, "html"), strict=True):
             found = blocks(page or "")
             inside = [t for p, t in found if p == ARTICLE]
-            judged = not inside and any(p == OPEN for p, _ in found)
-            outside = [{"place": p, "text": t} for p, t in found if p != ARTICLE]
-            words = " ".join(x["text"] for x in outside)
-            a, b = _hash(f"{len(host)} {host} {words}").view(np.int64).tolist()
-            made["text"].append(None if judged else "\n".join(inside))
-            made["judged"].append(judged)
-            made["stream_a"].append(a)
-            made["stream_b"].append(b)
-            made["outside"].append(outside)
+            words = " ".join(t for p, t in found if p != ARTICLE)
+            stream = _hash(f"{len(host)} {host} {words}").view(np.int64).tolist()
+            key = _hash("\n".join(["article", host, *inside])).view(np.int64).tolist() if inside else stream
+            made["article"].append(bool(inside))
+            made["open"].append(not inside and any(p == OPEN for p, _ in found))
+            for name, value in zip(("stream_a", "stream_b", *KEY), (*stream, *key), strict=True):
+                made[name].append(value)
+            made["blocks"].append([{"place": p, "text": t} for p, t in found])
         return made
 
-    ddl = f"page_id long, url string, host string, text string, judged boolean, stream_a long, stream_b long, outside {BLOCKS}"
+    ddl = f"page_id long, url string, host string, article boolean, open boolean, stream_a long, stream_b long, key_a long, key_b long, blocks {BLOCKS}"
     return keyed.mapInArrow(rows_kernel(parse, schema), ddl)
 
 
@@ -273,7 +305,7 @@ def _runs(streams: DataFrame, places: bool) -> DataFrame:
     schema = pa.schema([(n, pa.int64()) for n in names])
 
     def batch_runs(batch):
-        known: dict[str, np.ndarray] = {}
+        known = WordHashes()
         made = [np.zeros((0, len(names)), np.int64)]
         for host, text, a, b in zip(*(column(batch, n) for n in ("host", "text", "stream_a", "stream_b")), strict=True):
             keys = run_keys(text.split(" "), known, host)
@@ -287,40 +319,97 @@ def _runs(streams: DataFrame, places: bool) -> DataFrame:
     return streams.mapInArrow(rows_kernel(batch_runs, schema), ", ".join(f"{n} long" for n in names))
 
 
+def _bits(runs: DataFrame) -> np.ndarray:
+    """Bitmap of the runs, at most `N_BITS` however many there are."""
+    place = (F.pmod("run_a", F.lit(N_BITS)) + 1).alias("place")
+    rows = runs.select(place).groupBy(F.bitmap_bucket_number("place").alias("row"))
+    bits = np.zeros(N_BITS // 8, np.uint8)
+    for r in rows.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect():
+        first = (r["row"] - 1) * BITS_IN_ROW // 8
+        bits[first : first + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    return bits
+
+
+def _maybe_repeated(parsed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Blocks of articles whose runs are all in the bitmap of the repeated ones, with their host, article and number."""
+    shared = parsed.sparkSession.sparkContext.broadcast(_bits(repeated))
+    schema = pa.schema(
+        [("host", pa.string()), ("text", pa.string())] + [(n, pa.int64()) for n in ("stream_a", "stream_b", *KEY, "nth")]
+    )
+
+    def look(batch):
+        bits, known = shared.value, WordHashes()
+        made = {f.name: [] for f in schema}
+        for host, a, b, found in zip(*(column(batch, n) for n in ("host", *KEY, "blocks")), strict=True):
+            inside = [x["text"] for x in found if x["place"] == ARTICLE]
+            words = [t.split(" ") for t in inside]
+            at = run_keys(list(chain.from_iterable(words)), known, host)[:, 0] % N_BITS
+            strange = np.concatenate([[0], np.cumsum(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 0)])
+            first = 0
+            for nth, (text, parts) in enumerate(zip(inside, words, strict=True)):
+                n = len(parts) - RUN + 1
+                if n > 0 and strange[first] == strange[first + n]:
+                    block = _hash(f"{len(host)} {host} {text}").view(np.int64).tolist()
+                    for name, value in zip(schema.names, (host, text, *block, a, b, nth), strict=True):
+                        made[name].append(value)
+                first += len(parts)
+        return made
+
+    ddl = "host string, text string, stream_a long, stream_b long, key_a long, key_b long, nth long"
+    return parsed.where("article").select("host", *KEY, "blocks").mapInArrow(rows_kernel(look, schema), ddl)
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     parsed = cut_lineage(_parsed(pages))
-    hosts = cut_lineage(parsed.where("judged").select("host").distinct())
-    stream = ["stream_a", "stream_b"]
+    stream, run = ["stream_a", "stream_b"], ["run_a", "run_b"]
+    outside = F.transform(F.filter("blocks", lambda x: x["place"] != ARTICLE), lambda x: x["text"])
     # a stream given by several pages of a host counts once
     streams = cut_lineage(
-        parsed.join(hosts, "host", "left_semi")
-        .select("host", *stream, "judged", F.array_join("outside.text", " ").alias("text"))
+        parsed.select("host", *stream, "open", F.array_join(outside, " ").alias("text"))
         .groupBy("host", *stream)
-        .agg(F.max("judged").alias("judged"), F.first("text").alias("text"))
+        .agg(F.max("open").alias("open"), F.first("text").alias("text"))
     )
-    run = ["run_a", "run_b"]
     repeated = cut_lineage(
         _runs(streams, False).groupBy(*run).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= PAGES).select(*run)
     )
     starts = (
-        _runs(streams.where("judged"), True)
+        _runs(streams.where("open"), True)
+        .join(repeated, run, "left_semi")
+        .groupBy(F.col("stream_a").alias("key_a"), F.col("stream_b").alias("key_b"))
+        .agg(F.collect_list("place").alias("at"))
+    )
+    maybe = cut_lineage(_maybe_repeated(parsed, repeated))
+    common = (
+        maybe.groupBy(*stream)
+        .agg(F.count_distinct(*KEY).alias("articles"), F.first("host").alias("host"), F.first("text").alias("text"))
+        .where(F.col("articles") >= PAGES)
+    )
+    common = cut_lineage(common.withColumn("n", F.size(F.split("text", " ")) - (RUN - 1)))
+    # the bitmap may take a run for a repeated one
+    notices = (
+        _runs(common, True)
         .join(repeated, run, "left_semi")
         .groupBy(*stream)
-        .agg(F.collect_list("place").alias("starts"))
+        .agg(F.count(F.lit(1)).alias("found"))
+        .join(common, stream)
+        .where(F.col("found") == F.col("n"))
+        .select(*stream)
     )
+    gone = maybe.join(notices, stream, "left_semi").groupBy(*KEY).agg(F.collect_set("nth").alias("at"))
+    judged = cut_lineage(starts.unionByName(gone))
     result = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 
     def judge(batch):
-        found = zip(column(batch, "outside"), column(batch, "starts"), strict=True)
-        texts = [open_text([(x["place"], x["text"]) for x in outside], at or []) for outside, at in found]
+        texts = []
+        for found, at in zip(column(batch, "blocks"), column(batch, "at"), strict=True):
+            inside = [x["text"] for x in found if x["place"] == ARTICLE]
+            texts.append(article_text(inside, at or []) if inside else open_text([(x["place"], x["text"]) for x in found], at or []))
         return {"page_id": column(batch, "page_id"), "url": column(batch, "url"), "text": texts}
 
-    judged = (
-        parsed.where("judged")
-        .join(starts, stream, "left")
-        .select("page_id", "url", "outside", "starts")
+    texts = (
+        parsed.join(judged, KEY, "left")
+        .select("page_id", "url", "blocks", "at")
         .mapInArrow(rows_kernel(judge, result), "page_id long, url string, text string")
     )
-    settled = parsed.where("not judged").select("page_id", "url", "text")
-    return settled.unionByName(judged).withColumn("n_chars", F.length("text").cast("long"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))

@@ -103,6 +103,73 @@ def test_repeated_runs_inside_a_block_go_and_its_other_words_stay(llm):
     assert got[9]["text"] == "first9 last9\nfoot0 foot1 then9"
 
 
+def plain_texts(rows):
+    """What stays of pages with an article, by all windows of a host."""
+    parsed = [(i, url.split("/")[2], hb.blocks(page)) for i, url, page in rows]
+    outside, articles = {}, {}
+    for _, host, found in parsed:
+        inside = tuple(t for p, t in found if p == hb.ARTICLE)
+        stream = " ".join(t for p, t in found if p != hb.ARTICLE).split(" ")
+        for k in range(len(stream) - hb.RUN + 1):
+            outside.setdefault((host, *stream[k : k + hb.RUN]), set()).add(tuple(stream))
+        for t in inside:
+            articles.setdefault((host, t), set()).add(inside)
+    out = {}
+    for i, host, found in parsed:
+        inside = [t for p, t in found if p == hb.ARTICLE]
+        kept = []
+        for t in inside:
+            w = t.split(" ")
+            runs = [(host, *w[k : k + hb.RUN]) for k in range(len(w) - hb.RUN + 1)]
+            repeated = runs and all(len(outside.get(r, ())) >= hb.PAGES for r in runs)
+            if not (repeated and len(articles[host, t]) >= hb.PAGES):
+                kept.append(t)
+        out[i] = "\n".join(kept or inside)
+    return out
+
+
+def article_rows():
+    note = " ".join(f"note{i}" for i in range(9))
+    head = " ".join(f"head{i}" for i in range(10))
+    body = " ".join(f"body{i}" for i in range(12))
+    rows = [(i, f"http://h.com/{i}", f"<article><p>own{i} text</p><p>{note}</p><p>{body}</p></article><footer>foot{i} {note}</footer>") for i in range(4)]
+    # a headline that others list, a notice with a word more, a notice alone, copies of one article, another host
+    rows += [(10 + i, f"http://h.com/l{i}", f"<article><p>listing{i}</p></article><aside>{head} more{i}</aside>") for i in range(4)]
+    rows += [(20, "http://h.com/head", f"<article><h1>{head}</h1><p>{note} then</p></article>")]
+    rows += [(21, "http://h.com/alone", f"<article><p>{note}</p></article>")]
+    rows += [(30 + i, f"http://copies.com/{i}", f"<article><p>{body}</p></article><footer>{body} x{i}</footer>") for i in range(5)]
+    rows += [(40 + i, f"http://two.com/{i}", f"<article><p>a{i}</p><p>{note}</p></article><footer>{note} {i}</footer>") for i in range(2)]
+    return rows
+
+
+def test_a_notice_that_repeats_outside_goes_from_articles(llm):
+    """Markup settled every page with an article before, so no run was counted or looked up for it."""
+    rows = article_rows()
+    got = {i: r["text"] for i, r in extracted(llm, rows).items()}
+    body = " ".join(f"body{i}" for i in range(12))
+    assert [got[i] for i in range(4)] == [f"own{i} text\n{body}" for i in range(4)]
+    assert got[20].startswith("head0") and got[20].endswith("note8 then") and got[21].startswith("note0")
+    assert all(got[30 + i] == body for i in range(5)) and "note0" in got[40]
+    assert got == plain_texts(rows)
+
+
+def test_articles_against_all_windows(llm, monkeypatch):
+    rng = random.Random(9)
+    parts = [" ".join(rng.choice("abc") + str(k) for _ in range(rng.randint(7, 14))) for k in range(6)]
+
+    def page(i):
+        inside = "".join(f"<p>{rng.choice(parts)}</p>" for _ in range(rng.randint(1, 3)))
+        return f"<nav>{rng.choice(parts)} m{rng.randint(0, 20)}</nav><article><p>own {i % 30}</p>{inside}</article><footer>{rng.choice(parts)}</footer>"
+
+    rows = [(i, f"http://{rng.choice('xyz')}.com/{i}", page(i)) for i in range(150)]
+    want = plain_texts(rows)
+    assert any(want[i].count("\n") < len(hb.blocks(p)) - 3 for i, _, p in rows)
+    assert {i: r["text"] for i, r in extracted(llm, rows).items()} == want
+    # a full bitmap takes every run for a repeated one, and changes nothing
+    monkeypatch.setattr(hb, "_bits", lambda runs: hb.np.full(hb.N_BITS // 8, 255, hb.np.uint8))
+    assert {i: r["text"] for i, r in extracted(llm, rows).items()} == want
+
+
 def test_defined_cases(llm):
     rows = [(1, None, None), (2, "", ""), (3, "u", "<nav>m</nav>"), (4, None, "<article>" + "<p>long text</p>" * 30_000 + "</article>"), (5, "http://a.b/", "plain")]
     got = extracted(llm, [*rows, (None, None, "x")])
