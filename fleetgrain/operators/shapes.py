@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetgrain.functions.geo import haversine_m
-from fleetgrain.functions.keys import geometry_key
+from fleetgrain.functions.keys import KEY_HEX_CHARS, geometry_key
 from fleetgrain.params import EARTH_RADIUS_M
 
 
@@ -30,7 +31,34 @@ def ordered_points(shape_points: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def keyed_points(shape_points: DataFrame, keys: list[str]) -> DataFrame:
-    return ordered_points(shape_points, keys).withColumn("shape_key", geometry_key(F.col("points")))
+    """Ordered points with their geometry key, written in Python where its digits are the same beyond doubt."""
+    ordered = ordered_points(shape_points, keys)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema)
+    keyed = ordered.mapInArrow(_with_clear_keys, f"{schema}, clear_key string")
+    return keyed.withColumn("shape_key", F.coalesce("clear_key", geometry_key(F.col("points")))).drop("clear_key")
+
+
+def _with_clear_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds `geometry_key`, null for a line with a coordinate near a tie of its sixth decimal, of 1,000 or more or none."""
+    for batch in batches:
+        points = batch.column(batch.num_columns - 1)
+        lat, lon = (a.to_numpy(zero_copy_only=False) for a in points.flatten().flatten())
+        ends = np.cumsum(points.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+        clear = np.ones(len(lat), bool)
+        for values in (lat, lon):
+            size = np.abs(values)
+            # a double below 1,000 times 1e6 is off by far less than 1e-6
+            with np.errstate(invalid="ignore"):
+                clear &= (size < 1000) & (np.abs(size * 1e6 % 1 - 0.5) > 1e-6)
+        doubts = np.concatenate([[0], np.cumsum(~clear)])
+        made, first = [], 0
+        for end in ends:
+            text = None
+            if doubts[end] == doubts[first]:
+                text = ";".join(map("%.6f,%.6f".__mod__, zip(lat[first:end].tolist(), lon[first:end].tolist(), strict=True)))
+            made.append(text if text is None else hashlib.sha256(text.encode()).hexdigest()[:KEY_HEX_CHARS])
+            first = end
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], names=[*batch.schema.names, "clear_key"])
 
 
 def shape_bridge(keyed: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetgrain.functions import clock, geo
+from fleetgrain.functions.keys import geometry_key
 from fleetgrain.operators import bins, shapes as shape_ops, walk
 from fleetgrain.params import WalkParams
 from fleetgrain.sources import jsonl
@@ -424,3 +425,18 @@ def test_window_decides_on_lines_that_come_back(spark):
     assert narrow.keys() == wide.keys()
     moved = [k for k in narrow if narrow[k] is not None and wide[k] is not None and abs(narrow[k] - wide[k]) > 1000]
     assert len(moved) > 0.05 * len(narrow)
+
+
+def test_geometry_keys_of_python_are_those_of_the_formatter(spark):
+    """Ties of the sixth decimal round half up in one and by their binary value in the other, so they are left to the formatter."""
+    odd = [0.1234565, 2.0000005, -0.0, -3e-8, 5e-7, 999.9999999, 1e9, float("nan"), float("inf"), None, 41.25, 0.5000015]
+    rows = [("s", f"L{k}", i, v, 20.0 + i / 7) for k, v in enumerate(odd) for i in range(3)]
+    rows += [("s", f"M{k}", i, 40 + (k * 7919 + i) / 9973, -20 - i / 7) for k in range(50) for i in range(2 + k % 5)]
+    points = spark.createDataFrame(rows, "snapshot string, shape_id string, shape_pt_sequence int, shape_pt_lat double, shape_pt_lon double")
+    keyed = shape_ops.keyed_points(points, ["snapshot", "shape_id"])
+    assert keyed.columns == ["snapshot", "shape_id", "points", "shape_key"]
+    got = keyed.withColumn("want", geometry_key(F.col("points"))).collect()
+    assert len(got) == len(odd) + 50 and all(r["shape_key"] == r["want"] for r in got)
+    batch = shape_ops.ordered_points(points, ["snapshot", "shape_id"]).toArrow().to_batches()
+    made = {r["shape_id"]: r["clear_key"] for b in shape_ops._with_clear_keys(iter(batch)) for r in b.to_pylist()}
+    assert made["L0"] is None and made["L9"] is None and made["L6"] is None and made["L10"] and made["M3"]
